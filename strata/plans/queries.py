@@ -2,6 +2,8 @@
 
 Each query feeds whole test tables (through ``strata.plans.business``) into
 library operators.  The matching SQL lives in ``strata.plans.oracle``.
+Queries that exercise sinks write under the session's checkpoint folder
+(``spark.checkpoint.dir``) and return the data read back.
 """
 
 from __future__ import annotations
@@ -9,24 +11,280 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from strata.operators import marts
+from strata.functions.fingerprint import add_fingerprint
+from strata.operators import control, items, marts, reports, scd
+from strata.operators.cleanse import add_derived, cleanse, clean_columns, drop_missing_required
+from strata.operators.dedupe import any_per_key, latest_per_key
+from strata.operators.enrich import enrich_bronze
+from strata.operators.evolution import drift_events, reconcile
 from strata.plans import business as B
-from strata.plans.oracle import REVENUE_TIERS_TEST
+from strata.plans import jobs
+from strata.plans.oracle import (
+    EVENT_WINDOW,
+    LAKE_ROOT,
+    ONBOARDING,
+    REVENUE_TIERS_TEST,
+    SCAN_PARTITION,
+    SNAPSHOT_CUTOFFS,
+    TREND_AS_OF,
+)
+from strata.rules import COLLECTIONS, CUSTOMER_RULES, CleanseRules, CollectionSpec
+from strata.session import scratch_path
+from strata.sources.contracts import conform, contract
+from strata.sources.extract import incremental_extract, merged_scan, partition_scan
+from strata.sources.publish import observed, read_partitioned, read_scd2_full, write_partition
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 
 
-def query(fn: Query) -> Query:
-    QUERIES[fn.__name__] = fn
-    return fn
+def query(fn: Query | None = None, *, name: str | None = None):
+    def register(f: Query) -> Query:
+        QUERIES[name or f.__name__] = f
+        return f
+
+    return register(fn) if fn is not None else register
+
+
+ORDERS_PK = COLLECTIONS["orders"].primary_key
+LINE_ORDER = ["l_shipdate"]
+LINE_TIEBREAK = ["l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice"]
 
 
 # --------------------------------------------------------------------------
-# customer mart
+# sources and sinks
 # --------------------------------------------------------------------------
 
+@query(name="incremental_extract")
+def incremental_extract_events(spark: SparkSession, d: str) -> DataFrame:
+    last, upper = EVENT_WINDOW
+    return incremental_extract(B.table(spark, d, "events"), "ts", last, upper)
+
+
+@query
+def bronze_partition_scan(spark: SparkSession, d: str) -> DataFrame:
+    root = scratch_path(spark, "bronze-orders")
+    src = B.orders_source(spark, d).withColumn("load_date", F.date_format("created_at", "yyyy-MM-01"))
+    src.write.mode("overwrite").partitionBy("load_date").parquet(root)
+    return partition_scan(spark, root, "load_date", SCAN_PARTITION)
+
+
+@query
+def merge_schema_scan(spark: SparkSession, d: str) -> DataFrame:
+    root = scratch_path(spark, "bronze-drift")
+    src = B.orders_source(spark, d)
+    cut = F.lit("1998-01-01 00:00:00").cast("timestamp_ntz")
+    write_partition(src.where(F.col("created_at") < cut), root, {"load_date": B.LOAD1[0]})
+    later = src.where(F.col("created_at") >= cut).withColumn(
+        "channel", F.when(F.col("total_amount") > 250000, F.lit("web")).otherwise(F.lit("store"))
+    )
+    write_partition(later, root, {"load_date": B.LOAD2[0]})
+    return merged_scan(spark, root, "load_date")
+
+
+@query
+def bronze_enrich(spark: SparkSession, d: str) -> DataFrame:
+    load_date, as_of = B.LOAD1
+    return enrich_bronze(B.orders_source(spark, d), "orders", load_date, as_of).drop("raw_document")
+
+
+@query
+def conform_contract(spark: SparkSession, d: str) -> DataFrame:
+    drifted = B.orders_source(spark, d).select(
+        "order_id",
+        "customer_id",
+        "status",
+        F.col("total_amount").cast("string").alias("total_amount"),
+        "created_at",
+        "updated_at",
+        F.lit("x").alias("junk"),
+    )
+    return conform(drifted, contract("silver_orders"))
+
+
+# --------------------------------------------------------------------------
+# cleansing
+# --------------------------------------------------------------------------
+
+@query
+def cleanse_required(spark: SparkSession, d: str) -> DataFrame:
+    return drop_missing_required(B.customers_raw(spark, d), CUSTOMER_RULES.required)
+
+
+@query
+def cleanse_strings(spark: SparkSession, d: str) -> DataFrame:
+    return clean_columns(B.customers_raw(spark, d), CleanseRules(string_cols=CUSTOMER_RULES.string_cols))
+
+
+@query
+def cleanse_casts(spark: SparkSession, d: str) -> DataFrame:
+    rules = CleanseRules(ts_cols=CUSTOMER_RULES.ts_cols, numeric_cols=("acctbal",))
+    return clean_columns(B.customers_raw(spark, d), rules)
+
+
+@query
+def cleanse_customers(spark: SparkSession, d: str) -> DataFrame:
+    return B.customers(spark, d)
+
+
+@query
+def derived_columns(spark: SparkSession, d: str) -> DataFrame:
+    return add_derived(B.customers_raw(spark, d), CUSTOMER_RULES)
+
+
+# --------------------------------------------------------------------------
+# dedupe and fingerprints
+# --------------------------------------------------------------------------
+
+@query
+def dedupe_latest(spark: SparkSession, d: str) -> DataFrame:
+    return latest_per_key(B.table(spark, d, "lineitem"), ["l_orderkey"], LINE_ORDER, LINE_TIEBREAK)
+
+
+@query
+def dedupe_any(spark: SparkSession, d: str) -> DataFrame:
+    return any_per_key(B.table(spark, d, "lineitem"), ["l_orderkey"])
+
+
+@query
+def row_fingerprint(spark: SparkSession, d: str) -> DataFrame:
+    c = B.table(spark, d, "customer")
+    with_compat = add_fingerprint(c)
+    return add_fingerprint(with_compat, exclude=("record_hash",), mode="safe", name="record_hash_safe")
+
+
+@query
+def row_fingerprint_json(spark: SparkSession, d: str) -> DataFrame:
+    return add_fingerprint(B.table(spark, d, "customer"), mode="json")
+
+
+# --------------------------------------------------------------------------
+# SCD merges over two order batches
+# --------------------------------------------------------------------------
+
+def _hashed_batches(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
+    b1, b2 = B.order_batches(spark, d)
+    return add_fingerprint(b1), add_fingerprint(b2)
+
+
+def _scd2_after_two_loads(spark: SparkSession, d: str) -> DataFrame:
+    h1, h2 = _hashed_batches(spark, d)
+    initial = scd.scd2_initial(h1, *B.LOAD1)
+    return scd.scd2_merge(initial, h2, ORDERS_PK, *B.LOAD2)
+
+
+@query
+def change_detection(spark: SparkSession, d: str) -> DataFrame:
+    h1, h2 = _hashed_batches(spark, d)
+    return scd.change_detection(scd.scd2_initial(h1, *B.LOAD1), h2, ORDERS_PK)
+
+
+@query
+def anti_join_untouched(spark: SparkSession, d: str) -> DataFrame:
+    b1, b2 = B.order_batches(spark, d)
+    return scd.untouched_rows(b1, b2, ORDERS_PK)
+
+
+@query
+def union_by_name(spark: SparkSession, d: str) -> DataFrame:
+    b1, b2 = B.order_batches(spark, d)
+    narrow = b2.drop("currency").withColumn("channel", F.lit("web"))
+    return scd.untouched_rows(b1, b2, ORDERS_PK).unionByName(narrow, allowMissingColumns=True)
+
+
+@query
+def scd1_upsert(spark: SparkSession, d: str) -> DataFrame:
+    b1, b2 = B.order_batches(spark, d)
+    first = scd.scd1_merge(None, b1, ORDERS_PK, *B.LOAD1)
+    return scd.scd1_merge(first, b2, ORDERS_PK, *B.LOAD2)
+
+
+@query
+def scd2_initial(spark: SparkSession, d: str) -> DataFrame:
+    h1, _ = _hashed_batches(spark, d)
+    return scd.scd2_initial(h1, *B.LOAD1)
+
+
+@query
+def scd2_merge(spark: SparkSession, d: str) -> DataFrame:
+    return _scd2_after_two_loads(spark, d)
+
+
+@query
+def scd2_expired_rows(spark: SparkSession, d: str) -> DataFrame:
+    return _scd2_after_two_loads(spark, d).where(~F.col("is_current"))
+
+
+@query
+def scd2_current_snapshot(spark: SparkSession, d: str) -> DataFrame:
+    return scd.current_view(_scd2_after_two_loads(spark, d))
+
+
+@query
+def scd2_as_of(spark: SparkSession, d: str) -> DataFrame:
+    return scd.as_of_view(_scd2_after_two_loads(spark, d), B.AS_OF_BETWEEN)
+
+
+# --------------------------------------------------------------------------
+# schema evolution
+# --------------------------------------------------------------------------
+
+def _drifted_batch(spark: SparkSession, d: str) -> DataFrame:
+    _, b2 = B.order_batches(spark, d)
+    return b2.select(
+        "order_id",
+        F.col("customer_id").cast("long").alias("customer_id"),
+        "status",
+        "total_amount",
+        "created_at",
+        "updated_at",
+        F.when(F.col("total_amount") > 250000, F.lit("web")).otherwise(F.lit("store")).alias("channel"),
+    )
+
+
+@query
+def schema_drift_events(spark: SparkSession, d: str) -> DataFrame:
+    b1, _ = B.order_batches(spark, d)
+    return drift_events(spark, "orders", b1.schema, _drifted_batch(spark, d).schema)
+
+
+@query
+def schema_reconcile(spark: SparkSession, d: str) -> DataFrame:
+    b1, _ = B.order_batches(spark, d)
+    ex, inc = reconcile(b1, _drifted_batch(spark, d))
+    return ex.unionByName(inc)
+
+
+# --------------------------------------------------------------------------
+# items and marts
+# --------------------------------------------------------------------------
+
+def _exploded(spark: SparkSession, d: str) -> DataFrame:
+    return items.join_lines(B.orders(spark, d), B.order_lines(spark, d))
+
+
+@query
+def order_items_explode(spark: SparkSession, d: str) -> DataFrame:
+    return _exploded(spark, d)
+
+
+@query
+def order_item_features(spark: SparkSession, d: str) -> DataFrame:
+    return items.item_features_from_lines(B.orders(spark, d), B.order_lines(spark, d))
+
+
+@query
+def product_item_agg(spark: SparkSession, d: str) -> DataFrame:
+    return marts.product_item_agg(_exploded(spark, d))
+
+
+@query
+def product_review_agg(spark: SparkSession, d: str) -> DataFrame:
+    return marts.product_review_agg(B.reviews(spark, d))
+
+
 @query
 def customer_order_agg(spark: SparkSession, d: str) -> DataFrame:
     return marts.customer_order_agg(B.orders(spark, d))
@@ -40,3 +298,127 @@ def customer_segments(spark: SparkSession, d: str) -> DataFrame:
 @query
 def customer_sales_summary(spark: SparkSession, d: str) -> DataFrame:
     return marts.customer_sales_summary(B.customers(spark, d), B.orders(spark, d), revenue_tiers=REVENUE_TIERS_TEST)
+
+
+@query
+def rank_in_category(spark: SparkSession, d: str) -> DataFrame:
+    return marts.rank_in_category(B.products(spark, d), _exploded(spark, d))
+
+
+@query
+def top_products(spark: SparkSession, d: str) -> DataFrame:
+    return marts.top_products(B.products(spark, d), _exploded(spark, d), B.reviews(spark, d))
+
+
+@query
+def order_analytics(spark: SparkSession, d: str) -> DataFrame:
+    return marts.order_analytics(B.orders(spark, d), B.customers(spark, d))
+
+
+# --------------------------------------------------------------------------
+# reports over written snapshots
+# --------------------------------------------------------------------------
+
+def _orders_until(spark: SparkSession, d: str, day: str) -> DataFrame:
+    end = F.lit(f"{day} 23:59:59").cast("timestamp_ntz")
+    return B.orders(spark, d).where(F.col("created_at") <= end)
+
+
+@query
+def top_customers_latest(spark: SparkSession, d: str) -> DataFrame:
+    root = scratch_path(spark, "gold-customer-summary")
+    cust = B.customers(spark, d)
+    for day in SNAPSHOT_CUTOFFS:
+        summary = marts.customer_sales_summary(cust, _orders_until(spark, d, day), revenue_tiers=REVENUE_TIERS_TEST)
+        write_partition(summary, root, {"report_date": day})
+    return reports.top_customers_latest(read_partitioned(spark, root, ("report_date",)))
+
+
+@query
+def daily_order_trend(spark: SparkSession, d: str) -> DataFrame:
+    root = scratch_path(spark, "gold-order-analytics")
+    cust = B.customers(spark, d)
+    for day in SNAPSHOT_CUTOFFS:
+        write_partition(marts.order_analytics(_orders_until(spark, d, day), cust), root, {"report_date": day})
+    return reports.daily_order_trend(read_partitioned(spark, root, ("report_date",)), TREND_AS_OF)
+
+
+# --------------------------------------------------------------------------
+# control plane
+# --------------------------------------------------------------------------
+
+def _registry(spark: SparkSession, d: str) -> DataFrame:
+    frames = B.collection_frames(spark, d)
+    marks = control.collection_marks({n: (df, COLLECTIONS[n].watermark_column) for n, df in frames.items()})
+    rows = control.spec_rows(COLLECTIONS.values(), LAKE_ROOT)
+    return control.build_registry(spark, rows, marks, B.LOAD1[1])
+
+
+@query
+def active_collections(spark: SparkSession, d: str) -> DataFrame:
+    return control.active_collections(_registry(spark, d))
+
+
+@query
+def watermark_status(spark: SparkSession, d: str) -> DataFrame:
+    return control.watermark_status(_registry(spark, d))
+
+
+@query
+def registry_upsert(spark: SparkSession, d: str) -> DataFrame:
+    specs = [CollectionSpec(n, pk, wm, scd_type) for n, pk, wm, scd_type in ONBOARDING]
+    requests = spark.createDataFrame(control.spec_rows(specs, LAKE_ROOT), control.REGISTRY_SCHEMA)
+    return control.registry_upsert(_registry(spark, d), requests, B.LOAD2[1])
+
+
+@query
+def advance_watermark(spark: SparkSession, d: str) -> DataFrame:
+    _, b2 = B.order_batches(spark, d)
+    new_mark = b2.select(F.col("updated_at").alias("mark"))
+    return control.advance_watermark(_registry(spark, d), "orders", new_mark, B.LOAD2[1])
+
+
+@query
+def run_summary(spark: SparkSession, d: str) -> DataFrame:
+    return reports.run_summary(B.audit_runs(spark, d))
+
+
+@query
+def recent_runs(spark: SparkSession, d: str) -> DataFrame:
+    return reports.recent_runs(B.audit_runs(spark, d))
+
+
+@query
+def batch_metrics(spark: SparkSession, d: str) -> DataFrame:
+    """Counts of one cleansing pass, observed during its single write."""
+    raw, obs_in = observed(B.customers_raw(spark, d), "cleanse-in", rows_in=F.count(F.lit(1)))
+    spec = COLLECTIONS["customers"]
+    clean, obs_out = observed(
+        cleanse(raw, spec.rules, spec.primary_key),
+        "cleanse-out",
+        rows_out=F.count(F.lit(1)),
+        blank_emails=F.count_if(F.col("email") == ""),
+        bad_created_at=F.count_if(F.col("created_at").isNull()),
+    )
+    clean.write.mode("overwrite").parquet(scratch_path(spark, "silver-customers"))
+    m = {**obs_in.get, **obs_out.get}
+    m["rows_rejected"] = m["rows_in"] - m["rows_out"]
+    names = ["rows_in", "rows_out", "rows_rejected", "blank_emails", "bad_created_at"]
+    return spark.createDataFrame([tuple(int(m[k]) for k in names)], ", ".join(f"{k} long" for k in names))
+
+
+@query
+def bronze_then_silver(spark: SparkSession, d: str) -> DataFrame:
+    """End to end: two extracts of the order source through bronze into an
+    SCD2 cleansed table, read back as full history."""
+    lake = jobs.Lake(scratch_path(spark, "lake"))
+    spec = CollectionSpec("orders", ORDERS_PK, "updated_at", 2, COLLECTIONS["orders"].rules)
+    jobs.init_registry(spark, lake, [spec], B.LOAD1[1])
+    jobs.run_bronze(spark, lake, spec, B.orders_source(spark, d, 1), B.LOAD1[0], B.BATCH1_UPPER, B.LOAD1[1])
+    jobs.run_silver(spark, lake, spec, B.LOAD1[0], B.LOAD1[1])
+    jobs.run_bronze(
+        spark, lake, spec, B.orders_source(spark, d, 2), B.LOAD2[0], B.BATCH2_UPPER, B.LOAD2[1],
+        lookback_from=B.BATCH2_LOWER,
+    )
+    jobs.run_silver(spark, lake, spec, B.LOAD2[0], B.LOAD2[1])
+    return read_scd2_full(spark, lake.silver("orders"))

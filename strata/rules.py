@@ -120,4 +120,7 @@ REVENUE_FLOOR = "Bronze"
 ORDER_TIERS = ((10, "High"), (3, "Medium"))
 ORDER_FLOOR = "Low"
 QUALIFYING_STATUSES = ("completed", "delivered")
+# Registry: initial mark and the mart each collection feeds.
+EPOCH_MARK = "1970-01-01 00:00:00"
+GOLD_MARTS = {"customers": "customer_sales_summary", "orders": "order_analytics", "products": "top_products"}
 # --- end of fixed values ---
