@@ -46,10 +46,13 @@ def rank_within_skew_safe(
     local = ranged.withColumn("_before_local", F.coalesce(F.sum("_n").over(in_slice), F.lit(0)))
     totals = ranged.groupBy("_slice", group).agg(F.sum("_n").alias("_slice_n"))
     across = Window.partitionBy(group).orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = totals.withColumn("_before_slices", F.coalesce(F.sum("_slice_n").over(across), F.lit(0))).drop(
-        "_slice_n"
+    offsets = totals.select(
+        F.col("_slice").alias("_os"),
+        F.col(group).alias("_og"),
+        F.coalesce(F.sum("_slice_n").over(across), F.lit(0)).alias("_before_slices"),
     )
-    ranks = local.join(offsets, ["_slice", group], "inner").select(
+    same_slice = (F.col("_slice") == F.col("_os")) & F.col(group).eqNullSafe(F.col("_og"))
+    ranks = local.join(offsets, same_slice, "inner").select(
         F.col(group).alias("_g"),
         F.col(value).alias("_v"),
         (F.lit(1) + F.col("_before_local") + F.col("_before_slices")).cast("int").alias(name),
