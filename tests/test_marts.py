@@ -1,0 +1,101 @@
+"""Mart semantics on sparse hand-made data (FIXTURES §6 ``sparse_marts``)."""
+
+from datetime import datetime
+
+from strata.operators import marts
+
+CUST = "customer_id string, full_name string, first_name string, last_name string, email string, country string"
+ORD = "order_id string, customer_id string, status string, total_amount double, created_at timestamp_ntz"
+
+
+def _orders(spark, rows):
+    return spark.createDataFrame(rows, ORD)
+
+
+def test_customer_without_orders_falls_to_floor(spark):
+    c = spark.createDataFrame([("c1", None, "Ann", "Lee", "a@x", "NO")], CUST)
+    o = _orders(spark, [("o1", "c1", "processing", 50000.0, datetime(2024, 1, 1))])
+    r = marts.customer_sales_summary(c, o).collect()[0]
+    assert (r.total_orders, r.total_revenue, r.avg_order_value) == (0, 0.0, 0.0)
+    assert r.first_order_date is None
+    assert (r.customer_segment, r.lifetime_value_tier) == ("Bronze", "Low")
+    assert r.full_name == "Ann Lee"  # fallback name
+
+
+def test_thresholds_are_strict_for_revenue_inclusive_for_orders(spark):
+    c = spark.createDataFrame([(f"c{i}", "n", None, None, "e", "X") for i in range(5)], CUST)
+    rows = []
+    # revenue exactly at 10000 / 5000 / 1000 -> one tier lower; just above -> that tier
+    for cid, amount in (("c0", 10000.0), ("c1", 10000.01), ("c2", 5000.0), ("c3", 1000.0)):
+        rows.append((f"o-{cid}", cid, "completed", amount, datetime(2024, 1, 1)))
+    rows += [(f"o4-{i}", "c4", "delivered", 1.0, datetime(2024, 1, i + 1)) for i in range(3)]
+    got = {r.customer_id: (r.customer_segment, r.lifetime_value_tier) for r in marts.customer_sales_summary(c, _orders(spark, rows)).collect()}
+    assert got["c0"][0] == "Gold" and got["c1"][0] == "Platinum"
+    assert got["c2"][0] == "Silver" and got["c3"][0] == "Bronze"
+    assert got["c4"] == ("Bronze", "Medium")  # exactly 3 orders
+
+
+def test_ten_orders_high(spark):
+    c = spark.createDataFrame([("c1", "n", None, None, "e", "X")], CUST)
+    o = _orders(spark, [(f"o{i}", "c1", "completed", 1.0, datetime(2024, 1, 1)) for i in range(10)])
+    assert marts.customer_sales_summary(c, o).collect()[0].lifetime_value_tier == "High"
+
+
+def test_no_currency_conversion_and_qualifying_statuses(spark):
+    o = _orders(
+        spark,
+        [
+            ("o1", "c1", "completed", 10.0, datetime(2024, 1, 1)),
+            ("o2", "c1", "delivered", 20.0, datetime(2024, 1, 3)),
+            ("o3", "c1", "cancelled", 99.0, datetime(2024, 1, 5)),
+        ],
+    )
+    r = marts.customer_order_agg(o).collect()[0]
+    assert (r.total_orders, r.total_revenue, r.avg_order_value) == (2, 30.0, 15.0)
+    assert (r.first_order_date, r.last_order_date) == (datetime(2024, 1, 1), datetime(2024, 1, 3))
+
+
+def test_top_products_orphans_null_category_and_rank_ties(spark):
+    p = spark.createDataFrame(
+        [("p1", "A", "c1", "s"), ("p2", "B", "c1", "s"), ("p3", "C", "c1", "s"), ("p4", "D", None, "s"), ("p5", "E", None, "s")],
+        "product_id string, name string, category string, sub_category string",
+    )
+    lines = spark.createDataFrame(
+        [("p1", 1, 10.0), ("p2", 2, 5.0), ("p9", 100, 1.0), ("p4", 1, 1.0)],
+        "product_id string, qty int, unit_price double",
+    )
+    reviews = spark.createDataFrame([("r1", "p1", 5.0), ("r2", "p1", 4.0)], "review_id string, product_id string, rating double")
+    got = {r.product_id: r for r in marts.top_products(p, lines, reviews).collect()}
+    assert set(got) == {"p1", "p2", "p3", "p4", "p5"}  # orphan p9 vanished
+    assert got["p1"].rank_in_category == 1 and got["p2"].rank_in_category == 1  # tie at 10.0
+    assert got["p3"].rank_in_category == 3 and got["p3"].total_revenue == 0.0  # gap after tie
+    assert got["p4"].rank_in_category == 1 and got["p5"].rank_in_category == 2  # NULL category ranked on its own
+    assert got["p1"].avg_rating == 4.5 and got["p1"].review_count == 2 and got["p3"].review_count == 0
+    assert got["p1"].return_rate == 0.0
+
+
+def test_order_analytics_groups_and_rates(spark):
+    c = spark.createDataFrame([("c1", "n", None, None, "e", "NO")], CUST)
+    o = _orders(
+        spark,
+        [
+            ("o1", "c1", "completed", 10.0, datetime(2024, 1, 1, 10)),
+            ("o2", "c1", "cancelled", 20.0, datetime(2024, 1, 1, 12)),
+            ("o3", "c1", "completed", 30.0, datetime(2024, 1, 1, 13)),
+            ("o4", "zz", "completed", 5.0, datetime(2024, 1, 1, 14)),
+        ],
+    )
+    got = {(r.order_date, r.country): r for r in marts.order_analytics(o, c).collect()}
+    no = got[("2024-01-01", "NO")]
+    assert (no.total_orders, no.completed_orders, no.cancelled_orders) == (3, 2, 1)
+    assert no.total_revenue == 60.0 and no.avg_order_value == 20.0 and no.completion_rate == 0.6667
+    assert got[("2024-01-01", None)].total_orders == 1  # unknown customer: NULL country group
+    assert no.category == "ALL"
+
+
+def test_order_analytics_pre_aggregates_before_join(spark):
+    c = spark.createDataFrame([("c1", "n", None, None, "e", "NO")], CUST)
+    o = _orders(spark, [("o1", "c1", "completed", 10.0, datetime(2024, 1, 1))])
+    plan = marts.order_analytics(o, c)._jdf.queryExecution().optimizedPlan().toString()
+    # the aggregate over orders sits below the join
+    assert plan.rfind("Aggregate") > plan.find("Join")
