@@ -105,13 +105,54 @@ def change_detection(current: DataFrame, incoming: DataFrame, key: str) -> DataF
     return j.select(key, kind.alias("change_type"), "previous_version", "previous_hash", "record_hash")
 
 
-def scd2_merge(current: DataFrame, incoming: DataFrame, key: str, load_date: str, as_of: str) -> DataFrame:
+def estimated_bytes(df: DataFrame) -> int | None:
+    """Catalyst's size estimate of a plan (the figure Spark itself compares
+    with ``spark.sql.autoBroadcastJoinThreshold``); None if unavailable."""
+    try:
+        return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().toString())
+    except Exception:  # noqa: BLE001 - estimate only
+        return None
+
+
+def _broadcast_limit(df: DataFrame) -> int:
+    raw = df.sparkSession.conf.get("spark.sql.autoBroadcastJoinThreshold", "10485760")
+    try:
+        return int(str(raw).lower().rstrip("b"))
+    except ValueError:
+        return 10 * 1024 * 1024
+
+
+def scd2_merge(
+    current: DataFrame,
+    incoming: DataFrame,
+    key: str,
+    load_date: str,
+    as_of: str,
+    strategy: str = "auto",
+) -> DataFrame:
     """Merge a fingerprinted batch into the current rows of an SCD2 table.
 
     Returns the new current rows *and* the rows closed by this merge
     (``is_current = false``); earlier history is not an input.
+
+    ``strategy``:
+
+    * ``shuffle`` -- one full outer join; both sides are hash-partitioned
+      on the key.  Works for any batch size.
+    * ``broadcast`` -- the batch is broadcast: every current row is matched
+      in a streaming left join (the current table is never shuffled), and new
+      keys are found by a key-only semi join against the broadcast batch.
+    * ``auto`` -- ``broadcast`` when Catalyst's size estimate of the batch is
+      within ``spark.sql.autoBroadcastJoinThreshold``, else ``shuffle``.
     """
     incoming = require_key(incoming, key)
+    if strategy == "auto":
+        est = estimated_bytes(incoming)
+        limit = _broadcast_limit(incoming)
+        strategy = "broadcast" if est is not None and 0 < limit and est <= limit else "shuffle"
+    if strategy not in ("shuffle", "broadcast"):
+        raise ValueError(f"unknown strategy {strategy!r}")
+
     out_cols = list(current.columns) + [c for c in incoming.columns if c not in current.columns]
     for c in (*SCD2_COLUMNS, *LOAD_COLUMNS):
         if c not in out_cols:
@@ -121,36 +162,59 @@ def scd2_merge(current: DataFrame, incoming: DataFrame, key: str, load_date: str
     for name, t in BOOKKEEPING_TYPES.items():
         types.setdefault(name, t)
 
-    def side(prefix: str, frame: DataFrame, name: str) -> Column:
-        if name in frame.columns:
+    def side(prefix: str | None, frame: DataFrame, name: str) -> Column:
+        if prefix is not None and name in frame.columns:
             return F.col(f"{prefix}.{name}")
         t = types.get(name)
         return F.lit(None).cast(t) if t is not None else F.lit(None)
 
-    cur_version = F.coalesce(F.col("c.version_number"), F.lit(0)) if "version_number" in current.columns else F.lit(0)
-
     def typed(col: Column, name: str) -> Column:
         t = types.get(name)
         return (col.cast(t) if t is not None else col).alias(name)
 
-    kept = F.struct(*[typed(side("c", current, n), n) for n in out_cols])
-    closed_over = {"expiry_date": ts_literal(as_of), "is_current": F.lit(False)}
-    closed = F.struct(*[typed(closed_over.get(n, side("c", current, n)), n) for n in out_cols])
-    opened_over = {
-        "effective_date": ts_literal(as_of),
-        "expiry_date": ts_literal(OPEN_END),
-        "is_current": F.lit(True),
-        "version_number": (cur_version + 1).cast("int"),
-        "pipeline_load_ts": ts_literal(as_of),
-        "load_date": F.lit(load_date),
-    }
-    opened = F.struct(*[typed(opened_over.get(n, side("i", incoming, n)), n) for n in out_cols])
-
-    j = current.alias("c").join(incoming.alias("i"), F.col(f"c.{key}") == F.col(f"i.{key}"), "full_outer")
-    is_new = F.col(f"c.{key}").isNull()
-    is_kept = F.col(f"i.{key}").isNull() | F.col("c.record_hash").eqNullSafe(F.col("i.record_hash"))
-    rows = F.when(is_new, F.array(opened)).when(is_kept, F.array(kept)).otherwise(F.array(closed, opened))
-    return j.select(F.inline(rows))
+    def kept() -> Column:
+        return F.struct(*[typed(side("c", current, n), n) for n in out_cols])
+
+    def closed() -> Column:
+        over = {"expiry_date": ts_literal(as_of), "is_current": F.lit(False)}
+        return F.struct(*[typed(over.get(n, side("c", current, n)), n) for n in out_cols])
+
+    def opened(has_current: bool) -> Column:
+        prev = (
+            F.coalesce(F.col("c.version_number"), F.lit(0))
+            if has_current and "version_number" in current.columns
+            else F.lit(0)
+        )
+        over = {
+            "effective_date": ts_literal(as_of),
+            "expiry_date": ts_literal(OPEN_END),
+            "is_current": F.lit(True),
+            "version_number": (prev + 1).cast("int"),
+            "pipeline_load_ts": ts_literal(as_of),
+            "load_date": F.lit(load_date),
+        }
+        return F.struct(*[typed(over.get(n, side("i", incoming, n)), n) for n in out_cols])
+
+    same = F.col("c.record_hash").eqNullSafe(F.col("i.record_hash"))
+    on = F.col(f"c.{key}") == F.col(f"i.{key}")
+    if strategy == "shuffle":
+        j = current.alias("c").join(incoming.alias("i"), on, "full_outer")
+        is_new = F.col(f"c.{key}").isNull()
+        is_kept = F.col(f"i.{key}").isNull() | same
+        rows = F.when(is_new, F.array(opened(True))).when(is_kept, F.array(kept())).otherwise(
+            F.array(closed(), opened(True))
+        )
+        return j.select(F.inline(rows))
+
+    # broadcast: stream the current rows, never shuffle them
+    j = current.alias("c").join(F.broadcast(incoming.alias("i")), on, "left")
+    rows = F.when(F.col(f"i.{key}").isNull() | same, F.array(kept())).otherwise(F.array(closed(), opened(True)))
+    touched = j.select(F.inline(rows))
+    # keys of the batch already present: a subset of the batch keys, so it is
+    # bounded by the size check above and can be broadcast as well
+    matched = current.select(key).join(F.broadcast(incoming.select(key)), key, "left_semi")
+    fresh = incoming.join(F.broadcast(matched), key, "left_anti").alias("i")
+    return touched.unionByName(fresh.select(F.inline(F.array(opened(False)))))
 
 
 def as_of_view(history: DataFrame, at: str) -> DataFrame:

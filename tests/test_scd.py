@@ -158,9 +158,9 @@ def test_merge_handles_new_column(spark):
     assert "tier" in out.columns and out.count() == 2
 
 
-def test_merge_is_one_join(spark):
+def test_shuffle_merge_is_one_join(spark):
     current = scd.scd2_initial(batch(spark, [("1", "a", "x")]), "d", T1)
-    out = scd.scd2_merge(current, batch(spark, [("1", "b", "x")]), "id", "d2", T2)
+    out = scd.scd2_merge(current, batch(spark, [("1", "b", "x")]), "id", "d2", T2, strategy="shuffle")
     plan = out._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("Join") == 1
 
@@ -170,3 +170,21 @@ def test_version_numbers_increase(spark, n):
     batches = [[("1", f"v{i}", "x")] for i in range(n + 1)]
     full = history_after(spark, batches)
     assert sorted(r.version_number for r in full.collect()) == list(range(1, n + 2))
+
+
+def test_strategies_agree(spark):
+    cur = scd.scd2_initial(batch(spark, [("1", "a", "x"), ("2", "b", "y"), ("3", "c", "z")]), "d", T1)
+    inc = batch(spark, [("1", "a", "x"), ("2", "B", "y"), ("4", "d", "w")])
+    res = {
+        s: sorted(tuple(r) for r in scd.scd2_merge(cur, inc, "id", "d2", T2, strategy=s).collect())
+        for s in ("shuffle", "broadcast", "auto")
+    }
+    assert res["shuffle"] == res["broadcast"] == res["auto"]
+    assert len(res["shuffle"]) == 5
+
+
+def test_broadcast_strategy_does_not_shuffle_current(spark):
+    cur = scd.scd2_initial(batch(spark, [("1", "a", "x")]), "d", T1)
+    out = scd.scd2_merge(cur, batch(spark, [("1", "b", "x")]), "id", "d2", T2, strategy="broadcast")
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
