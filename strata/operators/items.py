@@ -50,13 +50,23 @@ def join_lines(
     keep: Sequence[str] = ("order_id",),
     fields: Sequence[str] = ITEM_FIELDS,
 ) -> DataFrame:
-    """Flattened-line form: every order left-joined to its lines.
-
-    A distributed join instead of per-order arrays: no order's items are ever
-    gathered into one value, so an order with millions of lines is split by
-    the join like any other hot key.
+    """Flattened-line form: every order with its lines; an order without
+    lines gives one row with NULL item fields (same rows as ``explode_outer``).
+
+    Written as an inner join plus the orders that have no line at all, rather
+    than one left outer join: for an inner join AQE may split a skewed key on
+    either side, so an order holding millions of lines is spread over many
+    tasks; the line-less orders come from an anti join against the *distinct*
+    order ids of the lines, which partial aggregation reduces map-side.
     """
-    return orders.select(*keep).join(lines.select(key, *fields), key, "left").select(*keep, *fields)
+    heads = orders.select(*keep)
+    with_lines = heads.join(lines.select(key, *fields), key, "inner").select(*keep, *fields)
+    line_orders = lines.select(key).distinct()
+    types = {f.name: f.dataType for f in lines.schema.fields}
+    without = heads.join(line_orders, key, "left_anti").select(
+        *keep, *[F.lit(None).cast(types[f]).alias(f) for f in fields]
+    )
+    return with_lines.unionByName(without)
 
 
 def item_features(orders: DataFrame, items_col: str = "items") -> DataFrame:
