@@ -1,17 +1,18 @@
 """``rank()`` within a group, ordered by a value descending.
 
 ``rank_within`` uses a plain window.  ``rank_within_skew_safe`` computes the
-same numbers without ever putting a whole group in one task: a rank is one
+same numbers without ever putting a whole group in one task.  A rank is one
 plus the number of rows of the group with a strictly greater value, so
 
 1. rows are reduced to distinct ``(group, value)`` pairs with their counts
    (partial aggregation collapses tied rows map-side);
-2. the pairs are range-partitioned on ``(group, value desc)``: a group with
-   a third of all rows spreads over many partitions;
-3. inside each (partition, group) slice a window gives the count of greater
-   values seen earlier in the slice, and a second window over the per-slice
-   totals (at most one row per partition and group) gives the count coming
-   from earlier partitions;
+2. per group, approximate quantiles of the distinct values cut the value
+   range into ``buckets`` (one small row per group, materialised once so
+   every use sees the same cuts); a group with a third of all rows is thus
+   spread over many buckets, and equal values always share a bucket;
+3. a window over ``(group, bucket)`` counts the greater values inside the
+   bucket, and a second window over the per-bucket totals (at most
+   ``buckets`` rows per group) counts those in higher buckets;
 4. the ranks are joined back on ``(group, value)``.
 """
 
@@ -19,6 +20,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import NumericType
 
 from strata.session import checkpoint_root
 
@@ -29,33 +31,54 @@ def rank_within(df: DataFrame, group: str, value: str, name: str) -> DataFrame:
 
 
 def rank_within_skew_safe(
-    df: DataFrame, group: str, value: str, name: str, slices: int | None = None
+    df: DataFrame,
+    group: str,
+    value: str,
+    name: str,
+    buckets: int | None = None,
+    materialize: bool = True,
 ) -> DataFrame:
+    """``materialize`` writes the input once (reliable checkpoint) so the
+    several passes below re-read it instead of recomputing its lineage."""
+    if not isinstance(df.schema[value].dataType, NumericType):
+        return rank_within(df, group, value, name)
     spark = df.sparkSession
     checkpoint_root(spark)
-    n = slices or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    if materialize:
+        df = df.checkpoint(eager=True)
+    b = max(2, buckets or int(spark.conf.get("spark.sql.shuffle.partitions")))
     pairs = df.groupBy(group, value).agg(F.count(F.lit(1)).alias("_n"))
-    ranged = pairs.repartitionByRange(n, F.col(group).asc_nulls_first(), F.col(value).desc()).withColumn(
-        "_slice", F.spark_partition_id()
+    fractions = [i / b for i in range(1, b)]
+    cuts = (
+        pairs.groupBy(group)
+        .agg(F.percentile_approx(F.col(value).cast("double"), fractions).alias("_cuts"))
+        .select(F.col(group).alias("_cg"), "_cuts")
+        .checkpoint(eager=True)  # identical cuts for every use below, even after a retry
     )
-    # The slice id must be stable between the two uses below: materialise it.
-    ranged = ranged.checkpoint(eager=True)
-    in_slice = Window.partitionBy("_slice", group).orderBy(F.col(value).desc()).rowsBetween(
+    v = F.col(value).cast("double")
+    bucket = F.when(v.isNull(), F.lit(b)).otherwise(
+        F.size(F.filter(F.coalesce(F.col("_cuts"), F.array().cast("array<double>")), lambda c: c > v))
+    )
+    # bucket 0 holds the largest values; NULL values sort last (DESC NULLS LAST)
+    bucketed = pairs.join(cuts, F.col(group).eqNullSafe(F.col("_cg")), "left").select(
+        group, value, "_n", bucket.alias("_b")
+    )
+    in_bucket = Window.partitionBy(group, "_b").orderBy(F.col(value).desc()).rowsBetween(
         Window.unboundedPreceding, -1
     )
-    local = ranged.withColumn("_before_local", F.coalesce(F.sum("_n").over(in_slice), F.lit(0)))
-    totals = ranged.groupBy("_slice", group).agg(F.sum("_n").alias("_slice_n"))
-    across = Window.partitionBy(group).orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
+    local = bucketed.withColumn("_before_local", F.coalesce(F.sum("_n").over(in_bucket), F.lit(0)))
+    totals = bucketed.groupBy(group, "_b").agg(F.sum("_n").alias("_bucket_n"))
+    across = Window.partitionBy(group).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
     offsets = totals.select(
-        F.col("_slice").alias("_os"),
         F.col(group).alias("_og"),
-        F.coalesce(F.sum("_slice_n").over(across), F.lit(0)).alias("_before_slices"),
+        F.col("_b").alias("_ob"),
+        F.coalesce(F.sum("_bucket_n").over(across), F.lit(0)).alias("_before_buckets"),
     )
-    same_slice = (F.col("_slice") == F.col("_os")) & F.col(group).eqNullSafe(F.col("_og"))
-    ranks = local.join(offsets, same_slice, "inner").select(
+    same_bucket = F.col(group).eqNullSafe(F.col("_og")) & (F.col("_b") == F.col("_ob"))
+    ranks = local.join(offsets, same_bucket, "inner").select(
         F.col(group).alias("_g"),
         F.col(value).alias("_v"),
-        (F.lit(1) + F.col("_before_local") + F.col("_before_slices")).cast("int").alias(name),
+        (F.lit(1) + F.col("_before_local") + F.col("_before_buckets")).cast("int").alias(name),
     )
-    cond = F.col(group).eqNullSafe(F.col("_g")) & (F.col(value) == F.col("_v"))
+    cond = F.col(group).eqNullSafe(F.col("_g")) & F.col(value).eqNullSafe(F.col("_v"))
     return df.join(ranks, cond, "left").drop("_g", "_v")

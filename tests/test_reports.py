@@ -44,5 +44,5 @@ def test_skew_safe_rank_equals_window_rank(spark):
         "id",
     )
     a = rank_within(df, "g", "v", "r").select("id", "r").collect()
-    b = rank_within_skew_safe(df, "g", "v", "r", slices=7).select("id", "r").collect()
+    b = rank_within_skew_safe(df, "g", "v", "r", buckets=7).select("id", "r").collect()
     assert sorted(map(tuple, a)) == sorted(map(tuple, b))
