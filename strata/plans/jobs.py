@@ -69,6 +69,12 @@ class RunResult:
     extra: dict = field(default_factory=dict)
 
 
+def new_run_id() -> str:
+    """Run ids start with a letter so partition discovery never reads one as
+    a number."""
+    return f"run-{uuid.uuid4().hex[:12]}"
+
+
 def _now() -> str:
     return _dt.datetime.now(_dt.UTC).strftime("%Y-%m-%d %H:%M:%S")
 
@@ -109,7 +115,7 @@ def run_bronze(
     """Extract ``(mark, upper]`` from ``source`` into bronze partition
     ``(load_date, run_id)``, then advance the mark to the largest watermark
     actually loaded."""
-    run_id = uuid.uuid4().hex[:12]
+    run_id = new_run_id()
     start = _now()
     meta = _spec_row(spark, lake, spec.name)
     last = lookback_from or meta["last_loaded_timestamp"].strftime("%Y-%m-%d %H:%M:%S")
@@ -166,7 +172,7 @@ def run_silver(
 ) -> RunResult:
     """Merge one bronze load into the cleansed table (SCD1 or SCD2) and
     publish it as a new version."""
-    run_id = uuid.uuid4().hex[:12]
+    run_id = new_run_id()
     start = _now()
     status, err, n_in, n_out = "SUCCESS", None, 0, 0
     root = lake.silver(spec.name)
@@ -214,7 +220,7 @@ def run_gold(
 
     Status: SUCCESS (all built), PARTIAL (some), FAILED (none).
     """
-    run_id = uuid.uuid4().hex[:12]
+    run_id = new_run_id()
     start = _now()
 
     def cur(name: str) -> DataFrame | None:

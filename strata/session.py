@@ -49,6 +49,13 @@ def list_dirs(spark: SparkSession, path: str) -> list[str]:
     return sorted(s.getPath().getName() for s in fs.listStatus(jpath) if s.isDirectory())
 
 
+def glob_paths(spark: SparkSession, pattern: str) -> list[str]:
+    """Paths matching a Hadoop glob (one listing call per path level)."""
+    fs, jpath = _fs_and_path(spark, pattern)
+    found = fs.globStatus(jpath)
+    return [] if found is None else sorted(st.getPath().toString() for st in found)
+
+
 def write_marker(spark: SparkSession, path: str, text: str = "") -> None:
     """Create (or replace) a small marker file through the Hadoop API."""
     fs, jpath = _fs_and_path(spark, path)

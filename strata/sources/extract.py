@@ -44,16 +44,30 @@ def effective_upper(requested: str, as_of: str, safety_lag_seconds: int = 0) ->
 def partition_scan(spark: SparkSession, root: str, column: str, value: str, merge_schema: bool = False) -> DataFrame:
     """Read one partition of a ``column=value`` partitioned dataset.
 
-    The root is scanned with the partition column forced to string, so the
-    filter prunes directories (``PartitionFilters``) and the column keeps the
-    string type of the contract instead of an inferred DATE.
+    Only that partition's directory is listed and read (``basePath`` keeps
+    ``column`` and any deeper partition columns); a root scan would first
+    list every partition ever written.  Partition columns are typed STRING,
+    as in the contracts, instead of an inferred DATE or number.
     """
-    reader = spark.read.option("mergeSchema", "true") if merge_schema else spark.read
-    inferred = reader.parquet(root).schema
+    path = f"{root.rstrip('/')}/{column}={value}"
+    reader = spark.read.option("basePath", root)
+    if merge_schema:
+        reader = reader.option("mergeSchema", "true")
+    inferred = reader.parquet(path)
+    data_cols = set(_file_columns(inferred))
     schema = StructType(
-        [StructField(f.name, StringType(), True) if f.name == column else f for f in inferred.fields]
+        [f if f.name in data_cols else StructField(f.name, StringType(), True) for f in inferred.schema.fields]
     )
-    return reader.schema(schema).parquet(root).where(F.col(column) == F.lit(value))
+    return reader.schema(schema).parquet(path)
+
+
+def _file_columns(df: DataFrame) -> list[str]:
+    """Columns stored in the files (not derived from directory names)."""
+    try:
+        rel = df._jdf.queryExecution().analyzed().collectLeaves().head().relation()
+        return [f.name() for f in rel.dataSchema().fields()]
+    except Exception:  # noqa: BLE001 - fall back to every column being a data column
+        return list(df.columns)
 
 
 def merged_scan(spark: SparkSession, root: str, partition_column: str | None = None) -> DataFrame:

@@ -10,7 +10,8 @@ handled by Spark's output committer.
 SCD2 versions are written partitioned by ``is_current``: the newest version's
 ``is_current=true`` partition is the current view, and the ``false``
 partitions of all committed versions form the history (append-only, never
-rewritten).  All of it is one partition-pruned scan of ``<root>``.
+rewritten).  Readers list and read only the directories they need (with
+``basePath`` so partition columns are kept), never the whole ``<root>``.
 """
 
 from __future__ import annotations
@@ -21,7 +22,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import BooleanType, DataType, StringType, StructField, StructType
 
-from strata.session import list_dirs, path_exists
+from strata.session import glob_paths, list_dirs, path_exists
 
 VERSION_COL = "version"
 
@@ -77,7 +78,9 @@ def all_versions(spark: SparkSession, root: str) -> list[str]:
 
 
 def committed_versions(spark: SparkSession, root: str) -> list[str]:
-    return [v for v in all_versions(spark, root) if path_exists(spark, f"{root}/{VERSION_COL}={v}/_SUCCESS")]
+    """Versions whose write job committed (one glob call, not one probe each)."""
+    marks = glob_paths(spark, f"{root.rstrip('/')}/{VERSION_COL}=*/_SUCCESS")
+    return sorted(m.rstrip("/").split("/")[-2].split("=", 1)[1] for m in marks)
 
 
 def latest_version(spark: SparkSession, root: str) -> str | None:
@@ -103,8 +106,15 @@ def publish_version(
     return version
 
 
-def _scan(spark: SparkSession, root: str) -> DataFrame:
-    return read_partitioned(spark, root, (VERSION_COL,), {"is_current": BooleanType()})
+def _read_dirs(spark: SparkSession, root: str, paths: Sequence[str]) -> DataFrame:
+    """Read only ``paths`` below ``root``; partition columns from directory
+    names are kept (``basePath``) and typed: version STRING, is_current
+    BOOLEAN.  Nothing else under ``root`` is listed."""
+    reader = spark.read.option("basePath", root)
+    inferred = reader.parquet(*paths).schema
+    typed = {VERSION_COL: StringType(), "is_current": BooleanType()}
+    schema = StructType([StructField(f.name, typed[f.name], True) if f.name in typed else f for f in inferred.fields])
+    return reader.schema(schema).parquet(*paths)
 
 
 def read_snapshot(spark: SparkSession, root: str) -> DataFrame | None:
@@ -113,15 +123,17 @@ def read_snapshot(spark: SparkSession, root: str) -> DataFrame | None:
     v = latest_version(spark, root)
     if v is None:
         return None
-    return _scan(spark, root).where(F.col(VERSION_COL) == v).drop(VERSION_COL)
+    return _read_dirs(spark, root, [f"{root}/{VERSION_COL}={v}"]).drop(VERSION_COL)
 
 
 def read_scd2_current(spark: SparkSession, root: str) -> DataFrame | None:
     v = latest_version(spark, root)
     if v is None:
         return None
-    df = _scan(spark, root)
-    return df.where((F.col(VERSION_COL) == v) & F.col("is_current")).drop(VERSION_COL)
+    path = f"{root}/{VERSION_COL}={v}/is_current=true"
+    if not path_exists(spark, path):  # every key closed (no current rows)
+        return _read_dirs(spark, root, [f"{root}/{VERSION_COL}={v}"]).where(F.col("is_current")).drop(VERSION_COL)
+    return _read_dirs(spark, root, [path]).drop(VERSION_COL)
 
 
 def read_scd2_full(spark: SparkSession, root: str) -> DataFrame | None:
@@ -129,11 +141,13 @@ def read_scd2_full(spark: SparkSession, root: str) -> DataFrame | None:
     vs = committed_versions(spark, root)
     if not vs:
         return None
-    df = _scan(spark, root)
-    cond = ((F.col(VERSION_COL) == vs[-1]) & F.col("is_current")) | (
-        F.col(VERSION_COL).isin(*vs) & ~F.col("is_current")
-    )
-    return df.where(cond).drop(VERSION_COL)
+    paths = [p for v in vs if path_exists(spark, p := f"{root}/{VERSION_COL}={v}/is_current=false")]
+    current = f"{root}/{VERSION_COL}={vs[-1]}/is_current=true"
+    if path_exists(spark, current):
+        paths.append(current)
+    if not paths:
+        paths = [f"{root}/{VERSION_COL}={vs[-1]}"]
+    return _read_dirs(spark, root, paths).drop(VERSION_COL)
 
 
 # --------------------------------------------------------------------------

@@ -39,8 +39,16 @@ def test_partition_scan_prunes_and_keeps_string(spark):
     out = partition_scan(spark, root, "load_date", "2024-01-02")
     assert dict(out.dtypes)["load_date"] == "string"
     assert [r.id for r in out.collect()] == [2]
-    plan = out._jdf.queryExecution().executedPlan().toString()
-    assert "PartitionFilters: [isnotnull(load_date" in plan
+    assert out.inputFiles() and all("/load_date=2024-01-02/" in f for f in out.inputFiles())
+
+
+def test_partition_scan_nested_partitions_stay_strings(spark):
+    root = scratch_path(spark, "t-nested")
+    df = spark.createDataFrame([(1, "2024-01-01", "123"), (2, "2024-01-01", "456")], "id int, load_date string, run_id string")
+    df.write.partitionBy("load_date", "run_id").parquet(root)
+    out = partition_scan(spark, root, "load_date", "2024-01-01")
+    assert dict(out.dtypes)["run_id"] == "string"
+    assert sorted(r.run_id for r in out.collect()) == ["123", "456"]
 
 
 def test_merged_scan_fills_missing_columns(spark):
