@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from strata.plans import business as B
 from strata.plans import jobs
+from strata.sources.extract import partition_scan
 from strata.rules import COLLECTIONS
 from strata.session import scratch_path
 from strata.sources.publish import read_scd2_current, read_snapshot
@@ -56,3 +57,39 @@ def test_empty_extract_does_not_move_mark(spark):
     assert r.records_loaded == 0
     reg = jobs.read_registry(spark, lake).collect()[0]
     assert reg.last_loaded_timestamp == datetime(1970, 1, 1)
+
+
+def test_same_day_reruns_keep_both_deltas(spark):
+    lake = jobs.Lake(scratch_path(spark, "e2e-rerun"))
+    orders = COLLECTIONS["orders"]
+    jobs.init_registry(spark, lake, [orders], B.LOAD1[1])
+    src = B.orders_source(spark, SF, 1)
+    a = jobs.run_bronze(spark, lake, orders, src, B.LOAD1[0], "1997-12-31 23:59:59", B.LOAD1[1])
+    b = jobs.run_bronze(spark, lake, orders, src, B.LOAD1[0], B.BATCH1_UPPER, B.LOAD1[1])
+    day = partition_scan(spark, lake.bronze("orders"), "load_date", B.LOAD1[0])
+    assert day.count() == a.records_loaded + b.records_loaded
+    assert day.select("run_id").distinct().count() == 2
+
+
+def test_failed_run_is_audited_and_mark_kept(spark):
+    lake = jobs.Lake(scratch_path(spark, "e2e-fail"))
+    orders = COLLECTIONS["orders"]
+    jobs.init_registry(spark, lake, [orders], B.LOAD1[1])
+    broken = B.orders_source(spark, SF, 1).withColumn("updated_at", F.lit("x"))  # no usable watermark
+    try:
+        jobs.run_bronze(spark, lake, orders, broken.drop("updated_at"), B.LOAD1[0], B.BATCH1_UPPER, B.LOAD1[1])
+    except Exception:  # noqa: BLE001 - the failure itself is expected
+        pass
+    else:
+        raise AssertionError("run should fail")
+    audit = spark.read.parquet(lake.audit).collect()
+    assert [(r.layer, r.status) for r in audit] == [("bronze", "FAILED")]
+    assert audit[0].error_message
+    assert jobs.read_registry(spark, lake).collect()[0].last_loaded_timestamp == datetime(1970, 1, 1)
+
+
+def test_gold_failed_when_nothing_builds(spark):
+    lake = jobs.Lake(scratch_path(spark, "e2e-gold"))
+    jobs.init_registry(spark, lake, list(COLLECTIONS.values()), B.LOAD1[1])
+    res = jobs.run_gold(spark, lake, "2024-02-01", B.LOAD2[1])
+    assert res.status == "FAILED" and res.extra["built"] == []
