@@ -34,7 +34,7 @@ from strata.rules import COLLECTIONS, CUSTOMER_RULES, CleanseRules, CollectionSp
 from strata.session import scratch_path
 from strata.sources.contracts import conform, contract
 from strata.sources.extract import incremental_extract, merged_scan, partition_scan
-from strata.sources.publish import observed, read_partitioned, read_scd2_full, write_partition
+from strata.sources.publish import observed, read_latest_partition, read_scd2_full, write_partition
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -331,7 +331,7 @@ def top_customers_latest(spark: SparkSession, d: str) -> DataFrame:
     for day in SNAPSHOT_CUTOFFS:
         summary = marts.customer_sales_summary(cust, _orders_until(spark, d, day), revenue_tiers=REVENUE_TIERS_TEST)
         write_partition(summary, root, {"report_date": day})
-    return reports.top_customers_latest(read_partitioned(spark, root, ("report_date",)))
+    return reports.top_customers_latest(read_latest_partition(spark, root, "report_date"))
 
 
 @query
@@ -340,7 +340,8 @@ def daily_order_trend(spark: SparkSession, d: str) -> DataFrame:
     cust = B.customers(spark, d)
     for day in SNAPSHOT_CUTOFFS:
         write_partition(marts.order_analytics(_orders_until(spark, d, day), cust), root, {"report_date": day})
-    return reports.daily_order_trend(read_partitioned(spark, root, ("report_date",)), TREND_AS_OF)
+    latest = read_latest_partition(spark, root, "report_date", at_most=TREND_AS_OF)
+    return reports.daily_order_trend(latest, TREND_AS_OF)
 
 
 # --------------------------------------------------------------------------

@@ -65,6 +65,28 @@ def read_partitioned(
     return spark.read.schema(schema).parquet(root)
 
 
+def partition_values(spark: SparkSession, root: str, column: str) -> list[str]:
+    """Values of a top-level ``column=value`` partition, from one directory
+    listing (no data files are opened)."""
+    prefix = f"{column}="
+    return sorted(d[len(prefix):] for d in list_dirs(spark, root) if d.startswith(prefix))
+
+
+def read_latest_partition(
+    spark: SparkSession, root: str, column: str, at_most: str | None = None
+) -> DataFrame | None:
+    """The newest ``column`` partition (optionally the newest not after
+    ``at_most``), read alone.  Equivalent to filtering on
+    ``column = (SELECT max(column) ...)`` but answered from the directory
+    listing, so older snapshots are neither listed file by file nor opened."""
+    from strata.sources.extract import partition_scan
+
+    values = [v for v in partition_values(spark, root, column) if at_most is None or v <= at_most]
+    if not values:
+        return None
+    return partition_scan(spark, root, column, values[-1])
+
+
 # --------------------------------------------------------------------------
 # versioned snapshots
 # --------------------------------------------------------------------------

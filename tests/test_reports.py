@@ -46,3 +46,16 @@ def test_skew_safe_rank_equals_window_rank(spark):
     a = rank_within(df, "g", "v", "r").select("id", "r").collect()
     b = rank_within_skew_safe(df, "g", "v", "r", buckets=7).select("id", "r").collect()
     assert sorted(map(tuple, a)) == sorted(map(tuple, b))
+
+
+def test_latest_partition_reader(spark):
+    from strata.session import scratch_path
+    from strata.sources.publish import read_latest_partition, write_partition
+
+    root = scratch_path(spark, "t-latest")
+    for day, v in (("2024-01-01", 1), ("2024-02-01", 2), ("2024-03-01", 3)):
+        write_partition(spark.createDataFrame([(v,)], "v int"), root, {"report_date": day})
+    assert [r.v for r in read_latest_partition(spark, root, "report_date").collect()] == [3]
+    at = read_latest_partition(spark, root, "report_date", at_most="2024-02-15")
+    assert [(r.v, r.report_date) for r in at.collect()] == [(2, "2024-02-01")]
+    assert read_latest_partition(spark, root, "report_date", at_most="2023-01-01") is None
