@@ -14,14 +14,15 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from strata.functions.fingerprint import add_fingerprint
 from strata.operators import control, marts
 from strata.operators.cleanse import cleanse
 from strata.operators.dedupe import latest_per_key
 from strata.operators.enrich import enrich_bronze
-from strata.operators.evolution import reconcile
-from strata.operators.scd import current_view, scd1_merge, scd2_initial, scd2_merge
+from strata.operators.evolution import compare_schemas, drift_events, reconcile
+from strata.operators.scd import LOAD_COLUMNS, SCD2_COLUMNS, current_view, scd1_merge, scd2_initial, scd2_merge
 from strata.rules import CollectionSpec
 from strata.sources.extract import effective_upper, incremental_extract, partition_scan
 from strata.sources.publish import (
@@ -32,6 +33,7 @@ from strata.sources.publish import (
     write_partition,
 )
 
+BOOKKEEPING = (*SCD2_COLUMNS, *LOAD_COLUMNS, "record_hash")
 BRONZE_LINEAGE = ("raw_document", "source_collection", "pipeline_load_ts", "load_date", "run_id")
 
 
@@ -58,6 +60,10 @@ class Lake:
     def audit(self) -> str:
         return f"{self.root}/control/audit"
 
+    @property
+    def drift(self) -> str:
+        return f"{self.root}/control/schema_drift"
+
 
 @dataclass
 class RunResult:
@@ -154,6 +160,22 @@ def run_bronze(
     return RunResult(run_id, status, n, n)
 
 
+def align_with_drift_log(
+    spark: SparkSession, lake: Lake, collection: str, existing: DataFrame, batch: DataFrame, as_of: str
+) -> tuple[DataFrame, DataFrame]:
+    """Compare the batch's content columns with the stored table's, append
+    one drift-log row per added / dropped / retyped column, and return both
+    frames aligned to one schema (typed NULL padding, safe widening)."""
+
+    def content(schema: StructType) -> StructType:
+        return StructType([f for f in schema.fields if f.name not in BOOKKEEPING])
+
+    old, new = content(existing.schema), content(batch.schema)
+    if compare_schemas(old, new):
+        drift_events(spark, collection, old, new, detected_at=as_of).write.mode("append").parquet(lake.drift)
+    return reconcile(existing, batch)
+
+
 def silver_batch(spark: SparkSession, lake: Lake, spec: CollectionSpec, load_date: str) -> DataFrame:
     """Cleansed, deduplicated, fingerprinted batch of one bronze load date."""
     raw = partition_scan(spark, lake.bronze(spec.name), "load_date", load_date)
@@ -181,7 +203,7 @@ def run_silver(
         if spec.scd_type == 1:
             existing = read_snapshot(spark, root)
             if existing is not None:
-                existing, batch = reconcile(existing, batch)
+                existing, batch = align_with_drift_log(spark, lake, spec.name, existing, batch, as_of)
             merged = scd1_merge(existing, batch, spec.primary_key, load_date, as_of)
             merged, obs_out = observed(merged, f"silver-out-{run_id}")
             publish_version(merged, root)
@@ -190,6 +212,7 @@ def run_silver(
             if current is None:
                 merged = scd2_initial(batch, load_date, as_of)
             else:
+                current, batch = align_with_drift_log(spark, lake, spec.name, current, batch, as_of)
                 merged = scd2_merge(current, batch, spec.primary_key, load_date, as_of)
             merged, obs_out = observed(merged, f"silver-out-{run_id}")
             publish_version(merged, root, partition_by=("is_current",))

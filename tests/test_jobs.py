@@ -93,3 +93,37 @@ def test_gold_failed_when_nothing_builds(spark):
     jobs.init_registry(spark, lake, list(COLLECTIONS.values()), B.LOAD1[1])
     res = jobs.run_gold(spark, lake, "2024-02-01", B.LOAD2[1])
     assert res.status == "FAILED" and res.extra["built"] == []
+
+
+def test_silver_logs_drift_and_reconciles(spark):
+    lake = jobs.Lake(scratch_path(spark, "e2e-drift"))
+    spec = COLLECTIONS["orders"]
+    jobs.init_registry(spark, lake, [spec], B.LOAD1[1])
+    src1 = B.orders_source(spark, SF, 1)
+    jobs.run_bronze(spark, lake, spec, src1, B.LOAD1[0], "1997-12-31 23:59:59", B.LOAD1[1])
+    jobs.run_silver(spark, lake, spec, B.LOAD1[0], B.LOAD1[1])
+    # the source gains a column and drops another
+    src2 = src1.withColumn("channel", F.lit("web")).drop("currency")
+    jobs.run_bronze(spark, lake, spec, src2, B.LOAD2[0], B.BATCH1_UPPER, B.LOAD2[1])
+    jobs.run_silver(spark, lake, spec, B.LOAD2[0], B.LOAD2[1])
+    events = {(r.change_type, r.column_name) for r in spark.read.parquet(lake.drift).collect()}
+    assert events == {("ADD_COLUMN", "channel"), ("DROP_COLUMN", "currency")}
+    silver = read_snapshot(spark, lake.silver("orders"))
+    assert {"channel", "currency"} <= set(silver.columns)
+    assert silver.where("channel = 'web'").count() > 0 and silver.where("currency = 'USD'").count() > 0
+
+
+def test_scd2_silver_with_drift(spark):
+    lake = jobs.Lake(scratch_path(spark, "e2e-drift2"))
+    spec = COLLECTIONS["customers"]
+    jobs.init_registry(spark, lake, [spec], B.LOAD1[1])
+    src = B.customers_raw(spark, SF).withColumn("updated_at", F.lit("2023-06-01 00:00:00").cast("timestamp_ntz"))
+    jobs.run_bronze(spark, lake, spec, src, B.LOAD1[0], "2023-12-31 23:59:59", B.LOAD1[1])
+    jobs.run_silver(spark, lake, spec, B.LOAD1[0], B.LOAD1[1])
+    later = src.withColumn("updated_at", F.lit("2023-07-01 00:00:00").cast("timestamp_ntz")).withColumn("tier", F.lit("gold"))
+    jobs.run_bronze(spark, lake, spec, later, B.LOAD2[0], "2023-12-31 23:59:59", B.LOAD2[1])
+    jobs.run_silver(spark, lake, spec, B.LOAD2[0], B.LOAD2[1])
+    current = read_scd2_current(spark, lake.silver("customers"))
+    assert current.where("version_number = 2 AND tier = 'gold'").count() == current.count()
+    events = [(r.change_type, r.column_name) for r in spark.read.parquet(lake.drift).collect()]
+    assert events == [("ADD_COLUMN", "tier")]
