@@ -123,3 +123,23 @@ def test_marker_roundtrip(spark):
 @pytest.mark.parametrize("name", ["silver_customers", "gold_top_products", "gold_order_analytics"])
 def test_contracts_parse(name):
     assert len(contract(name).fields) > 5
+
+
+def test_external_table_and_partition_repair(spark):
+    from strata.sources.contracts import create_table, repair
+
+    root = scratch_path(spark, "t-gold-table")
+    schema = contract("gold_order_analytics")
+    row = {f.name: None for f in schema.fields}
+    row.update(order_date="2024-01-01", category="ALL", total_orders=1)
+    data = spark.createDataFrame([tuple(row[f.name] for f in schema.fields)], schema)
+    for day in ("2024-01-01", "2024-01-02", "2024-01-03"):
+        publish.write_partition(data.drop("report_date"), root, {"report_date": day})
+    create_table(spark, "gold_order_analytics_t", "gold_order_analytics", root)
+    try:
+        assert spark.sql("SHOW PARTITIONS gold_order_analytics_t").count() == 0
+        repair(spark, "gold_order_analytics_t")
+        assert spark.sql("SHOW PARTITIONS gold_order_analytics_t").count() == 3
+        assert spark.table("gold_order_analytics_t").where("report_date = '2024-01-02'").count() == 1
+    finally:
+        spark.sql("DROP TABLE IF EXISTS gold_order_analytics_t")
