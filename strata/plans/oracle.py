@@ -385,6 +385,11 @@ SQL["row_fingerprint"] = f"""
 SELECT *, {md5_compat(_CUSTOMER_COLS)} AS record_hash, {md5_safe(_CUSTOMER_COLS)} AS record_hash_safe
 FROM customer"""
 
+# JSON rendering of the name-sorted row (NULL fields kept as null)
+_JSON_ARGS = ", ".join(f"'{c}', {c}" for c in sorted(_CUSTOMER_COLS))
+SQL["row_fingerprint_json"] = f"""
+SELECT *, md5(CAST(json_object({_JSON_ARGS}) AS VARCHAR)) AS record_hash FROM customer"""
+
 SQL["change_detection"] = _with(BATCHES) + """
 SELECT h2.order_id,
        CASE WHEN c.order_id IS NULL THEN 'new' WHEN h2.record_hash = c.record_hash THEN 'unchanged'
