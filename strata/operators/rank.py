@@ -29,6 +29,8 @@ from strata.session import checkpoint_root
 # bounds the cut table at MAX_BUCKETS doubles per group.
 MAX_BUCKETS = 256
 CUT_ACCURACY = 1000
+# Rows one window task may take for a single group before the bucketed form is used.
+WINDOW_GROUP_LIMIT = 2_000_000
 
 
 def rank_within(df: DataFrame, group: str, value: str, name: str) -> DataFrame:
@@ -43,15 +45,24 @@ def rank_within_skew_safe(
     name: str,
     buckets: int | None = None,
     materialize: bool = True,
+    window_limit: int = WINDOW_GROUP_LIMIT,
 ) -> DataFrame:
     """``materialize`` writes the input once (reliable checkpoint) so the
-    several passes below re-read it instead of recomputing its lineage."""
+    passes below re-read it instead of recomputing its lineage.
+
+    The largest group is measured on the materialised input; when it holds
+    at most ``window_limit`` rows, one task per group is harmless and the
+    plain window is used; otherwise the bucketed form below.
+    """
     if not isinstance(df.schema[value].dataType, NumericType):
         return rank_within(df, group, value, name)
     spark = df.sparkSession
     checkpoint_root(spark)
     if materialize:
         df = df.checkpoint(eager=True)
+    largest = df.groupBy(group).count().agg(F.max("count").alias("m")).first()["m"] or 0
+    if largest <= window_limit:
+        return rank_within(df, group, value, name)
     b = max(2, buckets or min(MAX_BUCKETS, int(spark.conf.get("spark.sql.shuffle.partitions"))))
     pairs = df.groupBy(group, value).agg(F.count(F.lit(1)).alias("_n"))
     fractions = [i / b for i in range(1, b)]

@@ -55,6 +55,14 @@ def test_no_currency_conversion_and_qualifying_statuses(spark):
     assert (r.first_order_date, r.last_order_date) == (datetime(2024, 1, 1), datetime(2024, 1, 3))
 
 
+def test_top_products_bucketed_rank_path(spark, monkeypatch):
+    from strata.operators import rank
+
+    # force the bucketed form: every group counts as too large for one window task
+    monkeypatch.setattr(rank.rank_within_skew_safe, "__defaults__", (None, True, 1))
+    test_top_products_orphans_null_category_and_rank_ties(spark)
+
+
 def test_top_products_orphans_null_category_and_rank_ties(spark):
     p = spark.createDataFrame(
         [("p1", "A", "c1", "s"), ("p2", "B", "c1", "s"), ("p3", "C", "c1", "s"), ("p4", "D", None, "s"), ("p5", "E", None, "s")],
