@@ -115,13 +115,24 @@ def estimated_bytes(df: DataFrame) -> int | None:
 
 
 def _broadcast_limit(df: DataFrame) -> int:
-    raw = df.sparkSession.conf.get("spark.sql.autoBroadcastJoinThreshold", "10485760")
+    """``spark.sql.autoBroadcastJoinThreshold`` in bytes, as Spark parses it."""
     try:
-        return int(str(raw).lower().rstrip("b"))
-    except ValueError:
+        return int(df.sparkSession._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold())
+    except Exception:  # noqa: BLE001 - e.g. a Connect session
         return 10 * 1024 * 1024
 
 
+def check_not_late(current: DataFrame, as_of: str) -> None:
+    """Reject a merge whose processing time is not after every current
+    version's ``effective_date``: it would close versions before they began
+    (inverted validity intervals).  Reads one column of the current rows."""
+    from datetime import datetime
+
+    latest = current.agg(F.max("effective_date").alias("m")).first()["m"]
+    if latest is not None and latest >= datetime.strptime(as_of, "%Y-%m-%d %H:%M:%S"):
+        raise ValueError(f"late batch: as_of {as_of} is not after the newest effective_date {latest}")
+
+
 def scd2_merge(
     current: DataFrame,
     incoming: DataFrame,

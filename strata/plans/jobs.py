@@ -22,7 +22,15 @@ from strata.operators.cleanse import cleanse
 from strata.operators.dedupe import latest_per_key
 from strata.operators.enrich import enrich_bronze
 from strata.operators.evolution import compare_schemas, drift_events, reconcile
-from strata.operators.scd import LOAD_COLUMNS, SCD2_COLUMNS, current_view, scd1_merge, scd2_initial, scd2_merge
+from strata.operators.scd import (
+    LOAD_COLUMNS,
+    SCD2_COLUMNS,
+    check_not_late,
+    current_view,
+    scd1_merge,
+    scd2_initial,
+    scd2_merge,
+)
 from strata.rules import CollectionSpec
 from strata.sources.extract import effective_upper, incremental_extract, partition_scan
 from strata.sources.publish import (
@@ -212,6 +220,7 @@ def run_silver(
             if current is None:
                 merged = scd2_initial(batch, load_date, as_of)
             else:
+                check_not_late(current, as_of)
                 current, batch = align_with_drift_log(spark, lake, spec.name, current, batch, as_of)
                 merged = scd2_merge(current, batch, spec.primary_key, load_date, as_of)
             merged, obs_out = observed(merged, f"silver-out-{run_id}")

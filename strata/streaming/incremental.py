@@ -22,7 +22,7 @@ from pyspark.sql.types import StructType
 from strata.functions.fingerprint import add_fingerprint
 from strata.operators.cleanse import cleanse
 from strata.operators.dedupe import latest_per_key
-from strata.operators.scd import scd1_merge, scd2_initial, scd2_merge
+from strata.operators.scd import check_not_late, scd1_merge, scd2_initial, scd2_merge
 from strata.rules import CollectionSpec
 from strata.sources.publish import publish_version, read_scd2_current, read_snapshot
 
@@ -44,11 +44,11 @@ def merge_micro_batch(
         publish_version(merged, table_root)
     else:
         current = read_scd2_current(spark, table_root)
-        merged = (
-            scd2_initial(latest, load_date, as_of)
-            if current is None
-            else scd2_merge(current, latest, spec.primary_key, load_date, as_of)
-        )
+        if current is None:
+            merged = scd2_initial(latest, load_date, as_of)
+        else:
+            check_not_late(current, as_of)
+            merged = scd2_merge(current, latest, spec.primary_key, load_date, as_of)
         publish_version(merged, table_root, partition_by=("is_current",))
 
 

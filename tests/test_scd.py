@@ -188,3 +188,23 @@ def test_broadcast_strategy_does_not_shuffle_current(spark):
     out = scd.scd2_merge(cur, batch(spark, [("1", "b", "x")]), "id", "d2", T2, strategy="broadcast")
     plan = out._jdf.queryExecution().executedPlan().toString()
     assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
+
+
+def test_late_batch_rejected(spark):
+    cur = scd.scd2_initial(batch(spark, [("1", "a", "x")]), "d", T2)
+    with pytest.raises(ValueError, match="late batch"):
+        scd.check_not_late(cur, T1)
+    scd.check_not_late(cur, T3)  # a later batch is fine
+
+
+def test_broadcast_limit_follows_session(spark):
+    df = batch(spark, [("1", "a", "x")])
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    try:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "50MB")
+        assert scd._broadcast_limit(df) == 50 * 1024 * 1024
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        out = scd.scd2_merge(scd.scd2_initial(df, "d", T1), df, "id", "d2", T2)  # auto -> shuffle
+        assert "SortMergeJoin" in out._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
