@@ -163,7 +163,9 @@ def read_scd2_full(spark: SparkSession, root: str) -> DataFrame | None:
     vs = committed_versions(spark, root)
     if not vs:
         return None
-    paths = [p for v in vs if path_exists(spark, p := f"{root}/{VERSION_COL}={v}/is_current=false")]
+    committed = set(vs)
+    closed = glob_paths(spark, f"{root.rstrip('/')}/{VERSION_COL}=*/is_current=false")
+    paths = [p for p in closed if p.rstrip("/").split("/")[-2].split("=", 1)[1] in committed]
     current = f"{root}/{VERSION_COL}={vs[-1]}/is_current=true"
     if path_exists(spark, current):
         paths.append(current)
