@@ -332,8 +332,14 @@ UNION ALL
 SELECT *, CASE WHEN total_amount > 250000 THEN 'web' ELSE 'store' END, '{L2_DATE}' FROM ord_src1
 WHERE created_at >= TIMESTAMP '1998-01-01 00:00:00'"""
 
+_ISO_MS = "'%Y-%m-%dT%H:%M:%S.%g'"  # JSON timestamp rendering: ISO date, T, milliseconds
+_RAW_DOCUMENT = ", ".join(
+    f"'{c}', strftime({c}, {_ISO_MS})" if c in ("created_at", "updated_at") else f"'{c}', {c}" for c in ORDER_COLS
+)
 SQL["bronze_enrich"] = _with(ORDERS_V1) + f"""
-SELECT *, '{L1_DATE}' AS load_date, {_ts(L1_TS)} AS pipeline_load_ts, 'orders' AS source_collection FROM ord_src1"""
+SELECT *, CAST(json_object({_RAW_DOCUMENT}) AS VARCHAR) AS raw_document,
+       '{L1_DATE}' AS load_date, {_ts(L1_TS)} AS pipeline_load_ts, 'orders' AS source_collection
+FROM ord_src1"""
 
 SQL["conform_contract"] = _with(ORDERS_V1) + """
 SELECT order_id, customer_id, status, total_amount, CAST(NULL AS VARCHAR) AS currency,

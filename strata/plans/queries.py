@@ -87,7 +87,7 @@ def merge_schema_scan(spark: SparkSession, d: str) -> DataFrame:
 @query
 def bronze_enrich(spark: SparkSession, d: str) -> DataFrame:
     load_date, as_of = B.LOAD1
-    return enrich_bronze(B.orders_source(spark, d), "orders", load_date, as_of).drop("raw_document")
+    return enrich_bronze(B.orders_source(spark, d), "orders", load_date, as_of)
 
 
 @query
