@@ -14,6 +14,10 @@ orders v2   the same source at a later time: urgent/high open orders are now
 order lines lineitem as flattened order items
 products    part; category NULL for the largest sizes
 reviews     events; product = props.k, rating 1..5
+event docs  events as order documents carrying their items inline (JSON text
+            or native array), built row by row: purchases hold two items,
+            clicks one, views none (NULL), signups an empty list, errors
+            malformed text
 audit       events as pipeline runs
 """
 
@@ -184,6 +188,52 @@ def payments_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+# --------------------------------------------------------------------------
+# order documents with inline items
+# --------------------------------------------------------------------------
+
+def _doc_items():
+    k = F.get_json_object("props", "$.k")
+    qty = (F.col("event_id") % 3 + 1).cast("int")
+    second_k = ((k.cast("int") + 1) % 100).cast("string")
+    return k, qty, second_k
+
+
+def event_order_docs_json(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One order document per event, items as JSON text (no grouping)."""
+    e = table(spark, sf_dir, "events")
+    k, qty, second_k = _doc_items()
+    first = F.concat(
+        F.lit('{"product_id":"'), k, F.lit('","qty":'), qty.cast("string"),
+        F.lit(',"unit_price":'), F.col("value").cast("string"), F.lit("}"),
+    )
+    second = F.concat(F.lit('{"product_id":"'), second_k, F.lit('","qty":1,"unit_price":1.5}'))
+    et = F.col("event_type")
+    items = (
+        F.when(et == "purchase", F.concat(F.lit("["), first, F.lit(","), second, F.lit("]")))
+        .when(et == "click", F.concat(F.lit("["), first, F.lit("]")))
+        .when(et == "signup", F.lit("[]"))
+        .when(et == "error", F.lit("{not json"))
+    )
+    return e.select(F.concat(F.lit("E"), F.col("event_id").cast("string")).alias("order_id"), items.alias("items"))
+
+
+def event_order_docs_array(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same documents with items as a native array of structs."""
+    e = table(spark, sf_dir, "events")
+    k, qty, second_k = _doc_items()
+    item_type = "struct<product_id:string,qty:int,unit_price:double,discount:double>"
+    first = F.struct(k.alias("product_id"), qty.alias("qty"), F.col("value").alias("unit_price"), F.lit(None).cast("double").alias("discount"))
+    second = F.struct(second_k.alias("product_id"), F.lit(1).alias("qty"), F.lit(1.5).alias("unit_price"), F.lit(None).cast("double").alias("discount"))
+    et = F.col("event_type")
+    items = (
+        F.when(et == "purchase", F.array(first, second))
+        .when(et == "click", F.array(first))
+        .when(et.isin("signup", "error"), F.array().cast(f"array<{item_type}>"))
+    )
+    return e.select(F.concat(F.lit("E"), F.col("event_id").cast("string")).alias("order_id"), items.alias("items"))
+
+
 # --------------------------------------------------------------------------
 # control plane
 # --------------------------------------------------------------------------

@@ -562,3 +562,29 @@ SELECT count(*) AS rows_in,
        count(*) FILTER (WHERE customer_id IS NOT NULL AND email IS NOT NULL
                           AND TRY_CAST(created_at AS TIMESTAMP) IS NULL) AS bad_created_at
 FROM cust_raw"""
+
+
+# order documents built from events: expected item rows straight from the
+# event columns (no JSON parsing on this side)
+EVENT_ITEMS = """
+ev AS (
+  SELECT 'E' || CAST(event_id AS VARCHAR) AS order_id, event_type,
+         json_extract_string(props, '$.k') AS k,
+         CAST(event_id % 3 + 1 AS INTEGER) AS qty, value
+  FROM events
+),
+ev_items AS (
+  SELECT order_id, k AS product_id, qty, value AS unit_price FROM ev WHERE event_type IN ('purchase', 'click')
+  UNION ALL
+  SELECT order_id, CAST((CAST(k AS INTEGER) + 1) % 100 AS VARCHAR), 1, 1.5 FROM ev WHERE event_type = 'purchase'
+  UNION ALL
+  SELECT order_id, CAST(NULL AS VARCHAR), CAST(NULL AS INTEGER), CAST(NULL AS DOUBLE)
+  FROM ev WHERE event_type NOT IN ('purchase', 'click')
+)"""
+
+SQL["order_items_explode_json"] = _with(EVENT_ITEMS) + "\nSELECT * FROM ev_items"
+SQL["order_items_explode_array"] = SQL["order_items_explode_json"]
+SQL["order_item_features_json"] = _with(EVENT_ITEMS) + """
+SELECT order_id, CAST(count(product_id) AS INTEGER) AS items_count,
+       CAST(coalesce(sum(qty), 0) AS INTEGER) AS total_items_qty
+FROM ev_items GROUP BY order_id"""

@@ -270,6 +270,21 @@ def order_items_explode(spark: SparkSession, d: str) -> DataFrame:
     return _exploded(spark, d)
 
 
+@query
+def order_items_explode_json(spark: SparkSession, d: str) -> DataFrame:
+    return items.explode_items(B.event_order_docs_json(spark, d))
+
+
+@query
+def order_items_explode_array(spark: SparkSession, d: str) -> DataFrame:
+    return items.explode_items(B.event_order_docs_array(spark, d))
+
+
+@query
+def order_item_features_json(spark: SparkSession, d: str) -> DataFrame:
+    return items.item_features(B.event_order_docs_json(spark, d)).drop("items")
+
+
 @query
 def order_item_features(spark: SparkSession, d: str) -> DataFrame:
     return items.item_features_from_lines(B.orders(spark, d), B.order_lines(spark, d))
