@@ -109,7 +109,7 @@ def estimated_bytes(df: DataFrame) -> int | None:
     """Catalyst's size estimate of a plan (the figure Spark itself compares
     with ``spark.sql.autoBroadcastJoinThreshold``); None if unavailable."""
     try:
-        return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().toString())
+        return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
     except Exception:  # noqa: BLE001 - estimate only
         return None
 

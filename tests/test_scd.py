@@ -208,3 +208,20 @@ def test_broadcast_limit_follows_session(spark):
         assert "SortMergeJoin" in out._jdf.queryExecution().executedPlan().toString()
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+
+
+def test_auto_picks_broadcast_only_for_a_measured_small_batch(spark):
+    from strata.session import scratch_path
+
+    cur = scd.scd2_initial(batch(spark, [("1", "a", "x")]), "d", T1)
+    # an in-memory frame has no size statistics: unknown size, no broadcast
+    unknown = scd.scd2_merge(cur, batch(spark, [("1", "b", "x")]), "id", "d2", T2)
+    assert "SortMergeJoin" in unknown._jdf.queryExecution().executedPlan().toString()
+    # the same batch read from files has a measured size within the threshold
+    path = scratch_path(spark, "small-batch")
+    batch(spark, [("1", "b", "x")]).write.parquet(path)
+    small = spark.read.parquet(path)
+    assert 0 < scd.estimated_bytes(small) < 10 * 1024 * 1024
+    out = scd.scd2_merge(cur, small, "id", "d2", T2)
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
