@@ -89,13 +89,22 @@ def scd2_initial(incoming: DataFrame, load_date: str, as_of: str) -> DataFrame:
     )
 
 
-def change_detection(current: DataFrame, incoming: DataFrame, key: str) -> DataFrame:
-    """Batch rows classified against the current version of their key."""
+def change_detection(current: DataFrame, incoming: DataFrame, key: str, strategy: str = "auto") -> DataFrame:
+    """Batch rows classified against the current version of their key.
+
+    With a small batch (``strategy`` as in :func:`scd2_merge`) the current
+    rows are first semi-joined against the broadcast batch keys -- a
+    streaming pass, the current table is not shuffled -- and only the
+    matches (at most one per batch key) meet the batch.
+    """
     cur = current.select(
         F.col(key).alias("_k"),
         F.col("record_hash").alias("previous_hash"),
         F.col("version_number").alias("previous_version"),
     )
+    if choose_strategy(incoming, strategy) == "broadcast":
+        keys = F.broadcast(incoming.select(F.col(key).alias("_bk")))
+        cur = F.broadcast(cur.join(keys, F.col("_k") == F.col("_bk"), "left_semi"))
     j = incoming.select(key, "record_hash").join(cur, F.col(key) == F.col("_k"), "left")
     kind = (
         F.when(F.col("_k").isNull(), F.lit("new"))
@@ -122,6 +131,19 @@ def _broadcast_limit(df: DataFrame) -> int:
         return 10 * 1024 * 1024
 
 
+def choose_strategy(incoming: DataFrame, strategy: str = "auto") -> str:
+    """``broadcast`` when the batch's measured size is within
+    ``spark.sql.autoBroadcastJoinThreshold`` (unknown size never qualifies),
+    else ``shuffle``; explicit choices pass through."""
+    if strategy == "auto":
+        est = estimated_bytes(incoming)
+        limit = _broadcast_limit(incoming)
+        return "broadcast" if est is not None and 0 < limit and est <= limit else "shuffle"
+    if strategy not in ("shuffle", "broadcast"):
+        raise ValueError(f"unknown strategy {strategy!r}")
+    return strategy
+
+
 def check_not_late(current: DataFrame, as_of: str) -> None:
     """Reject a merge whose processing time is not after every current
     version's ``effective_date``: it would close versions before they began
@@ -157,12 +179,7 @@ def scd2_merge(
       within ``spark.sql.autoBroadcastJoinThreshold``, else ``shuffle``.
     """
     incoming = require_key(incoming, key)
-    if strategy == "auto":
-        est = estimated_bytes(incoming)
-        limit = _broadcast_limit(incoming)
-        strategy = "broadcast" if est is not None and 0 < limit and est <= limit else "shuffle"
-    if strategy not in ("shuffle", "broadcast"):
-        raise ValueError(f"unknown strategy {strategy!r}")
+    strategy = choose_strategy(incoming, strategy)
 
     out_cols = list(current.columns) + [c for c in incoming.columns if c not in current.columns]
     for c in (*SCD2_COLUMNS, *LOAD_COLUMNS):

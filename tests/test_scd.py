@@ -225,3 +225,15 @@ def test_auto_picks_broadcast_only_for_a_measured_small_batch(spark):
     out = scd.scd2_merge(cur, small, "id", "d2", T2)
     plan = out._jdf.queryExecution().executedPlan().toString()
     assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
+
+
+def test_change_detection_strategies_agree(spark):
+    cur = scd.scd2_initial(batch(spark, [("1", "a", "x"), ("2", "b", "y")]), "d", T1)
+    inc = batch(spark, [("1", "a", "x"), ("2", "B", "y"), ("3", "c", "z")])
+    got = {
+        s: sorted(tuple(r) for r in scd.change_detection(cur, inc, "id", strategy=s).collect())
+        for s in ("shuffle", "broadcast")
+    }
+    assert got["shuffle"] == got["broadcast"]
+    plan = scd.change_detection(cur, inc, "id", strategy="broadcast")._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" not in plan
