@@ -176,16 +176,11 @@ def advance_watermark(registry: DataFrame, collection: str, new_mark: DataFrame,
     Only an active collection moves, and a mark never moves back; an empty
     batch (NULL mark) leaves it where it is.
     """
-    m = new_mark.agg(F.max(F.col("mark").cast("timestamp_ntz")).alias("_mark")).select(
-        F.lit(collection).alias("_c"), "_mark"
-    )
-    j = registry.join(m, F.col("collection_name") == F.col("_c"), "left")
-    moves = (F.col("collection_name") == collection) & F.col("active_flag") & (
-        F.col("_mark") > F.col("last_loaded_timestamp")
-    )
-    return j.select(
+    mark = new_mark.agg(F.max(F.col("mark").cast("timestamp_ntz"))).scalar()  # uncorrelated scalar subquery
+    moves = (F.col("collection_name") == collection) & F.col("active_flag") & (mark > F.col("last_loaded_timestamp"))
+    return registry.select(
         *[c for c in registry.columns if c not in ("last_loaded_timestamp", "updated_at")],
-        F.when(moves, F.col("_mark")).otherwise(F.col("last_loaded_timestamp")).alias("last_loaded_timestamp"),
+        F.when(moves, mark).otherwise(F.col("last_loaded_timestamp")).alias("last_loaded_timestamp"),
         F.when(moves, ts_literal(as_of)).otherwise(F.col("updated_at")).alias("updated_at"),
     )
 

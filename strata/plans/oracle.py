@@ -532,14 +532,15 @@ SELECT q.collection_name, 'enterprise_db', q.watermark_column, q.scd_type, q.pri
 FROM req q WHERE q.collection_name NOT IN (SELECT collection_name FROM registry)"""
 
 SQL["advance_watermark"] = _with(REGISTRY, ORDERS_V2) + f""",
-b2 AS (SELECT * FROM ord_src2 WHERE updated_at > {_ts(B.BATCH2_LOWER)} AND updated_at <= {_ts(B.BATCH2_UPPER)}),
-nm AS (SELECT max(updated_at) AS mark FROM b2)
+b2 AS (SELECT * FROM ord_src2 WHERE updated_at > {_ts(B.BATCH2_LOWER)} AND updated_at <= {_ts(B.BATCH2_UPPER)})
 SELECT r.* REPLACE (
-         CASE WHEN r.collection_name = 'orders' AND r.active_flag AND nm.mark > r.last_loaded_timestamp
-              THEN nm.mark ELSE r.last_loaded_timestamp END AS last_loaded_timestamp,
-         CASE WHEN r.collection_name = 'orders' AND r.active_flag AND nm.mark > r.last_loaded_timestamp
+         CASE WHEN r.collection_name = 'orders' AND r.active_flag
+                   AND (SELECT max(updated_at) FROM b2) > r.last_loaded_timestamp
+              THEN (SELECT max(updated_at) FROM b2) ELSE r.last_loaded_timestamp END AS last_loaded_timestamp,
+         CASE WHEN r.collection_name = 'orders' AND r.active_flag
+                   AND (SELECT max(updated_at) FROM b2) > r.last_loaded_timestamp
               THEN {_ts(L2_TS)} ELSE r.updated_at END AS updated_at)
-FROM registry r, nm"""
+FROM registry r"""
 
 SQL["run_summary"] = _with(AUDIT) + """
 SELECT collection_name, layer, count(*) AS total_runs,

@@ -40,3 +40,9 @@ def test_scans_are_column_pruned(spark):
     plan = _plan(spark, "customer_order_agg")
     # only the columns the aggregate needs are read from orders
     assert "ReadSchema: struct<o_orderkey:bigint,o_custkey:bigint,o_orderstatus:string,o_totalprice:double" in plan
+
+
+def test_no_cross_or_nested_loop_joins(spark):
+    for key, fn in E.queries().items():
+        plan = fn(spark, SF)._jdf.queryExecution().executedPlan().toString()
+        assert "NestedLoopJoin" not in plan and "CartesianProduct" not in plan, key
