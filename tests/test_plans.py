@@ -46,3 +46,41 @@ def test_no_cross_or_nested_loop_joins(spark):
     for key, fn in E.queries().items():
         plan = fn(spark, SF)._jdf.queryExecution().executedPlan().toString()
         assert "NestedLoopJoin" not in plan and "CartesianProduct" not in plan, key
+
+
+def test_hot_order_is_split_by_aqe(spark):
+    """One order holding a third of all lines: AQE splits it in the inner join
+    of the flattened explosion (a single left outer join would not be split)."""
+    import re
+
+    from pyspark.sql import functions as F
+
+    from strata.operators.items import join_lines
+
+    conf = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "64KB",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "64KB",
+        "spark.sql.adaptive.coalescePartitions.enabled": "false",
+    }
+    old = {k: spark.conf.get(k, None) for k in conf}
+    try:
+        for k, v in conf.items():
+            spark.conf.set(k, v)
+        n = 150000
+        order_id = F.when(F.col("id") % 3 == 0, F.lit("0")).otherwise((F.col("id") % 25000).cast("string"))
+        lines = spark.range(n).select(
+            order_id.alias("order_id"), F.lit("p").alias("product_id"), F.lit(1).alias("qty"), F.lit(2.0).alias("unit_price")
+        )
+        orders = spark.range(30000).select(F.col("id").cast("string").alias("order_id"))
+        out = join_lines(orders, lines)
+        assert len(out.collect()) == n + 5000  # every line plus one row per line-less order
+        plan = out._jdf.queryExecution().executedPlan().toString()
+        assert re.search(r"SortMergeJoin\(skew=true\)[^\n]*Inner", plan)
+    finally:
+        for k, v in old.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)
