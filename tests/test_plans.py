@@ -68,14 +68,17 @@ def test_hot_order_is_split_by_aqe(spark):
     try:
         for k, v in conf.items():
             spark.conf.set(k, v)
-        n = 150000
-        order_id = F.when(F.col("id") % 3 == 0, F.lit("0")).otherwise((F.col("id") % 25000).cast("string"))
+        n = 300000
+        order_id = F.when(F.col("id") % 3 == 0, F.lit("0")).otherwise((F.col("id") % 50000).cast("string"))
         lines = spark.range(n).select(
-            order_id.alias("order_id"), F.lit("p").alias("product_id"), F.lit(1).alias("qty"), F.lit(2.0).alias("unit_price")
+            order_id.alias("order_id"),
+            (F.col("id") % 1000).cast("string").alias("product_id"),
+            F.lit(1).alias("qty"),
+            F.lit(2.0).alias("unit_price"),
         )
-        orders = spark.range(30000).select(F.col("id").cast("string").alias("order_id"))
+        orders = spark.range(60000).select(F.col("id").cast("string").alias("order_id"))
         out = join_lines(orders, lines)
-        assert len(out.collect()) == n + 5000  # every line plus one row per line-less order
+        assert len(out.collect()) == n + 10000  # every line plus one row per line-less order
         plan = out._jdf.queryExecution().executedPlan().toString()
         assert re.search(r"SortMergeJoin\(skew=true\)[^\n]*Inner", plan)
     finally:
