@@ -57,6 +57,9 @@ def test_empty_extract_does_not_move_mark(spark):
     assert r.records_loaded == 0
     reg = jobs.read_registry(spark, lake).collect()[0]
     assert reg.last_loaded_timestamp == datetime(1970, 1, 1)
+    audit = spark.read.parquet(lake.audit).collect()[0]
+    assert audit.status == "SUCCESS" and audit.records_loaded == 0
+    assert audit.watermark_end == audit.watermark_start == datetime(1970, 1, 1)  # the mark did not move
 
 
 def test_same_day_reruns_keep_both_deltas(spark):
