@@ -54,3 +54,52 @@ def test_latest_per_key_matches_sorted_pick(spark, rows):
         best = max((r for r in rows if r[0] == k), key=order)
         expected[k] = (best[1], best[2])
     assert got == expected
+
+
+from strata.operators.cleanse import cleanse  # noqa: E402
+from strata.operators.evolution import reconcile  # noqa: E402
+from strata.rules import CleanseRules  # noqa: E402
+
+text_st = st.one_of(st.none(), st.text(alphabet=" aB@x\t", max_size=6))
+num_st = st.one_of(st.none(), st.sampled_from(["1", "2.5", "-0.5", "n/a", " 3 ", ""]))
+
+
+@settings(max_examples=10, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(rows=st.lists(st.tuples(st.one_of(st.none(), st.sampled_from(["k1", "k2"])), text_st, text_st, num_st), max_size=12))
+def test_cleanse_matches_rule_reference(spark, rows):
+    rules = CleanseRules(required=("email",), string_cols=("email", "name"), numeric_cols=("amount",))
+    df = spark.createDataFrame(rows, "id string, email string, name string, amount string")
+    got = sorted(tuple(r) for r in cleanse(df, rules, primary_key="id").collect())
+
+    def trim(v):  # Spark's trim removes spaces only
+        return None if v is None else v.strip(" ")
+
+    def num(v):
+        try:
+            return float(v.strip()) if v is not None and v.strip() else None
+        except ValueError:
+            return None
+
+    expected = sorted(
+        (i, trim(e).lower(), trim(n), num(a)) for i, e, n, a in rows if i is not None and e is not None
+    )
+    assert got == expected
+
+
+@settings(max_examples=8, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(
+    left=st.sets(st.sampled_from(["a", "b", "c", "d"]), min_size=1),
+    right=st.sets(st.sampled_from(["a", "b", "c", "e"]), min_size=1),
+    right_long=st.booleans(),
+)
+def test_reconcile_aligns_and_keeps_values(spark, left, right, right_long):
+    lcols, rcols = sorted(left), sorted(right)
+    ex = spark.createDataFrame([tuple(range(len(lcols)))], ", ".join(f"{c} int" for c in lcols))
+    rtype = "bigint" if right_long else "int"
+    inc = spark.createDataFrame([tuple(range(10, 10 + len(rcols)))], ", ".join(f"{c} {rtype}" for c in rcols))
+    a, b = reconcile(ex, inc)
+    assert a.schema == b.schema
+    assert a.columns == lcols + [c for c in rcols if c not in lcols]
+    rows = [r.asDict() for r in a.unionByName(b).collect()]
+    assert {k: v for k, v in rows[0].items() if v is not None} == dict(zip(lcols, range(len(lcols))))
+    assert {k: v for k, v in rows[1].items() if v is not None} == dict(zip(rcols, range(10, 10 + len(rcols))))
