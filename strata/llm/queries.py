@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strata.llm import licenses, mixing, quality, urls
+from strata.llm import licenses, mixing, neardup, quality, urls
 from strata.llm.common import table, words
 
 # The filter rules of op10.
@@ -30,6 +30,10 @@ def op6_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.scan(table(spark, sf_dir, "documents"))
 
 
+def op8_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neardup.groups(table(spark, sf_dir, "documents"))
+
+
 def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     rules = quality.learn(docs, table(spark, sf_dir, "labels"))
@@ -51,6 +55,7 @@ def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 LLM_QUERIES = {
     "op4_mixture": op4_mixture,
     "op6_licenses": op6_licenses,
+    "op8_near_duplicates": op8_near_duplicates,
     "op9_quality_rules": op9_quality_rules,
     "op10_url_filter": op10_url_filter,
 }
