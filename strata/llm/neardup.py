@@ -256,3 +256,17 @@ def groups(docs: DataFrame) -> DataFrame:
         .select("doc_id", "n_shingles", component.alias("component_id"))
         .withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))
     )
+
+
+def one_of_each(docs: DataFrame) -> DataFrame:
+    """``docs`` with one document of every group: the one with the smallest
+    id, and of rows that repeat an id a single one.  Rows without an id stay."""
+    judged = materialize(groups(docs).select("doc_id", "kept"), "dup-judged")
+    dropped = materialize(judged.where(~F.col("kept")).select("doc_id").distinct(), "dup-dropped")
+    left = docs.join(dropped.withColumnRenamed("doc_id", "_dropped"), F.col("doc_id") == F.col("_dropped"), "left_anti")
+    repeated = judged.where("kept and doc_id is not null").groupBy("doc_id").count().where(F.col("count") > 1)
+    if repeated.isEmpty():
+        return left
+    return left.where(F.col("doc_id").isNotNull()).dropDuplicates(["doc_id"]).unionByName(
+        left.where(F.col("doc_id").isNull())
+    )

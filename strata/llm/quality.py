@@ -306,3 +306,9 @@ def judge(docs: DataFrame, rules: DecisionList, carry: tuple[str, ...] = ("doc_i
         rules.rule_number().alias("rule"),
         (~base_failed() & rules.verdict()).alias("kept"),
     )
+
+
+def keep(docs: DataFrame, rules: DecisionList) -> DataFrame:
+    """The rows of ``docs`` that pass, unchanged."""
+    rows = docs.select(F.struct("*").alias("_row"), F.col("text"))
+    return judge(rows, rules, ("_row",)).where("kept").select("_row.*")

@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strata.llm import decontam, licenses, mixing, neardup, quality, urls
+from strata.llm import decontam, licenses, mixing, neardup, pii, quality, urls
 from strata.llm.common import table, words
 
 # The filter rules of op10.
@@ -34,6 +34,11 @@ def op6_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.scan(table(spark, sf_dir, "documents"))
 
 
+def op7_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return pii.report(docs, pii.learn(docs))
+
+
 def op8_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neardup.groups(table(spark, sf_dir, "documents"))
 
@@ -60,6 +65,7 @@ LLM_QUERIES = {
     "op2_decontamination": op2_decontamination,
     "op4_mixture": op4_mixture,
     "op6_licenses": op6_licenses,
+    "op7_personal_data": op7_personal_data,
     "op8_near_duplicates": op8_near_duplicates,
     "op9_quality_rules": op9_quality_rules,
     "op10_url_filter": op10_url_filter,
