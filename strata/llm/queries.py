@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strata.llm import decontam, licenses, mixing, neardup, pii, quality, urls
+from strata.llm import decontam, langid, licenses, mixing, neardup, pii, quality, urls
 from strata.llm.common import table, words
 
 # The filter rules of op10.
@@ -25,6 +25,11 @@ def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontam.find(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    return langid.predict(docs, langid.learn(docs))
+
+
 def op4_mixture(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "source")
     return mixing.take(docs).select("doc_id", "size", "source_size", "target", "copies", "taken")
@@ -63,6 +68,7 @@ def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 LLM_QUERIES = {
     "op2_decontamination": op2_decontamination,
+    "op3_language_id": op3_language_id,
     "op4_mixture": op4_mixture,
     "op6_licenses": op6_licenses,
     "op7_personal_data": op7_personal_data,
