@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strata.llm import decontam, langid, licenses, mixing, neardup, pii, quality, urls
+from strata.llm import decontam, langid, licenses, mixing, neardup, pii, quality, substrings, urls
 from strata.llm.common import table, words
 
 # The filter rules of op10.
@@ -35,6 +35,10 @@ def op4_mixture(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.take(docs).select("doc_id", "size", "source_size", "target", "copies", "taken")
 
 
+def op5_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substrings.remove_repeats(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 def op6_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.scan(table(spark, sf_dir, "documents"))
 
@@ -70,6 +74,7 @@ LLM_QUERIES = {
     "op2_decontamination": op2_decontamination,
     "op3_language_id": op3_language_id,
     "op4_mixture": op4_mixture,
+    "op5_substring_dedup": op5_substring_dedup,
     "op6_licenses": op6_licenses,
     "op7_personal_data": op7_personal_data,
     "op8_near_duplicates": op8_near_duplicates,

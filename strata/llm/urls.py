@@ -6,8 +6,8 @@ URL is expanded to the keys it could match; a blocked Bloom filter of the
 listed keys drops almost all of them, and an exact equi-join with the list
 removes the filter's false positives, so verdicts never depend on hashing.
 
-The filter has at most ``MAX_BLOCKS`` blocks of 512 bits, whatever the length
-of the list: this is the proven size bound under which it is broadcast.  A
+The filter has a fixed largest size, whatever the length of the list (see
+``bloom``): this is the proven size bound under which it is broadcast.  A
 longer list only lets more keys through to the exact join, which is planned by
 size (shuffled when the list is large).
 
@@ -24,11 +24,9 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from strata.llm import bloom
 from strata.llm.common import ascii_lower, materialize
 
-MAX_BLOCKS = 1 << 15
-WORDS_PER_BLOCK = 8
-BITS_PER_KEY = 16
 LIST_SCHEMA = "key string, rule string, verdict string"
 
 
@@ -64,24 +62,6 @@ def listed_pages(urls: DataFrame, verdict: str = "block") -> DataFrame:
     )
 
 
-def _bloom_columns(key: Column, blocks: int) -> list[Column]:
-    """Block number and one 64-bit mask per word of the block."""
-    out = [F.pmod(F.xxhash64(key), F.lit(blocks)).alias("_block")]
-    for i in range(WORDS_PER_BLOCK):
-        bit = F.xxhash64(key, F.lit(i)).bitwiseAND(F.lit(63)).cast("int")
-        out.append(F.call_function("shiftleft", F.lit(1).cast("long"), bit).alias(f"_m{i}"))
-    return out
-
-
-def bloom_filter(listed: DataFrame, n_keys: int) -> tuple[DataFrame, int]:
-    """Blocked Bloom filter of ``listed.key``: one row per non-empty block."""
-    need = -(-max(1, n_keys) * BITS_PER_KEY // (64 * WORDS_PER_BLOCK))
-    blocks = min(MAX_BLOCKS, need)
-    words = [F.bit_or(f"_m{i}").alias(f"_f{i}") for i in range(WORDS_PER_BLOCK)]
-    bits = listed.select(*_bloom_columns(F.col("key"), blocks)).groupBy("_block").agg(*words)
-    return bits.withColumnRenamed("_block", "_fblock"), blocks
-
-
 def possible_keys(host: Column, path: Column, lengths: Sequence[int]) -> Column:
     """All list keys that would fit: host suffixes at label borders, each with
     the path prefixes of the lengths that occur in the list."""
@@ -107,7 +87,7 @@ def judge(pages: DataFrame, listed: DataFrame, default: str = "allow") -> DataFr
         F.collect_set(F.when(slash > 0, F.length("rule") - slash + 1).otherwise(F.lit(0))).alias("lens"),
     ).first()
     lengths = sorted(int(n) for n in size["lens"])
-    bloom, blocks = bloom_filter(listed, size["n"])
+    bits, blocks = bloom.build(listed, "key", size["n"])
 
     parts = pages.select("page_id", "url").withColumn("host", url_host(F.col("url")))
     parts = parts.withColumn("path", url_path(F.col("url")))
@@ -116,12 +96,8 @@ def judge(pages: DataFrame, listed: DataFrame, default: str = "allow") -> DataFr
         canonical_key(F.col("host"), F.col("path")),
     )
     probes = parts.where(F.col("host") != "").select("url", F.explode(keys).alias("_key"))
-    probes = probes.select("url", "_key", *_bloom_columns(F.col("_key"), blocks))
-    passed = F.col("_block") == F.col("_fblock")
-    for i in range(WORDS_PER_BLOCK):
-        passed = passed & (F.col(f"_f{i}").bitwiseAND(F.col(f"_m{i}")) == F.col(f"_m{i}"))
-    possible = probes.join(F.broadcast(bloom), passed).select("url", "_key").distinct()
-    hits = possible.join(listed, F.col("_key") == F.col("key"))
+    maybe = bloom.possible(probes, "_key", bits, blocks).distinct()
+    hits = maybe.join(listed, F.col("_key") == F.col("key"))
     order = F.struct(F.length("rule"), F.col("verdict") == "block", F.col("rule"))
     by_rule = F.col("rule").isNotNull()
     best = hits.groupBy(F.col("url").alias("_url")).agg(
