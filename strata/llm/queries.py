@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strata.llm import decontam, langid, licenses, mixing, neardup, pii, quality, substrings, urls
+from strata.llm import decontam, langid, licenses, mixing, neardup, pii, pitman_yor, quality, substrings, urls
 from strata.llm.common import table, words
 
 # The filter rules of op10.
@@ -21,6 +21,10 @@ URL_RULES = (
 )
 
 
+def op1_lm_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pitman_yor.score(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontam.find(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
@@ -71,6 +75,7 @@ def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 LLM_QUERIES = {
+    "op1_lm_scores": op1_lm_scores,
     "op2_decontamination": op2_decontamination,
     "op3_language_id": op3_language_id,
     "op4_mixture": op4_mixture,
