@@ -81,7 +81,7 @@ LICENSE_NOTICES = (
 )
 
 COPYRIGHT_LINE = (
-    r"(?m)^[^\w\n]*(copyright[^\w\n]*(\(c\)|©|[0-9]{4})|\(c\)[^\w\n]*[0-9]{4}|©[^\w\n]*[0-9]{4}"
+    r"(?md)^[^\w\n]*(copyright[^\w\n]*(\(c\)|©|[0-9]{4})|\(c\)[^\w\n]*[0-9]{4}|©[^\w\n]*[0-9]{4}"
     r"|all rights reserved)[^\n]*$"
 )
 

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from strata.llm import decontam, langid, licenses, mixing, neardup, pii, pitman_yor, quality, substrings, urls
 from strata.llm.common import table, words
+from strata.llm.oracle import LLM_SQL
 
 # The filter rules of op10.
 URL_RULES = (
@@ -87,4 +88,4 @@ LLM_QUERIES = {
     "op10_url_filter": op10_url_filter,
 }
 
-LLM_SQL: dict[str, str] = {}
+__all__ = ["LLM_QUERIES", "LLM_SQL"]

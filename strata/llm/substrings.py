@@ -79,14 +79,19 @@ def _heads(ordered: np.ndarray) -> np.ndarray:
     return head
 
 
+def _groups(ordered: np.ndarray) -> list[tuple[int, int]]:
+    """Start and end of every run of equal values."""
+    start = np.flatnonzero(_heads(ordered)).tolist()
+    return list(zip(start, [*start[1:], len(ordered)], strict=True)) if start else []
+
+
 def _pack(bucket: np.ndarray, row: np.ndarray, items: np.ndarray, keys: np.ndarray, ids: np.ndarray | None,
           settled: bool) -> list[dict]:
     """Records of entries, given their bucket and row number in the chunk."""
     order = np.lexsort((row, bucket))
     bucket, row, items = bucket[order], row[order], items[order]
-    starts = np.flatnonzero(_heads(bucket))
     out = []
-    for lo, hi in zip(starts, np.append(starts[1:], len(bucket)), strict=True):
+    for lo, hi in _groups(bucket):
         first = np.flatnonzero(_heads(row[lo:hi]))
         who = row[lo:hi][first]
         out.append({
@@ -168,9 +173,9 @@ def _by_row(rows: list[np.ndarray], items: list[np.ndarray], name: str) -> pa.Ta
     item = np.concatenate(items) if items else np.zeros(0, np.uint64)
     order = np.argsort(row, kind="stable")
     row, item = row[order], item[order]
-    start = np.flatnonzero(_heads(row))
-    blobs = [item[a:b].tobytes() for a, b in zip(start, np.append(start[1:], len(row)), strict=True)]
-    return pa.table({"row_key": pa.array(row[start], pa.int64()), name: pa.array(blobs, pa.binary())})
+    runs = _groups(row)
+    blobs = [item[a:b].tobytes() for a, b in runs]
+    return pa.table({"row_key": pa.array([int(row[a]) for a, _ in runs], pa.int64()), name: pa.array(blobs, pa.binary())})
 
 
 def _match_anchors(table: pa.Table) -> pa.Table:

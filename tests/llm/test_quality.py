@@ -1,0 +1,89 @@
+from __future__ import annotations
+
+import numpy as np
+from pyspark.sql import functions as F
+
+from strata.llm import quality
+from tests.llm.data import AWKWARD, documents, prose
+
+
+def counts(text):
+    text = text or ""
+    w = text.encode().split()
+    at = {}
+    for k in range(len(w) - 2):
+        at.setdefault(tuple(w[k : k + 3]), []).append(k)
+    repeated = {j for ks in at.values() if len(ks) > 1 for k in ks for j in (k, k + 1, k + 2)}
+    lines = [x for x in text.split("\n") if x.encode().split()]
+    chars = sum(len(x.decode()) for x in w)
+    symbols = sum(c in "#*$%&|<>" for c in text)
+    return (len(w), chars, symbols, len(lines) - len(set(lines)), len(repeated))
+
+
+ROWS = AWKWARD + [
+    (20, "a b c a b c"),
+    (21, "a a a a"),
+    (22, "x y z\n\nx y z\n \nq"),
+    (23, "## <b>é</b> $5 50% & | ü"),
+    (24, "la la la " * 30 + prose(9, 40)),
+]
+
+
+def test_base_counts_equal_brute_force(spark):
+    df = documents(spark, ROWS, n_words=F.lit("clash"), kept=F.lit(1))
+    got = quality.judge(df, quality.DecisionList()).collect()
+    assert sorted(((r.doc_id, r.n_words, r.word_chars, r.n_symbols, r.n_dup_lines, r.n_repeat_words) for r in got), key=repr) == sorted(
+        ((i, *counts(t)) for i, t in ROWS), key=repr
+    )
+    for r in got:
+        assert r.base_failed == (r.n_words < 50 or 100 * r.n_repeat_words > 50 * r.n_words)
+        assert r.kept == (not r.base_failed)
+
+
+def test_sequential_covering_finds_a_conjunction():
+    rng = np.random.default_rng(0)
+    x, y = rng.random(4000), rng.random(4000)
+    bad = (x > 0.7) & (y <= 0.3)
+    rules = quality.fit_decision_list({"x": x, "y": y}, bad, np.arange(4000) % 3 == 0)
+    hit = np.zeros(4000, bool)
+    for rule in rules.rules:
+        hit |= np.logical_and.reduce([c.mask({"x": x, "y": y}) for c in rule])
+    assert (hit & bad).sum() > 0.9 * bad.sum()
+    assert (hit & ~bad).sum() < 0.05 * hit.sum()
+    assert any(len(r) > 1 for r in rules.rules)
+
+
+def test_noise_gives_no_rules():
+    rng = np.random.default_rng(1)
+    rules = quality.fit_decision_list({"x": rng.random(600)}, rng.random(600) < 0.3, np.arange(600) % 3 == 0)
+    assert rules.rules == ()
+
+
+def test_rules_are_ordered_conditions(spark):
+    c = quality.Condition
+    rules = quality.DecisionList(((c("a", True, 2.0),), (c("a", True, 1.0), c("b", False, 0.0))))
+    df = spark.createDataFrame([(3, 9), (2, 0), (2, 1), (0, 0)], "a int, b int")
+    assert [r[0] for r in df.select(rules.rule_number()).collect()] == [1, 2, None, None]
+
+
+def test_learns_and_filters(spark):
+    good = [(k, prose(k, 120)) for k in range(60)]
+    junk = [(100 + k, " ".join(w + "###" for w in prose(k, 120).split())) for k in range(30)]
+    docs = documents(spark, good + junk, rule=F.lit("clash"))
+    labels = spark.createDataFrame(
+        [(i, 1, 0) for i, _ in good[:40]] + [(i, 0, 0) for i, _ in junk[:20]] + [(59, 1, 0), (59, 0, 0), (None, 0, 0), (3, None, 0)],
+        "doc_id long, quality int, toxic int",
+    )
+    kept = quality.keep(docs, quality.learn(docs, labels))
+    assert kept.columns == docs.columns
+    assert sorted(r.doc_id for r in kept.collect()) == list(range(60))
+
+
+def test_no_labels_and_empty_table(spark):
+    labels = spark.createDataFrame([], "doc_id long, quality int, toxic int")
+    docs = documents(spark, AWKWARD)
+    rules = quality.learn(docs, labels)
+    assert rules.rules == ()
+    assert {r.doc_id for r in quality.keep(docs, rules).collect()} == {None, 6, 7}
+    none = documents(spark, [])
+    assert quality.judge(none, quality.learn(none, labels)).collect() == []
