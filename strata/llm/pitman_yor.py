@@ -545,52 +545,57 @@ def _send(shared, scored):
     return run
 
 
+class BucketScorer:
+    """Looks tokens up in one bucket's counts and seating."""
+
+    def __init__(self, m: Model, bucket: int, keys: np.ndarray, n: np.ndarray):
+        self.m, self.keys = m, keys
+        self.samples = m.totals[BURN_IN + 1 :]
+        self.share = np.array([m.backoff(t) for t in self.samples])
+        if len(keys):
+            self.pair, self.lower, word = _probabilities(m, bucket, keys, n)
+            self.names = (keys >> _U(16))[_heads(keys >> _U(16))]
+            self.count = np.bincount(word, n)
+
+    def look_up(self, key: np.ndarray) -> np.ndarray:
+        """Known or not, base and model log10 probability of every token."""
+        m, context = self.m, (key & _U(0xFFFF)).astype(np.int64)
+        c = np.zeros(len(key))
+        p = sum(s[context] * m.unseen(t) for s, t in zip(self.share, self.samples, strict=True)) / len(self.samples)
+        if len(self.keys):
+            at = np.minimum(np.searchsorted(self.names, key >> _U(16)), len(self.names) - 1)
+            known = self.names[at] == key >> _U(16)
+            c[known] = self.count[at[known]]
+            p[known] = (self.share[:, context[known]] * self.lower[:, at[known]]).mean(axis=0)
+            at = np.minimum(np.searchsorted(self.keys, key), len(self.keys) - 1)
+            seen = self.keys[at] == key
+            p[seen] = self.pair[at[seen]]
+        out = np.zeros(len(key), _SUMS)
+        out["known"], out["score"] = c > 0, np.log10(p)
+        out["base"] = np.log10((c + 1.0) / (m.n_tokens + m.vocabulary + 1.0))
+        return out
+
+
 def _score_bucket(shared):
-    """One bucket: a partial sum per text."""
+    """One bucket: a partial sum per text, record after record."""
 
     def run(sent: pa.Table, counted: pa.Table) -> pa.Table:
-        m = shared.value
-        keys, n = _blobs(counted)
-        row_parts, sum_parts = [], []
-        looked = []
+        rows, sums, scorer = [np.zeros(0, np.int64)], [np.zeros(0, _SUMS)], None
         for k in range(sent.num_rows):
-            rows, counts, wanted, sums = (sent.column(x)[k].as_py() for x in ("rows", "counts", "keys", "sums"))
-            who = np.frombuffer(rows, np.int64)
-            if sums:
-                row_parts.append(who)
-                sum_parts.append(np.frombuffer(sums, _SUMS))
+            who, counts, wanted, done = (sent.column(x)[k].as_py() for x in ("rows", "counts", "keys", "sums"))
+            if done:
+                part = np.frombuffer(done, _SUMS)
             else:
-                looked.append((np.repeat(who, np.frombuffer(counts, np.uint32)), np.frombuffer(wanted, np.uint64)))
-        if looked:
-            row, key = (np.concatenate(x) for x in zip(*looked, strict=True))
-            bucket = sent.column("bucket")[0].as_py()
-            scale = 1.0 / (m.n_tokens + m.vocabulary + 1.0)
-            samples = m.totals[BURN_IN + 1 :]
-            context = (key & _U(0xFFFF)).astype(np.int64)
-            share = np.array([m.backoff(t) for t in samples])
-            c = np.zeros(len(key))
-            p = sum(s[context] * m.unseen(t) for s, t in zip(share, samples, strict=True)) / len(samples)
-            if len(keys):
-                pair, lower, word = _probabilities(m, bucket, keys, n)
-                names = (keys >> _U(16))[_heads(keys >> _U(16))]
-                at = np.minimum(np.searchsorted(names, key >> _U(16)), len(names) - 1)
-                known = names[at] == key >> _U(16)
-                c[known] = np.bincount(word, n)[at[known]]
-                p[known] = (share[:, context[known]] * lower[:, at[known]]).mean(axis=0)
-                at = np.minimum(np.searchsorted(keys, key), len(keys) - 1)
-                seen = keys[at] == key
-                p[seen] = pair[at[seen]]
-            one = np.zeros(len(key), _SUMS)
-            one["known"], one["base"], one["score"] = c > 0, np.log10((c + 1.0) * scale), np.log10(p)
-            row_parts.append(row)
-            sum_parts.append(one)
-        row, part = np.concatenate(row_parts), np.concatenate(sum_parts)
-        order = np.argsort(row, kind="stable")
-        row, part = row[order], part[order]
-        start = np.flatnonzero(_heads(row))
-        return pa.table(
-            {"row_key": pa.array(row[start])} | {f: pa.array(np.add.reduceat(part[f], start)) for f in _SUMS.names}
-        )
+                scorer = scorer or BucketScorer(shared.value, sent.column("bucket")[0].as_py(), *_blobs(counted))
+                n = np.frombuffer(counts, np.uint32).astype(np.int64)
+                one = scorer.look_up(np.frombuffer(wanted, np.uint64))
+                part = np.zeros(len(n), _SUMS)
+                for f in _SUMS.names:
+                    part[f] = np.add.reduceat(one[f], np.cumsum(n) - n)
+            rows.append(np.frombuffer(who, np.int64))
+            sums.append(part)
+        total = np.concatenate(sums)
+        return pa.table({"row_key": pa.array(np.concatenate(rows))} | {f: pa.array(total[f].copy()) for f in _SUMS.names})
 
     return run
 
