@@ -7,6 +7,7 @@ import duckdb
 import pytest
 
 import __spark_entry__ as E
+from strata.plans.oracle import SQL
 
 SF = "/root/testdata/sf0.001"
 TABLES = "region nation customer supplier part orders lineitem events".split()
@@ -34,7 +35,7 @@ def con():
     return c
 
 
-@pytest.mark.parametrize("key", sorted(E.oracle_sql()))
+@pytest.mark.parametrize("key", sorted(SQL))
 def test_matches_oracle(spark, con, key):
     s = E.queries()[key](spark, SF).toArrow()
     d = con.sql(E.oracle_sql()[key]).to_arrow_table()
