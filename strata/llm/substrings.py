@@ -168,37 +168,70 @@ def _probe(buckets: int):
     return run
 
 
-def _by_row(rows: list[np.ndarray], items: list[np.ndarray], name: str) -> pa.Table:
-    row = np.concatenate(rows) if rows else np.zeros(0, np.int64)
-    item = np.concatenate(items) if items else np.zeros(0, np.uint64)
-    order = np.argsort(row, kind="stable")
-    row, item = row[order], item[order]
-    runs = _groups(row)
-    blobs = [item[a:b].tobytes() for a, b in runs]
-    return pa.table({"row_key": pa.array([int(row[a]) for a, _ in runs], pa.int64()), name: pa.array(blobs, pa.binary())})
-
-
-def _match_anchors(table: pa.Table) -> pa.Table:
-    """One bucket: the hashes that are a block of one text and occur in another."""
-    bucket = table.column("bucket")[0].as_py()
-    rows, items = [], []
-    looked = [(row, _from_five_bytes(blob)) for row, _, blob in _unpack(table, False)]
-    if looked:
-        row, entry = (np.concatenate(x) for x in zip(*looked, strict=True))
-        order = np.argsort(entry & _ANCHOR_MASK, kind="stable")
-        row, entry = row[order], entry[order]
-        code = entry & _ANCHOR_MASK
-        head = _heads(code)
-        start = np.flatnonzero(head)
-        found = np.maximum.reduceat(entry >> _U(_ANCHOR_BITS), start) > 0
-        found &= np.maximum.reduceat(row, start) != np.minimum.reduceat(row, start)
-        hit = found[np.cumsum(head) - 1]
-        rows.append(row[hit])
-        items.append(_anchor_item(bucket, code[hit]))
-    for row, _, blob in _unpack(table, True):
-        rows.append(row)
-        items.append(np.frombuffer(blob, np.uint64))
-    return _by_row(rows, items, "anchors")
+def _match_anchors(row: np.ndarray, entry: np.ndarray, bucket: int) -> tuple[np.ndarray, np.ndarray]:
+    """Texts and anchors: hashes that are a block of one text and occur in another."""
+    order = np.argsort(entry & _ANCHOR_MASK, kind="stable")
+    row, entry = row[order], entry[order]
+    code = entry & _ANCHOR_MASK
+    head = _heads(code)
+    start = np.flatnonzero(head)
+    found = np.maximum.reduceat(entry >> _U(_ANCHOR_BITS), start) > 0
+    found &= np.maximum.reduceat(row, start) != np.minimum.reduceat(row, start)
+    hit = found[np.cumsum(head) - 1]
+    return row[hit], _anchor_item(bucket, code[hit])
+
+
+def _match_windows(row: np.ndarray, ids: np.ndarray, entry: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Texts and starts of the windows that a smaller document has too."""
+    order = np.lexsort((ids, entry["hash"]))
+    row, ids, entry = row[order], ids[order], entry[order]
+    head = _heads(entry["hash"])
+    lost = ids > ids[np.flatnonzero(head)][np.cumsum(head) - 1]
+    return row[lost], entry["place"][lost]
+
+
+def _look_up(buckets: int, kind: str):
+    """One bucket of hashes: what it tells each text, packed by the texts'
+    own bucket.  Settled records are there already and pass through."""
+
+    def run(table: pa.Table) -> pa.Table:
+        settled = table.filter(table.column("settled"))
+        looked = list(_unpack(table, False))
+        if not looked:
+            return settled.cast(_SCHEMA)
+        row, ids = (np.concatenate(x) for x in list(zip(*looked, strict=True))[:2])
+        if kind == "anchors":
+            entry = np.concatenate([_from_five_bytes(blob) for *_, blob in looked])
+            row, item = _match_anchors(row, entry, table.column("bucket")[0].as_py())
+        else:
+            row, item = _match_windows(row, ids, np.concatenate([np.frombuffer(blob, _PLACED) for *_, blob in looked]))
+        keys, number = np.unique(row, return_inverse=True)
+        told = _pack(keys[number] % buckets, number, item, keys, None, True)
+        return pa.concat_tables([settled.cast(_SCHEMA), pa.Table.from_pylist(told, schema=_SCHEMA)])
+
+    return run
+
+
+def _gather(name: str, item: str):
+    """One bucket of texts: all items of each text in one row."""
+
+    def run(table: pa.Table) -> pa.Table:
+        parts = [(row, np.frombuffer(blob, item)) for row, _, blob in _unpack(table, True)]
+        row, items = (np.concatenate(x) for x in zip(*parts, strict=True))
+        order = np.argsort(row, kind="stable")
+        row, items = row[order], items[order]
+        runs = _groups(row)
+        blobs = [items[a:b].tobytes() for a, b in runs]
+        return pa.table({"row_key": pa.array([int(row[a]) for a, _ in runs], pa.int64()), name: pa.array(blobs, pa.binary())})
+
+    return run
+
+
+def _told(entries: DataFrame, buckets: int, name: str, item: str) -> DataFrame:
+    """``row_key`` and its items (``name``), one row per text that has any."""
+    looked = entries.groupBy("bucket").applyInArrow(_look_up(buckets, name), PACKED)
+    gathered = looked.groupBy("bucket").applyInArrow(_gather(name, item), f"row_key long, {name} binary")
+    return materialize(gathered, f"repeat-{name}")
 
 
 def _extend(buckets: int):
@@ -214,8 +247,8 @@ def _extend(buckets: int):
             anchored = np.zeros(len(c.hashes) + 1, np.int64)
             for r in range(len(c)):
                 mine = slice(borders[r], borders[r + 1])
-                known = [np.frombuffer(x.as_buffer(), np.uint64) for x in c.batch.column("anchors")[r].values]
-                anchored[at[mine] + 1] = np.isin(item[mine], np.concatenate(known))
+                known = np.frombuffer(c.batch.column("anchors")[r].as_buffer(), np.uint64)
+                anchored[at[mine] + 1] = np.isin(item[mine], known)
             before = np.cumsum(anchored)
             at, grams = c.ngrams(WINDOW)
             near = before[at + WINDOW - BLOCK + 1] > before[at]
@@ -240,24 +273,6 @@ def _extend(buckets: int):
     return run
 
 
-def _match_windows(table: pa.Table) -> pa.Table:
-    """One bucket: starts of the windows that a smaller document has too."""
-    rows, items = [], []
-    looked = [(row, ids, np.frombuffer(blob, _PLACED)) for row, ids, blob in _unpack(table, False)]
-    if looked:
-        row, ids, entry = (np.concatenate(x) for x in zip(*looked, strict=True))
-        order = np.lexsort((ids, entry["hash"]))
-        row, ids, entry = row[order], ids[order], entry[order]
-        head = _heads(entry["hash"])
-        lost = ids > ids[np.flatnonzero(head)][np.cumsum(head) - 1]
-        rows.append(row[lost])
-        items.append(entry["place"][lost])
-    for row, _, blob in _unpack(table, True):
-        rows.append(row)
-        items.append(np.frombuffer(blob, np.uint32))
-    return _by_row(rows, items, "places")
-
-
 def _strip(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Texts without the words that their lost windows cover."""
     for batch in batches:
@@ -265,7 +280,7 @@ def _strip(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for text, places in zip(batch.column("text").to_pylist(), batch.column("places").to_pylist(), strict=True):
             all_words = text.encode().split()
             change = np.zeros(len(all_words) + 1, np.int64)
-            starts = np.concatenate([np.frombuffer(p, np.uint32) for p in places]).astype(np.int64)
+            starts = np.frombuffer(places, np.uint32).astype(np.int64)
             np.add.at(change, starts, 1)
             np.add.at(change, starts + WINDOW, -1)
             kept = np.cumsum(change[:-1]) == 0
@@ -277,11 +292,11 @@ def _strip(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         )
 
 
-def _with(docs: DataFrame, found: DataFrame, column: str) -> DataFrame:
-    """Documents that have blobs in ``found``, with the list of them."""
-    lists = found.groupBy(F.col("row_key").alias("_key")).agg(F.collect_list(column).alias(column))
-    bits, blocks = bloom.build(found.select("row_key").distinct(), "row_key", bloom.MAX_BLOCKS * 32)
-    return bloom.possible(docs, "row_key", bits, blocks).join(lists, F.col("row_key") == F.col("_key")).drop("_key")
+def _with(docs: DataFrame, told: DataFrame) -> DataFrame:
+    """Documents that were told something, with it."""
+    bits, blocks = bloom.build(told, "row_key", bloom.MAX_BLOCKS * 32)
+    told = told.withColumnRenamed("row_key", "_key")
+    return bloom.possible(docs, "row_key", bits, blocks).join(told, F.col("row_key") == F.col("_key")).drop("_key")
 
 
 def stripped(docs: DataFrame, n_words: int) -> DataFrame:
@@ -294,14 +309,10 @@ def stripped(docs: DataFrame, n_words: int) -> DataFrame:
         _row_key().alias("row_key"), F.col("doc_id").cast("long").alias("doc_id"), "text"
     )
     probes = known.select("row_key", "text").mapInArrow(_probe(buckets), PACKED)
-    anchors = materialize(
-        probes.groupBy("bucket").applyInArrow(_match_anchors, "row_key long, anchors binary"), "repeat-anchors"
-    )
-    around = _with(known, anchors, "anchors").mapInArrow(_extend(buckets), PACKED)
-    places = materialize(
-        around.groupBy("bucket").applyInArrow(_match_windows, "row_key long, places binary"), "repeat-places"
-    )
-    return _with(known, places, "places").mapInArrow(_strip, "row_key long, n_removed long, stripped string")
+    anchors = _told(probes, buckets, "anchors", "<u8")
+    windows = _with(known, anchors).mapInArrow(_extend(buckets), PACKED)
+    places = _told(windows, buckets, "places", "<u4")
+    return _with(known, places).mapInArrow(_strip, "row_key long, n_removed long, stripped string")
 
 
 def remove_repeats(docs: DataFrame) -> DataFrame:
