@@ -8,20 +8,14 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
-def cents(amount: Column | str) -> Column:
-    """Money amount as whole cents (long); exact and order-independent to sum."""
-    c = F.col(amount) if isinstance(amount, str) else amount
-    return F.round(c * 100).cast("long")
+MONEY = "decimal(38,6)"
 
 
 def money_sum(amount: Column | str) -> Column:
-    """Sum of a money column, computed over long cents, returned as double."""
-    return F.sum(cents(amount)) / F.lit(100.0)
-
-
-def cents_to_money(cents_sum: Column | str) -> Column:
-    c = F.col(cents_sum) if isinstance(cents_sum, str) else cents_sum
-    return c / F.lit(100.0)
+    """Sum of a money column in decimals, so it does not depend on the order
+    of the rows and no row is rounded to whole cents first."""
+    c = F.col(amount) if isinstance(amount, str) else amount
+    return F.sum(c.cast(MONEY))
 
 
 def exact_mean(value: Column | str, scale: int = 2, digits: int = 6) -> Column:

@@ -48,6 +48,11 @@ AUDIT_SCHEMA = T.StructType(
         T.StructField("status", T.StringType()),
         T.StructField("error_message", T.StringType()),
         T.StructField("output_path", T.StringType()),
+        T.StructField("records_skipped", T.LongType()),
+        T.StructField("dag_id", T.StringType()),
+        T.StructField("task_id", T.StringType()),
+        T.StructField("spark_job_id", T.StringType()),
+        T.StructField("created_at", T.TimestampNTZType()),
     ]
 )
 
@@ -169,6 +174,26 @@ def registry_upsert(registry: DataFrame, requests: DataFrame, as_of: str) -> Dat
     )
 
 
+MARKS_SCHEMA = "collection_name string, mark timestamp_ntz, run_id string, advanced_at timestamp_ntz"
+
+
+def with_marks(registry: DataFrame, marks: DataFrame | None) -> DataFrame:
+    """The registry with each collection's mark raised to the largest one in
+    the log of advances.  Runs only append to that log, so runs of different
+    collections cannot undo each other's marks."""
+    if marks is None:
+        return registry
+    last = marks.groupBy(F.col("collection_name").alias("_n")).agg(
+        F.max("mark").alias("_mark"), F.max("advanced_at").alias("_at")
+    )
+    moved = F.col("active_flag") & (F.col("_mark") > F.col("last_loaded_timestamp"))
+    return registry.join(last, F.col("collection_name") == F.col("_n"), "left").select(
+        *[c for c in registry.columns if c not in ("last_loaded_timestamp", "updated_at")],
+        F.when(moved, F.col("_mark")).otherwise(F.col("last_loaded_timestamp")).alias("last_loaded_timestamp"),
+        F.when(moved, F.greatest("updated_at", "_at")).otherwise(F.col("updated_at")).alias("updated_at"),
+    )
+
+
 def advance_watermark(registry: DataFrame, collection: str, new_mark: DataFrame, as_of: str) -> DataFrame:
     """Move one collection's mark to ``new_mark`` (a one-row frame with column
     ``mark``, e.g. the max watermark of the rows just loaded).
@@ -200,6 +225,9 @@ def audit_record(
     watermark_end: str | None = None,
     error_message: str | None = None,
     output_path: str | None = None,
+    records_skipped: int = 0,
+    dag_id: str | None = None,
+    task_id: str | None = None,
 ) -> DataFrame:
     """One audit row describing one run (built from values captured by the
     job itself, so it can be written even when the run failed)."""
@@ -210,15 +238,14 @@ def audit_record(
     from datetime import datetime
     from decimal import Decimal
 
-    fmt = "%Y-%m-%d %H:%M:%S"
-
     def ts(v):
-        return None if v is None else datetime.strptime(v[:19], fmt)
+        return None if v is None else datetime.fromisoformat(v)
 
     dur = Decimal(str(round((ts(end) - ts(start)).total_seconds(), 2))).quantize(Decimal("0.01"))
     row = (
         run_id, collection, layer, ts(start), ts(end), dur,
         int(records_extracted), int(records_loaded), int(records_failed),
         ts(watermark_start), ts(watermark_end), status, error_message, output_path,
+        int(records_skipped), dag_id, task_id, spark.sparkContext.applicationId, ts(end),
     )
     return spark.createDataFrame([row], AUDIT_SCHEMA)

@@ -19,6 +19,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, DataType, MapType, StructType, VariantType
 
 
 def latest_per_key(
@@ -28,18 +29,33 @@ def latest_per_key(
     tiebreak: Sequence[str] = (),
 ) -> DataFrame:
     """Keep, per key, the row with the greatest ``(order_by..., tiebreak...)``."""
-    cols = df.columns
     ordering = [*order_by, *[c for c in tiebreak if c not in order_by]]
-    packed = F.struct(
-        *[F.col(c).alias(f"o{i}") for i, c in enumerate(ordering)],
-        F.struct(*[F.col(c) for c in cols]).alias("row"),
-    )
-    return df.groupBy(*keys).agg(F.max(packed).alias("_best")).select("_best.row.*")
+    return _pick(df, keys, ordering, F.max_by)
 
 
 def any_per_key(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     """One row per key, chosen deterministically (smallest row content)."""
-    cols = df.columns
-    rest = [c for c in cols if c not in keys]
-    packed = F.struct(*[F.col(c) for c in rest], F.struct(*[F.col(c) for c in cols]).alias("row"))
-    return df.groupBy(*keys).agg(F.min(packed).alias("_pick")).select("_pick.row.*")
+    return _pick(df, keys, [], F.min_by)
+
+
+def _orderable(data_type: DataType) -> bool:
+    if isinstance(data_type, (MapType, VariantType)):
+        return False
+    if isinstance(data_type, ArrayType):
+        return _orderable(data_type.elementType)
+    if isinstance(data_type, StructType):
+        return all(_orderable(f.dataType) for f in data_type.fields)
+    return True
+
+
+def _pick(df: DataFrame, keys: Sequence[str], ordering: Sequence[str], best) -> DataFrame:
+    """One whole row per key: by ``ordering``, then by the other columns.
+
+    Columns that have no order (maps) come last, as JSON.
+    """
+    order = [F.col(c) for c in ordering]
+    order += [F.col(f.name) for f in df.schema.fields if f.name not in ordering and _orderable(f.dataType)]
+    order += [F.to_json(F.struct(f.name)) for f in df.schema.fields if not _orderable(f.dataType)]
+    row = F.struct(*[F.col(c) for c in df.columns])
+    by = F.struct(*[c.alias(f"o{i}") for i, c in enumerate(order)])
+    return df.groupBy(*keys).agg(best(row, by).alias("_best")).select("_best.*")

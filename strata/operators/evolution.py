@@ -59,6 +59,11 @@ DRIFT_SCHEMA = T.StructType(
         T.StructField("column_name", T.StringType()),
         T.StructField("old_type", T.StringType()),
         T.StructField("new_type", T.StringType()),
+        T.StructField("old_schema", T.StringType()),
+        T.StructField("new_schema", T.StringType()),
+        T.StructField("resolved", T.BooleanType()),
+        T.StructField("resolved_at", T.TimestampNTZType()),
+        T.StructField("notes", T.StringType()),
     ]
 )
 
@@ -71,8 +76,14 @@ def drift_events(
     detected_at: str | None = None,
     nested: bool = False,
 ) -> DataFrame:
-    """Drift-log rows, one per changed column (schema metadata, a few rows)."""
-    rows = [(collection, c.change_type, c.column_name, c.old_type, c.new_type) for c in compare_schemas(old, new, nested)]
+    """Drift-log rows, one per changed column (schema metadata, a few rows).
+
+    Both schemas are kept as JSON; ``resolved`` starts false.
+    """
+    rows = [
+        (collection, c.change_type, c.column_name, c.old_type, c.new_type, old.json(), new.json(), False, None, None)
+        for c in compare_schemas(old, new, nested)
+    ]
     df = spark.createDataFrame(rows, DRIFT_SCHEMA)
     if detected_at is not None:
         df = df.withColumn("detected_at", ts_literal(detected_at))
@@ -125,16 +136,19 @@ def reconcile(existing: DataFrame, incoming: DataFrame) -> tuple[DataFrame, Data
     return project(existing, ex), project(incoming, inc)
 
 
-def handle_drift(
-    spark: SparkSession,
-    collection: str,
-    existing: DataFrame | None,
-    incoming: DataFrame,
-    detected_at: str | None = None,
-) -> tuple[DataFrame | None, DataFrame, DataFrame]:
-    """Detect -> log rows -> align.  First load: nothing to compare."""
-    if existing is None:
-        return None, incoming, spark.createDataFrame([], DRIFT_SCHEMA)
-    events = drift_events(spark, collection, existing.schema, incoming.schema, detected_at)
-    ex, inc = reconcile(existing, incoming)
-    return ex, inc, events
+def affected_rows(events: DataFrame, old: DataFrame, new: DataFrame, columns: list[str]) -> DataFrame:
+    """Drift rows with the rows they concern: those that carry a value in the
+    changed column, in the new data, or for a dropped column in the old."""
+
+    def filled(df: DataFrame) -> DataFrame:
+        counts = [F.struct(F.lit(c).alias("_c"), F.count(c).alias("_n")) for c in columns if c in df.columns]
+        return df.agg(F.array(*counts).alias("_all")).select(F.inline("_all"))
+
+    before = filled(old).select(F.col("_c").alias("_oc"), F.col("_n").alias("_on"))
+    after = filled(new)
+    gone = F.col("change_type") == DROP
+    return (
+        events.join(after, F.col("column_name") == F.col("_c"), "left")
+        .join(before, F.col("column_name") == F.col("_oc"), "left")
+        .select(*events.columns, F.coalesce(F.when(gone, F.col("_on")).otherwise(F.col("_n")), F.lit(0)).alias("rows_affected"))
+    )

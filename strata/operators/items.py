@@ -69,11 +69,17 @@ def join_lines(
     return with_lines.unionByName(without)
 
 
-def item_features(orders: DataFrame, items_col: str = "items") -> DataFrame:
+def lines_of(orders: DataFrame, lines: DataFrame, key: str = "order_id") -> DataFrame:
+    """Lines whose order exists.  For measures per product this is all that is
+    needed of the explosion: its rows without a line carry no product."""
+    return lines.join(orders.select(key), key, "left_semi")
+
+
+def item_features(orders: DataFrame, items_col: str = "items", keep_items: bool = False) -> DataFrame:
     """``items_count`` / ``total_items_qty`` (and shipping fields if present)
     computed per order from an items array or JSON column, without a shuffle."""
     arr = _items_array(orders, items_col)
-    cols = [c for c in orders.columns if c != items_col]
+    cols = [c for c in orders.columns if keep_items or c != items_col]
     extra = []
     if "shipping_address" in orders.columns:
         extra = [

@@ -1,101 +1,54 @@
-"""``rank()`` within a group, ordered by a value descending.
+"""``rank()`` within a group, ordered by a value descending, for any group size.
 
-``rank_within`` uses a plain window.  ``rank_within_skew_safe`` computes the
-same numbers without ever putting a whole group in one task.  A rank is one
-plus the number of rows of the group with a strictly greater value, so
+A rank is one plus the number of rows of the group with a strictly greater
+value.  ``rank_within_skew_safe`` never puts a whole group in one task:
 
 1. rows are reduced to distinct ``(group, value)`` pairs with their counts
    (partial aggregation collapses tied rows map-side);
-2. per group, approximate quantiles of the distinct values cut the value
-   range into ``buckets`` (one small row per group, materialised once so
-   every use sees the same cuts); a group with a third of all rows is thus
-   spread over many buckets, and equal values always share a bucket;
-3. a window over ``(group, bucket)`` counts the greater values inside the
-   bucket, and a second window over the per-bucket totals (at most
-   ``buckets`` rows per group) counts those in higher buckets;
+2. the pairs are range-partitioned by group and value, so a group with a
+   third of all pairs lies in a third of the partitions; each pair is tagged
+   with its partition and written once, so every use below sees the same cut;
+3. a window over ``(group, partition)`` counts the greater values in the
+   partition, a window over the per-partition totals those in the partitions
+   before it (at most one row per group and partition);
 4. the ranks are joined back on ``(group, value)``.
+
+Values may have any orderable type; NULL and NaN rank as in ``rank()`` over a
+descending window (NaN first, NULL last).
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import NumericType
 
 from strata.session import checkpoint_root
 
-# Bucket cuts only balance the work; ranks are exact whatever the cuts are.
-# A coarse sketch keeps the per-group aggregation buffer small, and the cap
-# bounds the cut table at MAX_BUCKETS doubles per group.
-MAX_BUCKETS = 256
-CUT_ACCURACY = 1000
-# Rows one window task may take for a single group before the bucketed form is used.
-WINDOW_GROUP_LIMIT = 2_000_000
-
-
-def rank_within(df: DataFrame, group: str, value: str, name: str) -> DataFrame:
-    w = Window.partitionBy(group).orderBy(F.col(value).desc())
-    return df.withColumn(name, F.rank().over(w))
-
 
-def rank_within_skew_safe(
-    df: DataFrame,
-    group: str,
-    value: str,
-    name: str,
-    buckets: int | None = None,
-    materialize: bool = True,
-    window_limit: int = WINDOW_GROUP_LIMIT,
-) -> DataFrame:
-    """``materialize`` writes the input once (reliable checkpoint) so the
-    passes below re-read it instead of recomputing its lineage.
+def rank_within_skew_safe(df: DataFrame, group: str, value: str, name: str, parts: int | None = None) -> DataFrame:
+    """``df`` with the rank as integer column ``name``.
 
-    The largest group is measured on the materialised input; when it holds
-    at most ``window_limit`` rows, one task per group is harmless and the
-    plain window is used; otherwise the bucketed form below.
+    ``parts``: range partitions, by default the session's shuffle partitions.
     """
-    if not isinstance(df.schema[value].dataType, NumericType):
-        return rank_within(df, group, value, name)
     spark = df.sparkSession
     checkpoint_root(spark)
-    if materialize:
-        df = df.checkpoint(eager=True)
-    largest = df.groupBy(group).count().agg(F.max("count").alias("m")).first()["m"] or 0
-    if largest <= window_limit:
-        return rank_within(df, group, value, name)
-    b = max(2, buckets or min(MAX_BUCKETS, int(spark.conf.get("spark.sql.shuffle.partitions"))))
-    pairs = df.groupBy(group, value).agg(F.count(F.lit(1)).alias("_n"))
-    fractions = [i / b for i in range(1, b)]
-    cuts = (
-        pairs.groupBy(group)
-        .agg(F.percentile_approx(F.col(value).cast("double"), fractions, CUT_ACCURACY).alias("_cuts"))
-        .select(F.col(group).alias("_cg"), "_cuts")
-        .checkpoint(eager=True)  # identical cuts for every use below, even after a retry
-    )
-    v = F.col(value).cast("double")
-    bucket = F.when(v.isNull(), F.lit(b)).otherwise(
-        F.size(F.filter(F.coalesce(F.col("_cuts"), F.array().cast("array<double>")), lambda c: c > v))
-    )
-    # bucket 0 holds the largest values; NULL values sort last (DESC NULLS LAST)
-    bucketed = pairs.join(cuts, F.col(group).eqNullSafe(F.col("_cg")), "left").select(
-        group, value, "_n", bucket.alias("_b")
-    )
-    in_bucket = Window.partitionBy(group, "_b").orderBy(F.col(value).desc()).rowsBetween(
-        Window.unboundedPreceding, -1
-    )
-    local = bucketed.withColumn("_before_local", F.coalesce(F.sum("_n").over(in_bucket), F.lit(0)))
-    totals = bucketed.groupBy(group, "_b").agg(F.sum("_n").alias("_bucket_n"))
-    across = Window.partitionBy(group).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = totals.select(
-        F.col(group).alias("_og"),
-        F.col("_b").alias("_ob"),
-        F.coalesce(F.sum("_bucket_n").over(across), F.lit(0)).alias("_before_buckets"),
+    n = max(1, parts or int(spark.conf.get("spark.sql.shuffle.partitions")))
+    pairs = df.groupBy(F.col(group).alias("_g"), F.col(value).alias("_v")).agg(F.count(F.lit(1)).alias("_n"))
+    order = F.col("_v").desc()
+    cut = (
+        pairs.repartitionByRange(n, F.col("_g").asc(), order)
+        .withColumn("_p", F.spark_partition_id())
+        .checkpoint(eager=True)
     )
-    same_bucket = F.col(group).eqNullSafe(F.col("_og")) & (F.col("_b") == F.col("_ob"))
-    ranks = local.join(offsets, same_bucket, "inner").select(
-        F.col(group).alias("_g"),
-        F.col(value).alias("_v"),
-        (F.lit(1) + F.col("_before_local") + F.col("_before_buckets")).cast("int").alias(name),
+    inside = Window.partitionBy("_g", "_p").orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
+    across = Window.partitionBy("_tg").orderBy("_tp").rowsBetween(Window.unboundedPreceding, -1)
+    totals = cut.groupBy(F.col("_g").alias("_tg"), F.col("_p").alias("_tp")).agg(F.sum("_n").alias("_sum"))
+    totals = totals.withColumn("_before", F.coalesce(F.sum("_sum").over(across), F.lit(0)))
+    same = F.col("_g").eqNullSafe(F.col("_tg")) & (F.col("_p") == F.col("_tp"))
+    ranks = (
+        cut.withColumn("_here", F.coalesce(F.sum("_n").over(inside), F.lit(0)))
+        .join(totals, same)
+        .select("_g", "_v", (F.col("_here") + F.col("_before") + 1).cast("int").alias("_rank"))
     )
-    cond = F.col(group).eqNullSafe(F.col("_g")) & F.col(value).eqNullSafe(F.col("_v"))
-    return df.join(ranks, cond, "left").drop("_g", "_v")
+    on = F.col(group).eqNullSafe(F.col("_g")) & F.col(value).eqNullSafe(F.col("_v"))
+    return df.join(ranks, on, "left").select(*df.columns, F.col("_rank").alias(name))

@@ -60,7 +60,7 @@ def daily_order_trend(analytics_snapshots: DataFrame, as_of: str, days: int = 30
         rows.groupBy("order_date")
         .agg(
             F.sum("total_orders").alias("orders"),
-            F.round(money_sum("total_revenue"), 2).alias("revenue"),
+            F.round(money_sum("total_revenue").cast("double"), 2).alias("revenue"),
             exact_mean("avg_order_value", 2).alias("aov"),
         )
         .orderBy("order_date")

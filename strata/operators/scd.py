@@ -76,8 +76,24 @@ def scd1_merge(existing: DataFrame | None, incoming: DataFrame, key: str, load_d
 # Type 2
 # --------------------------------------------------------------------------
 
-def scd2_initial(incoming: DataFrame, load_date: str, as_of: str) -> DataFrame:
-    """First load: every row becomes version 1, open-ended."""
+def unique_batch(incoming: DataFrame, key: str) -> DataFrame:
+    """The batch without NULL keys; a repeated key fails the job.
+
+    Two rows of one key would each open a version.  The check is a grouped
+    maximum over the key, whose exchange the merge's join then uses as well.
+    """
+    rows = require_key(incoming, key).select(F.col(key).alias("_k"), F.struct(*incoming.columns).alias("_row"))
+    one = rows.groupBy("_k").agg(F.count(F.lit(1)).alias("_n"), F.any_value("_row").alias("_row"))
+    repeated = F.raise_error(F.concat(F.lit(f"batch repeats {key} "), F.col("_k").cast("string")))
+    checked = F.when(F.col("_n") > 1, repeated.cast(one.schema["_row"].dataType)).otherwise(F.col("_row"))
+    return one.select(checked.alias("_row")).select("_row.*")
+
+
+def scd2_initial(incoming: DataFrame, load_date: str, as_of: str, key: str | None = None) -> DataFrame:
+    """First load: every row becomes version 1, open-ended.  With ``key``,
+    rows without one are left out and a repeated one fails, as in the merge."""
+    if key is not None:
+        incoming = unique_batch(incoming, key)
     return incoming.select(
         *_content(incoming),
         ts_literal(as_of).alias("effective_date"),
@@ -89,22 +105,16 @@ def scd2_initial(incoming: DataFrame, load_date: str, as_of: str) -> DataFrame:
     )
 
 
-def change_detection(current: DataFrame, incoming: DataFrame, key: str, strategy: str = "auto") -> DataFrame:
+def change_detection(current: DataFrame, incoming: DataFrame, key: str) -> DataFrame:
     """Batch rows classified against the current version of their key.
 
-    With a small batch (``strategy`` as in :func:`scd2_merge`) the current
-    rows are first semi-joined against the broadcast batch keys -- a
-    streaming pass, the current table is not shuffled -- and only the
-    matches (at most one per batch key) meet the batch.
+    A plain left join: the join strategy is Spark's (AQE) to choose.
     """
     cur = current.select(
         F.col(key).alias("_k"),
         F.col("record_hash").alias("previous_hash"),
         F.col("version_number").alias("previous_version"),
     )
-    if choose_strategy(incoming, strategy) == "broadcast":
-        keys = F.broadcast(incoming.select(F.col(key).alias("_bk")))
-        cur = F.broadcast(cur.join(keys, F.col("_k") == F.col("_bk"), "left_semi"))
     j = incoming.select(key, "record_hash").join(cur, F.col(key) == F.col("_k"), "left")
     kind = (
         F.when(F.col("_k").isNull(), F.lit("new"))
@@ -114,73 +124,25 @@ def change_detection(current: DataFrame, incoming: DataFrame, key: str, strategy
     return j.select(key, kind.alias("change_type"), "previous_version", "previous_hash", "record_hash")
 
 
-def estimated_bytes(df: DataFrame) -> int | None:
-    """Catalyst's size estimate of a plan (the figure Spark itself compares
-    with ``spark.sql.autoBroadcastJoinThreshold``); None if unavailable."""
-    try:
-        return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-    except Exception:  # noqa: BLE001 - estimate only
-        return None
-
-
-def _broadcast_limit(df: DataFrame) -> int:
-    """``spark.sql.autoBroadcastJoinThreshold`` in bytes, as Spark parses it."""
-    try:
-        return int(df.sparkSession._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold())
-    except Exception:  # noqa: BLE001 - e.g. a Connect session
-        return 10 * 1024 * 1024
-
-
-def choose_strategy(incoming: DataFrame, strategy: str = "auto") -> str:
-    """``broadcast`` when the batch's measured size is within
-    ``spark.sql.autoBroadcastJoinThreshold`` (unknown size never qualifies),
-    else ``shuffle``; explicit choices pass through."""
-    if strategy == "auto":
-        est = estimated_bytes(incoming)
-        limit = _broadcast_limit(incoming)
-        return "broadcast" if est is not None and 0 < limit and est <= limit else "shuffle"
-    if strategy not in ("shuffle", "broadcast"):
-        raise ValueError(f"unknown strategy {strategy!r}")
-    return strategy
-
-
-def check_not_late(current: DataFrame, as_of: str) -> None:
-    """Reject a merge whose processing time is not after every current
-    version's ``effective_date``: it would close versions before they began
-    (inverted validity intervals).  Reads one column of the current rows."""
-    from datetime import datetime
-
-    latest = current.agg(F.max("effective_date").alias("m")).first()["m"]
-    if latest is not None and latest >= datetime.strptime(as_of, "%Y-%m-%d %H:%M:%S"):
-        raise ValueError(f"late batch: as_of {as_of} is not after the newest effective_date {latest}")
-
-
-def scd2_merge(
-    current: DataFrame,
-    incoming: DataFrame,
-    key: str,
-    load_date: str,
-    as_of: str,
-    strategy: str = "auto",
-) -> DataFrame:
-    """Merge a fingerprinted batch into the current rows of an SCD2 table.
+def late_rows(current: DataFrame, incoming: DataFrame, key: str, as_of: str) -> DataFrame:
+    """Changed batch rows whose current version does not begin before
+    ``as_of``: closing it would give it an inverted interval.  The merge leaves
+    such keys alone; the rows belong in a side output."""
+    cur = current.select(F.col(key).alias("_k"), F.col("record_hash").alias("_h"), F.col("effective_date").alias("_from"))
+    late = (F.col("_from") >= ts_literal(as_of)) & ~F.col("record_hash").eqNullSafe(F.col("_h"))
+    return incoming.join(cur, (F.col(key) == F.col("_k")) & late, "left_semi")
 
-    Returns the new current rows *and* the rows closed by this merge
-    (``is_current = false``); earlier history is not an input.
 
-    ``strategy``:
+def scd2_merge(current: DataFrame, incoming: DataFrame, key: str, load_date: str, as_of: str) -> DataFrame:
+    """Merge a fingerprinted batch into the current rows of an SCD2 table.
 
-    * ``shuffle`` -- one full outer join; both sides are hash-partitioned
-      on the key.  Works for any batch size.
-    * ``broadcast`` -- the batch is broadcast: every current row is matched
-      in a streaming left join (the current table is never shuffled), and new
-      keys are found by a key-only semi join against the broadcast batch.
-    * ``auto`` -- ``broadcast`` when Catalyst's size estimate of the batch is
-      within ``spark.sql.autoBroadcastJoinThreshold``, else ``shuffle``.
+    Returns the new current rows *and* the rows closed by this merge
+    (``is_current = false``); earlier history is not an input.  One full outer
+    join on the key.  Replaying a batch changes nothing: equal fingerprints
+    are kept, and a change that is not after the current version's begin is
+    late (see :func:`late_rows`) and not applied.
     """
-    incoming = require_key(incoming, key)
-    strategy = choose_strategy(incoming, strategy)
-
+    incoming = unique_batch(incoming, key)
     out_cols = list(current.columns) + [c for c in incoming.columns if c not in current.columns]
     for c in (*SCD2_COLUMNS, *LOAD_COLUMNS):
         if c not in out_cols:
@@ -190,59 +152,36 @@ def scd2_merge(
     for name, t in BOOKKEEPING_TYPES.items():
         types.setdefault(name, t)
 
-    def side(prefix: str | None, frame: DataFrame, name: str) -> Column:
-        if prefix is not None and name in frame.columns:
-            return F.col(f"{prefix}.{name}")
-        t = types.get(name)
-        return F.lit(None).cast(t) if t is not None else F.lit(None)
-
-    def typed(col: Column, name: str) -> Column:
-        t = types.get(name)
-        return (col.cast(t) if t is not None else col).alias(name)
-
-    def kept() -> Column:
-        return F.struct(*[typed(side("c", current, n), n) for n in out_cols])
-
-    def closed() -> Column:
-        over = {"expiry_date": ts_literal(as_of), "is_current": F.lit(False)}
-        return F.struct(*[typed(over.get(n, side("c", current, n)), n) for n in out_cols])
-
-    def opened(has_current: bool) -> Column:
-        prev = (
-            F.coalesce(F.col("c.version_number"), F.lit(0))
-            if has_current and "version_number" in current.columns
-            else F.lit(0)
-        )
-        over = {
+    def side(prefix: str, frame: DataFrame, name: str) -> Column:
+        return F.col(f"{prefix}.{name}") if name in frame.columns else F.lit(None)
+
+    def row(prefix: str, frame: DataFrame, over: dict[str, Column]) -> Column:
+        return F.struct(*[over.get(n, side(prefix, frame, n)).cast(types[n]).alias(n) for n in out_cols])
+
+    kept = row("c", current, {})
+    closed = row("c", current, {"expiry_date": ts_literal(as_of), "is_current": F.lit(False)})
+    before = F.coalesce(side("c", current, "version_number").cast("int"), F.lit(0))
+    opened = row(
+        "i",
+        incoming,
+        {
             "effective_date": ts_literal(as_of),
             "expiry_date": ts_literal(OPEN_END),
             "is_current": F.lit(True),
-            "version_number": (prev + 1).cast("int"),
+            "version_number": before + 1,
             "pipeline_load_ts": ts_literal(as_of),
             "load_date": F.lit(load_date),
-        }
-        return F.struct(*[typed(over.get(n, side("i", incoming, n)), n) for n in out_cols])
-
+        },
+    )
+    j = current.alias("c").join(incoming.alias("i"), F.col(f"c.{key}") == F.col(f"i.{key}"), "full_outer")
     same = F.col("c.record_hash").eqNullSafe(F.col("i.record_hash"))
-    on = F.col(f"c.{key}") == F.col(f"i.{key}")
-    if strategy == "shuffle":
-        j = current.alias("c").join(incoming.alias("i"), on, "full_outer")
-        is_new = F.col(f"c.{key}").isNull()
-        is_kept = F.col(f"i.{key}").isNull() | same
-        rows = F.when(is_new, F.array(opened(True))).when(is_kept, F.array(kept())).otherwise(
-            F.array(closed(), opened(True))
-        )
-        return j.select(F.inline(rows))
-
-    # broadcast: stream the current rows, never shuffle them
-    j = current.alias("c").join(F.broadcast(incoming.alias("i")), on, "left")
-    rows = F.when(F.col(f"i.{key}").isNull() | same, F.array(kept())).otherwise(F.array(closed(), opened(True)))
-    touched = j.select(F.inline(rows))
-    # keys of the batch already present: a subset of the batch keys, so it is
-    # bounded by the size check above and can be broadcast as well
-    matched = current.select(key).join(F.broadcast(incoming.select(key)), key, "left_semi")
-    fresh = incoming.join(F.broadcast(matched), key, "left_anti").alias("i")
-    return touched.unionByName(fresh.select(F.inline(F.array(opened(False)))))
+    late = F.coalesce(side("c", current, "effective_date").cast("timestamp_ntz") >= ts_literal(as_of), F.lit(False))
+    rows = (
+        F.when(F.col(f"c.{key}").isNull(), F.array(opened))
+        .when(F.col(f"i.{key}").isNull() | same | late, F.array(kept))
+        .otherwise(F.array(closed, opened))
+    )
+    return j.select(F.inline(rows))
 
 
 def as_of_view(history: DataFrame, at: str) -> DataFrame:

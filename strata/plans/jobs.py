@@ -21,17 +21,19 @@ from strata.operators import control, marts
 from strata.operators.cleanse import cleanse
 from strata.operators.dedupe import latest_per_key
 from strata.operators.enrich import enrich_bronze
+from strata.operators.items import explode_items, item_features
 from strata.operators.evolution import compare_schemas, drift_events, reconcile
 from strata.operators.scd import (
     LOAD_COLUMNS,
     SCD2_COLUMNS,
-    check_not_late,
-    current_view,
+    late_rows,
     scd1_merge,
     scd2_initial,
     scd2_merge,
 )
-from strata.rules import CollectionSpec
+from strata.rules import AUDIT_COLUMNS, CollectionSpec
+from strata.session import path_exists, scratch_path
+from strata.sources.contracts import conform, contract
 from strata.sources.extract import effective_upper, incremental_extract, partition_scan
 from strata.sources.publish import (
     observed,
@@ -68,10 +70,17 @@ class Lake:
     def audit(self) -> str:
         return f"{self.root}/control/audit"
 
+    @property
+    def marks(self) -> str:
+        return f"{self.root}/control/marks"
+
     @property
     def drift(self) -> str:
         return f"{self.root}/control/schema_drift"
 
+    def late(self, name: str) -> str:
+        return f"{self.root}/late/{name}"
+
 
 @dataclass
 class RunResult:
@@ -97,11 +106,20 @@ def _append_audit(spark: SparkSession, lake: Lake, row: DataFrame) -> None:
     row.write.mode("append").parquet(lake.audit)
 
 
+def materialized(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written once to shared scratch, so the merge's passes over the
+    batch (drift, late rows, join) do not each cleanse it again."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def read_registry(spark: SparkSession, lake: Lake) -> DataFrame:
     reg = read_snapshot(spark, lake.registry)
     if reg is None:
         raise RuntimeError(f"no registry published under {lake.registry}")
-    return reg
+    marks = spark.read.schema(control.MARKS_SCHEMA).parquet(lake.marks) if path_exists(spark, lake.marks) else None
+    return control.with_marks(reg, marks)
 
 
 def init_registry(spark: SparkSession, lake: Lake, specs: list[CollectionSpec], as_of: str) -> str:
@@ -132,7 +150,7 @@ def run_bronze(
     run_id = new_run_id()
     start = _now()
     meta = _spec_row(spark, lake, spec.name)
-    last = lookback_from or meta["last_loaded_timestamp"].strftime("%Y-%m-%d %H:%M:%S")
+    last = lookback_from or str(meta["last_loaded_timestamp"])
     upper = effective_upper(upper, as_of)
     status, err, n, mark = "SUCCESS", None, 0, None
     try:
@@ -147,11 +165,10 @@ def run_bronze(
         metrics = obs.get
         n, mark = int(metrics["rows"]), metrics["mark"]
         if n > 0 and mark is not None:
-            new_mark = spark.createDataFrame([(mark,)], "mark timestamp_ntz")
-            reg = control.advance_watermark(read_registry(spark, lake), spec.name, new_mark, as_of)
-            publish_version(reg, lake.registry)
+            advance = [(spec.name, mark, run_id, _dt.datetime.fromisoformat(as_of))]
+            spark.createDataFrame(advance, control.MARKS_SCHEMA).write.mode("append").parquet(lake.marks)
     except Exception as exc:  # recorded, then re-raised
-        status, err = "FAILED", f"{type(exc).__name__}: {exc}"[:2000]
+        status, err = "FAILED", f"{type(exc).__name__}: {exc}"
         raise
     finally:
         _append_audit(
@@ -161,7 +178,7 @@ def run_bronze(
                 spark, run_id, spec.name, "bronze", start, _now(), status,
                 records_extracted=n, records_loaded=n if status == "SUCCESS" else 0,
                 watermark_start=last,
-                watermark_end=mark.strftime("%Y-%m-%d %H:%M:%S") if mark is not None else last,
+                watermark_end=str(mark) if mark is not None else last,
                 error_message=err, output_path=lake.bronze(spec.name),
             ),
         )
@@ -185,12 +202,53 @@ def align_with_drift_log(
 
 
 def silver_batch(spark: SparkSession, lake: Lake, spec: CollectionSpec, load_date: str) -> DataFrame:
-    """Cleansed, deduplicated, fingerprinted batch of one bronze load date."""
-    raw = partition_scan(spark, lake.bronze(spec.name), "load_date", load_date)
+    """Cleansed, deduplicated, fingerprinted batch of one bronze load date.
+
+    The runs of one date may differ in their columns, so schemas are merged.
+    """
+    raw = partition_scan(spark, lake.bronze(spec.name), "load_date", load_date, merge_schema=True)
+    return prepare_batch(raw, spec)
+
+
+def prepare_batch(raw: DataFrame, spec: CollectionSpec) -> DataFrame:
+    """Cleanse, latest row per key, fingerprint; orders with an ``items``
+    column get their item features beside it."""
     clean = cleanse(raw, spec.rules, spec.primary_key)
     clean = clean.drop(*[c for c in BRONZE_LINEAGE if c in clean.columns])
     latest = latest_per_key(clean, [spec.primary_key], [spec.watermark_column])
-    return add_fingerprint(latest)
+    stamped = add_fingerprint(latest, (*AUDIT_COLUMNS, *spec.fingerprint_exclude), spec.fingerprint_mode)
+    return item_features(stamped, keep_items=True) if "items" in stamped.columns else stamped
+
+
+def merge_batch(
+    spark: SparkSession, lake: Lake, spec: CollectionSpec, batch: DataFrame, load_date: str, as_of: str,
+    name: str = "silver-out",
+) -> int:
+    """Merge a prepared batch into the cleansed table and publish a version;
+    returns the rows of the published version.
+
+    Replaying a batch leaves the same rows.  SCD2 changes that are not after
+    the version they would close go to ``lake.late(...)``.
+    """
+    root = lake.silver(spec.name)
+    if spec.scd_type == 1:
+        existing = read_snapshot(spark, root)
+        if existing is not None:
+            existing, batch = align_with_drift_log(spark, lake, spec.name, existing, batch, as_of)
+        merged, obs = observed(scd1_merge(existing, batch, spec.primary_key, load_date, as_of), name)
+        publish_version(merged, root)
+    else:
+        current = read_scd2_current(spark, root)
+        if current is None:
+            merged = scd2_initial(batch, load_date, as_of, spec.primary_key)
+        else:
+            current, batch = align_with_drift_log(spark, lake, spec.name, current, batch, as_of)
+            late = late_rows(current, batch, spec.primary_key, as_of)
+            write_partition(late, lake.late(spec.name), {"load_date": load_date, "as_of": as_of.replace(" ", "T").replace(":", "")})
+            merged = scd2_merge(current, batch, spec.primary_key, load_date, as_of)
+        merged, obs = observed(merged, name)
+        publish_version(merged, root, partition_by=("is_current",))
+    return int(obs.get["rows"])
 
 
 def run_silver(
@@ -208,26 +266,10 @@ def run_silver(
     root = lake.silver(spec.name)
     try:
         batch, obs_in = observed(silver_batch(spark, lake, spec, load_date), f"silver-in-{run_id}")
-        if spec.scd_type == 1:
-            existing = read_snapshot(spark, root)
-            if existing is not None:
-                existing, batch = align_with_drift_log(spark, lake, spec.name, existing, batch, as_of)
-            merged = scd1_merge(existing, batch, spec.primary_key, load_date, as_of)
-            merged, obs_out = observed(merged, f"silver-out-{run_id}")
-            publish_version(merged, root)
-        else:
-            current = read_scd2_current(spark, root)
-            if current is None:
-                merged = scd2_initial(batch, load_date, as_of)
-            else:
-                check_not_late(current, as_of)
-                current, batch = align_with_drift_log(spark, lake, spec.name, current, batch, as_of)
-                merged = scd2_merge(current, batch, spec.primary_key, load_date, as_of)
-            merged, obs_out = observed(merged, f"silver-out-{run_id}")
-            publish_version(merged, root, partition_by=("is_current",))
-        n_in, n_out = int(obs_in.get["rows"]), int(obs_out.get["rows"])
+        n_out = merge_batch(spark, lake, spec, materialized(batch, f"silver-{spec.name}"), load_date, as_of, f"silver-out-{run_id}")
+        n_in = int(obs_in.get["rows"])
     except Exception as exc:
-        status, err = "FAILED", f"{type(exc).__name__}: {exc}"[:2000]
+        status, err = "FAILED", f"{type(exc).__name__}: {exc}"
         raise
     finally:
         _append_audit(
@@ -250,32 +292,42 @@ def run_gold(
 ) -> RunResult:
     """Build the three marts; one failing mart does not stop the others.
 
+    A mart sees the current rows of an SCD2 table only.  Order lines come
+    from the ``items`` of the cleansed orders unless a line table is given.
+
     Status: SUCCESS (all built), PARTIAL (some), FAILED (none).
     """
     run_id = new_run_id()
     start = _now()
 
-    def cur(name: str) -> DataFrame | None:
-        df = read_snapshot(spark, lake.silver(name))
-        if df is not None:
-            return df
-        df = read_scd2_current(spark, lake.silver(name))
-        return None if df is None else current_view(df)
+    def cur(name: str) -> DataFrame:
+        versioned = _spec_row(spark, lake, name)["scd_type"] == 2
+        df = (read_scd2_current if versioned else read_snapshot)(spark, lake.silver(name))
+        if df is None:
+            raise RuntimeError(f"{name} has not been published")
+        return df
+
+    def lines() -> DataFrame:
+        return explode_items(cur("orders")) if order_lines is None else order_lines
 
     builders = {
         "customer_sales_summary": lambda: marts.customer_sales_summary(cur("customers"), cur("orders"), as_of=as_of),
         "order_analytics": lambda: marts.order_analytics(cur("orders"), cur("customers"), as_of=as_of),
-        "top_products": lambda: marts.top_products(cur("products"), order_lines, cur("reviews"), as_of=as_of),
+        "top_products": lambda: marts.top_products(cur("products"), lines(), cur("reviews"), as_of=as_of),
     }
+
+    def shaped(name: str, mart: DataFrame) -> DataFrame:
+        return conform(mart, contract(f"gold_{name}")).drop("report_date")
+
     built, errors, rows = [], {}, 0
     for name, build in builders.items():
         try:
-            df, obs = observed(build(), f"gold-{name}-{run_id}")
+            df, obs = observed(shaped(name, build()), f"gold-{name}-{run_id}")
             write_partition(df, lake.gold(name), {"report_date": report_date})
             rows += int(obs.get["rows"])
             built.append(name)
         except Exception as exc:  # isolate marts
-            errors[name] = f"{type(exc).__name__}: {exc}"[:500]
+            errors[name] = f"{type(exc).__name__}: {exc}"
     status = "SUCCESS" if not errors else ("PARTIAL" if built else "FAILED")
     _append_audit(
         spark,

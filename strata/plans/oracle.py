@@ -89,8 +89,8 @@ ORDER_AGG = """
 ord_agg AS (
   SELECT customer_id,
          count(order_id) AS total_orders,
-         CAST(sum(CAST(round(total_amount * 100) AS BIGINT)) AS DOUBLE) / 100.0 AS total_revenue,
-         CAST(sum(CAST(round(total_amount * 100) AS BIGINT)) AS DOUBLE) / 100.0 / count(total_amount) AS avg_order_value,
+         CAST(sum(CAST(total_amount AS DECIMAL(38,6))) AS DOUBLE) AS total_revenue,
+         CAST(sum(CAST(total_amount AS DECIMAL(38,6))) AS DOUBLE) / count(total_amount) AS avg_order_value,
          min(created_at) AS first_order_date,
          max(created_at) AS last_order_date
   FROM ord
@@ -215,7 +215,7 @@ exploded AS (
 ),
 item_agg AS (
   SELECT product_id, CAST(sum(qty) AS BIGINT) AS total_units_sold,
-         CAST(sum(CAST(round(qty * unit_price * 100) AS BIGINT)) AS DOUBLE) / 100.0 AS total_revenue
+         CAST(sum(CAST(qty * unit_price AS DECIMAL(38,6))) AS DOUBLE) AS total_revenue
   FROM exploded GROUP BY product_id
 )"""
 
@@ -250,8 +250,8 @@ analytics AS (
          count(o.order_id) AS total_orders,
          count(*) FILTER (WHERE o.status = 'completed') AS completed_orders,
          count(*) FILTER (WHERE o.status = 'cancelled') AS cancelled_orders,
-         CAST(sum(CAST(round(o.total_amount * 100) AS BIGINT)) AS DOUBLE) / 100.0 AS total_revenue,
-         CAST(sum(CAST(round(o.total_amount * 100) AS BIGINT)) AS DOUBLE) / 100.0 / count(o.total_amount) AS avg_order_value,
+         CAST(sum(CAST(o.total_amount AS DECIMAL(38,6))) AS DOUBLE) AS total_revenue,
+         CAST(sum(CAST(o.total_amount AS DECIMAL(38,6))) AS DOUBLE) / count(o.total_amount) AS avg_order_value,
          CAST((20000 * count(*) FILTER (WHERE o.status = 'completed') + count(o.order_id))
               // (2 * count(o.order_id)) AS DOUBLE) / 10000.0 AS completion_rate
   FROM ord_snap o LEFT JOIN cust c ON o.customer_id = c.customer_id
@@ -426,12 +426,17 @@ SQL["scd2_as_of"] = _with(SCD2) + f"""
 SELECT * FROM scd2_full WHERE effective_date <= {_ts(B.AS_OF_BETWEEN)} AND {_ts(B.AS_OF_BETWEEN)} < expiry_date"""
 SQL["bronze_then_silver"] = SQL["scd2_merge"]
 
-SQL["schema_drift_events"] = """
-SELECT * FROM (VALUES
-  ('orders', 'ADD_COLUMN', 'channel', NULL, 'string'),
-  ('orders', 'DROP_COLUMN', 'currency', 'string', NULL),
-  ('orders', 'TYPE_CHANGE', 'customer_id', 'string', 'bigint')
-) t(collection_name, change_type, column_name, old_type, new_type)"""
+SQL["schema_drift_events"] = _with(BATCHES) + """
+SELECT 'orders' AS collection_name, t.*, false AS resolved, n.rows_affected FROM (VALUES
+  ('ADD_COLUMN', 'channel', NULL, 'string'),
+  ('DROP_COLUMN', 'currency', 'string', NULL),
+  ('TYPE_CHANGE', 'customer_id', 'string', 'bigint')
+) t(change_type, column_name, old_type, new_type)
+JOIN (
+  SELECT 'channel' AS c, count(*) AS rows_affected FROM b2 UNION ALL
+  SELECT 'currency', count(currency) FROM b1 UNION ALL
+  SELECT 'customer_id', count(CAST(customer_id AS BIGINT)) FROM b2
+) n ON n.c = t.column_name"""
 
 SQL["schema_reconcile"] = _with(BATCHES) + f"""
 SELECT {ORDER_LIST}, CAST(NULL AS VARCHAR) AS channel FROM b1
@@ -476,7 +481,7 @@ SQL["order_analytics"] = _with(CUSTOMERS, ORDERS, "\nord_snap AS (SELECT * FROM
 SQL["top_customers_latest"] = _with(CUSTOMERS, ORDERS, _ord_until(SNAPSHOT_CUTOFFS[-1])) + f"""
 , snap_agg AS (
   SELECT customer_id, count(order_id) AS total_orders,
-         CAST(sum(CAST(round(total_amount * 100) AS BIGINT)) AS DOUBLE) / 100.0 AS total_revenue
+         CAST(sum(CAST(total_amount AS DECIMAL(38,6))) AS DOUBLE) AS total_revenue
   FROM ord_snap WHERE status IN ('completed', 'delivered') GROUP BY customer_id
 )
 SELECT c.customer_id, coalesce(c.full_name, concat_ws(' ', c.first_name, c.last_name)) AS full_name, c.country,
@@ -490,7 +495,7 @@ LIMIT 10"""
 
 SQL["daily_order_trend"] = _with(CUSTOMERS, ORDERS, _ord_until(SNAPSHOT_CUTOFFS[-1]), ANALYTICS) + f"""
 SELECT order_date, CAST(sum(total_orders) AS BIGINT) AS orders,
-       CAST(sum(CAST(round(total_revenue * 100) AS BIGINT)) AS DOUBLE) / 100.0 AS revenue,
+       CAST(sum(CAST(total_revenue AS DECIMAL(38,6))) AS DOUBLE) AS revenue,
        {_half_up_mean("avg_order_value", 2)} AS aov
 FROM analytics
 WHERE order_date >= '{TREND_START}' AND order_date <= '{TREND_AS_OF}'
@@ -589,3 +594,35 @@ SQL["order_item_features_json"] = _with(EVENT_ITEMS) + """
 SELECT order_id, CAST(count(product_id) AS INTEGER) AS items_count,
        CAST(coalesce(sum(qty), 0) AS INTEGER) AS total_items_qty
 FROM ev_items GROUP BY order_id"""
+
+SQL["gold_after_scd2_change"] = _with(CUSTOMERS, ORDERS, ORDER_AGG) + """
+SELECT c.customer_id, c.full_name,
+       CASE WHEN c.status = 'building' THEN 'new.' || c.email ELSE c.email END AS email, c.country,
+       coalesce(a.total_orders, 0) AS total_orders,
+       coalesce(a.total_revenue, CAST(0 AS DOUBLE)) AS total_revenue,
+       coalesce(a.avg_order_value, CAST(0 AS DOUBLE)) AS avg_order_value,
+       a.first_order_date, a.last_order_date
+FROM cust c LEFT JOIN ord_agg a ON c.customer_id = a.customer_id"""
+
+SQL["gold_from_silver_items"] = _with(EVENT_ITEMS, PRODUCTS, REVIEWS) + """
+SELECT p.product_id, p.name AS product_name, CAST(coalesce(i.units, 0) AS BIGINT) AS total_units_sold,
+       coalesce(i.revenue, CAST(0 AS DOUBLE)) AS total_revenue, CAST(coalesce(r.review_count, 0) AS BIGINT) AS review_count
+FROM prod p
+LEFT JOIN (
+  SELECT product_id, sum(qty) AS units, CAST(sum(CAST(qty * unit_price AS DECIMAL(38,6))) AS DOUBLE) AS revenue
+  FROM ev_items GROUP BY product_id) i ON i.product_id = p.product_id
+LEFT JOIN rev_agg r ON r.product_id = p.product_id"""
+
+SQL["scd2_history_after_drift"] = _with(BATCHES) + """
+SELECT b1.order_id, b1.status, CAST(b1.order_id AS BIGINT) AS pieces, CAST(NULL AS VARCHAR) AS channel,
+       CAST(1 AS INTEGER) AS version_number, b2.order_id IS NULL AS is_current
+FROM b1 LEFT JOIN b2 ON b1.order_id = b2.order_id
+UNION ALL
+SELECT b2.order_id, b2.status, CAST(b2.order_id AS BIGINT), 'web',
+       CAST(CASE WHEN b1.order_id IS NULL THEN 1 ELSE 2 END AS INTEGER), true
+FROM b2 LEFT JOIN b1 ON b1.order_id = b2.order_id"""
+
+SQL["silver_batch_mixed_runs"] = _with(ORDERS) + f"""
+SELECT order_id, status, total_amount, CASE WHEN updated_at > {_ts(B.BATCH1_UPPER)} THEN 'web' END AS channel FROM ord"""
+
+SQL["silver_rerun"] = SQL["scd2_merge"]

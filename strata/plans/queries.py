@@ -18,7 +18,7 @@ from strata.operators import control, items, marts, reports, scd
 from strata.operators.cleanse import add_derived, cleanse, clean_columns, drop_missing_required
 from strata.operators.dedupe import any_per_key, latest_per_key
 from strata.operators.enrich import enrich_bronze
-from strata.operators.evolution import drift_events, reconcile
+from strata.operators.evolution import affected_rows, drift_events, reconcile
 from strata.plans import business as B
 from strata.plans import jobs
 from strata.plans.oracle import (
@@ -246,8 +246,17 @@ def _drifted_batch(spark: SparkSession, d: str) -> DataFrame:
 
 @query
 def schema_drift_events(spark: SparkSession, d: str) -> DataFrame:
+    """Drift between two written batches, with the rows each change concerns."""
+    root = scratch_path(spark, "drift")
     b1, _ = B.order_batches(spark, d)
-    return drift_events(spark, "orders", b1.schema, _drifted_batch(spark, d).schema)
+    b1.write.parquet(f"{root}/old")
+    _drifted_batch(spark, d).write.parquet(f"{root}/new")
+    old, new = spark.read.parquet(f"{root}/old"), spark.read.parquet(f"{root}/new")
+    events = drift_events(spark, "orders", old.schema, new.schema)
+    columns = sorted({*old.columns, *new.columns})
+    return affected_rows(events, old, new, columns).select(
+        "collection_name", "change_type", "column_name", "old_type", "new_type", "resolved", "rows_affected"
+    )
 
 
 @query
@@ -317,12 +326,13 @@ def customer_sales_summary(spark: SparkSession, d: str) -> DataFrame:
 
 @query
 def rank_in_category(spark: SparkSession, d: str) -> DataFrame:
-    return marts.rank_in_category(B.products(spark, d), _exploded(spark, d))
+    return marts.rank_in_category(B.products(spark, d), items.lines_of(B.orders(spark, d), B.order_lines(spark, d)))
 
 
 @query
 def top_products(spark: SparkSession, d: str) -> DataFrame:
-    return marts.top_products(B.products(spark, d), _exploded(spark, d), B.reviews(spark, d))
+    lines = items.lines_of(B.orders(spark, d), B.order_lines(spark, d))
+    return marts.top_products(B.products(spark, d), lines, B.reviews(spark, d))
 
 
 @query
@@ -438,3 +448,86 @@ def bronze_then_silver(spark: SparkSession, d: str) -> DataFrame:
     )
     jobs.run_silver(spark, lake, spec, B.LOAD2[0], B.LOAD2[1])
     return read_scd2_full(spark, lake.silver("orders"))
+
+
+# --------------------------------------------------------------------------
+# jobs: gold after changes, drifted history, replays
+# --------------------------------------------------------------------------
+
+def _loaded(spark: SparkSession, lake: jobs.Lake, spec: CollectionSpec, source: DataFrame, load: tuple[str, str]) -> None:
+    jobs.run_bronze(spark, lake, spec, source, load[0], load[1], load[1], lookback_from=B.EPOCH)
+    jobs.run_silver(spark, lake, spec, load[0], load[1])
+
+
+@query
+def gold_after_scd2_change(spark: SparkSession, d: str) -> DataFrame:
+    """The customer mart after some customers changed their e-mail: one row
+    per customer, with the new address and unchanged totals."""
+    lake = jobs.Lake(scratch_path(spark, "lake"))
+    jobs.init_registry(spark, lake, list(COLLECTIONS.values()), B.LOAD1[1])
+    before = B.customers_raw(spark, d).withColumn("updated_at", F.lit("2023-06-01 00:00:00").cast("timestamp_ntz"))
+    moved = F.when(F.col("status") == "BUILDING", F.concat(F.lit("new."), F.trim("email"))).otherwise(F.col("email"))
+    after = before.withColumn("email", moved).withColumn("updated_at", F.lit("2024-01-15 00:00:00").cast("timestamp_ntz"))
+    _loaded(spark, lake, COLLECTIONS["orders"], B.orders_source(spark, d), B.LOAD1)
+    _loaded(spark, lake, COLLECTIONS["customers"], before, B.LOAD1)
+    _loaded(spark, lake, COLLECTIONS["customers"], after, B.LOAD2)
+    jobs.run_gold(spark, lake, B.LOAD2[0], B.LOAD2[1])
+    mart = read_latest_partition(spark, lake.gold("customer_sales_summary"), "report_date")
+    return mart.drop("report_date", "pipeline_load_ts", "customer_segment", "lifetime_value_tier")
+
+
+@query
+def gold_from_silver_items(spark: SparkSession, d: str) -> DataFrame:
+    """The product mart with its lines taken from the items of cleansed orders."""
+    lake = jobs.Lake(scratch_path(spark, "lake"))
+    jobs.init_registry(spark, lake, list(COLLECTIONS.values()), B.LOAD1[1])
+    when = F.lit("2024-01-01 00:00:00").cast("timestamp_ntz")
+    documents = B.event_order_docs_json(spark, d).select(
+        "order_id", F.lit("1").alias("customer_id"), F.lit("completed").alias("status"),
+        F.lit(1.0).alias("total_amount"), when.alias("created_at"), when.alias("updated_at"), "items",
+    )
+    _loaded(spark, lake, COLLECTIONS["orders"], documents, B.LOAD1)
+    _loaded(spark, lake, COLLECTIONS["products"], B.products_raw(spark, d), B.LOAD1)
+    _loaded(spark, lake, COLLECTIONS["reviews"], B.reviews_raw(spark, d), B.LOAD2)
+    jobs.run_gold(spark, lake, B.LOAD2[0], B.LOAD2[1])
+    mart = read_latest_partition(spark, lake.gold("top_products"), "report_date")
+    return mart.select("product_id", "product_name", "total_units_sold", "total_revenue", "review_count")
+
+
+@query
+def scd2_history_after_drift(spark: SparkSession, d: str) -> DataFrame:
+    """History over a batch that adds a column and widens another."""
+    lake = jobs.Lake(scratch_path(spark, "lake"))
+    spec = CollectionSpec("orders", ORDERS_PK, "updated_at", 2, COLLECTIONS["orders"].rules)
+    b1, b2 = B.order_batches(spark, d)
+    pieces = F.col("order_id").cast("int")
+    jobs.merge_batch(spark, lake, spec, jobs.prepare_batch(b1.withColumn("pieces", pieces), spec), *B.LOAD1)
+    drifted = b2.withColumn("pieces", pieces.cast("long")).withColumn("channel", F.lit("web"))
+    jobs.merge_batch(spark, lake, spec, jobs.prepare_batch(drifted, spec), *B.LOAD2)
+    full = read_scd2_full(spark, lake.silver("orders"))
+    return full.select("order_id", "status", "pieces", "channel", "version_number", "is_current")
+
+
+@query
+def silver_batch_mixed_runs(spark: SparkSession, d: str) -> DataFrame:
+    """One load date with two runs, the second of which has one more column."""
+    lake = jobs.Lake(scratch_path(spark, "lake"))
+    spec = COLLECTIONS["orders"]
+    jobs.init_registry(spark, lake, [spec], B.LOAD1[1])
+    source = B.orders_source(spark, d)
+    jobs.run_bronze(spark, lake, spec, source, B.LOAD1[0], B.BATCH1_UPPER, B.LOAD1[1])
+    wider = source.withColumn("channel", F.lit("web"))
+    jobs.run_bronze(spark, lake, spec, wider, B.LOAD1[0], B.BATCH2_UPPER, B.LOAD1[1])
+    return jobs.silver_batch(spark, lake, spec, B.LOAD1[0]).select("order_id", "status", "total_amount", "channel")
+
+
+@query
+def silver_rerun(spark: SparkSession, d: str) -> DataFrame:
+    """Both loads merged, the second one twice: a replay changes nothing."""
+    lake = jobs.Lake(scratch_path(spark, "lake"))
+    spec = CollectionSpec("orders", ORDERS_PK, "updated_at", 2, COLLECTIONS["orders"].rules)
+    b1, b2 = (jobs.prepare_batch(b, spec) for b in B.order_batches(spark, d))
+    jobs.merge_batch(spark, lake, spec, b1, *B.LOAD1)
+    for _ in range(2):
+        jobs.merge_batch(spark, lake, spec, b2, *B.LOAD2)
+    return read_scd2_full(spark, lake.silver("orders"))

@@ -47,6 +47,9 @@ class CollectionSpec:
     scd_type: int
     rules: CleanseRules = field(default_factory=CleanseRules)
     source_database: str = "enterprise_db"
+    # Row fingerprint: its encoding and columns that do not count as a change.
+    fingerprint_mode: str = "compat"
+    fingerprint_exclude: tuple[str, ...] = ()
 
     def __post_init__(self) -> None:
         if self.scd_type not in (1, 2):

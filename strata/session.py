@@ -1,8 +1,9 @@
-"""Session helpers: shared scratch location and Hadoop file-system probes.
+"""Session helpers: shared scratch location and file-system probes.
 
 Intermediate tables and checkpoints always go under the folder the cluster
-names in ``spark.checkpoint.dir``.  Only when it is unset (local runs and
-tests) a fresh local folder is set as the checkpoint directory.
+names in ``spark.checkpoint.dir``.  Only when it is unset on a local master
+(tests) a fresh local folder is set as the checkpoint directory; on a cluster
+that is an error, as a local folder would not be shared.
 """
 
 from __future__ import annotations
@@ -19,6 +20,8 @@ def checkpoint_root(spark: SparkSession) -> str:
     current = sc.getCheckpointDir()
     if not current:
         configured = spark.conf.get("spark.checkpoint.dir", None)
+        if not configured and not sc.master.startswith("local[") and sc.master != "local":
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         sc.setCheckpointDir(configured or tempfile.mkdtemp(prefix="strata-ckpt-"))
         current = sc.getCheckpointDir()
     return current.rstrip("/")
@@ -54,26 +57,3 @@ def glob_paths(spark: SparkSession, pattern: str) -> list[str]:
     fs, jpath = _fs_and_path(spark, pattern)
     found = fs.globStatus(jpath)
     return [] if found is None else sorted(st.getPath().toString() for st in found)
-
-
-def write_marker(spark: SparkSession, path: str, text: str = "") -> None:
-    """Create (or replace) a small marker file through the Hadoop API."""
-    fs, jpath = _fs_and_path(spark, path)
-    out = fs.create(jpath, True)
-    try:
-        out.write(bytearray(text.encode("utf-8")))
-    finally:
-        out.close()
-
-
-def read_marker(spark: SparkSession, path: str) -> str | None:
-    fs, jpath = _fs_and_path(spark, path)
-    if not fs.exists(jpath):
-        return None
-    stream = fs.open(jpath)
-    try:
-        jvm = spark.sparkContext._jvm
-        data = jvm.org.apache.commons.io.IOUtils.toByteArray(stream)
-        return bytes(data).decode("utf-8")
-    finally:
-        stream.close()

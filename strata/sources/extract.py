@@ -13,11 +13,6 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
 
-def read_source(spark: SparkSession, fmt: str, path: str | None = None, **options: str) -> DataFrame:
-    reader = spark.read.format(fmt).options(**options)
-    return reader.load(path) if path is not None else reader.load()
-
-
 def watermark_window(column: str, last: str, upper: str, ts_type: str = "timestamp_ntz"):
     """Half-open window ``last < column <= upper``."""
     c = F.col(column)
@@ -36,9 +31,8 @@ def effective_upper(requested: str, as_of: str, safety_lag_seconds: int = 0) ->
     would move the mark past rows that are still being written."""
     from datetime import datetime, timedelta
 
-    fmt = "%Y-%m-%d %H:%M:%S"
-    cap = datetime.strptime(as_of, fmt) - timedelta(seconds=safety_lag_seconds)
-    return min(datetime.strptime(requested, fmt), cap).strftime(fmt)
+    cap = datetime.fromisoformat(as_of) - timedelta(seconds=safety_lag_seconds)
+    return str(min(datetime.fromisoformat(requested), cap))
 
 
 def partition_scan(spark: SparkSession, root: str, column: str, value: str, merge_schema: bool = False) -> DataFrame:
@@ -53,23 +47,14 @@ def partition_scan(spark: SparkSession, root: str, column: str, value: str, merg
     reader = spark.read.option("basePath", root)
     if merge_schema:
         reader = reader.option("mergeSchema", "true")
-    inferred = reader.parquet(path)
-    data_cols = set(_file_columns(inferred))
-    schema = StructType(
-        [f if f.name in data_cols else StructField(f.name, StringType(), True) for f in inferred.schema.fields]
-    )
+    inferred = reader.parquet(path).schema
+    # what the files hold, read without the directory names
+    stored = spark.read.option("mergeSchema", str(merge_schema).lower()).option("recursiveFileLookup", "true")
+    in_files = set(stored.parquet(path).columns)
+    schema = StructType([f if f.name in in_files else StructField(f.name, StringType(), True) for f in inferred.fields])
     return reader.schema(schema).parquet(path)
 
 
-def _file_columns(df: DataFrame) -> list[str]:
-    """Columns stored in the files (not derived from directory names)."""
-    try:
-        rel = df._jdf.queryExecution().analyzed().collectLeaves().head().relation()
-        return [f.name() for f in rel.dataSchema().fields()]
-    except Exception:  # noqa: BLE001 - fall back to every column being a data column
-        return list(df.columns)
-
-
 def merged_scan(spark: SparkSession, root: str, partition_column: str | None = None) -> DataFrame:
     """Read a dataset whose files carry different (compatible) schemas: missing
     columns come back as NULL.  Schema merging is enabled per read only."""

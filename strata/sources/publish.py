@@ -20,8 +20,9 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import BooleanType, DataType, StringType, StructField, StructType
+from pyspark.sql.types import BooleanType, StringType, StructField, StructType
 
+from strata.operators.evolution import reconcile
 from strata.session import glob_paths, list_dirs, path_exists
 
 VERSION_COL = "version"
@@ -47,24 +48,6 @@ def write_partition(
     return root + "".join(f"/{k}={v}" for k, v in partition_values.items())
 
 
-def read_partitioned(
-    spark: SparkSession,
-    root: str,
-    string_partitions: Sequence[str],
-    typed_partitions: Mapping[str, DataType] | None = None,
-) -> DataFrame:
-    """Scan a partitioned dataset with explicit partition column types.
-
-    ``string_partitions`` stay STRING (no DATE/INT inference); other partition
-    columns can be typed explicitly (partition discovery never infers
-    BOOLEAN, e.g. ``is_current=true``)."""
-    typed = dict(typed_partitions or {})
-    typed.update({c: StringType() for c in string_partitions})
-    inferred = spark.read.parquet(root).schema
-    schema = StructType([StructField(f.name, typed[f.name], True) if f.name in typed else f for f in inferred.fields])
-    return spark.read.schema(schema).parquet(root)
-
-
 def partition_values(spark: SparkSession, root: str, column: str) -> list[str]:
     """Values of a top-level ``column=value`` partition, from one directory
     listing (no data files are opened)."""
@@ -131,12 +114,28 @@ def publish_version(
 def _read_dirs(spark: SparkSession, root: str, paths: Sequence[str]) -> DataFrame:
     """Read only ``paths`` below ``root``; partition columns from directory
     names are kept (``basePath``) and typed: version STRING, is_current
-    BOOLEAN.  Nothing else under ``root`` is listed."""
+    BOOLEAN.  Nothing else under ``root`` is listed.
+
+    Every path is read with the schema it was written with; older ones are
+    cast up and padded to the newest (columns added or widened since).
+    """
     reader = spark.read.option("basePath", root)
-    inferred = reader.parquet(*paths).schema
     typed = {VERSION_COL: StringType(), "is_current": BooleanType()}
-    schema = StructType([StructField(f.name, typed[f.name], True) if f.name in typed else f for f in inferred.fields])
-    return reader.schema(schema).parquet(*paths)
+    by_schema: dict[str, tuple[StructType, list[str]]] = {}
+    for path in paths:
+        inferred = reader.parquet(path).schema
+        schema = StructType([StructField(f.name, typed.get(f.name, f.dataType), True) for f in inferred.fields])
+        by_schema.setdefault(schema.json(), (schema, []))[1].append(path)
+    out: DataFrame | None = None
+    for schema, same in by_schema.values():
+        part = reader.schema(schema).parquet(*same)
+        if out is None:
+            out = part
+        else:
+            older, newer = reconcile(out, part)
+            out = older.unionByName(newer)
+    assert out is not None
+    return out
 
 
 def read_snapshot(spark: SparkSession, root: str) -> DataFrame | None:

@@ -19,37 +19,22 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
-from strata.functions.fingerprint import add_fingerprint
-from strata.operators.cleanse import cleanse
-from strata.operators.dedupe import latest_per_key
-from strata.operators.scd import check_not_late, scd1_merge, scd2_initial, scd2_merge
+from strata.plans.jobs import Lake, materialized, merge_batch, prepare_batch
 from strata.rules import CollectionSpec
-from strata.sources.publish import publish_version, read_scd2_current, read_snapshot
 
 
 def merge_micro_batch(
     batch: DataFrame,
     spec: CollectionSpec,
-    table_root: str,
+    lake: Lake,
     load_date: str,
     as_of: str,
 ) -> None:
-    """Cleanse, deduplicate, fingerprint and merge one micro-batch into the
-    cleansed table, publishing a new version."""
-    spark = batch.sparkSession
-    clean = cleanse(batch, spec.rules, spec.primary_key)
-    latest = add_fingerprint(latest_per_key(clean, [spec.primary_key], [spec.watermark_column]))
-    if spec.scd_type == 1:
-        merged = scd1_merge(read_snapshot(spark, table_root), latest, spec.primary_key, load_date, as_of)
-        publish_version(merged, table_root)
-    else:
-        current = read_scd2_current(spark, table_root)
-        if current is None:
-            merged = scd2_initial(latest, load_date, as_of)
-        else:
-            check_not_late(current, as_of)
-            merged = scd2_merge(current, latest, spec.primary_key, load_date, as_of)
-        publish_version(merged, table_root, partition_by=("is_current",))
+    """Prepare one micro-batch as the batch job does and merge it: drift is
+    logged and aligned, late changes go to the side output, and a micro-batch
+    that is delivered again changes nothing."""
+    ready = materialized(prepare_batch(batch, spec), f"stream-{spec.name}")
+    merge_batch(batch.sparkSession, lake, spec, ready, load_date, as_of)
 
 
 def stream_into_silver(
@@ -57,14 +42,14 @@ def stream_into_silver(
     source_path: str,
     schema: StructType,
     spec: CollectionSpec,
-    table_root: str,
+    lake: Lake,
     checkpoint: str,
     clock: Callable[[], tuple[str, str]],
     fmt: str = "parquet",
     max_files_per_trigger: int | None = None,
 ) -> StreamingQuery:
     """Start an ``AvailableNow`` stream from ``source_path`` into the cleansed
-    table ``table_root``.  ``clock()`` returns ``(load_date, as_of)`` for each
+    table of ``lake``.  ``clock()`` returns ``(load_date, as_of)`` for each
     micro-batch (processing time, passed explicitly)."""
     reader = spark.readStream.schema(schema).format(fmt)
     if max_files_per_trigger:
@@ -73,7 +58,7 @@ def stream_into_silver(
 
     def handle(batch: DataFrame, batch_id: int) -> None:
         load_date, as_of = clock()
-        merge_micro_batch(batch, spec, table_root, load_date, as_of)
+        merge_micro_batch(batch, spec, lake, load_date, as_of)
 
     return (
         stream.writeStream.foreachBatch(handle)

@@ -1,6 +1,6 @@
 from pyspark.sql import types as T
 
-from strata.operators.evolution import ADD, DROP, RETYPE, compare_schemas, drift_events, handle_drift, reconcile, widen
+from strata.operators.evolution import ADD, DROP, RETYPE, affected_rows, compare_schemas, drift_events, reconcile, widen
 
 
 def test_compare_schemas():
@@ -45,6 +45,12 @@ def test_drift_events_and_first_load(spark):
     new = T.StructType.fromDDL("a int, b string")
     ev = drift_events(spark, "orders", old, new, "2024-01-01 00:00:00").collect()
     assert [(e.change_type, e.column_name, e.new_type) for e in ev] == [(ADD, "b", "string")]
-    inc = spark.createDataFrame([(1,)], "a int")
-    ex, out, events = handle_drift(spark, "orders", None, inc)
-    assert ex is None and out is inc and events.count() == 0
+    assert not ev[0].resolved and "integer" in ev[0].old_schema and "string" in ev[0].new_schema
+
+
+def test_affected_rows(spark):
+    old = spark.createDataFrame([(1, "x"), (2, None)], "a int, gone string")
+    new = spark.createDataFrame([(1, "p"), (2, "q"), (None, None)], "a bigint, b string")
+    events = drift_events(spark, "t", old.schema, new.schema)
+    got = {r.column_name: r.rows_affected for r in affected_rows(events, old, new, ["a", "b", "gone"]).collect()}
+    assert got == {"a": 2, "b": 2, "gone": 1}

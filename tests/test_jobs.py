@@ -9,7 +9,7 @@ from strata.plans import jobs
 from strata.sources.extract import partition_scan
 from strata.rules import COLLECTIONS
 from strata.session import scratch_path
-from strata.sources.publish import read_scd2_current, read_snapshot
+from strata.sources.publish import read_scd2_current, read_scd2_full, read_snapshot
 
 SF = "/root/testdata/sf0.001"
 
@@ -130,3 +130,49 @@ def test_scd2_silver_with_drift(spark):
     assert current.where("version_number = 2 AND tier = 'gold'").count() == current.count()
     events = [(r.change_type, r.column_name) for r in spark.read.parquet(lake.drift).collect()]
     assert events == [("ADD_COLUMN", "tier")]
+
+
+def test_fractional_mark_is_not_extracted_again(spark):
+    lake = jobs.Lake(scratch_path(spark, "e2e-frac"))
+    spec = COLLECTIONS["orders"]
+    jobs.init_registry(spark, lake, [spec], B.LOAD1[1])
+    src = B.orders_source(spark, SF, 1).limit(1).withColumn("updated_at", F.lit("2000-01-01 10:00:00.500001").cast("timestamp_ntz"))
+    counts = [jobs.run_bronze(spark, lake, spec, src, B.LOAD1[0], B.LOAD1[1], B.LOAD1[1]).records_loaded for _ in range(2)]
+    assert counts == [1, 0]
+
+
+def test_interleaved_advances_both_survive(spark):
+    from strata.operators import control
+
+    lake = jobs.Lake(scratch_path(spark, "e2e-marks"))
+    jobs.init_registry(spark, lake, list(COLLECTIONS.values()), B.LOAD1[1])
+    for name, at in (("orders", "2000-01-01"), ("reviews", "2001-01-01"), ("orders", "1999-01-01")):
+        row = [(name, datetime.fromisoformat(at), "run", datetime(2024, 1, 1))]
+        spark.createDataFrame(row, control.MARKS_SCHEMA).write.mode("append").parquet(lake.marks)
+    marks = {r.collection_name: r.last_loaded_timestamp for r in jobs.read_registry(spark, lake).collect()}
+    assert marks["orders"] == datetime(2000, 1, 1) and marks["reviews"] == datetime(2001, 1, 1)
+    assert marks["customers"] == datetime(1970, 1, 1)
+
+
+def test_silver_run_twice_is_a_no_op(spark):
+    lake = jobs.Lake(scratch_path(spark, "e2e-twice"))
+    spec = COLLECTIONS["customers"]
+    jobs.init_registry(spark, lake, [spec], B.LOAD1[1])
+    src = B.customers_raw(spark, SF).withColumn("updated_at", F.lit("2023-06-01 00:00:00").cast("timestamp_ntz"))
+    jobs.run_bronze(spark, lake, spec, src, B.LOAD1[0], "2023-12-31 23:59:59", B.LOAD1[1])
+    seen = []
+    for _ in range(2):
+        jobs.run_silver(spark, lake, spec, B.LOAD1[0], B.LOAD1[1])
+        full = read_scd2_full(spark, lake.silver("customers"))
+        seen.append(sorted(map(repr, full.collect())))
+    assert seen[0] == seen[1]
+
+
+def test_orders_get_item_features(spark):
+    spec = COLLECTIONS["orders"]
+    raw = B.event_order_docs_json(spark, SF).select(
+        "order_id", F.lit("1").alias("customer_id"), F.lit("2024-01-01 00:00:00").cast("timestamp_ntz").alias("updated_at"), "items"
+    )
+    out = jobs.prepare_batch(raw, spec)
+    assert {"items", "items_count", "total_items_qty"} <= set(out.columns)
+    assert out.where("items_count = 2").count() > 0

@@ -3,6 +3,8 @@
 import pytest
 
 import __spark_entry__ as E
+from strata.operators import marts
+from strata.plans.queries import QUERIES
 
 SF = "/root/testdata/sf0.001"
 
@@ -26,9 +28,27 @@ def test_item_explosion_has_no_outer_join(spark):
     assert "LeftOuter" not in plan and "RightOuter" not in plan and "FullOuter" not in plan
 
 
-def test_small_batch_scd2_merge_never_shuffles_current(spark):
-    plan = _plan(spark, "scd2_merge")
-    assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
+def test_scd2_merge_reads_each_side_once(spark):
+    out = E.queries()["scd2_merge"](spark, SF)
+    optimized = out._jdf.queryExecution().optimizedPlan().toString()
+    assert optimized.count("Join FullOuter") == 1 and "hint" not in optimized
+
+
+def test_order_analytics_shuffles_orders_once(spark):
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    try:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        orders = spark.range(9).selectExpr(
+            "string(id) order_id", "string(id % 2) customer_id", "'completed' status", "1.0D total_amount",
+            "timestamp_ntz'2024-01-01 00:00:00' created_at",
+        )
+        customers = spark.range(2).selectExpr("string(id) customer_id", "'DE' country")
+        plan = marts.order_analytics(orders, customers)._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+    # orders and customers to the join, then the map-side sums
+    assert plan.count("Exchange hashpartitioning") == 3
+    assert plan.count("partial_") >= 1
 
 
 def test_watermark_window_reaches_the_scan(spark):
@@ -43,7 +63,7 @@ def test_scans_are_column_pruned(spark):
 
 
 def test_no_cross_or_nested_loop_joins(spark):
-    for key, fn in E.queries().items():
+    for key, fn in QUERIES.items():
         plan = fn(spark, SF)._jdf.queryExecution().executedPlan().toString()
         assert "NestedLoopJoin" not in plan and "CartesianProduct" not in plan, key
 

@@ -1,5 +1,8 @@
 from strata.operators import reports
-from strata.operators.rank import rank_within, rank_within_skew_safe
+from pyspark.sql import Window
+from pyspark.sql import functions as F
+
+from strata.operators.rank import rank_within_skew_safe
 
 SUMMARY = "customer_id string, full_name string, country string, total_orders long, total_revenue double, lifetime_value_tier string, report_date string"
 
@@ -43,11 +46,21 @@ def test_skew_safe_rank_equals_window_rank(spark):
         "CAST(id % 97 AS DOUBLE) AS v",
         "id",
     )
-    a = rank_within(df, "g", "v", "r").select("id", "r").collect()
-    b = rank_within_skew_safe(df, "g", "v", "r", buckets=7, window_limit=100).select("id", "r").collect()
-    assert sorted(map(tuple, a)) == sorted(map(tuple, b))
-    c = rank_within_skew_safe(df, "g", "v", "r").select("id", "r").collect()  # small groups: window path
-    assert sorted(map(tuple, a)) == sorted(map(tuple, c))
+    w = Window.partitionBy("g").orderBy(F.col("v").desc())
+    a = sorted(map(tuple, df.select("id", F.rank().over(w)).collect()))
+    for parts in (1, 7, None):
+        b = rank_within_skew_safe(df, "g", "v", "r", parts)
+        assert sorted(map(tuple, b.select("id", "r").collect())) == a
+
+
+def test_rank_of_any_orderable_type(spark):
+    df = spark.createDataFrame(
+        [("a", "x", float("nan")), ("a", "y", 1.0), ("a", None, None), ("b", "y", -0.0), ("b", "y", 0.0)], "g string, s string, f double"
+    )
+    for c in ("s", "f"):
+        w = Window.partitionBy("g").orderBy(F.col(c).desc())
+        want = sorted(map(repr, df.withColumn("r", F.rank().over(w)).collect()))
+        assert sorted(map(repr, rank_within_skew_safe(df, "g", c, "r", 3).collect())) == want
 
 
 def test_latest_partition_reader(spark):

@@ -158,9 +158,9 @@ def test_merge_handles_new_column(spark):
     assert "tier" in out.columns and out.count() == 2
 
 
-def test_shuffle_merge_is_one_join(spark):
+def test_merge_is_one_join(spark):
     current = scd.scd2_initial(batch(spark, [("1", "a", "x")]), "d", T1)
-    out = scd.scd2_merge(current, batch(spark, [("1", "b", "x")]), "id", "d2", T2, strategy="shuffle")
+    out = scd.scd2_merge(current, batch(spark, [("1", "b", "x")]), "id", "d2", T2)
     plan = out._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("Join") == 1
 
@@ -172,68 +172,24 @@ def test_version_numbers_increase(spark, n):
     assert sorted(r.version_number for r in full.collect()) == list(range(1, n + 2))
 
 
-def test_strategies_agree(spark):
-    cur = scd.scd2_initial(batch(spark, [("1", "a", "x"), ("2", "b", "y"), ("3", "c", "z")]), "d", T1)
-    inc = batch(spark, [("1", "a", "x"), ("2", "B", "y"), ("4", "d", "w")])
-    res = {
-        s: sorted(tuple(r) for r in scd.scd2_merge(cur, inc, "id", "d2", T2, strategy=s).collect())
-        for s in ("shuffle", "broadcast", "auto")
-    }
-    assert res["shuffle"] == res["broadcast"] == res["auto"]
-    assert len(res["shuffle"]) == 5
-
-
-def test_broadcast_strategy_does_not_shuffle_current(spark):
-    cur = scd.scd2_initial(batch(spark, [("1", "a", "x")]), "d", T1)
-    out = scd.scd2_merge(cur, batch(spark, [("1", "b", "x")]), "id", "d2", T2, strategy="broadcast")
-    plan = out._jdf.queryExecution().executedPlan().toString()
-    assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
-
-
-def test_late_batch_rejected(spark):
-    cur = scd.scd2_initial(batch(spark, [("1", "a", "x")]), "d", T2)
-    with pytest.raises(ValueError, match="late batch"):
-        scd.check_not_late(cur, T1)
-    scd.check_not_late(cur, T3)  # a later batch is fine
-
-
-def test_broadcast_limit_follows_session(spark):
-    df = batch(spark, [("1", "a", "x")])
-    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
-    try:
-        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "50MB")
-        assert scd._broadcast_limit(df) == 50 * 1024 * 1024
-        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
-        out = scd.scd2_merge(scd.scd2_initial(df, "d", T1), df, "id", "d2", T2)  # auto -> shuffle
-        assert "SortMergeJoin" in out._jdf.queryExecution().executedPlan().toString()
-    finally:
-        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
-
-
-def test_auto_picks_broadcast_only_for_a_measured_small_batch(spark):
-    from strata.session import scratch_path
-
-    cur = scd.scd2_initial(batch(spark, [("1", "a", "x")]), "d", T1)
-    # an in-memory frame has no size statistics: unknown size, no broadcast
-    unknown = scd.scd2_merge(cur, batch(spark, [("1", "b", "x")]), "id", "d2", T2)
-    assert "SortMergeJoin" in unknown._jdf.queryExecution().executedPlan().toString()
-    # the same batch read from files has a measured size within the threshold
-    path = scratch_path(spark, "small-batch")
-    batch(spark, [("1", "b", "x")]).write.parquet(path)
-    small = spark.read.parquet(path)
-    assert 0 < scd.estimated_bytes(small) < 10 * 1024 * 1024
-    out = scd.scd2_merge(cur, small, "id", "d2", T2)
-    plan = out._jdf.queryExecution().executedPlan().toString()
-    assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
-
-
-def test_change_detection_strategies_agree(spark):
-    cur = scd.scd2_initial(batch(spark, [("1", "a", "x"), ("2", "b", "y")]), "d", T1)
-    inc = batch(spark, [("1", "a", "x"), ("2", "B", "y"), ("3", "c", "z")])
-    got = {
-        s: sorted(tuple(r) for r in scd.change_detection(cur, inc, "id", strategy=s).collect())
-        for s in ("shuffle", "broadcast")
-    }
-    assert got["shuffle"] == got["broadcast"]
-    plan = scd.change_detection(cur, inc, "id", strategy="broadcast")._jdf.queryExecution().executedPlan().toString()
-    assert "SortMergeJoin" not in plan
+def test_changes_that_are_not_later_go_to_the_side(spark):
+    cur = scd.scd2_initial(batch(spark, [("1", "a", "x"), ("2", "b", "y")]), "d", T2)
+    inc = batch(spark, [("1", "late", "x"), ("2", "b", "y"), ("3", "new", "z")])
+    for as_of in (T1, T2):
+        out = scd.scd2_merge(cur, inc, "id", "d2", as_of)
+        assert sorted((r.id, r.name, r.version_number, r.is_current) for r in out.collect()) == [
+            ("1", "a", 1, True), ("2", "b", 1, True), ("3", "new", 1, True)
+        ]
+        assert [r.id for r in scd.late_rows(cur, inc, "id", as_of).collect()] == ["1"]
+    assert scd.late_rows(cur, inc, "id", T3).count() == 0
+
+
+def test_repeated_and_missing_keys(spark):
+    twice = batch(spark, [("1", "a", "x"), ("1", "b", "x")])
+    cur = scd.scd2_initial(batch(spark, [("9", "q", "q")]), "d", T1)
+    for build in (lambda: scd.scd2_merge(cur, twice, "id", "d2", T2), lambda: scd.scd2_initial(twice, "d", T1, "id")):
+        with pytest.raises(Exception, match="batch repeats id 1"):
+            build().collect()
+    some = batch(spark, [(None, "a", "x"), ("1", "b", "x")])
+    assert [r.id for r in scd.scd2_initial(some, "d", T1, "id").collect()] == ["1"]
+    assert sorted(r.id for r in scd.scd2_merge(cur, some, "id", "d2", T2).collect()) == ["1", "9"]

@@ -15,13 +15,13 @@ batch_st = st.dictionaries(st.sampled_from("abcdef"), st.sampled_from("xyz"), mi
 batches_st = st.lists(batch_st, min_size=1, max_size=4)
 
 
-def _fold(spark, batches, strategy):
+def _fold(spark, batches):
     def frame(b):
         return add_fingerprint(spark.createDataFrame(sorted(b.items()), SCHEMA))
 
     full = scd.scd2_initial(frame(batches[0]), TIMES[0][:10], TIMES[0])
     for i, b in enumerate(batches[1:], start=1):
-        merged = scd.scd2_merge(full.where("is_current"), frame(b), "id", TIMES[i][:10], TIMES[i], strategy=strategy)
+        merged = scd.scd2_merge(full.where("is_current"), frame(b), "id", TIMES[i][:10], TIMES[i])
         full = full.where("NOT is_current").unionByName(merged)
     return [r.asDict() for r in full.collect()]
 
@@ -39,9 +39,9 @@ def _expected_versions(batches):
 
 
 @settings(max_examples=12, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
-@given(batches=batches_st, strategy=st.sampled_from(["shuffle", "broadcast"]))
-def test_scd2_history_properties(spark, batches, strategy):
-    rows = _fold(spark, batches, strategy)
+@given(batches=batches_st)
+def test_scd2_history_properties(spark, batches):
+    rows = _fold(spark, batches)
     expected = _expected_versions(batches)
     by_key = {}
     for r in rows:
@@ -62,7 +62,7 @@ def test_scd2_history_properties(spark, batches, strategy):
 @settings(max_examples=6, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
 @given(batches=batches_st)
 def test_replaying_last_batch_changes_nothing(spark, batches):
-    once = _fold(spark, batches, "auto")
-    twice = _fold(spark, batches + [batches[-1]], "auto")
+    once = _fold(spark, batches)
+    twice = _fold(spark, batches + [batches[-1]])
     key = ("id", "v", "version_number", "is_current", "effective_date", "expiry_date")
     assert sorted(tuple(r[c] for c in key) for r in once) == sorted(tuple(r[c] for c in key) for r in twice)
