@@ -9,10 +9,14 @@
    node's rarest ``PREFIX`` postings are merged; the frequent ones (passages
    that many texts share) are skipped.  Values held by one node use up prefix
    places without producing anything.
-3. In every posting list the members meet two centres (a linear number of
-   pairs); then, for lists whose members are still in different groups, all
-   pairs of *different groups* meet.  Pairs inside one group need no test, as
-   only groups are wanted, so no link between groups can be missed.
+3. In every posting list the members meet two centres, the smallest node and
+   the one with the most popular values (a linear number of pairs); then, for
+   lists whose members are still in different groups, pairs of *different
+   groups* meet, unless an upper bound of their overlap rules them out.  Pairs
+   inside one group need no test, as only groups are wanted, so no link between
+   groups can be missed.  The bound is exact: a set is also kept as a bitmap of
+   ``BITS`` hashed positions and the number of shingles beyond the set bits;
+   two sets share at most as many shingles as bits, plus the smaller rest.
 4. A pair is kept as a candidate when the sizes allow the similarity and the
    signatures agree in ``MATCHES`` coordinates, and confirmed on the full
    shingle sets: ``100 * |A & B| >= 75 * |A | B|``.
@@ -46,6 +50,8 @@ COORDS = 48
 MATCHES = 20
 PREFIX = COORDS - MATCHES + 1
 PERCENT = 75
+BITS = 2048
+BIT_WORDS = BITS // 64
 
 _U = np.uint64
 _RNG = np.random.Generator(np.random.PCG64(8_151_623))
@@ -72,16 +78,18 @@ def _shingles(chunk) -> tuple[np.ndarray, np.ndarray]:
 def _signatures(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     schema = pa.schema(
         [("doc_id", pa.int64()), ("n_shingles", pa.int64()), ("f1", pa.int64()), ("f2", pa.int64()),
-         ("sig", pa.list_(pa.int32()))]
+         ("sig", pa.list_(pa.int32())), ("spare", pa.int32()), ("bits", pa.list_(pa.int64()))]
     )
     for c in chunks(batches, lower=True, max_bytes=2 << 20):
         grams, borders = _shingles(c)
         sizes = np.zeros(len(c), np.int64)
         prints = np.zeros((2, len(c)), np.uint64)
+        bits = np.zeros((len(c), BITS), bool)
         for r in range(len(c)):
             if borders[r + 1] > borders[r]:
                 distinct = np.unique(grams[borders[r] : borders[r + 1]])
                 sizes[r] = len(distinct)
+                bits[r, (distinct >> _U(65 - BITS.bit_length())).astype(np.int64)] = True
                 prints[0, r] = mix(distinct ^ _U(0x5851F42D4C957F2D)).sum(dtype=np.uint64)
                 prints[1, r] = mix(distinct * _U(0x2545F4914F6CDD1D)).sum(dtype=np.uint64)
         full = np.flatnonzero(sizes)
@@ -94,9 +102,11 @@ def _signatures(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ends = np.zeros(len(c) + 1, np.int32)
         ends[1:] = np.cumsum((sizes > 0) * COORDS)
         sigs = pa.ListArray.from_arrays(pa.array(ends), pa.array(sig.reshape(-1)))
+        packed = np.packbits(bits[full], axis=1).view(np.int64).reshape(-1)
+        bitmaps = pa.ListArray.from_arrays(pa.array(ends // COORDS * BIT_WORDS), pa.array(packed))
         yield pa.record_batch(
             [c.batch.column("doc_id").cast(pa.int64()), pa.array(sizes), pa.array(prints[0].view(np.int64)),
-             pa.array(prints[1].view(np.int64)), sigs],
+             pa.array(prints[1].view(np.int64)), sigs, pa.array((sizes - bits.sum(axis=1)).astype(np.int32)), bitmaps],
             schema=schema,
         )
 
@@ -123,14 +133,16 @@ def _confirm(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def signatures(docs: DataFrame) -> DataFrame:
-    """``doc_id, n_shingles, f1, f2, sig``; ``f1, f2`` fingerprint the set."""
+    """``doc_id, n_shingles, f1, f2, sig, spare, bits``; ``f1, f2`` fingerprint
+    the set, ``spare`` is how many shingles share a bit with another."""
     thin = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    return thin.mapInArrow(_signatures, "doc_id long, n_shingles long, f1 long, f2 long, sig array<int>")
+    return thin.mapInArrow(_signatures, "doc_id long, n_shingles long, f1 long, f2 long, sig array<int>, spare int, bits array<long>")
 
 
 def rare_postings(nodes: DataFrame) -> DataFrame:
-    """``key, node`` of the rarest ``PREFIX`` coordinates of each node, without
-    the lists that have one member only."""
+    """``key, node, weight`` of the rarest ``PREFIX`` coordinates of each node,
+    without the lists that have one member only; ``weight`` adds up the lengths
+    of all lists of the node."""
     post = nodes.select(
         "node",
         F.explode(
@@ -140,7 +152,9 @@ def rare_postings(nodes: DataFrame) -> DataFrame:
     shared = post.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > 1)
     mine = post.join(shared, "key").groupBy("node").agg(F.sort_array(F.collect_list(F.struct("n", "key"))).alias("l"))
     room = F.size("l") - F.lit(COORDS - PREFIX)
-    return mine.where(room > 0).select("node", F.explode(F.slice("l", F.lit(1), room)["key"]).alias("key"))
+    weight = F.aggregate("l", F.lit(0).cast("long"), lambda acc, x: acc + x["n"])
+    kept = mine.where(room > 0).select("node", weight.alias("weight"), F.slice("l", F.lit(1), room)["key"].alias("keys"))
+    return kept.select("node", "weight", F.explode("keys").alias("key"))
 
 
 def confirmed(pairs: DataFrame, nodes: DataFrame, docs: DataFrame) -> DataFrame:
@@ -208,13 +222,16 @@ def groups(docs: DataFrame) -> DataFrame:
     full = signed.where((F.col("n_shingles") > 0) & F.col("doc_id").isNotNull())
     same = ["f1", "f2", "n_shingles"]
     nodes = materialize(
-        full.groupBy(*same).agg(F.min("doc_id").alias("node"), F.first("sig").alias("sig")), "dup-nodes"
+        full.groupBy(*same).agg(
+            F.min("doc_id").alias("node"), *(F.first(c).alias(c) for c in ("sig", "spare", "bits"))
+        ),
+        "dup-nodes",
     )
     post = materialize(rare_postings(nodes), "dup-postings")
 
     # linear round: every member of a list meets two members of it
     centre = post.groupBy("key").agg(
-        F.min("node").alias("c1"), F.min_by("node", F.struct(F.xxhash64("node"), "node")).alias("c2")
+        F.min("node").alias("c1"), F.max_by("node", F.struct("weight", "node")).alias("c2")
     )
     met = post.join(centre, "key").select("node", F.explode(F.array("c1", "c2")).alias("c"))
     star = met.where(F.col("node") != F.col("c")).select(F.least("node", "c").alias("a"), F.greatest("node", "c").alias("b"))
@@ -226,13 +243,29 @@ def groups(docs: DataFrame) -> DataFrame:
         "key", "node", F.coalesce("component", "node").alias("g")
     )
     open_lists = grouped.groupBy("key").agg(F.min("g").alias("lo"), F.max("g").alias("hi")).where("lo < hi").select("key")
-    rest = materialize(grouped.join(open_lists, "key"), "dup-open")
-    x = rest.select("key", F.col("node").alias("a"), F.col("g").alias("ga"))
-    y = rest.select("key", F.col("node").alias("b"), F.col("g").alias("gb"))
+    about = nodes.select("node", "n_shingles", "spare", *(F.get("bits", k).alias(f"w{k}") for k in range(BIT_WORDS)))
+    rest = materialize(grouped.join(open_lists, "key").join(about, "node"), "dup-open")
+
+    def side(name: str) -> DataFrame:
+        return rest.select(
+            "key",
+            F.col("node").alias(name),
+            *(F.col(c).alias(f"{c}_{name}") for c in ("g", "n_shingles", "spare", *(f"w{k}" for k in range(BIT_WORDS)))),
+        )
+
+    n_a, n_b = F.col("n_shingles_a"), F.col("n_shingles_b")
+    overlap = F.least("spare_a", "spare_b").cast("long")
+    for k in range(BIT_WORDS):
+        overlap = overlap + F.bit_count(F.col(f"w{k}_a").bitwiseAND(F.col(f"w{k}_b")))
+    may_link = (
+        (F.col("g_a") < F.col("g_b"))
+        & (F.least(n_a, n_b) * 100 >= F.greatest(n_a, n_b) * PERCENT)
+        & (overlap * 100 >= (n_a + n_b - overlap) * PERCENT)
+    )
+    x, y = side("a"), side("b").withColumnRenamed("key", "key_b")
     tried = star.distinct().select(F.col("a").alias("_a"), F.col("b").alias("_b"))
     cross = (
-        x.join(y, "key")
-        .where(F.col("ga") < F.col("gb"))
+        x.join(y, (F.col("key") == F.col("key_b")) & may_link)
         .select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
         .distinct()
         .join(tried, (F.col("a") == F.col("_a")) & (F.col("b") == F.col("_b")), "left_anti")

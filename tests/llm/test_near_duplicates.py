@@ -71,6 +71,22 @@ def test_groups_equal_brute_force(spark):
     assert got == brute_force(rows)
 
 
+def test_large_family_with_loose_members(spark):
+    """Copies of one text, from hardly to heavily changed, cut and extended:
+    some link to the rest only through a few others, some to nobody."""
+    rng, base = random.Random(11), prose(42, 160).split()
+    rows = []
+    for k in range(160):
+        w = base[rng.randint(0, 30) : len(base) - rng.randint(0, 40)]
+        for at in rng.sample(range(len(w)), rng.randint(0, 9)):
+            w[at] = f"q{rng.randint(0, 60)}"
+        rows.append((k, " ".join(w + prose(k % 7, rng.randint(0, 30)).split())))
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in neardup.groups(documents(spark, rows)).collect()}
+    want = brute_force(rows)
+    assert got == want
+    assert 10 < len({c for _, c in want.values()}) < 150
+
+
 def test_awkward_rows(spark):
     out = neardup.groups(documents(spark, AWKWARD, component_id=F.lit("clash"), kept=F.lit(0))).collect()
     assert len(out) == len(AWKWARD)
