@@ -626,3 +626,11 @@ SQL["silver_batch_mixed_runs"] = _with(ORDERS) + f"""
 SELECT order_id, status, total_amount, CASE WHEN updated_at > {_ts(B.BATCH1_UPPER)} THEN 'web' END AS channel FROM ord"""
 
 SQL["silver_rerun"] = SQL["scd2_merge"]
+
+SQL["silver_orders_contract"] = SQL["order_item_features_json"]
+
+SQL["silver_table_scan"] = _with(CUSTOMERS) + """
+SELECT customer_id, CASE WHEN status = 'building' THEN 'new.' || email ELSE email END AS email,
+       CAST(CASE WHEN status = 'building' AND email IS NOT NULL THEN 2 ELSE 1 END AS INTEGER) AS version_number,
+       true AS is_current
+FROM cust"""

@@ -32,7 +32,7 @@ from strata.plans.oracle import (
 )
 from strata.rules import COLLECTIONS, CUSTOMER_RULES, CleanseRules, CollectionSpec
 from strata.session import scratch_path
-from strata.sources.contracts import conform, contract
+from strata.sources.contracts import conform, contract, register_silver
 from strata.sources.extract import incremental_extract, merged_scan, partition_scan
 from strata.sources.publish import observed, read_latest_partition, read_scd2_full, write_partition
 
@@ -531,3 +531,29 @@ def silver_rerun(spark: SparkSession, d: str) -> DataFrame:
     for _ in range(2):
         jobs.merge_batch(spark, lake, spec, b2, *B.LOAD2)
     return read_scd2_full(spark, lake.silver("orders"))
+
+
+@query
+def silver_orders_contract(spark: SparkSession, d: str) -> DataFrame:
+    """Cleansed orders with inline items, in the shape of their contract."""
+    documents = B.event_order_docs_json(spark, d).select(
+        "order_id", F.lit("1").alias("customer_id"), F.lit("2024-01-01 00:00:00").alias("updated_at"), "items"
+    )
+    ready = jobs.prepare_batch(documents, COLLECTIONS["orders"])
+    return conform(ready, contract("silver_orders")).select("order_id", "items_count", "total_items_qty")
+
+
+@query
+def silver_table_scan(spark: SparkSession, d: str) -> DataFrame:
+    """The SQL view of a versioned table: its current rows only."""
+    lake = jobs.Lake(scratch_path(spark, "lake"))
+    spec = COLLECTIONS["customers"]
+    before = B.customers_raw(spark, d)
+    moved = F.when(F.col("status") == "BUILDING", F.concat(F.lit("new."), F.trim("email"))).otherwise(F.col("email"))
+    for source, load in ((before, B.LOAD1), (before.withColumn("email", moved), B.LOAD2)):
+        jobs.merge_batch(spark, lake, spec, jobs.materialized(jobs.prepare_batch(source, spec), "batch"), *load)
+    view = "silver_customers_" + lake.root.rstrip("/").split("-")[-1]
+    register_silver(spark, view, "silver_customers", lake.silver("customers"))
+    rows = spark.table(view).select("customer_id", "email", "version_number", "is_current")
+    spark.sql(f"DROP VIEW {view}")  # the frame is resolved already
+    return rows

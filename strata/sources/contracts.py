@@ -19,6 +19,38 @@ _SCD2_TAIL = (
     "version_number int, record_hash string, pipeline_load_ts timestamp_ntz, load_date string"
 )
 CONTRACTS: dict[str, str] = {
+    "bronze_customers": (
+        "_id string, customer_id string, first_name string, last_name string, email string, phone string, "
+        "address string, city string, country string, status string, created_at timestamp_ntz, "
+        "updated_at timestamp_ntz, raw_document string, load_date string"
+    ),
+    "bronze_orders": (
+        "_id string, order_id string, customer_id string, total_amount double, currency string, status string, "
+        "items string, shipping_addr string, created_at timestamp_ntz, updated_at timestamp_ntz, "
+        "raw_document string, load_date string"
+    ),
+    "bronze_products": (
+        "_id string, product_id string, name string, category string, sub_category string, price double, "
+        "stock_qty int, attributes string, status string, created_at timestamp_ntz, updated_at timestamp_ntz, "
+        "raw_document string, load_date string"
+    ),
+    "bronze_payments": (
+        "_id string, payment_id string, order_id string, customer_id string, amount double, currency string, "
+        "method string, gateway string, status string, created_at timestamp_ntz, raw_document string, load_date string"
+    ),
+    "bronze_reviews": (
+        "_id string, review_id string, product_id string, customer_id string, rating tinyint, title string, "
+        "body string, status string, created_at timestamp_ntz, raw_document string, load_date string"
+    ),
+    "silver_payments": (
+        "payment_id string, order_id string, customer_id string, amount double, currency string, method string, "
+        "gateway string, status string, created_at timestamp_ntz, record_hash string, "
+        "pipeline_load_ts timestamp_ntz, load_date string"
+    ),
+    "silver_reviews": (
+        "review_id string, product_id string, customer_id string, rating int, title string, body string, "
+        "status string, created_at timestamp_ntz, record_hash string, pipeline_load_ts timestamp_ntz, load_date string"
+    ),
     "silver_customers": (
         "customer_id string, first_name string, last_name string, full_name string, email string, "
         "phone string, address string, city string, state string, country string, zip_code string, "
@@ -89,6 +121,27 @@ def create_table(spark: SparkSession, table: str, name: str, location: str) -> N
     spark.sql(f"CREATE TABLE IF NOT EXISTS {table} ({cols}) USING parquet{part} LOCATION '{location}'")
 
 
+def register_silver(spark: SparkSession, view: str, name: str, root: str) -> None:
+    """(Re)create a catalog view of the current rows of a cleansed table, in
+    the shape of its contract.  It names the newest committed version, so it
+    is to be called again after a publish."""
+    from strata.sources.publish import VERSION_COL, latest_version
+
+    version = latest_version(spark, root)
+    if version is None:
+        raise RuntimeError(f"nothing has been published under {root}")
+    path = f"{root}/{VERSION_COL}={version}"
+    have = set(spark.read.parquet(path).columns)
+    columns = ", ".join(
+        f"try_cast(`{f.name}` AS {f.dataType.simpleString()}) AS `{f.name}`"
+        if f.name in have
+        else f"CAST(NULL AS {f.dataType.simpleString()}) AS `{f.name}`"
+        for f in contract(name).fields
+    )
+    where = " WHERE CAST(is_current AS boolean)" if "is_current" in have else ""
+    spark.sql(f"CREATE OR REPLACE VIEW {view} AS SELECT {columns} FROM parquet.`{path}`{where}")
+
+
 def repair(spark: SparkSession, table: str) -> None:
     """Discover partitions written by jobs (``MSCK REPAIR TABLE``)."""
     spark.catalog.recoverPartitions(table)

@@ -126,9 +126,12 @@ def test_history_reads_every_version_with_its_own_schema(spark):
     assert sorted((r.n, r.k, r.tier) for r in full.collect()) == [(2, "a", None), (7, "c", "x")]
 
 
-@pytest.mark.parametrize("name", ["silver_customers", "gold_top_products", "gold_order_analytics"])
-def test_contracts_parse(name):
-    assert len(contract(name).fields) > 5
+def test_contracts_parse():
+    from strata.sources.contracts import CONTRACTS
+
+    layers = [name.split("_")[0] for name in CONTRACTS]
+    assert (layers.count("bronze"), layers.count("silver"), layers.count("gold")) == (5, 5, 3)
+    assert all(len(contract(name).fields) > 5 for name in CONTRACTS)
 
 
 def test_external_table_and_partition_repair(spark):
