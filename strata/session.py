@@ -53,7 +53,7 @@ def list_dirs(spark: SparkSession, path: str) -> list[str]:
 
 
 def glob_paths(spark: SparkSession, pattern: str) -> list[str]:
-    """Paths matching a Hadoop glob (one listing call per path level)."""
+    """Paths matching a pattern (one listing call per path level)."""
     fs, jpath = _fs_and_path(spark, pattern)
     found = fs.globStatus(jpath)
     return [] if found is None else sorted(st.getPath().toString() for st in found)
