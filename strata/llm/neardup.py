@@ -39,7 +39,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from strata.llm.chunks import chunks, mix, run_hash
@@ -52,6 +52,8 @@ PREFIX = COORDS - MATCHES + 1
 PERCENT = 75
 BITS = 2048
 BIT_WORDS = BITS // 64
+#: Members of a posting list that meet all others in one group of the last round.
+LIST_BLOCK = 1024
 
 _U = np.uint64
 _RNG = np.random.Generator(np.random.PCG64(8_151_623))
@@ -242,13 +244,19 @@ def groups(docs: DataFrame) -> DataFrame:
     grouped = post.join(first, "node", "left").select(
         "key", "node", F.coalesce("component", "node").alias("g")
     )
-    open_lists = grouped.groupBy("key").agg(F.min("g").alias("lo"), F.max("g").alias("hi")).where("lo < hi").select("key")
+    open_lists = (
+        grouped.groupBy("key")
+        .agg(F.min("g").alias("lo"), F.max("g").alias("hi"), F.count(F.lit(1)).alias("members"))
+        .where("lo < hi")
+        .select("key", F.ceil(F.col("members") / LIST_BLOCK).cast("int").alias("blocks"))
+    )
     about = nodes.select("node", "n_shingles", "spare", *(F.get("bits", k).alias(f"w{k}") for k in range(BIT_WORDS)))
     rest = materialize(grouped.join(open_lists, "key").join(about, "node"), "dup-open")
 
-    def side(name: str) -> DataFrame:
+    def side(name: str, block: Column) -> DataFrame:
         return rest.select(
-            "key",
+            F.col("key").alias(f"key_{name}"),
+            block.alias(f"block_{name}"),
             F.col("node").alias(name),
             *(F.col(c).alias(f"{c}_{name}") for c in ("g", "n_shingles", "spare", *(f"w{k}" for k in range(BIT_WORDS)))),
         )
@@ -262,12 +270,20 @@ def groups(docs: DataFrame) -> DataFrame:
         & (F.least(n_a, n_b) * 100 >= F.greatest(n_a, n_b) * PERCENT)
         & (overlap * 100 >= (n_a + n_b - overlap) * PERCENT)
     )
-    x, y = side("a"), side("b").withColumnRenamed("key", "key_b")
+    # a long list is cut into blocks on one side, and each block meets the whole
+    # list; grouping by the join's own keys leaves the pairs where they are made
+    x = side("a", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
+    y = side("b", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    same_list = (F.col("key_a") == F.col("key_b")) & (F.col("block_a") == F.col("block_b"))
     tried = star.distinct().select(F.col("a").alias("_a"), F.col("b").alias("_b"))
     cross = (
-        x.join(y, (F.col("key") == F.col("key_b")) & may_link)
-        .select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-        .distinct()
+        x.join(y, same_list & may_link)
+        .groupBy("key_a", "block_a", "a", "b")
+        .agg(F.count(F.lit(1)).alias("lists"))
+        .groupBy(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+        .agg(F.sum("lists").alias("lists"))
+        .where("lists > 0")
+        .select("a", "b")
         .join(tried, (F.col("a") == F.col("_a")) & (F.col("b") == F.col("_b")), "left_anti")
     )
     more = materialize(confirmed(cross, nodes, docs), "dup-links")
