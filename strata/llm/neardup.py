@@ -50,7 +50,7 @@ COORDS = 48
 MATCHES = 20
 PREFIX = COORDS - MATCHES + 1
 PERCENT = 75
-BITS = 2048
+BITS = 1024
 BIT_WORDS = BITS // 64
 #: Members of a posting list that meet all others in one group of the last round.
 LIST_BLOCK = 1024
@@ -244,11 +244,14 @@ def groups(docs: DataFrame) -> DataFrame:
     grouped = post.join(first, "node", "left").select(
         "key", "node", F.coalesce("component", "node").alias("g")
     )
+    # every pair of different groups has a member outside the list's largest one
     open_lists = (
-        grouped.groupBy("key")
-        .agg(F.min("g").alias("lo"), F.max("g").alias("hi"), F.count(F.lit(1)).alias("members"))
-        .where("lo < hi")
-        .select("key", F.ceil(F.col("members") / LIST_BLOCK).cast("int").alias("blocks"))
+        grouped.groupBy("key", "g")
+        .agg(F.count(F.lit(1)).alias("n"))
+        .groupBy("key")
+        .agg(F.max_by("g", F.struct("n", "g")).alias("major"), F.sum("n").alias("members"), F.count(F.lit(1)).alias("k"))
+        .where("k > 1")
+        .select("key", "major", F.ceil(F.col("members") / LIST_BLOCK).cast("int").alias("blocks"))
     )
     about = nodes.select("node", "n_shingles", "spare", *(F.get("bits", k).alias(f"w{k}") for k in range(BIT_WORDS)))
     rest = materialize(grouped.join(open_lists, "key").join(about, "node"), "dup-open")
@@ -258,7 +261,7 @@ def groups(docs: DataFrame) -> DataFrame:
             F.col("key").alias(f"key_{name}"),
             block.alias(f"block_{name}"),
             F.col("node").alias(name),
-            *(F.col(c).alias(f"{c}_{name}") for c in ("g", "n_shingles", "spare", *(f"w{k}" for k in range(BIT_WORDS)))),
+            *(F.col(c).alias(f"{c}_{name}") for c in ("g", "major", "n_shingles", "spare", *(f"w{k}" for k in range(BIT_WORDS)))),
         )
 
     n_a, n_b = F.col("n_shingles_a"), F.col("n_shingles_b")
@@ -266,13 +269,14 @@ def groups(docs: DataFrame) -> DataFrame:
     for k in range(BIT_WORDS):
         overlap = overlap + F.bit_count(F.col(f"w{k}_a").bitwiseAND(F.col(f"w{k}_b")))
     may_link = (
-        (F.col("g_a") < F.col("g_b"))
+        (F.col("g_a") != F.col("g_b"))
+        & ((F.col("g_b") == F.col("major_b")) | (F.col("g_a") < F.col("g_b")))
         & (F.least(n_a, n_b) * 100 >= F.greatest(n_a, n_b) * PERCENT)
         & (overlap * 100 >= (n_a + n_b - overlap) * PERCENT)
     )
     # a long list is cut into blocks on one side, and each block meets the whole
     # list; grouping by the join's own keys leaves the pairs where they are made
-    x = side("a", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
+    x = side("a", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")).where("g_a != major_a")
     y = side("b", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     same_list = (F.col("key_a") == F.col("key_b")) & (F.col("block_a") == F.col("block_b"))
     tried = star.distinct().select(F.col("a").alias("_a"), F.col("b").alias("_b"))
