@@ -3,10 +3,8 @@
 Tokens are words in lower case (A-Z) and one end mark a text.  The model has a
 restaurant for every context, a parent restaurant that all contexts share,
 and a uniform base over the ``V`` known tokens and one unknown.  A context is
-the preceding token if that makes up at least one in ``CONTEXTS`` training
-tokens (so there are at most ``CONTEXTS`` of them; the end mark, which precedes a
-text's first token, always counts); all other preceding tokens share one more
-context restaurant.  Dishes are all tokens of the vocabulary.
+the preceding token, however rare (the end mark precedes a text's first token).
+Dishes are all tokens of the vocabulary.
 
 *Seating.*  The customers of a (context, token) pair are seated one after the
 other (large parties in growing blocks); every Gibbs sweep then takes
@@ -18,20 +16,25 @@ Within a sweep, context totals and parent probabilities are those of the sweep
 before.  Discounts come from the counts of counts.  Predictive probabilities are
 averaged over the last ``SAMPLES`` sweeps.
 
-*Distribution.*  Pairs are counted over all training texts and dealt to buckets
-by token, so a token's pairs and its place in the parent restaurant meet in one
-bucket; a bucket never holds more than one entry per context and token,
-however frequent they are.  Seating is a function of the counts, the totals of
-the sweeps before and a seed, so a task lost with its executor is repeated
-exactly, and nothing but the counts is stored.  Between sweeps the driver gets
-one number per context.
-
-*Scoring.*  Pairs that make up at least one in ``FREQUENT`` training tokens (at
-most ``FREQUENT`` of them, the proven bound under which they are broadcast)
-are scored where the text is read; all other tokens are sent to their bucket,
-packed, and come back as one partial sum per text and bucket.
-
-Word hashes have 64 bits, of which 48 and the bucket are kept.
+*Distribution.*  Pairs are counted over all texts (those of held-out texts only
+with no customers) and dealt to buckets by token, so a token's pairs and its
+place in the parent restaurant meet in one bucket; a bucket never holds more
+than one entry per context and token, however frequent they are.  After every
+sweep a bucket sends its tables per context to the contexts' shards, which add
+them up and answer every bucket that asked: totals are grouped by context and
+joined back by context and bucket, and their number grows with the corpus.
+Seating is a function of the counts, the totals, the seating before and a seed,
+so a task lost with its executor is repeated exactly.  The driver gets a few
+sums per bucket.
+
+*Scoring.*  Every pair of every text has an entry, so all probabilities are
+computed once per pair.  Pairs that make up at least one in ``FREQUENT``
+training tokens (at most ``FREQUENT`` of them, the proven bound under which
+they are broadcast) are looked up where the text is read; all other tokens are
+sent to their bucket, packed, and come back as one partial sum per text and
+bucket.  Both look the same numbers up.
+
+Word and pair hashes have 64 bits.
 
 Defined cases: NULL text is empty text (one token, the end mark); rows with a
 NULL id count as id ``""``; without training texts the base alone scores;
@@ -41,15 +44,16 @@ occur); an empty table gives an empty result; other columns are ignored.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-from dataclasses import dataclass
+import pickle
+from collections.abc import Iterable, Iterator
+from dataclasses import dataclass, replace
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from strata.llm.chunks import Chunk, chunks
+from strata.llm.chunks import Chunk, chunks, mix
 from strata.llm.common import materialize, words
 
 CONTEXTS = 1 << 14
@@ -66,7 +70,7 @@ FLUSH = 6_000_000
 
 _U = np.uint64
 END = _U(0xA5F152E3D9C47B17)
-_LOW48 = _U((1 << 48) - 1)
+_ORDER = _U(0xD6E8FEB86659FD93)
 
 
 def held_out(doc_id: Column) -> Column:
@@ -79,11 +83,12 @@ def _heads(ordered: np.ndarray) -> np.ndarray:
     return head
 
 
-def _sum_by_key(keys: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    order = np.argsort(keys, kind="stable")
-    keys, n = keys[order], n[order]
-    start = np.flatnonzero(_heads(keys))
-    return keys[start], np.add.reduceat(n, start) if len(start) else n
+def _sum_pairs(word: np.ndarray, before: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Distinct pairs, sorted by token and preceding token, with their counts."""
+    order = np.lexsort((before, word))
+    word, before, n = word[order], before[order], n[order].astype(np.int64)
+    start = np.flatnonzero(_heads(word) | _heads(before))
+    return word[start], before[start], np.add.reduceat(n, start) if len(start) else n
 
 
 # --------------------------------------------------------------------------- tokens
@@ -99,16 +104,15 @@ def _bucket_of(tokens: np.ndarray, buckets: int) -> np.ndarray:
     return (((tokens >> _U(32)) * _U(buckets)) >> _U(32)).astype(np.int64)
 
 
-def _pair_keys(tokens: np.ndarray, contexts: np.ndarray) -> np.ndarray:
-    """Token (48 bits) and context number (16 bits) of every token.
-
-    ``contexts``: sorted hashes; the number after the last is the shared one.
-    """
+def _before(tokens: np.ndarray) -> np.ndarray:
+    """The token before each one; every row ends with the end mark."""
     before = np.empty_like(tokens)
     before[:1], before[1:] = END, tokens[:-1]
-    at = np.minimum(np.searchsorted(contexts, before), len(contexts) - 1)
-    number = np.where(contexts[at] == before, at, len(contexts)).astype(np.uint64)
-    return ((tokens & _LOW48) << _U(16)) | number
+    return before
+
+
+def _pair_hash(tokens: np.ndarray, before: np.ndarray) -> np.ndarray:
+    return mix(tokens * _ORDER + before)
 
 
 # ------------------------------------------------------------------------- contexts
@@ -168,38 +172,36 @@ def context_tokens(train: DataFrame, n_tokens: int) -> tuple[np.ndarray, np.ndar
 # --------------------------------------------------------------------------- counts
 
 
-def _count_pairs(contexts: np.ndarray, buckets: int):
+def _count_pairs(buckets: int):
     """Distinct pairs of a task with their counts, one record per bucket."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[list[tuple[np.ndarray, np.ndarray]]] = [[] for _ in range(buckets)]
+        held: list[list[tuple[np.ndarray, ...]]] = [[] for _ in range(buckets)]
         size = 0
 
         def emptied() -> pa.RecordBatch:
             rows = []
             for b, parts in enumerate(held):
                 if parts:
-                    keys, n = _sum_by_key(*(np.concatenate(x) for x in zip(*parts, strict=True)))
-                    # counts over 16 bits become several entries
-                    times = -(-n // 65535)
-                    small = np.minimum(n, 65535)
-                    rest = n - 65535 * (times - 1)
-                    keys, small = np.repeat(keys, times), np.repeat(small, times)
-                    small[np.cumsum(times) - 1] = rest
-                    rows.append({"bucket": b, "keys": keys.tobytes(), "n": small.astype(np.uint16).tobytes()})
+                    word, before, n = _sum_pairs(*(np.concatenate(x) for x in zip(*parts, strict=True)))
                     parts.clear()
-            return pa.RecordBatch.from_pylist(rows, schema=_COUNTED)
+                    start = np.flatnonzero(_heads(word))
+                    per_word = np.diff(np.append(start, len(word))).astype(np.uint32)
+                    rows.append(_row(b, COUNTS, 0, word[start], per_word, before, _narrow(n)))
+            return pa.RecordBatch.from_pylist(rows, schema=_ROW)
 
         for c in chunks(batches, lower=True):
-            token, _ = _tokens(c)
-            key, bucket = _pair_keys(token, contexts), _bucket_of(token, buckets)
-            order = np.argsort(bucket, kind="stable")
-            key, ends = key[order], np.searchsorted(bucket[order], np.arange(buckets + 1))
+            token, borders = _tokens(c)
+            trains = ~c.batch.column("held_out").to_numpy(zero_copy_only=False).astype(bool)
+            word, before, n = _sum_pairs(token, _before(token), np.repeat(trains, np.diff(borders)))
+            n = _narrow(n)
+            # buckets follow the order of tokens
+            ends = np.searchsorted(_bucket_of(word, buckets), np.arange(buckets + 1))
             for b in range(buckets):
-                distinct, n = np.unique(key[ends[b] : ends[b + 1]], return_counts=True)
-                if len(distinct):
-                    held[b].append((distinct, n))
-                    size += len(distinct)
+                mine = slice(ends[b], ends[b + 1])
+                if ends[b + 1] > ends[b]:
+                    held[b].append((word[mine].copy(), before[mine].copy(), n[mine].copy()))
+            size += len(word)
             if size > FLUSH:
                 yield emptied()
                 size = 0
@@ -208,16 +210,37 @@ def _count_pairs(contexts: np.ndarray, buckets: int):
     return run
 
 
-_COUNTED = pa.schema([("bucket", pa.int32()), ("keys", pa.binary()), ("n", pa.binary())])
+#: What is dealt to buckets and shards: arrays of a kind, from a part.
+_ROW = pa.schema([("bucket", pa.int32()), ("kind", pa.int32()), ("part", pa.int32()), ("data", pa.binary())])
+_ROW_SQL = "bucket int, kind int, part int, data binary"
+#: Kinds; the seating and totals of sweep ``k`` are ``SEATED + k`` and ``TOTALS + k``.
+COUNTS, ASKED, SUMS, SEATED, TOTALS = 0, 1, 2, 100, 200
+
+
+def _row(bucket: int, kind: int, part: int, *arrays) -> dict:
+    return {"bucket": bucket, "kind": kind, "part": part, "data": pickle.dumps(arrays, 5)}
+
+
+def _rows(table: pa.Table | pa.RecordBatch) -> Iterator[tuple[int, int, int, tuple]]:
+    for k in range(table.num_rows):
+        bucket, kind, part, data = (table.column(x)[k] for x in range(4))
+        yield bucket.as_py(), kind.as_py(), part.as_py(), pickle.loads(data.as_py())
+
+
+def _narrow(x: np.ndarray) -> np.ndarray:
+    """Counts in as few bytes as their largest needs."""
+    return x.astype(np.min_scalar_type(int(x.max()))) if len(x) else x.astype(np.uint8)
 
 
 def _merge_counts(table: pa.Table) -> pa.Table:
-    keys = np.concatenate([np.frombuffer(x.as_buffer(), np.uint64) for x in table.column("keys")])
-    n = np.concatenate([np.frombuffer(x.as_buffer(), np.uint16) for x in table.column("n")]).astype(np.int64)
-    keys, n = _sum_by_key(keys, n)
-    return pa.table(
-        {"bucket": table.column("bucket")[:1], "keys": pa.array([keys.tobytes()], pa.binary()),
-         "n": pa.array([n.astype(np.uint32).tobytes()], pa.binary())}
+    parts = [(np.repeat(w, per), before, n) for _, _, _, (w, per, before, n) in _rows(table)]
+    word, before, n = _sum_pairs(*(np.concatenate(x) for x in zip(*parts, strict=True)))
+    start = np.flatnonzero(_heads(word))
+    contexts, number = np.unique(before, return_inverse=True)
+    per_word = _narrow(np.diff(np.append(start, len(word))))
+    bucket = table.column("bucket")[0].as_py()
+    return pa.Table.from_pylist(
+        [_row(bucket, COUNTS, 0, word[start], per_word, _narrow(number), _narrow(n), contexts)], schema=_ROW
     )
 
 
@@ -295,6 +318,9 @@ class Totals:
 
 @dataclass
 class Model:
+    """The model as one bucket sees it: ``contexts``, ``customers`` and the
+    totals' ``tables`` are those of the contexts that occur in the bucket."""
+
     contexts: np.ndarray
     customers: np.ndarray
     n_tokens: int
@@ -305,6 +331,8 @@ class Model:
     seed: int
     #: totals before the first sweep and after each one
     totals: list[Totals]
+    #: low bits of a key that number the context; the rest numbers the token
+    context_bits: int = 16
 
     @property
     def base(self) -> float:
@@ -326,103 +354,195 @@ class Seating:
     context: np.ndarray
     word: np.ndarray
     tables: np.ndarray
+    #: tables of the parties of several customers, in a row
+    sizes: np.ndarray
     parent_customers: np.ndarray
     parent_tables: np.ndarray
 
 
+def _places(m: Model, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    bits = _U(m.context_bits)
+    context = (keys & ((_U(1) << bits) - _U(1))).astype(np.int64)
+    return context, np.cumsum(_heads(keys >> bits)) - 1
+
+
+def sweep(m: Model, bucket: int, k: int, keys: np.ndarray, n: np.ndarray, before: Seating | None) -> Seating:
+    """The bucket's seating after sweep ``k``; pairs without customers have no tables."""
+    totals, rng = m.totals[k], np.random.Generator(np.random.PCG64([m.seed, bucket, k]))
+    several = np.flatnonzero(n > 1)
+    if before is None:
+        context, word = _places(m, keys)
+        tables, sizes = np.minimum(n, 1).astype(np.int64), None
+        guests = np.bincount(word, tables).astype(np.int64)
+        parent = np.minimum(guests, 1)
+    else:
+        context, word, tables, sizes = before.context, before.word, before.tables.copy(), before.sizes
+        guests, parent = before.parent_customers, before.parent_tables
+    p = (guests - m.d_parent * parent) / (STRENGTH + totals.parent_customers) + m.unseen(totals)
+    new = ((STRENGTH + m.d_context * totals.tables)[context] * p[word])[several]
+    if sizes is None:
+        tables[several] = seat_in_order(n[several], new, m.d_context, rng)
+    tables[several], sizes = reseat(n[several], tables[several], new, m.d_context, sizes, rng)
+    guests = np.bincount(word, tables).astype(np.int64)
+    opening = np.full(len(guests), (STRENGTH + m.d_parent * totals.parent_tables) * m.base)
+    parent = seat_in_order(guests, opening, m.d_parent, rng)
+    parent, _ = reseat(guests, parent, opening, m.d_parent, None, rng)
+    return Seating(context, word, tables, sizes, guests, parent)
+
+
 def sweeps(m: Model, bucket: int, keys: np.ndarray, n: np.ndarray) -> Iterator[Seating]:
     """The bucket's seating after each sweep that ``m.totals`` allows."""
-    context = (keys & _U(0xFFFF)).astype(np.int64)
-    word = np.cumsum(_heads(keys >> _U(16))) - 1
-    words_here = int(word[-1]) + 1 if len(word) else 0
-    several = np.flatnonzero(n > 1)
-    tables = np.ones(len(keys), np.int64)
-    guests = np.bincount(word, minlength=words_here).astype(np.int64)
-    parent = np.ones(words_here, np.int64)
-    sizes = None
-    for k, totals in enumerate(m.totals[: BURN_IN + SAMPLES]):
-        rng = np.random.Generator(np.random.PCG64([m.seed, bucket, k]))
-        p = (guests - m.d_parent * parent) / (STRENGTH + totals.parent_customers) + m.unseen(totals)
-        new = ((STRENGTH + m.d_context * totals.tables)[context] * p[word])[several]
-        if sizes is None:
-            tables[several] = seat_in_order(n[several], new, m.d_context, rng)
-        tables[several], sizes = reseat(n[several], tables[several], new, m.d_context, sizes, rng)
-        guests = np.bincount(word, tables, minlength=words_here).astype(np.int64)
-        opening = np.full(words_here, (STRENGTH + m.d_parent * totals.parent_tables) * m.base)
-        parent = seat_in_order(guests, opening, m.d_parent, rng)
-        parent, _ = reseat(guests, parent, opening, m.d_parent, None, rng)
-        yield Seating(context, word, tables, guests, parent)
-
-
-def _probabilities(m: Model, bucket: int, keys: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    s = None
+    for k in range(min(len(m.totals), BURN_IN + SAMPLES)):
+        s = sweep(m, bucket, k, keys, n, s)
+        yield s
+
+
+def _probabilities(
+    m: Model, bucket: int, keys: np.ndarray, n: np.ndarray, seated: Iterable[Seating] | None = None
+) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Probability of every pair, averaged over the samples; the parent's
-    probability of every word of the bucket, per sample; each pair's word."""
+    probability of every word of the bucket, per sample; each pair's word.
+
+    ``seated``: the samples (default: found by repeating the sweeps).
+    """
     pair = np.zeros(len(keys))
     lower = []
-    for k, s in enumerate(sweeps(m, bucket, keys, n)):
-        if k >= BURN_IN:
-            after = m.totals[k + 1]
-            p = (s.parent_customers - m.d_parent * s.parent_tables) / (STRENGTH + after.parent_customers) + m.unseen(after)
-            own = (n - m.d_context * s.tables) / (STRENGTH + m.customers[s.context])
-            pair += own + m.backoff(after)[s.context] * p[s.word]
-            lower.append(p)
+    if seated is None:
+        seated = (s for k, s in enumerate(sweeps(m, bucket, keys, n)) if k >= BURN_IN)
+    for s, after in zip(seated, m.totals[BURN_IN + 1 :], strict=False):
+        p = (s.parent_customers - m.d_parent * s.parent_tables) / (STRENGTH + after.parent_customers) + m.unseen(after)
+        own = (n - m.d_context * s.tables) / (STRENGTH + m.customers[s.context])
+        pair += own + m.backoff(after)[s.context] * p[s.word]
+        lower.append(p)
     return pair / len(lower), np.array(lower), s.word
 
 
-def _blobs(table: pa.Table) -> tuple[np.ndarray, np.ndarray]:
-    if not table.num_rows:
-        return np.zeros(0, np.uint64), np.zeros(0, np.int64)
-    return (
-        np.frombuffer(table.column("keys")[0].as_py(), np.uint64),
-        np.frombuffer(table.column("n")[0].as_py(), np.uint32).astype(np.int64),
-    )
+# ------------------------------------------------------------------ buckets and shards
+
 
+@dataclass
+class Header:
+    """What all buckets know of the model."""
 
-def _each_bucket(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
-    for batch in batches:
-        for k in range(batch.num_rows):
-            one = pa.Table.from_batches([batch.slice(k, 1)])
-            yield one.column("bucket")[0].as_py(), *_blobs(one)
+    n_tokens: int
+    vocabulary: int
+    d_context: float
+    d_parent: float
+    buckets: int
+    seed: int
+    #: parent customers and parent tables before the first sweep and after each one
+    parent: list[tuple[int, int]]
+
+
+class Bucket:
+    """A bucket's counts, totals and seatings, from its rows."""
+
+    def __init__(self, table: pa.Table | pa.RecordBatch, h: Header | None = None):
+        got: dict[int, dict[int, tuple]] = {}
+        for self.number, kind, part, data in _rows(table):
+            got.setdefault(kind, {})[part] = data
+        self.words, per_word, context, n, self.contexts = got[COUNTS][0]
+        self.word = np.repeat(np.arange(len(self.words)), per_word)
+        self.context, self.n = context.astype(np.int64), n.astype(np.int64)
+        if h is None:
+            return
+        # shards follow the order of contexts
+        answers = {
+            kind - TOTALS: [np.concatenate([p[i] for _, p in sorted(parts.items())]) for i in range(2 if kind == TOTALS else 1)]
+            for kind, parts in got.items() if kind >= TOTALS
+        }
+        self.keys = (self.word.astype(np.uint64) << _U(32)) | context.astype(np.uint64)
+        totals = [Totals(answers[k][0].astype(float) if k in answers else np.zeros(0), *sums) for k, sums in enumerate(h.parent)]
+        self.model = Model(self.contexts, answers[0][1].astype(float), h.n_tokens, h.vocabulary, h.d_context, h.d_parent,
+                           h.buckets, h.seed, totals, context_bits=32)
+        self.seated = {kind - SEATED: self._seating(*p[0]) for kind, p in sorted(got.items()) if SEATED <= kind < TOTALS}
+
+    def _seating(self, tables: np.ndarray, sizes: np.ndarray, parent: np.ndarray) -> Seating:
+        every = np.minimum(self.n, 1)
+        every[self.n > 1] = tables
+        guests = np.bincount(self.word, every, minlength=len(self.words)).astype(np.int64)
+        return Seating(self.context, self.word, every, sizes.astype(np.int64), guests, parent.astype(np.int64))
+
+    def asks(self, shards: int, tables: np.ndarray, *more: np.ndarray) -> list[dict]:
+        """Numbers per context, summed here, to the shards of the contexts."""
+        sums = [np.bincount(self.context, x, minlength=len(self.contexts)).astype(np.int64) for x in (tables, *more)]
+        ends = np.searchsorted(_bucket_of(self.contexts, shards), np.arange(shards + 1))
+        return [
+            _row(s, ASKED, self.number, self.contexts[ends[s] : ends[s + 1]], *(_narrow(x[ends[s] : ends[s + 1]]) for x in sums))
+            for s in range(shards) if ends[s + 1] > ends[s]
+        ]
+
+
+def _start(buckets: int):
+    """Before the first sweep every pair has one table."""
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for k in range(batch.num_rows):
+                x = Bucket(batch.slice(k, 1))
+                tables = np.minimum(x.n, 1)
+                types = np.bincount(x.word, tables).astype(np.int64)
+                sums = [int(v) for v in (tables.sum(), (types > 0).sum(), (x.n == 1).sum(), (x.n == 2).sum(),
+                                         (types == 1).sum(), (types == 2).sum())]
+                yield pa.RecordBatch.from_pylist([*x.asks(buckets, tables, x.n), _row(x.number, SUMS, 0, *sums)], schema=_ROW)
 
-_KINDS = ("parent_customers", "parent_tables", "n1", "n2", "m1", "m2")
+    return run
 
 
-def _start_totals(n_contexts: int):
-    """Before the first sweep every pair has one table."""
+def _answer(step: int):
+    """Sums per context of one shard, for every bucket that asked."""
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for _, keys, n in _each_bucket(batches):
-            types = np.diff(np.append(np.flatnonzero(_heads(keys >> _U(16))), len(keys)))
-            per = np.bincount((keys & _U(0xFFFF)).astype(np.int64), minlength=n_contexts)
-            sums = [len(keys), len(types), (n == 1).sum(), (n == 2).sum(), (types == 1).sum(), (types == 2).sum()]
-            yield pa.record_batch(
-                [pa.array(np.arange(-len(sums), n_contexts)), pa.array(np.concatenate([np.array(sums), per]))],
-                names=["what", "n"],
-            )
+    def run(table: pa.Table) -> pa.Table:
+        asked = sorted(_rows(table), key=lambda r: r[2])
+        contexts, at = np.unique(np.concatenate([d[0] for *_, d in asked]), return_inverse=True)
+        columns = [np.concatenate([d[i] for *_, d in asked]) for i in range(1, len(asked[0][3]))]
+        sums = [np.bincount(at, x, minlength=len(contexts)).astype(np.int64)[at] for x in columns]
+        cut = np.cumsum([0] + [len(d[0]) for *_, d in asked])
+        return pa.Table.from_pylist(
+            [_row(bucket, TOTALS + step, shard, *(_narrow(x[cut[k] : cut[k + 1]]) for x in sums))
+             for k, (shard, _, bucket, _) in enumerate(asked)],
+            schema=_ROW,
+        )
 
     return run
 
 
-def _sweep_totals(shared):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        m = shared.value
-        for bucket, keys, n in _each_bucket(batches):
-            for s in sweeps(m, bucket, keys, n):
-                pass
-            per = np.bincount(s.context, s.tables, minlength=len(m.customers)).astype(np.int64)
-            sums = [s.parent_customers.sum(), s.parent_tables.sum()]
-            yield pa.record_batch(
-                [pa.array(np.arange(-2, len(per))), pa.array(np.concatenate([sums, per]).astype(np.int64))],
-                names=["what", "n"],
-            )
+def _sweep(shared, k: int):
+    def run(table: pa.Table) -> pa.Table:
+        h = shared.value
+        x = Bucket(table, h)
+        s = sweep(x.model, x.number, k, x.keys, x.n, x.seated.get(k - 1))
+        return pa.Table.from_pylist(
+            [_row(x.number, SEATED + k, 0, _narrow(s.tables[x.n > 1]), _narrow(s.sizes), _narrow(s.parent_tables)),
+             *x.asks(h.buckets, s.tables), _row(x.number, SUMS, 0, int(s.parent_customers.sum()), int(s.parent_tables.sum()))],
+            schema=_ROW,
+        )
 
     return run
 
 
-def _gathered(df: DataFrame) -> dict[int, int]:
-    """Sums by ``what``: one row per context and a few more."""
-    return {r["what"]: r["n"] for r in df.groupBy("what").agg(F.sum("n").alias("n")).collect()}
+def _score_pairs(shared):
+    """All pairs of a bucket, sorted by hash: log10 probability, the token's
+    count, and the pair's count."""
+
+    def run(table: pa.Table) -> pa.Table:
+        x = Bucket(table, shared.value)
+        p, _, _ = _probabilities(x.model, x.number, x.keys, x.n, x.seated.values())
+        key = _pair_hash(x.words[x.word], x.contexts[x.context])
+        order = np.argsort(key)
+        count = np.bincount(x.word, x.n).astype(np.int64)[x.word]
+        return pa.Table.from_pylist(
+            [_row(x.number, COUNTS, 0, key[order], np.log10(p)[order], _narrow(count[order]), _narrow(x.n[order]))], schema=_ROW
+        )
+
+    return run
+
+
+def _sums(df: DataFrame, width: int) -> list[int]:
+    """The buckets' sums, added up: a few numbers per bucket."""
+    rows = [pickle.loads(r["data"]) for r in df.where(F.col("kind") == SUMS).select("data").collect()]
+    return [sum(r[i] for r in rows) for i in range(width)]
 
 
 def _estimate(once: int, twice: int) -> float:
@@ -430,59 +550,63 @@ def _estimate(once: int, twice: int) -> float:
     return float(np.clip(once / max(1, once + 2 * twice), 0.05, 0.95))
 
 
-def learn(train: DataFrame, n_tokens: int, seed: int = 1) -> tuple[Model, DataFrame]:
-    """The model of the texts of ``train`` and its pair counts."""
-    spark = train.sparkSession
-    contexts, seen = context_tokens(train, n_tokens)
+def learn(texts: DataFrame, n_tokens: int, seed: int = 1) -> tuple[Header, DataFrame]:
+    """The model of the training texts among ``texts`` (``held_out, text``), and
+    all pairs of ``texts`` scored, one row per bucket."""
+    spark = texts.sparkSession
     buckets = max(LEAST_BUCKETS, -(-n_tokens // BUCKET_TOKENS))
     counts = materialize(
-        train.mapInArrow(_count_pairs(contexts, buckets), "bucket int, keys binary, n binary")
-        .groupBy("bucket")
-        .applyInArrow(_merge_counts, "bucket int, keys binary, n binary"),
+        texts.mapInArrow(_count_pairs(buckets), _ROW_SQL).groupBy("bucket").applyInArrow(_merge_counts, _ROW_SQL),
         "lm-counts",
     )
-    n_contexts = len(contexts) + 1
-    start = _gathered(counts.mapInArrow(_start_totals(n_contexts), "what long, n long"))
-    sums = {name: start.get(k - len(_KINDS), 0) for k, name in enumerate(_KINDS)}
-    first = Totals(
-        np.array([start.get(k, 0) for k in range(n_contexts)], float), sums["parent_customers"], sums["parent_tables"]
-    )
-    m = Model(
-        contexts,
-        np.append(seen, n_tokens - seen.sum()).astype(float),
-        n_tokens,
-        sums["parent_tables"],
-        _estimate(sums["n1"], sums["n2"]),
-        _estimate(sums["m1"], sums["m2"]),
-        buckets,
-        seed,
-        [first],
-    )
-    for _ in range(BURN_IN + SAMPLES):
-        shared = spark.sparkContext.broadcast(m)
-        got = _gathered(counts.mapInArrow(_sweep_totals(shared), "what long, n long"))
-        after = Totals(np.array([got.get(k, 0) for k in range(n_contexts)], float), got.get(-2, 0), got.get(-1, 0))
-        m = Model(**{**m.__dict__, "totals": [*m.totals, after]})
-    return m, counts
+
+    def answers(asked: DataFrame, step: int) -> DataFrame:
+        return materialize(
+            asked.where(F.col("kind") == ASKED).groupBy("bucket").applyInArrow(_answer(step), _ROW_SQL), "lm-totals"
+        )
+
+    asked = materialize(counts.mapInArrow(_start(buckets), _ROW_SQL), "lm-start")
+    pairs, types, n1, n2, m1, m2 = _sums(asked, 6)
+    h = Header(n_tokens, types, _estimate(n1, n2), _estimate(m1, m2), buckets, seed, [(pairs, types)])
+    first = answers(asked, 0)
+    totals, seated, samples = first, None, [counts, first]
+    for k in range(BURN_IN + SAMPLES):
+        shared = spark.sparkContext.broadcast(h)
+        known = counts.unionByName(first)
+        if seated is not None:
+            known = known.unionByName(totals).unionByName(seated)
+        swept = materialize(known.groupBy("bucket").applyInArrow(_sweep(shared, k), _ROW_SQL), "lm-sweep")
+        h = replace(h, parent=[*h.parent, tuple(_sums(swept, 2))])
+        totals, seated = answers(swept, k + 1), swept.where(F.col("kind") == SEATED + k)
+        if k >= BURN_IN:
+            samples += [totals, seated]
+    known = samples[0]
+    for x in samples[1:]:
+        known = known.unionByName(x)
+    shared = spark.sparkContext.broadcast(h)
+    return h, materialize(known.groupBy("bucket").applyInArrow(_score_pairs(shared), _ROW_SQL), "lm-scored")
 
 
 # -------------------------------------------------------------------------- scoring
 
 
+def _base(h: Header, count: np.ndarray) -> np.ndarray:
+    return np.log10((count + 1.0) / (h.n_tokens + h.vocabulary + 1.0))
+
+
 def _frequent_pairs(shared):
     """Pairs with at least one in ``FREQUENT`` training tokens, scored."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        m = shared.value
-        for bucket, keys, n in _each_bucket(batches):
-            often = n * FREQUENT >= m.n_tokens
-            p, _, word = _probabilities(m, bucket, keys, n)
-            c = np.bincount(word, n)[word]
-            yield pa.record_batch(
-                [pa.array(np.full(int(often.sum()), bucket, np.int64)), pa.array(keys[often].view(np.int64)),
-                 pa.array(np.log10(p[often])), pa.array(np.log10((c[often] + 1.0) / (m.n_tokens + m.vocabulary + 1.0)))],
-                names=["bucket", "key", "score", "base"],
-            )
+        h = shared.value
+        for batch in batches:
+            for bucket, _, _, (key, score, count, n) in _rows(batch):
+                often = (n > 0) & (n.astype(np.int64) * FREQUENT >= h.n_tokens)
+                yield pa.record_batch(
+                    [pa.array(np.full(int(often.sum()), bucket, np.int64)), pa.array(key[often].view(np.int64)),
+                     pa.array(score[often]), pa.array(_base(h, count[often]))],
+                    names=["bucket", "key", "score", "base"],
+                )
 
     return run
 
@@ -509,17 +633,17 @@ def _send(shared, scored):
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        m, known = shared.value, scored.value
+        h, known = shared.value, scored.value
         for c in chunks(batches, lower=True):
             token, borders = _tokens(c)
             rows = c.batch.column("row_key").to_numpy(zero_copy_only=False)
-            key, bucket = _pair_keys(token, m.contexts), _bucket_of(token, m.buckets)
+            key, bucket = _pair_hash(token, _before(token)), _bucket_of(token, h.buckets)
             row = np.repeat(np.arange(len(c)), np.diff(borders))
             order = np.argsort(bucket, kind="stable")
-            ends = np.searchsorted(bucket[order], np.arange(m.buckets + 1))
+            ends = np.searchsorted(bucket[order], np.arange(h.buckets + 1))
             done = np.zeros(len(c), _SUMS)
             out = []
-            for b in range(m.buckets):
+            for b in range(h.buckets):
                 mine = order[ends[b] : ends[b + 1]]
                 k, r = key[mine], row[mine]
                 if len(known.keys[b]) and len(k):
@@ -546,47 +670,31 @@ def _send(shared, scored):
 
 
 class BucketScorer:
-    """Looks tokens up in one bucket's counts and seating."""
+    """Looks tokens up among one bucket's pairs."""
 
-    def __init__(self, m: Model, bucket: int, keys: np.ndarray, n: np.ndarray):
-        self.m, self.keys = m, keys
-        self.samples = m.totals[BURN_IN + 1 :]
-        self.share = np.array([m.backoff(t) for t in self.samples])
-        if len(keys):
-            self.pair, self.lower, word = _probabilities(m, bucket, keys, n)
-            self.names = (keys >> _U(16))[_heads(keys >> _U(16))]
-            self.count = np.bincount(word, n)
+    def __init__(self, h: Header, scored: pa.Table):
+        self.h = h
+        *_, (self.keys, self.score, self.count, _) = next(_rows(scored))
 
     def look_up(self, key: np.ndarray) -> np.ndarray:
         """Known or not, base and model log10 probability of every token."""
-        m, context = self.m, (key & _U(0xFFFF)).astype(np.int64)
-        c = np.zeros(len(key))
-        p = sum(s[context] * m.unseen(t) for s, t in zip(self.share, self.samples, strict=True)) / len(self.samples)
-        if len(self.keys):
-            at = np.minimum(np.searchsorted(self.names, key >> _U(16)), len(self.names) - 1)
-            known = self.names[at] == key >> _U(16)
-            c[known] = self.count[at[known]]
-            p[known] = (self.share[:, context[known]] * self.lower[:, at[known]]).mean(axis=0)
-            at = np.minimum(np.searchsorted(self.keys, key), len(self.keys) - 1)
-            seen = self.keys[at] == key
-            p[seen] = self.pair[at[seen]]
+        at = np.searchsorted(self.keys, key)
         out = np.zeros(len(key), _SUMS)
-        out["known"], out["score"] = c > 0, np.log10(p)
-        out["base"] = np.log10((c + 1.0) / (m.n_tokens + m.vocabulary + 1.0))
+        out["known"], out["score"], out["base"] = self.count[at] > 0, self.score[at], _base(self.h, self.count[at])
         return out
 
 
 def _score_bucket(shared):
     """One bucket: a partial sum per text, record after record."""
 
-    def run(sent: pa.Table, counted: pa.Table) -> pa.Table:
+    def run(sent: pa.Table, pairs: pa.Table) -> pa.Table:
         rows, sums, scorer = [np.zeros(0, np.int64)], [np.zeros(0, _SUMS)], None
         for k in range(sent.num_rows):
             who, counts, wanted, done = (sent.column(x)[k].as_py() for x in ("rows", "counts", "keys", "sums"))
             if done:
                 part = np.frombuffer(done, _SUMS)
             else:
-                scorer = scorer or BucketScorer(shared.value, sent.column("bucket")[0].as_py(), *_blobs(counted))
+                scorer = scorer or BucketScorer(shared.value, pairs)
                 n = np.frombuffer(counts, np.uint32).astype(np.int64)
                 one = scorer.look_up(np.frombuffer(wanted, np.uint64))
                 part = np.zeros(len(n), _SUMS)
@@ -615,23 +723,23 @@ def score(docs: DataFrame, seed: int = 1) -> DataFrame:
         "lm-texts",
     )
     n_tokens = about.where(~F.col("held_out")).agg(F.sum("n_tokens")).first()[0] or 0
-    m, counts = learn(texts.where(~F.col("held_out")).select("text"), n_tokens, seed)
-    shared = spark.sparkContext.broadcast(m)
+    h, pairs = learn(texts.select("held_out", "text"), n_tokens, seed)
+    shared = spark.sparkContext.broadcast(h)
 
-    often = counts.mapInArrow(_frequent_pairs(shared), "bucket long, key long, score double, base double").toArrow()
+    often = pairs.mapInArrow(_frequent_pairs(shared), "bucket long, key long, score double, base double").toArrow()
     bucket, key, logp, base = (often.column(x).to_numpy() for x in ("bucket", "key", "score", "base"))
     key = key.view(np.uint64)
     order = np.lexsort((key, bucket))
-    cut = np.searchsorted(bucket[order], np.arange(m.buckets + 1))
-    parts = [order[cut[b] : cut[b + 1]] for b in range(m.buckets)]
+    cut = np.searchsorted(bucket[order], np.arange(h.buckets + 1))
+    parts = [order[cut[b] : cut[b + 1]] for b in range(h.buckets)]
     scored = spark.sparkContext.broadcast(Frequent(*([x[o] for o in parts] for x in (key, logp, base))))
 
     sent = texts.select(
-        "row_key", "text", F.pmod("row_key", F.lit(m.buckets)).cast("int").alias("spread")
+        "row_key", "text", F.pmod("row_key", F.lit(h.buckets)).cast("int").alias("spread")
     ).mapInArrow(_send(shared, scored), "bucket int, rows binary, counts binary, keys binary, sums binary")
     partial = (
         sent.groupBy("bucket")
-        .cogroup(counts.groupBy("bucket"))
+        .cogroup(pairs.groupBy("bucket"))
         .applyInArrow(_score_bucket(shared), "row_key long, known long, base double, score double")
     )
     # equal rows share a key: their sums come together and are told apart again

@@ -124,3 +124,21 @@ def test_no_training_text_and_empty_table(spark):
     r = py.score(documents(spark, [(held, "only held out")])).first()
     assert (r.train_tokens, r.n_known, r.base_score) == (0, 0, 0.0) and r.score <= 0
     assert py.score(documents(spark, [])).collect() == []
+
+
+def test_rare_tokens_have_a_context_of_their_own(spark, monkeypatch):
+    """``aft`` and ``fore`` are rarer than one in ``CONTEXTS`` tokens; what
+    follows them is learned all the same, with or without the broadcast pairs."""
+    monkeypatch.setattr(py, "CONTEXTS", 4)
+    train, held = [k for k in range(300) if not is_held(k)], [k for k in range(300) if is_held(k)]
+    rows = []
+    for j, k in enumerate(train):
+        parts = [f"aft {'pitch' if j % 2 else 'filler'}", f"x{j % 7}", f"fore {'yaw' if j % 2 else 'filler'}"]
+        rows.append((k, " ".join(parts[:: 1 if j % 4 < 2 else -1])))
+    rows += [(held[0], "aft pitch"), (held[1], "fore pitch")]
+    got = {r.doc_id: r for r in py.score(documents(spark, rows)).collect()}
+    assert got[held[0]].base_score == pytest.approx(got[held[1]].base_score, abs=0.3)
+    assert got[held[0]].score > got[held[1]].score + 0.7
+    monkeypatch.setattr(py, "FREQUENT", 1)
+    again = {r.doc_id: r for r in py.score(documents(spark, rows)).collect()}
+    assert [again[k].score for k in got] == pytest.approx([got[k].score for k in got], rel=1e-12)
