@@ -6,15 +6,18 @@ and a uniform base over the ``V`` known tokens and one unknown.  A context is
 the preceding token, however rare (the end mark precedes a text's first token).
 Dishes are all tokens of the vocabulary.
 
-*Seating.*  The customers of a (context, token) pair are seated one after the
-other (large parties in growing blocks); every Gibbs sweep then takes
-customers from tables chosen by size and seats them again, at a table with
-weight ``size - d`` or at a new one with weight ``(theta + d * T) * P``, where
-``T`` counts the context's tables and ``P`` is the parent's probability of the
-token.  New tables are customers of the parent, which is seated likewise.
-Within a sweep, context totals and parent probabilities are those of the sweep
-before.  Discounts come from the counts of counts.  Predictive probabilities are
-averaged over the last ``SAMPLES`` sweeps.
+*Seating.*  A new table has weight ``(theta + d * T) * P``, where ``T`` counts
+the context's tables and ``P`` is the parent's probability of the token, a
+seat at a table ``size - d``.  A sweep reseats every customer.  The number of
+tables of a (context, token) pair of up to ``EXACT`` customers is drawn from
+its distribution given these weights, whatever it was before.  A larger party is
+first seated in order, in growing blocks; every Gibbs sweep then takes all its
+customers from their tables, one in ``BLOCKS`` of them at a time, and seats them
+again by the sizes of the tables, which are kept from sweep to sweep.  New tables
+are customers of the parent, which is seated likewise; between sweeps its
+customers come and go as tables open and close.  Within a sweep, context totals and parent probabilities
+are those of the sweep before.  Discounts come from the counts of counts.
+Predictive probabilities are averaged over the last ``SAMPLES`` sweeps.
 
 *Distribution.*  Pairs are counted over all texts (those of held-out texts only
 with no customers) and dealt to buckets by token, so a token's pairs and its
@@ -60,7 +63,10 @@ CONTEXTS = 1 << 14
 FREQUENT = 1 << 20
 BURN_IN = 1
 SAMPLES = 3
-MOVES = 2
+#: Parties up to this size have their number of tables drawn at once; larger ones
+#: are reseated in ``BLOCKS`` blocks a sweep.
+EXACT = 1024
+BLOCKS = 16
 STRENGTH = 1.0
 #: Tokens a bucket is meant to stand for.
 BUCKET_TOKENS = 8_000_000
@@ -247,64 +253,156 @@ def _merge_counts(table: pa.Table) -> pa.Table:
 # -------------------------------------------------------------------------- seating
 
 
+def _scatter(count: np.ndarray, first: np.ndarray, last: np.ndarray, weight: np.ndarray,
+             rng: np.random.Generator, take: bool = False) -> np.ndarray:
+    """Deal ``count`` customers of every party to its tables ``first`` .. ``last``
+    by weight, or (``take``) draw them from tables of ``weight`` customers
+    without replacement: a multinomial by halving."""
+    out = np.zeros(len(weight), np.int64)
+    total = np.concatenate([[0], np.cumsum(weight)])
+    go = count > 0
+    n, a, b = count[go], first[go], last[go]
+    while len(n):
+        one = b - a == 1
+        out[a[one]] += n[one]
+        n, a, b = n[~one], a[~one], b[~one]
+        mid = (a + b) // 2
+        left, right = total[mid] - total[a], total[b] - total[mid]
+        k = rng.hypergeometric(left, right, n) if take else rng.binomial(n, left / (left + right))
+        n, a, b = np.concatenate([k, n - k]), np.concatenate([a, mid]), np.concatenate([mid, b])
+        n, a, b = n[n > 0], a[n > 0], b[n > 0]
+    return out
+
+
+def _parties(who: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Of tables in party order: the parties, and their borders."""
+    first = np.flatnonzero(_heads(who))
+    return who[first], first, np.append(first[1:], len(who))
+
+
+def _in_order(parts: list[tuple[np.ndarray, np.ndarray]], parties: int) -> tuple[np.ndarray, np.ndarray]:
+    who, size = (np.concatenate(x) for x in zip(*parts, strict=True))
+    return np.bincount(who, minlength=parties).astype(np.int64), size[np.argsort(who, kind="stable")]
+
+
+def seat(c: np.ndarray, new: np.ndarray, d: float, rng: np.random.Generator, t: np.ndarray | None = None,
+         sizes: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """Table counts and sizes after seating customers one after the other until
+    there are ``c``, from tables ``t`` of ``sizes`` (default: one customer).
+
+    ``new`` is the weight of a new table once all are seated; when ``i`` are, it
+    is ``(i / c) ** d`` of that, as those to come prefer full tables.  From the
+    17th customer on, blocks of a sixteenth of those seated choose at once.
+    """
+    t = np.minimum(c, 1) if t is None else t
+    who = np.repeat(np.arange(len(c)), t)
+    size = np.ones(len(who), np.int64) if sizes is None else sizes.astype(np.int64)
+    seated = np.bincount(who, size, minlength=len(c)).astype(np.int64)
+    done = []
+    while True:
+        live = c[who] > seated[who]
+        done.append((who[~live], size[~live]))
+        who, size = who[live], size[live]
+        if not len(who):
+            return _in_order(done, len(c))
+        party, first, last = _parties(who)
+        here = seated[party]
+        block = np.minimum(np.maximum(1, here // BLOCKS), c[party] - here)
+        opening = new[party] * (here / c[party]) ** d
+        opens = rng.binomial(block, opening / (opening + here - d * (last - first)))
+        size = size + _scatter(block - opens, first, last, size - d, rng)
+        at = np.repeat(last, opens)
+        who, size = np.insert(who, at, np.repeat(party, opens)), np.insert(size, at, 1)
+        seated[party] += block
+
+
 def seat_in_order(c: np.ndarray, new: np.ndarray, d: float, rng: np.random.Generator) -> np.ndarray:
-    """Tables after seating ``c`` customers one after the other.
+    """Tables after seating ``c`` customers one after the other."""
+    return seat(c, new, d, rng)[0]
 
-    ``new`` is the weight of a new table.  From the 17th customer on, blocks
-    of a sixteenth of those seated choose at once.
+
+def reseat(c: np.ndarray, t: np.ndarray, new: np.ndarray, d: float, sizes: np.ndarray | None,
+           rng: np.random.Generator) -> tuple[np.ndarray, np.ndarray]:
+    """One Gibbs sweep: every customer of every party takes a new seat once.
+
+    ``sizes`` has the tables of all parties in a row (None: one table a party).
+    Parties of up to ``BLOCKS`` move one by one, larger ones in ``BLOCKS`` random
+    blocks.  Returns the new table counts and sizes.
     """
+    who = np.repeat(np.arange(len(c)), t)
+    size = c[who].astype(np.int64) if sizes is None else sizes.astype(np.int64)
+    old = size.copy()
+    done = []
+    for k in range(BLOCKS):
+        live = c[who] > max(k, 1)
+        done.append((who[~live], size[~live]))
+        who, size, old = who[live], size[live], old[live]
+        if not len(who):
+            break
+        party, first, last = _parties(who)
+        large = c[party] > BLOCKS
+        leave = _scatter((~large).astype(np.int64), first, last, old, rng)
+        leave += rng.binomial(np.where(np.repeat(large, last - first), old, 0), 1 / (BLOCKS - k))
+        size, old = size - leave, old - leave
+        gone, tables = np.add.reduceat(leave, first), np.add.reduceat((size > 0).astype(np.int64), first)
+        opens = rng.binomial(gone, new[party] / (new[party] + c[party] - 1 - d * tables))
+        opens = np.where(tables == 0, np.maximum(opens, 1), opens)
+        # who finds all tables gone sits down with those who open one
+        joins = np.where(tables == 0, 0, gone - opens)
+        size = size + _scatter(joins, first, last, np.where(size > 0, size - d, 0.0), rng)
+        at = np.repeat(last, opens)
+        heads = np.cumsum(opens) - opens
+        fresh = np.ones(len(at), np.int64)
+        fresh[heads[tables == 0]] += (gone - opens)[tables == 0]
+        who, size, old = np.insert(who, at, np.repeat(party, opens)), np.insert(size, at, fresh), np.insert(old, at, 0)
+        who, size, old = who[size > 0], size[size > 0], old[size > 0]
+    return _in_order([*done, (who, size)], len(c))
+
+
+def draw_tables(c: np.ndarray, new: np.ndarray, d: float, rng: np.random.Generator) -> np.ndarray:
+    """Table counts of parties of up to ``EXACT`` customers, drawn from where
+    Gibbs sweeps lead: ``t`` tables have weight ``new ** t`` times a generalised
+    Stirling number, the sum over all seatings at ``t`` tables."""
     t = np.minimum(c, 1).astype(np.int64)
-    seated, rows = 1, np.flatnonzero(c > 1)
-    while len(rows):
-        block = np.minimum(max(1, seated // 16), c[rows] - seated)
-        p = new[rows] / (new[rows] + seated - d * t[rows])
-        t[rows] += rng.binomial(block, p)
-        seated += max(1, seated // 16)
-        rows = rows[c[rows] > seated]
+    order = np.argsort(c, kind="stable")
+    ends = np.searchsorted(c[order], np.arange(EXACT + 2))
+    stirling = np.zeros(1)
+    for v in range(2, int(c.max(initial=0)) + 1):
+        stay = np.append(stirling + np.log(v - 1 - d * np.arange(1, v)), -np.inf)
+        stirling = np.logaddexp(stay, np.append(-np.inf, stirling))
+        for at in range(ends[v], ends[v + 1], 1 << 16):
+            rows = order[at : min(at + (1 << 16), ends[v + 1])]
+            weight = stirling + np.log(new[rows])[:, None] * np.arange(v)
+            up_to = np.cumsum(np.exp(weight - weight.max(axis=1, keepdims=True)), axis=1)
+            t[rows] = 1 + (up_to[:, :-1] < rng.random((len(rows), 1)) * up_to[:, -1:]).sum(axis=1)
     return t
 
 
-def reseat(c: np.ndarray, t: np.ndarray, new: np.ndarray, d: float, sizes: np.ndarray | None,
-           rng: np.random.Generator, moves: int = MOVES) -> tuple[np.ndarray, np.ndarray]:
-    """One Gibbs sweep: ``moves`` customers of every party take a new seat.
+def renew(c: np.ndarray, new: np.ndarray, d: float, rng: np.random.Generator, was: np.ndarray | None = None,
+          t: np.ndarray | None = None, sizes: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """Table counts of all parties after a sweep, and the table sizes of those of
+    more than ``EXACT`` customers.
 
-    ``sizes`` has the tables of all parties in a row (None: equal tables).
-    Returns the new table counts and sizes.  Parties of one have no choice.
+    ``was, t, sizes``: customers, tables and sizes after the sweep before, if
+    any; customers have come or gone since where ``c`` differs.
     """
-    room = t + moves
-    first = np.cumsum(room) - room
-    size = np.zeros(int(room.sum()))
-    place = np.repeat(first, t) + np.arange(int(t.sum())) - np.repeat(np.cumsum(t) - t, t)
-    if sizes is None:
-        sizes = np.repeat(c // np.maximum(t, 1), t)
-        heads = np.cumsum(t) - t
-        sizes[heads[t > 0]] += (c - (c // np.maximum(t, 1)) * t)[t > 0]
-    size[place] = sizes
-    t, used = t.copy(), t.copy()
-    many = c > 1
-    at, top = first[many], c[many].astype(float)
-    for _ in range(moves):
-        total = np.cumsum(size)
-        base = total[at] - size[at]
-        left = np.searchsorted(total, base + rng.random(len(at)) * top, "right")
-        size[left] -= 1
-        closed = size[left] < 0.5
-        t[many] -= closed
-        opens = rng.random(len(at)) * (new[many] + top - 1 - d * t[many]) < new[many]
-        weight = np.cumsum(np.maximum(size - d, 0.0))
-        base = weight[at] - np.maximum(size[at] - d, 0.0)
-        ends = at + room[many] - 1
-        joined = np.searchsorted(weight, base + rng.random(len(at)) * (weight[ends] - base), "right")
-        # rounding may point past the party's tables: stay at the last one in use
-        joined = np.clip(joined, at, ends)
-        joined = np.where(size[joined] > 0.5, joined, left)
-        opens |= size[joined] < 0.5
-        free = np.where(closed, left, at + used[many])
-        target = np.where(opens, free, joined)
-        used[many] += opens & ~closed
-        t[many] += opens
-        size[target] += 1
-    return t, size[size > 0.5].astype(np.int64)
+    large = c > EXACT
+    out = draw_tables(np.where(large, 0, c), new, d, rng)
+    fresh = np.flatnonzero(large if was is None else large & (was <= EXACT))
+    parts = [(fresh, np.ones(len(fresh), np.int64))]
+    if was is not None:
+        # of parties that were large and still are, as many as they are fewer now leave
+        who = np.repeat(np.flatnonzero(was > EXACT), t[was > EXACT])
+        size = sizes[large[who]].astype(np.int64)
+        who = who[large[who]]
+        if len(who):
+            party, first, last = _parties(who)
+            size = size - _scatter(np.maximum(was - c, 0)[party], first, last, size, rng, take=True)
+            parts.append((who[size > 0], size[size > 0]))
+    n, size = _in_order(parts, len(c))
+    n, size = seat(c[large], new[large], d, rng, n[large], size)
+    out[large], size = reseat(c[large], n, new[large], d, size, rng)
+    return out, size
 
 
 @dataclass
@@ -354,10 +452,11 @@ class Seating:
     context: np.ndarray
     word: np.ndarray
     tables: np.ndarray
-    #: tables of the parties of several customers, in a row
-    sizes: np.ndarray
     parent_customers: np.ndarray
     parent_tables: np.ndarray
+    #: table sizes of the large parties, in a row
+    sizes: np.ndarray
+    parent_sizes: np.ndarray
 
 
 def _places(m: Model, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -369,25 +468,22 @@ def _places(m: Model, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 def sweep(m: Model, bucket: int, k: int, keys: np.ndarray, n: np.ndarray, before: Seating | None) -> Seating:
     """The bucket's seating after sweep ``k``; pairs without customers have no tables."""
     totals, rng = m.totals[k], np.random.Generator(np.random.PCG64([m.seed, bucket, k]))
-    several = np.flatnonzero(n > 1)
     if before is None:
         context, word = _places(m, keys)
-        tables, sizes = np.minimum(n, 1).astype(np.int64), None
+        tables = np.minimum(n, 1).astype(np.int64)
         guests = np.bincount(word, tables).astype(np.int64)
-        parent = np.minimum(guests, 1)
+        parent, seated, parent_seated = np.minimum(guests, 1), (), ()
     else:
-        context, word, tables, sizes = before.context, before.word, before.tables.copy(), before.sizes
+        context, word, tables = before.context, before.word, before.tables
         guests, parent = before.parent_customers, before.parent_tables
+        seated, parent_seated = (n, tables, before.sizes), (guests, parent, before.parent_sizes)
     p = (guests - m.d_parent * parent) / (STRENGTH + totals.parent_customers) + m.unseen(totals)
-    new = ((STRENGTH + m.d_context * totals.tables)[context] * p[word])[several]
-    if sizes is None:
-        tables[several] = seat_in_order(n[several], new, m.d_context, rng)
-    tables[several], sizes = reseat(n[several], tables[several], new, m.d_context, sizes, rng)
+    new = (STRENGTH + m.d_context * totals.tables)[context] * p[word]
+    tables, sizes = renew(n, new, m.d_context, rng, *seated)
     guests = np.bincount(word, tables).astype(np.int64)
     opening = np.full(len(guests), (STRENGTH + m.d_parent * totals.parent_tables) * m.base)
-    parent = seat_in_order(guests, opening, m.d_parent, rng)
-    parent, _ = reseat(guests, parent, opening, m.d_parent, None, rng)
-    return Seating(context, word, tables, sizes, guests, parent)
+    parent, parent_sizes = renew(guests, opening, m.d_parent, rng, *parent_seated)
+    return Seating(context, word, tables, guests, parent, sizes, parent_sizes)
 
 
 def sweeps(m: Model, bucket: int, keys: np.ndarray, n: np.ndarray) -> Iterator[Seating]:
@@ -458,11 +554,11 @@ class Bucket:
                            h.buckets, h.seed, totals, context_bits=32)
         self.seated = {kind - SEATED: self._seating(*p[0]) for kind, p in sorted(got.items()) if SEATED <= kind < TOTALS}
 
-    def _seating(self, tables: np.ndarray, sizes: np.ndarray, parent: np.ndarray) -> Seating:
+    def _seating(self, tables: np.ndarray, parent: np.ndarray, sizes: np.ndarray, parent_sizes: np.ndarray) -> Seating:
         every = np.minimum(self.n, 1)
         every[self.n > 1] = tables
         guests = np.bincount(self.word, every, minlength=len(self.words)).astype(np.int64)
-        return Seating(self.context, self.word, every, sizes.astype(np.int64), guests, parent.astype(np.int64))
+        return Seating(self.context, self.word, every, guests, parent.astype(np.int64), sizes, parent_sizes)
 
     def asks(self, shards: int, tables: np.ndarray, *more: np.ndarray) -> list[dict]:
         """Numbers per context, summed here, to the shards of the contexts."""
@@ -514,7 +610,7 @@ def _sweep(shared, k: int):
         x = Bucket(table, h)
         s = sweep(x.model, x.number, k, x.keys, x.n, x.seated.get(k - 1))
         return pa.Table.from_pylist(
-            [_row(x.number, SEATED + k, 0, _narrow(s.tables[x.n > 1]), _narrow(s.sizes), _narrow(s.parent_tables)),
+            [_row(x.number, SEATED + k, 0, *map(_narrow, (s.tables[x.n > 1], s.parent_tables, s.sizes, s.parent_sizes))),
              *x.asks(h.buckets, s.tables), _row(x.number, SUMS, 0, int(s.parent_customers.sum()), int(s.parent_tables.sum()))],
             schema=_ROW,
         )

@@ -142,3 +142,48 @@ def test_rare_tokens_have_a_context_of_their_own(spark, monkeypatch):
     monkeypatch.setattr(py, "FREQUENT", 1)
     again = {r.doc_id: r for r in py.score(documents(spark, rows)).collect()}
     assert [again[k].score for k in got] == pytest.approx([got[k].score for k in got], rel=1e-12)
+
+
+def known_mean(c, new, d):
+    """Of the tables of ``c`` customers, from the sum over all seatings."""
+    ways = np.zeros(1)
+    for v in range(2, c + 1):
+        stay = np.append(ways + np.log(v - 1 - d * np.arange(1, v)), -np.inf)
+        ways = np.logaddexp(stay, np.append(-np.inf, ways))
+    weight = ways + np.arange(c) * math.log(new)
+    weight = np.exp(weight - weight.max())
+    return (weight * np.arange(1, c + 1)).sum() / weight.sum()
+
+
+@pytest.mark.parametrize("d", [1e-9, 0.5])
+@pytest.mark.parametrize("tables", [1, 300])
+def test_large_parties_recover_from_a_wrong_start(d, tables):
+    rng = np.random.Generator(np.random.PCG64(4))
+    c, new = np.full(200, 300), np.full(200, 5.0)
+    t, sizes, late = np.full(200, tables), np.full(200 * tables, 300 // tables), []
+    for k in range(100):
+        t, sizes = py.reseat(c, t, new, d, sizes, rng)
+        assert np.array_equal(np.add.reduceat(sizes, np.cumsum(t) - t), c)
+        late += [t.mean()] if k >= 60 else []
+    assert np.mean(late) == pytest.approx(known_mean(300, 5.0, d), rel=0.06)
+
+
+@pytest.mark.parametrize("exact", [1024, 100])
+def test_a_sweep_reseats_large_parties_and_their_parent(monkeypatch, exact):
+    """Tables follow the weights within a few sweeps, however wrong they were."""
+    monkeypatch.setattr(py, "EXACT", exact)
+    rng = np.random.Generator(np.random.PCG64(8))
+    c, new = np.full(200, 1000), np.full(200, 5.0)
+    want = known_mean(1000, 5.0, 0.5)
+    t, sizes = py.renew(c, new, 0.5, rng)
+    for _ in range(3):
+        t, sizes = py.renew(c, new, 0.5, rng, c, t, sizes)
+    assert t.mean() == pytest.approx(want, rel=0.08)
+    assert sizes.sum() == (0 if exact >= 1000 else c.sum())
+    fewer = np.where(np.arange(200) < 100, 700, 1300)
+    t, sizes = py.renew(fewer, new, 0.5, rng, c, t, sizes)
+    large = fewer > exact
+    assert np.array_equal(np.add.reduceat(sizes, np.cumsum(t[large]) - t[large]), fewer[large])
+    if exact >= 1000:
+        wrong = py.renew(c, new, 0.5, rng, c, np.full(200, 1000), np.zeros(0, np.int64))[0]
+        assert wrong.mean() == pytest.approx(want, rel=0.06)
