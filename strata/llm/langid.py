@@ -4,8 +4,9 @@ A text is the mean of the embeddings of its byte n-grams (lengths ``NGRAMS``,
 never reaching over a word border), hashed to ``BUCKETS`` rows; a linear
 softmax on that mean gives the language.  Both layers are trained together by
 stochastic gradient descent in numpy on at most ``max_train`` labelled texts
-(the ones with the smallest seeded hash; only their hashed n-gram counts reach
-the driver).  A fifth of them is held back: a temperature fitted there
+(the ones with the smallest seeded hash, of each language first, so that none
+with labelled texts is left out; only their hashed n-gram counts reach the
+driver).  A fifth of them is held back: a temperature fitted there
 calibrates the probabilities, and the smallest confidence at which the
 accepted held-back texts reach ``target`` accuracy becomes the rejection level.
 
@@ -26,7 +27,7 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from strata.llm.chunks import mix
@@ -37,6 +38,8 @@ BUCKETS = 1 << 16
 DIMENSIONS = 16
 #: Upper bound of texts the model is trained on (documented parameter).
 MAX_TRAIN = 2_000
+#: Every language has one in so many places of the sample, if it has the texts.
+LEAST_SHARE = 20
 UNKNOWN = "und"
 
 _U = np.uint64
@@ -145,7 +148,10 @@ def fit(
     weight, bias = np.zeros((DIMENSIONS, len(languages))), np.zeros(len(languages))
     weight += rng.normal(0.0, 0.1, weight.shape)
     train = [s for k, s in enumerate(samples) if k % 5 or len(samples) < 10]
-    held = [s for k, s in enumerate(samples) if k % 5 == 0]
+    # a language all of whose texts would be held back is trained on them instead
+    missing = set(languages) - {s[0] for s in train}
+    train += [s for s in samples if s[0] in missing]
+    held = [s for k, s in enumerate(samples) if k % 5 == 0 and s[0] not in missing] or train
     steps = epochs * len(train)
     for step in range(steps):
         if step % len(train) == 0:
@@ -188,8 +194,14 @@ def learn(docs: DataFrame, max_train: int = MAX_TRAIN, seed: int = 3) -> Languag
     known = docs.where(
         F.col("text").isNotNull() & F.col("lang").isNotNull() & ~held_out(F.col("doc_id"))
     ).select(F.xxhash64(F.lit(seed), "doc_id", "text").alias("h"), "lang", "text")
-    chosen = known.groupBy("h").agg(F.min("lang").alias("_l")).orderBy("h").limit(max_train).select(F.col("h").alias("_h"))
-    chosen = materialize(chosen, "lang-sample")
+    each = materialize(known.groupBy("h").agg(F.min("lang").alias("_l")), "lang-hashes")
+    # the first few of every language go before all others
+    least = max(1, max_train // LEAST_SHARE)
+    rank = F.row_number().over(Window.partitionBy("_l").orderBy("h"))
+    first = each.withColumn("_k", rank).where(F.col("_k") <= least).select("h", "_k")
+    others = each.orderBy("h").limit(max_train).select("h", F.lit(least + 1).alias("_k"))
+    chosen = first.unionByName(others).groupBy("h").agg(F.min("_k").alias("_k")).orderBy("_k", "h").limit(max_train)
+    chosen = materialize(chosen.select(F.col("h").alias("_h")), "lang-sample")
     texts = known.join(F.broadcast(chosen), F.col("h") == F.col("_h")).select("h", "lang", "text").dropDuplicates(["h"])
     rows = texts.mapInArrow(_counted, "h long, lang string, bucket array<int>, n array<int>").toArrow()
     rows = rows.sort_by("h").to_pydict()

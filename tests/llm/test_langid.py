@@ -55,3 +55,17 @@ def test_nothing_to_learn_from_and_empty_table(spark):
     assert {(r.lang_pred, r.score) for r in langid.predict(docs, None).collect()} == {("und", 0.0)}
     none = documents(spark, [])
     assert langid.predict(none, langid.learn(none)).collect() == []
+
+
+def test_rare_languages_are_in_the_sample(spark):
+    rare = [(5000 + k, prose(k, 30, SYLLABLES["zz"]), "zz", "web") for k in range(4)]
+    common = [(k, text, lang, source) for k, text, lang, source in rows(600) if lang != "zz"]
+    model = langid.learn(documents(spark, common + rare), max_train=40)
+    assert model.languages == ("xx", "yy", "zz")
+
+
+def test_a_language_of_one_text_is_trained_on(spark):
+    grams = {"aa": [1, 2, 3], "bb": [4, 5, 6]}
+    samples = [("bb" if k == 5 else "aa", np.array(grams["bb" if k == 5 else "aa"]), np.ones(3)) for k in range(40)]
+    scores = langid.fit(samples).scores
+    assert scores[4:7, 1].mean() > scores[4:7, 0].mean() + 1
