@@ -14,8 +14,9 @@ times and a seeded random subset once more: documents in the order of a seeded
 digest are taken while the middle of their word range lies below
 ``rest * source_size``, so a source misses its target by at most half of one
 document.  The order is cut into ``BUCKETS`` digest ranges; only the range in
-which the target falls needs an order inside, so no source is ever sorted in
-one task.
+which the target falls needs an order inside, and there rows that share an id
+and a size count as one, so no source is ever sorted in one task.  Of such rows,
+if only some fit, those with the smallest digest of the whole row go in.
 
 Defined cases: NULL text has size 0; a NULL source is a source of its own and
 comes last; a source without words has target 0; an empty table gives an empty
@@ -118,28 +119,60 @@ def take(docs: DataFrame, seed: int = 4, **targets: float) -> DataFrame:
         ),
         "mix-cut",
     )
-    # inside that range only: the last key taken
+    # inside that range only: the last key and size taken, and of how many rows
     inside = thin.join(cut, F.col("source").eqNullSafe(F.col("_src")) & (F.col("_bucket") == F.col("_cb")))
+    inside = inside.groupBy("source", "_key", "size", "_cbefore", "_rest").agg(F.count(F.lit(1)).alias("_same"))
     w = Window.partitionBy("source").orderBy("_key", "size").rowsBetween(Window.unboundedPreceding, -1)
-    inside = inside.withColumn("_start", F.col("_cbefore") + F.coalesce(F.sum("size").over(w), F.lit(0)))
+    start = F.col("_cbefore") + F.coalesce(F.sum(F.col("size") * F.col("_same")).over(w), F.lit(0))
+    inside = inside.withColumn("_room", F.col("_rest") * 2 - F.col("size") - start * 2)
+    fit = F.when(F.col("size") > 0, F.least("_same", F.floor(F.col("_room") / (F.col("size") * 2)) + 1)).otherwise(F.col("_same"))
     last = (
-        inside.where(F.col("_start") * 2 + F.col("size") <= F.col("_rest") * 2)
+        inside.where(F.col("_room") >= 0)
         .groupBy("source")
-        .agg(F.max(F.struct("_key", "size")).alias("_last"))
+        .agg(
+            F.max(F.struct("_key", "size")).alias("_last"),
+            F.max_by(F.struct("_same", fit.cast("long").alias("_fit")), F.struct("_key", "size")).alias("_of"),
+        )
         .withColumnRenamed("source", "_lsrc")
     )
     plan2 = materialize(
         cut.join(last, F.col("_src").eqNullSafe(F.col("_lsrc")), "left").drop("_lsrc"), "mix-plan"
     )
-    extra = (F.col("_bucket") < F.col("_cb")) | (
-        (F.col("_bucket") == F.col("_cb"))
-        & F.coalesce(F.struct(F.col("_key"), F.col("size")) <= F.col("_last"), F.lit(False))
+    here = F.struct(F.col("_key"), F.col("size"))
+    rows = sized.join(plan2, F.col("source").eqNullSafe(F.col("_src")))
+    before = (F.col("_bucket") < F.col("_cb")) | (
+        (F.col("_bucket") == F.col("_cb")) & F.coalesce(here <= F.col("_last"), F.lit(False))
     )
-    copies = (F.col("_whole") + extra.cast("long")).cast("long")
-    return (
-        sized.join(plan2, F.col("source").eqNullSafe(F.col("_src")))
-        .withColumn("copies", copies)
-        .select(*kept, "size", "source_size", "target", "copies", (F.col("copies") * F.col("size")).alias("taken"))
+    out = [*kept, "size", "source_size", "target", "_whole"]
+    if plan2.where(F.col("_of._fit") < F.col("_of._same")).isEmpty():
+        rows = rows.select(*out, before.alias("_extra"))
+    else:
+        # some of the rows that share the last key and size go in: by a digest of
+        # the whole row, and of equal rows as many as there is room for
+        tied = F.coalesce((here == F.col("_last")) & (F.col("_of._fit") < F.col("_of._same")), F.lit(False))
+        digest = F.when(tied, F.md5(F.to_json(F.struct(*kept)).cast("binary")))
+        rows = rows.withColumn("_tied", tied).withColumn("_tie", digest)
+        ties = rows.where("_tied").groupBy("source", "_tie", F.col("_of._fit").alias("_fit")).agg(F.count(F.lit(1)).alias("_n"))
+        w = Window.partitionBy("source").orderBy("_tie").rowsBetween(Window.unboundedPreceding, -1)
+        ties = ties.withColumn("_left", F.col("_fit") - F.coalesce(F.sum("_n").over(w), F.lit(0))).where("_left > 0")
+        end = ties.groupBy("source").agg(
+            F.max("_tie").alias("_end"), F.max_by("_left", "_tie").alias("_left")
+        )
+        end = materialize(end.withColumnRenamed("source", "_esrc"), "mix-ties")
+        rows = rows.join(F.broadcast(end), F.col("source").eqNullSafe(F.col("_esrc")), "left")
+        split = F.col("_tied") & (F.col("_tie") == F.col("_end"))
+        whole = rows.where(~split).select(
+            *out, F.when(F.col("_tied"), F.col("_tie") < F.col("_end")).otherwise(before).alias("_extra")
+        )
+        # equal rows are counted and written out again, numbered
+        equal = rows.where(split).groupBy("source", "_tie", "_left").agg(
+            F.first(F.struct(*out)).alias("_row"), F.count(F.lit(1)).cast("int").alias("_n")
+        )
+        equal = equal.select("_row", "_left", F.explode(F.sequence(F.lit(1), F.col("_n"))).alias("_i"))
+        rows = whole.unionByName(equal.select("_row.*", (F.col("_i") <= F.col("_left")).alias("_extra")))
+    copies = (F.col("_whole") + F.col("_extra").cast("long")).cast("long")
+    return rows.withColumn("copies", copies).select(
+        *kept, "size", "source_size", "target", "copies", (F.col("copies") * F.col("size")).alias("taken")
     )
 
 

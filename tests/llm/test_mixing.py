@@ -88,3 +88,18 @@ def test_awkward_rows(spark):
 def test_empty_table(spark):
     docs = documents(spark, [])
     assert mixing.take(docs).collect() == [] and mixing.mixed(docs).collect() == []
+
+
+def test_rows_that_share_an_id_and_a_size_meet_the_target(spark):
+    rows = [(None, f"same {k % 50} size here", "en", "a") for k in range(400)]
+    rows += [(7, "equal rows all over", "en", "b") for k in range(300)]
+    rows += [(k, prose(k, 20), "en", "c") for k in range(100)]
+    runs = []
+    for n in (1, 6):
+        out = mixing.take(documents(spark, rows).repartition(n), weights=(3, 2, 2), budget=1.2).collect()
+        assert sorted((r.doc_id or 0, r.text) for r in out) == sorted((i or 0, text) for i, text, *_ in rows)
+        for source in "abc":
+            mine = [r for r in out if r.source == source]
+            assert abs(sum(r.taken for r in mine) - mine[0].target) <= max(r.size for r in mine) / 2
+        runs.append(sorted((r.doc_id or 0, r.text, r.copies) for r in out))
+    assert runs[0] == runs[1]
