@@ -8,27 +8,6 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
-MONEY = "decimal(38,6)"
-
-
-def money_sum(amount: Column | str) -> Column:
-    """Sum of a money column in decimals, so it does not depend on the order
-    of the rows and no row is rounded to whole cents first."""
-    c = F.col(amount) if isinstance(amount, str) else amount
-    return F.sum(c.cast(MONEY))
-
-
-def exact_mean(value: Column | str, scale: int = 2, digits: int = 6) -> Column:
-    """``round(avg(value), scale)`` with HALF_UP on the exact mean.
-
-    The inputs are taken at ``digits`` decimals and averaged in decimal
-    arithmetic, so the result does not depend on summation order (a double
-    average of values like x.xx5 can round either way between runs).
-    """
-    v = F.col(value) if isinstance(value, str) else value
-    return F.round(F.avg(v.cast(f"decimal(28,{digits})")), scale).cast("double")
-
-
 def tier(value: Column | str, ladder: Sequence[tuple[float, str]], floor: str, inclusive: bool) -> Column:
     """CASE ladder: first threshold the value exceeds (or reaches) wins.
 

@@ -3,6 +3,8 @@
 A rank is one plus the number of rows of the group with a strictly greater
 value.  ``rank_within_skew_safe`` never puts a whole group in one task:
 
+0. the rows are written once, so they are not computed again for the last
+   step, and both steps see the same values bit for bit;
 1. rows are reduced to distinct ``(group, value)`` pairs with their counts
    (partial aggregation collapses tied rows map-side);
 2. the pairs are range-partitioned by group and value, so a group with a
@@ -22,7 +24,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from strata.session import checkpoint_root
+from strata.session import checkpoint_root, scratch_path
 
 
 def rank_within_skew_safe(df: DataFrame, group: str, value: str, name: str, parts: int | None = None) -> DataFrame:
@@ -33,6 +35,9 @@ def rank_within_skew_safe(df: DataFrame, group: str, value: str, name: str, part
     spark = df.sparkSession
     checkpoint_root(spark)
     n = max(1, parts or int(spark.conf.get("spark.sql.shuffle.partitions")))
+    path = scratch_path(spark, "rank-rows")
+    df.write.parquet(path)
+    df = spark.read.schema(df.schema).parquet(path)
     pairs = df.groupBy(F.col(group).alias("_g"), F.col(value).alias("_v")).agg(F.count(F.lit(1)).alias("_n"))
     order = F.col("_v").desc()
     cut = (

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from strata.functions.columns import exact_mean, money_sum
+from strata.functions.exact import exact_sums
 
 
 def latest_snapshot(snapshots: DataFrame, column: str = "report_date") -> DataFrame:
@@ -56,15 +56,16 @@ def daily_order_trend(analytics_snapshots: DataFrame, as_of: str, days: int = 30
         rows = analytics_snapshots.where(F.col("report_date") >= F.date_format(start, "yyyy-MM-dd"))
     else:
         raise ValueError(f"unknown mode {mode!r}")
-    return (
-        rows.groupBy("order_date")
-        .agg(
-            F.sum("total_orders").alias("orders"),
-            F.round(money_sum("total_revenue").cast("double"), 2).alias("revenue"),
-            exact_mean("avg_order_value", 2).alias("aov"),
-        )
-        .orderBy("order_date")
+    days_ = exact_sums(
+        rows,
+        ["order_date"],
+        {"revenue": "total_revenue", "aov": "avg_order_value"},
+        {"orders": (F.sum("total_orders"), F.sum("orders")), "_n_aov": (F.count("avg_order_value"), F.sum("_n_aov"))},
     )
+    mean = F.try_divide("aov", "_n_aov")
+    return days_.select(
+        "order_date", "orders", F.round("revenue", 2).alias("revenue"), F.round(mean, 2).alias("aov")
+    ).orderBy("order_date")
 
 
 def run_summary(audit: DataFrame) -> DataFrame:

@@ -21,7 +21,7 @@ the merge; it is only appended to.  Valid time is processing time (``as_of``).
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import BooleanType, DataType, IntegerType, StringType, TimestampNTZType
 
@@ -79,14 +79,13 @@ def scd1_merge(existing: DataFrame | None, incoming: DataFrame, key: str, load_d
 def unique_batch(incoming: DataFrame, key: str) -> DataFrame:
     """The batch without NULL keys; a repeated key fails the job.
 
-    Two rows of one key would each open a version.  The check is a grouped
-    maximum over the key, whose exchange the merge's join then uses as well.
+    Two rows of one key would each open a version.  The count runs over the
+    exchange and the order by key that the merge's join needs anyway.
     """
-    rows = require_key(incoming, key).select(F.col(key).alias("_k"), F.struct(*incoming.columns).alias("_row"))
-    one = rows.groupBy("_k").agg(F.count(F.lit(1)).alias("_n"), F.any_value("_row").alias("_row"))
-    repeated = F.raise_error(F.concat(F.lit(f"batch repeats {key} "), F.col("_k").cast("string")))
-    checked = F.when(F.col("_n") > 1, repeated.cast(one.schema["_row"].dataType)).otherwise(F.col("_row"))
-    return one.select(checked.alias("_row")).select("_row.*")
+    rows = require_key(incoming, key)
+    n = F.count(F.lit(1)).over(Window.partitionBy(key))
+    repeated = F.raise_error(F.concat(F.lit(f"batch repeats {key} "), F.col(key).cast("string"))).cast("boolean")
+    return rows.withColumn("_n", n).where(F.when(F.col("_n") > 1, repeated).otherwise(True)).drop("_n")
 
 
 def scd2_initial(incoming: DataFrame, load_date: str, as_of: str, key: str | None = None) -> DataFrame:
@@ -133,14 +132,19 @@ def late_rows(current: DataFrame, incoming: DataFrame, key: str, as_of: str) ->
     return incoming.join(cur, (F.col(key) == F.col("_k")) & late, "left_semi")
 
 
-def scd2_merge(current: DataFrame, incoming: DataFrame, key: str, load_date: str, as_of: str) -> DataFrame:
+OUTCOME = "_outcome"
+CURRENT, CLOSED, LATE = "current", "closed", "late"
+
+
+def scd2_merge_tagged(current: DataFrame, incoming: DataFrame, key: str, load_date: str, as_of: str) -> DataFrame:
     """Merge a fingerprinted batch into the current rows of an SCD2 table.
 
-    Returns the new current rows *and* the rows closed by this merge
-    (``is_current = false``); earlier history is not an input.  One full outer
-    join on the key.  Replaying a batch changes nothing: equal fingerprints
-    are kept, and a change that is not after the current version's begin is
-    late (see :func:`late_rows`) and not applied.
+    One full outer join on the key gives every output row with its
+    ``_outcome``: ``current`` (kept or opened), ``closed`` (ended by this
+    merge) or ``late`` (a batch row whose change is not after the begin of the
+    version it would close, so it is not applied; its version columns are
+    NULL).  One write can deal them to their places.  Replaying a batch changes
+    nothing: equal fingerprints are kept.
     """
     incoming = unique_batch(incoming, key)
     out_cols = list(current.columns) + [c for c in incoming.columns if c not in current.columns]
@@ -155,13 +159,16 @@ def scd2_merge(current: DataFrame, incoming: DataFrame, key: str, load_date: str
     def side(prefix: str, frame: DataFrame, name: str) -> Column:
         return F.col(f"{prefix}.{name}") if name in frame.columns else F.lit(None)
 
-    def row(prefix: str, frame: DataFrame, over: dict[str, Column]) -> Column:
-        return F.struct(*[over.get(n, side(prefix, frame, n)).cast(types[n]).alias(n) for n in out_cols])
+    def row(outcome: str, prefix: str, frame: DataFrame, over: dict[str, Column]) -> Column:
+        columns = [over.get(n, side(prefix, frame, n)).cast(types[n]).alias(n) for n in out_cols]
+        return F.struct(*columns, F.lit(outcome).alias(OUTCOME))
 
-    kept = row("c", current, {})
-    closed = row("c", current, {"expiry_date": ts_literal(as_of), "is_current": F.lit(False)})
+    kept = row(CURRENT, "c", current, {})
+    closed = row(CLOSED, "c", current, {"expiry_date": ts_literal(as_of), "is_current": F.lit(False)})
     before = F.coalesce(side("c", current, "version_number").cast("int"), F.lit(0))
+    loaded = {"pipeline_load_ts": ts_literal(as_of), "load_date": F.lit(load_date)}
     opened = row(
+        CURRENT,
         "i",
         incoming,
         {
@@ -169,21 +176,30 @@ def scd2_merge(current: DataFrame, incoming: DataFrame, key: str, load_date: str
             "expiry_date": ts_literal(OPEN_END),
             "is_current": F.lit(True),
             "version_number": before + 1,
-            "pipeline_load_ts": ts_literal(as_of),
-            "load_date": F.lit(load_date),
+            **loaded,
         },
     )
+    unapplied = row(LATE, "i", incoming, {**{c: F.lit(None) for c in SCD2_COLUMNS}, **loaded})
     j = current.alias("c").join(incoming.alias("i"), F.col(f"c.{key}") == F.col(f"i.{key}"), "full_outer")
     same = F.col("c.record_hash").eqNullSafe(F.col("i.record_hash"))
     late = F.coalesce(side("c", current, "effective_date").cast("timestamp_ntz") >= ts_literal(as_of), F.lit(False))
     rows = (
         F.when(F.col(f"c.{key}").isNull(), F.array(opened))
-        .when(F.col(f"i.{key}").isNull() | same | late, F.array(kept))
+        .when(F.col(f"i.{key}").isNull() | same, F.array(kept))
+        .when(late, F.array(kept, unapplied))
         .otherwise(F.array(closed, opened))
     )
     return j.select(F.inline(rows))
 
 
+def scd2_merge(current: DataFrame, incoming: DataFrame, key: str, load_date: str, as_of: str) -> DataFrame:
+    """The new current rows *and* the rows closed by this merge
+    (``is_current = false``); earlier history is not an input.  See
+    :func:`scd2_merge_tagged`; late rows are left out."""
+    tagged = scd2_merge_tagged(current, incoming, key, load_date, as_of)
+    return tagged.where(F.col(OUTCOME) != LATE).drop(OUTCOME)
+
+
 def as_of_view(history: DataFrame, at: str) -> DataFrame:
     """Versions valid at time ``at``: ``effective_date <= at < expiry_date``."""
     t = ts_literal(at)

@@ -22,28 +22,26 @@ from strata.operators.cleanse import cleanse
 from strata.operators.dedupe import latest_per_key
 from strata.operators.enrich import enrich_bronze
 from strata.operators.items import explode_items, item_features
-from strata.operators.evolution import compare_schemas, drift_events, reconcile
+from strata.operators.evolution import RESCUED, compare_schemas, drift_events, reconcile
 from strata.operators.scd import (
     LOAD_COLUMNS,
     SCD2_COLUMNS,
-    late_rows,
+    CLOSED,
+    CURRENT,
+    LATE,
+    OUTCOME,
     scd1_merge,
     scd2_initial,
-    scd2_merge,
+    scd2_merge_tagged,
 )
 from strata.rules import AUDIT_COLUMNS, CollectionSpec
-from strata.session import path_exists, scratch_path
+from strata.session import scratch_path
+from strata.sources import manifest
 from strata.sources.contracts import conform, contract
 from strata.sources.extract import effective_upper, incremental_extract, partition_scan
-from strata.sources.publish import (
-    observed,
-    publish_version,
-    read_scd2_current,
-    read_snapshot,
-    write_partition,
-)
+from strata.sources.publish import observed, publish_buckets, publish_version, read_snapshot, write_partition
 
-BOOKKEEPING = (*SCD2_COLUMNS, *LOAD_COLUMNS, "record_hash")
+BOOKKEEPING = (*SCD2_COLUMNS, *LOAD_COLUMNS, "record_hash", RESCUED)
 BRONZE_LINEAGE = ("raw_document", "source_collection", "pipeline_load_ts", "load_date", "run_id")
 
 
@@ -78,9 +76,6 @@ class Lake:
     def drift(self) -> str:
         return f"{self.root}/control/schema_drift"
 
-    def late(self, name: str) -> str:
-        return f"{self.root}/late/{name}"
-
 
 @dataclass
 class RunResult:
@@ -118,8 +113,7 @@ def read_registry(spark: SparkSession, lake: Lake) -> DataFrame:
     reg = read_snapshot(spark, lake.registry)
     if reg is None:
         raise RuntimeError(f"no registry published under {lake.registry}")
-    marks = spark.read.schema(control.MARKS_SCHEMA).parquet(lake.marks) if path_exists(spark, lake.marks) else None
-    return control.with_marks(reg, marks)
+    return control.with_marks(reg, manifest.existing_table(spark, lake.marks, control.MARKS_SCHEMA))
 
 
 def init_registry(spark: SparkSession, lake: Lake, specs: list[CollectionSpec], as_of: str) -> str:
@@ -189,15 +183,15 @@ def align_with_drift_log(
     spark: SparkSession, lake: Lake, collection: str, existing: DataFrame, batch: DataFrame, as_of: str
 ) -> tuple[DataFrame, DataFrame]:
     """Compare the batch's content columns with the stored table's, append
-    one drift-log row per added / dropped / retyped column, and return both
-    frames aligned to one schema (typed NULL padding, safe widening)."""
+    one drift-log row per added / dropped / retyped column (resolved, with how),
+    and return both frames aligned to one schema."""
 
     def content(schema: StructType) -> StructType:
         return StructType([f for f in schema.fields if f.name not in BOOKKEEPING])
 
     old, new = content(existing.schema), content(batch.schema)
     if compare_schemas(old, new):
-        drift_events(spark, collection, old, new, detected_at=as_of).write.mode("append").parquet(lake.drift)
+        drift_events(spark, collection, old, new, detected_at=as_of, resolved_at=as_of).write.mode("append").parquet(lake.drift)
     return reconcile(existing, batch)
 
 
@@ -220,35 +214,43 @@ def prepare_batch(raw: DataFrame, spec: CollectionSpec) -> DataFrame:
     return item_features(stamped, keep_items=True) if "items" in stamped.columns else stamped
 
 
+def _touched_buckets(batch: DataFrame, key: str, buckets: int) -> list[int]:
+    """Buckets that hold a key of the batch (at most ``buckets`` numbers)."""
+    if buckets == 1:
+        return [0]
+    keyed = batch.where(F.col(key).isNotNull())
+    return sorted(r[0] for r in keyed.select(manifest.bucket_of(key, buckets)).distinct().collect())
+
+
 def merge_batch(
-    spark: SparkSession, lake: Lake, spec: CollectionSpec, batch: DataFrame, load_date: str, as_of: str,
-    name: str = "silver-out",
-) -> int:
+    spark: SparkSession, lake: Lake, spec: CollectionSpec, batch: DataFrame, load_date: str, as_of: str
+) -> dict[str, int]:
     """Merge a prepared batch into the cleansed table and publish a version;
-    returns the rows of the published version.
+    returns the rows written: ``current``, ``closed`` and ``late``.
 
-    Replaying a batch leaves the same rows.  SCD2 changes that are not after
-    the version they would close go to ``lake.late(...)``.
+    Only the buckets that the batch's keys fall into are read and rewritten,
+    in one join and one write.  Replaying a batch leaves the same rows; SCD2
+    changes that are not after the version they would close are kept as late
+    rows (``publish.read_late``).  The number of buckets is fixed by the first
+    load.
     """
-    root = lake.silver(spec.name)
+    root, key = lake.silver(spec.name), spec.primary_key
+    base = manifest.newest(spark, root)
+    buckets = spec.buckets if base is None else base.buckets
+    touched = _touched_buckets(batch, key, buckets)
+    existing = None
+    if base is not None:
+        # the table's columns, also those that these buckets do not have yet
+        mine = [f for f in base.current if f.bucket in set(touched)]
+        existing = manifest.read(spark, root, mine, base.schema() if buckets > 1 else None)
+        existing, batch = align_with_drift_log(spark, lake, spec.name, existing, batch, as_of)
     if spec.scd_type == 1:
-        existing = read_snapshot(spark, root)
-        if existing is not None:
-            existing, batch = align_with_drift_log(spark, lake, spec.name, existing, batch, as_of)
-        merged, obs = observed(scd1_merge(existing, batch, spec.primary_key, load_date, as_of), name)
-        publish_version(merged, root)
+        tagged = scd1_merge(existing, batch, key, load_date, as_of).withColumn(OUTCOME, F.lit(CURRENT))
+    elif existing is None:
+        tagged = scd2_initial(batch, load_date, as_of, key).withColumn(OUTCOME, F.lit(CURRENT))
     else:
-        current = read_scd2_current(spark, root)
-        if current is None:
-            merged = scd2_initial(batch, load_date, as_of, spec.primary_key)
-        else:
-            current, batch = align_with_drift_log(spark, lake, spec.name, current, batch, as_of)
-            late = late_rows(current, batch, spec.primary_key, as_of)
-            write_partition(late, lake.late(spec.name), {"load_date": load_date, "as_of": as_of.replace(" ", "T").replace(":", "")})
-            merged = scd2_merge(current, batch, spec.primary_key, load_date, as_of)
-        merged, obs = observed(merged, name)
-        publish_version(merged, root, partition_by=("is_current",))
-    return int(obs.get["rows"])
+        tagged = scd2_merge_tagged(existing, batch, key, load_date, as_of)
+    return publish_buckets(tagged, root, key, buckets, touched, base)[1]
 
 
 def run_silver(
@@ -262,12 +264,12 @@ def run_silver(
     publish it as a new version."""
     run_id = new_run_id()
     start = _now()
-    status, err, n_in, n_out = "SUCCESS", None, 0, 0
+    status, err, n_in, n_out, n_late = "SUCCESS", None, 0, 0, 0
     root = lake.silver(spec.name)
     try:
         batch, obs_in = observed(silver_batch(spark, lake, spec, load_date), f"silver-in-{run_id}")
-        n_out = merge_batch(spark, lake, spec, materialized(batch, f"silver-{spec.name}"), load_date, as_of, f"silver-out-{run_id}")
-        n_in = int(obs_in.get["rows"])
+        written = merge_batch(spark, lake, spec, materialized(batch, f"silver-{spec.name}"), load_date, as_of)
+        n_in, n_out, n_late = int(obs_in.get["rows"]), written[CURRENT] + written[CLOSED], written[LATE]
     except Exception as exc:
         status, err = "FAILED", f"{type(exc).__name__}: {exc}"
         raise
@@ -277,7 +279,7 @@ def run_silver(
             lake,
             control.audit_record(
                 spark, run_id, spec.name, "silver", start, _now(), status,
-                records_extracted=n_in, records_loaded=n_out, error_message=err, output_path=root,
+                records_extracted=n_in, records_loaded=n_out, records_skipped=n_late, error_message=err, output_path=root,
             ),
         )
     return RunResult(run_id, status, n_in, n_out)
@@ -301,8 +303,7 @@ def run_gold(
     start = _now()
 
     def cur(name: str) -> DataFrame:
-        versioned = _spec_row(spark, lake, name)["scd_type"] == 2
-        df = (read_scd2_current if versioned else read_snapshot)(spark, lake.silver(name))
+        df = read_snapshot(spark, lake.silver(name))
         if df is None:
             raise RuntimeError(f"{name} has not been published")
         return df

@@ -85,12 +85,14 @@ ord AS (
   WHERE order_id IS NOT NULL AND customer_id IS NOT NULL
 )"""
 
+# Exact sums: whole multiples of 2^-64 (no amount has lower bits), rounded once
+# when the total is read as a double.
 ORDER_AGG = """
 ord_agg AS (
   SELECT customer_id,
          count(order_id) AS total_orders,
-         CAST(sum(CAST(total_amount AS DECIMAL(38,6))) AS DOUBLE) AS total_revenue,
-         CAST(sum(CAST(total_amount AS DECIMAL(38,6))) AS DOUBLE) / count(total_amount) AS avg_order_value,
+         CAST(CAST(sum(CAST(total_amount * power(2, 64) AS HUGEINT)) AS VARCHAR) AS DOUBLE) / power(2, 64) AS total_revenue,
+         CAST(CAST(sum(CAST(total_amount * power(2, 64) AS HUGEINT)) AS VARCHAR) AS DOUBLE) / power(2, 64) / count(total_amount) AS avg_order_value,
          min(created_at) AS first_order_date,
          max(created_at) AS last_order_date
   FROM ord
@@ -215,7 +217,7 @@ exploded AS (
 ),
 item_agg AS (
   SELECT product_id, CAST(sum(qty) AS BIGINT) AS total_units_sold,
-         CAST(sum(CAST(qty * unit_price AS DECIMAL(38,6))) AS DOUBLE) AS total_revenue
+         CAST(CAST(sum(CAST(qty * unit_price * power(2, 64) AS HUGEINT)) AS VARCHAR) AS DOUBLE) / power(2, 64) AS total_revenue
   FROM exploded GROUP BY product_id
 )"""
 
@@ -250,8 +252,8 @@ analytics AS (
          count(o.order_id) AS total_orders,
          count(*) FILTER (WHERE o.status = 'completed') AS completed_orders,
          count(*) FILTER (WHERE o.status = 'cancelled') AS cancelled_orders,
-         CAST(sum(CAST(o.total_amount AS DECIMAL(38,6))) AS DOUBLE) AS total_revenue,
-         CAST(sum(CAST(o.total_amount AS DECIMAL(38,6))) AS DOUBLE) / count(o.total_amount) AS avg_order_value,
+         CAST(CAST(sum(CAST(o.total_amount * power(2, 64) AS HUGEINT)) AS VARCHAR) AS DOUBLE) / power(2, 64) AS total_revenue,
+         CAST(CAST(sum(CAST(o.total_amount * power(2, 64) AS HUGEINT)) AS VARCHAR) AS DOUBLE) / power(2, 64) / count(o.total_amount) AS avg_order_value,
          CAST((20000 * count(*) FILTER (WHERE o.status = 'completed') + count(o.order_id))
               // (2 * count(o.order_id)) AS DOUBLE) / 10000.0 AS completion_rate
   FROM ord_snap o LEFT JOIN cust c ON o.customer_id = c.customer_id
@@ -445,6 +447,35 @@ SELECT order_id, CAST(CAST(customer_id AS BIGINT) AS VARCHAR), status, total_amo
        created_at, updated_at, CASE WHEN total_amount > 250000 THEN 'web' ELSE 'store' END
 FROM b2"""
 
+SQL["schema_reconcile_nested"] = """
+WITH c AS (SELECT c_custkey AS k, c_nationkey AS n, c_acctbal AS b, c_mktsegment = 'BUILDING' AS odd FROM customer)
+SELECT 'existing' AS side, CAST(k AS VARCHAR) AS id, CAST(k AS INTEGER) AS points, k * 1000003 AS big,
+       CAST(CAST(b AS DECIMAL(10,2)) AS DOUBLE) AS amount, 'city' || n AS city, CAST(n AS INTEGER) AS zip, CAST(NULL AS DOUBLE) AS lat,
+       CAST(n AS BIGINT) AS tag, CAST(n AS DOUBLE) AS attr, n AS code,
+       NULL AS lost_points, NULL AS lost_big, NULL AS lost_zip, NULL AS lost_codes, CAST(0 AS INTEGER) AS n_lost
+FROM c
+UNION ALL
+SELECT 'incoming', CAST(k AS VARCHAR), CASE WHEN NOT odd THEN CAST(k AS INTEGER) END,
+       CASE WHEN b = floor(b) THEN CAST(b AS BIGINT) END, CAST(CAST(b + 0.0025 AS DECIMAL(20,4)) AS DOUBLE), NULL,
+       CASE WHEN NOT odd THEN CAST(n AS INTEGER) END, b, n + 5000000000, b, CASE WHEN NOT odd THEN n END,
+       CASE WHEN odd THEN 'many' END, CASE WHEN b <> floor(b) THEN CAST(b AS VARCHAR) END, CASE WHEN odd THEN 'Z' || n END,
+       CASE WHEN odd THEN '{"k":' || CAST(n + 0.5 AS DOUBLE) || '}' END,
+       CAST(CASE WHEN odd THEN 3 ELSE 0 END + CASE WHEN b <> floor(b) THEN 1 ELSE 0 END AS INTEGER)
+FROM c"""
+
+SQL["exact_money_sum"] = """
+SELECT o_orderstatus, o_orderpriority, count(*) AS n,
+       CAST(CAST(sum(CAST(x * power(2, 64) AS HUGEINT)) AS VARCHAR) AS DOUBLE) / power(2, 64) AS total
+FROM (
+  SELECT *, o_totalprice * [1e-6, 1e-5, 1e-4, 1e-3, 1e-2, 1e-1, 1e0, 1e1, 1e2, 1e3, 1e4, 1e5, 1e6][o_orderkey % 13 + 1]
+            * CASE WHEN o_orderkey % 3 = 0 THEN -1 ELSE 1 END AS x
+  FROM orders)
+GROUP BY o_orderstatus, o_orderpriority"""
+
+SQL["scd2_bucketed_merge"] = SQL["scd2_merge"]
+SQL["scd2_merge_colocated"] = SQL["scd2_merge"]
+SQL["scd2_as_of_pruned"] = SQL["scd2_as_of"]
+
 SQL["order_items_explode"] = _with(ORDERS, LINES) + "\nSELECT * FROM exploded"
 
 SQL["order_item_features"] = _with(ORDERS, LINES) + """
@@ -481,7 +512,7 @@ SQL["order_analytics"] = _with(CUSTOMERS, ORDERS, "\nord_snap AS (SELECT * FROM
 SQL["top_customers_latest"] = _with(CUSTOMERS, ORDERS, _ord_until(SNAPSHOT_CUTOFFS[-1])) + f"""
 , snap_agg AS (
   SELECT customer_id, count(order_id) AS total_orders,
-         CAST(sum(CAST(total_amount AS DECIMAL(38,6))) AS DOUBLE) AS total_revenue
+         CAST(CAST(sum(CAST(total_amount * power(2, 64) AS HUGEINT)) AS VARCHAR) AS DOUBLE) / power(2, 64) AS total_revenue
   FROM ord_snap WHERE status IN ('completed', 'delivered') GROUP BY customer_id
 )
 SELECT c.customer_id, coalesce(c.full_name, concat_ws(' ', c.first_name, c.last_name)) AS full_name, c.country,
@@ -495,7 +526,7 @@ LIMIT 10"""
 
 SQL["daily_order_trend"] = _with(CUSTOMERS, ORDERS, _ord_until(SNAPSHOT_CUTOFFS[-1]), ANALYTICS) + f"""
 SELECT order_date, CAST(sum(total_orders) AS BIGINT) AS orders,
-       CAST(sum(CAST(total_revenue AS DECIMAL(38,6))) AS DOUBLE) AS revenue,
+       round(CAST(CAST(sum(CAST(total_revenue * power(2, 64) AS HUGEINT)) AS VARCHAR) AS DOUBLE) / power(2, 64), 2) AS revenue,
        {_half_up_mean("avg_order_value", 2)} AS aov
 FROM analytics
 WHERE order_date >= '{TREND_START}' AND order_date <= '{TREND_AS_OF}'
@@ -609,7 +640,7 @@ SELECT p.product_id, p.name AS product_name, CAST(coalesce(i.units, 0) AS BIGINT
        coalesce(i.revenue, CAST(0 AS DOUBLE)) AS total_revenue, CAST(coalesce(r.review_count, 0) AS BIGINT) AS review_count
 FROM prod p
 LEFT JOIN (
-  SELECT product_id, sum(qty) AS units, CAST(sum(CAST(qty * unit_price AS DECIMAL(38,6))) AS DOUBLE) AS revenue
+  SELECT product_id, sum(qty) AS units, CAST(CAST(sum(CAST(qty * unit_price * power(2, 64) AS HUGEINT)) AS VARCHAR) AS DOUBLE) / power(2, 64) AS revenue
   FROM ev_items GROUP BY product_id) i ON i.product_id = p.product_id
 LEFT JOIN rev_agg r ON r.product_id = p.product_id"""
 

@@ -10,15 +10,16 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from strata.functions.exact import exact_sums
 from strata.functions.fingerprint import add_fingerprint
 from strata.operators import control, items, marts, reports, scd
 from strata.operators.cleanse import add_derived, cleanse, clean_columns, drop_missing_required
 from strata.operators.dedupe import any_per_key, latest_per_key
 from strata.operators.enrich import enrich_bronze
-from strata.operators.evolution import affected_rows, drift_events, reconcile
+from strata.operators.evolution import RESCUED, affected_rows, drift_events, reconcile
 from strata.plans import business as B
 from strata.plans import jobs
 from strata.plans.oracle import (
@@ -34,7 +35,14 @@ from strata.rules import COLLECTIONS, CUSTOMER_RULES, CleanseRules, CollectionSp
 from strata.session import scratch_path
 from strata.sources.contracts import conform, contract, register_silver
 from strata.sources.extract import incremental_extract, merged_scan, partition_scan
-from strata.sources.publish import observed, read_latest_partition, read_scd2_full, write_partition
+from strata.sources.publish import (
+    observed,
+    publish_colocated,
+    read_latest_partition,
+    read_scd2_as_of,
+    read_scd2_full,
+    write_partition,
+)
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -227,6 +235,39 @@ def scd2_as_of(spark: SparkSession, d: str) -> DataFrame:
     return scd.as_of_view(_scd2_after_two_loads(spark, d), B.AS_OF_BETWEEN)
 
 
+def _two_loads_into_buckets(spark: SparkSession, d: str) -> str:
+    """Both order batches merged into a table of 16 key buckets; its root."""
+    lake = jobs.Lake(scratch_path(spark, "lake"))
+    spec = CollectionSpec("orders", ORDERS_PK, "updated_at", 2, COLLECTIONS["orders"].rules, buckets=16)
+    for batch, load in zip(B.order_batches(spark, d), (B.LOAD1, B.LOAD2)):
+        jobs.merge_batch(spark, lake, spec, jobs.materialized(jobs.prepare_batch(batch, spec), "batch"), *load)
+    return lake.silver("orders")
+
+
+@query
+def scd2_bucketed_merge(spark: SparkSession, d: str) -> DataFrame:
+    """Two loads into a bucketed table with a manifest, read as full history."""
+    return read_scd2_full(spark, _two_loads_into_buckets(spark, d))
+
+
+@query
+def scd2_as_of_pruned(spark: SparkSession, d: str) -> DataFrame:
+    """The as-of view, with folders outside the time left unopened."""
+    return read_scd2_as_of(spark, _two_loads_into_buckets(spark, d), B.AS_OF_BETWEEN)
+
+
+@query
+def scd2_merge_colocated(spark: SparkSession, d: str) -> DataFrame:
+    """The merge against current rows kept in a Spark table bucketed by key:
+    only the batch is shuffled."""
+    h1, h2 = _hashed_batches(spark, d)
+    root = scratch_path(spark, "colocated")
+    name = "orders_current_" + root.rsplit("-", 1)[-1]
+    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    publish_colocated(scd.scd2_initial(h1, *B.LOAD1), name, ORDERS_PK, buckets, root)
+    return scd.scd2_merge(spark.table(name), h2, ORDERS_PK, *B.LOAD2)
+
+
 # --------------------------------------------------------------------------
 # schema evolution
 # --------------------------------------------------------------------------
@@ -266,10 +307,59 @@ def schema_reconcile(spark: SparkSession, d: str) -> DataFrame:
     return ex.unionByName(inc)
 
 
+@query
+def schema_reconcile_nested(spark: SparkSession, d: str) -> DataFrame:
+    """Nested documents whose fields change shape and type: structs gain and
+    lose fields, decimals and elements widen, and what does not fit is rescued."""
+    c = B.table(spark, d, "customer").select(
+        F.col("c_custkey").alias("k"), F.col("c_nationkey").alias("n"), F.col("c_acctbal").alias("b"),
+        (F.col("c_mktsegment") == "BUILDING").alias("odd"),
+    )
+    k, n, b, odd = (F.col(x) for x in ("k", "n", "b", "odd"))
+
+    def unless(odd_value, value) -> Column:
+        return F.when(odd, odd_value).otherwise(value)
+
+    existing = c.select(
+        F.lit("existing").alias("side"), k.cast("string").alias("id"), k.cast("int").alias("points"),
+        (k.cast("long") * 1000003).alias("big"), b.cast("decimal(10,2)").alias("amount"),
+        F.struct(F.concat(F.lit("city"), n.cast("string")).alias("city"), n.cast("int").alias("zip")).alias("address"),
+        F.array(n.cast("int")).alias("tags"), F.create_map(F.lit("k"), n.cast("int")).alias("attrs"),
+        F.create_map(F.lit("k"), n.cast("long")).alias("codes"),
+    )
+    incoming = c.select(
+        F.lit("incoming").alias("side"), k.cast("string").alias("id"), unless("many", k.cast("string")).alias("points"),
+        b.alias("big"), (b + 0.0025).cast("decimal(20,4)").alias("amount"),
+        F.struct(unless(F.concat(F.lit("Z"), n.cast("string")), n.cast("string")).alias("zip"), F.struct(b.alias("lat")).alias("geo")).alias("address"),
+        F.array(n.cast("long") + 5_000_000_000).alias("tags"), F.create_map(F.lit("k"), b).alias("attrs"),
+        F.create_map(F.lit("k"), unless(n + 0.5, n.cast("double"))).alias("codes"),
+    )
+    ex, inc = reconcile(existing, incoming)
+    lost = F.col(RESCUED)
+    return ex.unionByName(inc).select(
+        "side", "id", "points", "big", F.col("amount").cast("double").alias("amount"),
+        "address.city", "address.zip", F.col("address.geo.lat").alias("lat"),
+        F.col("tags")[0].alias("tag"), F.col("attrs")["k"].alias("attr"), F.col("codes")["k"].alias("code"),
+        lost["points"].alias("lost_points"), lost["big"].alias("lost_big"), lost["address.zip"].alias("lost_zip"),
+        lost["codes"].alias("lost_codes"), F.coalesce(F.size(F.map_keys(lost)), F.lit(0)).alias("n_lost"),
+    )
+
+
 # --------------------------------------------------------------------------
 # items and marts
 # --------------------------------------------------------------------------
 
+@query
+def exact_money_sum(spark: SparkSession, d: str) -> DataFrame:
+    """Sums over thirteen orders of magnitude and both signs, to the last bit."""
+    key = F.col("o_orderkey")
+    factors = F.array(*(F.lit(float(f"1e{e}")) for e in range(-6, 7)))
+    sign = F.when(key % 3 == 0, F.lit(-1)).otherwise(F.lit(1))
+    x = F.col("o_totalprice") * F.get(factors, (key % 13).cast("int")) * sign
+    keys = ["o_orderstatus", "o_orderpriority"]
+    return exact_sums(B.table(spark, d, "orders"), keys, {"total": x}, {"n": (F.count(F.lit(1)), F.sum("n"))})
+
+
 def _exploded(spark: SparkSession, d: str) -> DataFrame:
     return items.join_lines(B.orders(spark, d), B.order_lines(spark, d))
 

@@ -50,10 +50,16 @@ class CollectionSpec:
     # Row fingerprint: its encoding and columns that do not count as a change.
     fingerprint_mode: str = "compat"
     fingerprint_exclude: tuple[str, ...] = ()
+    # Key buckets of the cleansed table: a merge rewrites those its keys fall
+    # into.  About one per 256 MB to 1 GB of current rows; a divisor (or a
+    # multiple) of the shuffle partitions makes few files.
+    buckets: int = 1
 
     def __post_init__(self) -> None:
         if self.scd_type not in (1, 2):
             raise ValueError(f"scd_type must be 1 or 2, got {self.scd_type}")
+        if self.buckets < 1:
+            raise ValueError(f"buckets must be positive, got {self.buckets}")
 
 
 # --- fixed values: must equal the reference's rule sets and registry seeds ---

@@ -1,4 +1,4 @@
-"""Session helpers: shared scratch location and file-system probes.
+"""Session helpers: shared scratch location and one directory listing.
 
 Intermediate tables and checkpoints always go under the folder the cluster
 names in ``spark.checkpoint.dir``.  Only when it is unset on a local master
@@ -32,28 +32,10 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{checkpoint_root(spark)}/strata/{name}-{uuid.uuid4().hex[:12]}"
 
 
-def _fs_and_path(spark: SparkSession, path: str):
-    jvm = spark.sparkContext._jvm
-    jpath = jvm.org.apache.hadoop.fs.Path(path)
-    fs = jpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    return fs, jpath
-
-
-def path_exists(spark: SparkSession, path: str) -> bool:
-    fs, jpath = _fs_and_path(spark, path)
-    return bool(fs.exists(jpath))
-
-
 def list_dirs(spark: SparkSession, path: str) -> list[str]:
     """Names of the sub-directories of ``path`` (empty if it does not exist)."""
-    fs, jpath = _fs_and_path(spark, path)
+    jpath = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    fs = jpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
     if not fs.exists(jpath):
         return []
     return sorted(s.getPath().getName() for s in fs.listStatus(jpath) if s.isDirectory())
-
-
-def glob_paths(spark: SparkSession, pattern: str) -> list[str]:
-    """Paths matching a pattern (one listing call per path level)."""
-    fs, jpath = _fs_and_path(spark, pattern)
-    found = fs.globStatus(jpath)
-    return [] if found is None else sorted(st.getPath().toString() for st in found)

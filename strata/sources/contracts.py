@@ -122,24 +122,26 @@ def create_table(spark: SparkSession, table: str, name: str, location: str) -> N
 
 
 def register_silver(spark: SparkSession, view: str, name: str, root: str) -> None:
-    """(Re)create a catalog view of the current rows of a cleansed table, in
-    the shape of its contract.  It names the newest committed version, so it
+    """(Re)create a catalog view of the live rows of a cleansed table, in the
+    shape of its contract.  It names the folders of the newest version, so it
     is to be called again after a publish."""
-    from strata.sources.publish import VERSION_COL, latest_version
+    from strata.sources import manifest
 
-    version = latest_version(spark, root)
+    version = manifest.newest(spark, root)
     if version is None:
         raise RuntimeError(f"nothing has been published under {root}")
-    path = f"{root}/{VERSION_COL}={version}"
-    have = set(spark.read.parquet(path).columns)
-    columns = ", ".join(
-        f"try_cast(`{f.name}` AS {f.dataType.simpleString()}) AS `{f.name}`"
-        if f.name in have
-        else f"CAST(NULL AS {f.dataType.simpleString()}) AS `{f.name}`"
-        for f in contract(name).fields
-    )
-    where = " WHERE CAST(is_current AS boolean)" if "is_current" in have else ""
-    spark.sql(f"CREATE OR REPLACE VIEW {view} AS SELECT {columns} FROM parquet.`{path}`{where}")
+
+    def rows_of(folder: manifest.Folder) -> str:
+        have = set(folder.struct().names)
+        columns = ", ".join(
+            f"try_cast(`{f.name}` AS {f.dataType.simpleString()}) AS `{f.name}`"
+            if f.name in have
+            else f"CAST(NULL AS {f.dataType.simpleString()}) AS `{f.name}`"
+            for f in contract(name).fields
+        )
+        return f"SELECT {columns} FROM parquet.`{root}/{folder.folder}`"
+
+    spark.sql(f"CREATE OR REPLACE VIEW {view} AS " + " UNION ALL ".join(map(rows_of, version.current)))
 
 
 def repair(spark: SparkSession, table: str) -> None:

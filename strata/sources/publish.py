@@ -1,31 +1,25 @@
-"""Publishing: partition writes, versioned snapshots, observed metrics.
-
-A path that is being read is never overwritten.  Cleansed tables are written
-as *versions*: ``<root>/version=v00000042/...``.  A version counts only once
-Spark's job commit has written its ``_SUCCESS`` marker, so a job that dies
-half-way (executor or driver loss) leaves an unreferenced directory and the
-previous version stays the readable one.  Task retries inside a job are
-handled by Spark's output committer.
-
-SCD2 versions are written partitioned by ``is_current``: the newest version's
-``is_current=true`` partition is the current view, and the ``false``
-partitions of all committed versions form the history (append-only, never
-rewritten).  Readers list and read only the directories they need (with
-``basePath`` so partition columns are kept), never the whole ``<root>``.
+"""Publishing: partition writes, versioned tables, observed metrics.
+
+A path that is being read is never overwritten.  Cleansed tables are published
+as *versions* of a manifest (see :mod:`strata.sources.manifest`): data goes to
+a fresh folder, and the version is there once its manifest file is.  Task
+retries inside a job are handled by Spark's output committer.
+
+A table keyed by bucket rewrites the buckets a batch touches and carries the
+others over; closed rows of an SCD2 table are appended, never rewritten.
 """
 
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from datetime import datetime
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import BooleanType, StringType, StructField, StructType
-
-from strata.operators.evolution import reconcile
-from strata.session import glob_paths, list_dirs, path_exists
 
-VERSION_COL = "version"
+from strata.operators.scd import CLOSED, CURRENT, LATE, OUTCOME, as_of_view
+from strata.session import list_dirs
+from strata.sources import manifest
 
 
 def write_partition(
@@ -71,106 +65,125 @@ def read_latest_partition(
 
 
 # --------------------------------------------------------------------------
-# versioned snapshots
+# versioned tables
 # --------------------------------------------------------------------------
 
-def _version_name(n: int) -> str:
-    return f"v{n:08d}"
+BUCKET = "_bucket"
 
 
-def all_versions(spark: SparkSession, root: str) -> list[str]:
-    return [d.split("=", 1)[1] for d in list_dirs(spark, root) if d.startswith(f"{VERSION_COL}=")]
+def _version_name(n: int) -> str:
+    return f"v{n:08d}"
 
 
-def committed_versions(spark: SparkSession, root: str) -> list[str]:
-    """Versions whose write job committed (one glob call, not one probe each)."""
-    marks = glob_paths(spark, f"{root.rstrip('/')}/{VERSION_COL}=*/_SUCCESS")
-    return sorted(m.rstrip("/").split("/")[-2].split("=", 1)[1] for m in marks)
+def latest_version(spark: SparkSession, root: str) -> str | None:
+    version = manifest.newest(spark, root)
+    return None if version is None else _version_name(version.number)
 
 
-def latest_version(spark: SparkSession, root: str) -> str | None:
-    vs = committed_versions(spark, root)
-    return vs[-1] if vs else None
+def publish_version(df: DataFrame, root: str, compression: str = "snappy") -> str:
+    """Write ``df`` as the whole of the next version; returns its name."""
+    spark = df.sparkSession
+    base = manifest.newest(spark, root)
+    n = 1 if base is None else base.number + 1
+    folder = manifest.new_folder(n)
+    df.write.option("compression", compression).parquet(f"{root}/{folder}")
+    manifest.commit(spark, root, n, [manifest.Folder(CURRENT, 1, 0, folder, df.schema.json())])
+    return _version_name(n)
 
 
-def publish_version(
-    df: DataFrame,
+def publish_buckets(
+    tagged: DataFrame,
     root: str,
-    partition_by: Sequence[str] = (),
+    key: str,
+    buckets: int,
+    touched: Sequence[int],
+    base: manifest.Version | None = None,
     compression: str = "snappy",
-) -> str:
-    """Write ``df`` as the next version; returns the version name."""
-    spark = df.sparkSession
-    existing = all_versions(spark, root)
-    n = int(existing[-1][1:]) + 1 if existing else 1
-    version = _version_name(n)
-    writer = df.write.mode("errorifexists").option("compression", compression)
-    if partition_by:
-        writer = writer.partitionBy(*partition_by)
-    writer.parquet(f"{root}/{VERSION_COL}={version}")
-    return version
-
-
-def _read_dirs(spark: SparkSession, root: str, paths: Sequence[str]) -> DataFrame:
-    """Read only ``paths`` below ``root``; partition columns from directory
-    names are kept (``basePath``) and typed: version STRING, is_current
-    BOOLEAN.  Nothing else under ``root`` is listed.
-
-    Every path is read with the schema it was written with; older ones are
-    cast up and padded to the newest (columns added or widened since).
+) -> tuple[str, dict[str, int]]:
+    """Publish rows tagged ``current``, ``closed`` or ``late`` (column
+    ``_outcome``) as the next version, in one write.
+
+    ``tagged`` holds all current rows of the ``touched`` buckets; the other
+    buckets of ``base`` are carried over by name, without being read.  Returns
+    the version's name and the rows written per outcome.
     """
-    reader = spark.read.option("basePath", root)
-    typed = {VERSION_COL: StringType(), "is_current": BooleanType()}
-    by_schema: dict[str, tuple[StructType, list[str]]] = {}
-    for path in paths:
-        inferred = reader.parquet(path).schema
-        schema = StructType([StructField(f.name, typed.get(f.name, f.dataType), True) for f in inferred.fields])
-        by_schema.setdefault(schema.json(), (schema, []))[1].append(path)
-    out: DataFrame | None = None
-    for schema, same in by_schema.values():
-        part = reader.schema(schema).parquet(*same)
-        if out is None:
-            out = part
-        else:
-            older, newer = reconcile(out, part)
-            out = older.unionByName(newer)
-    assert out is not None
-    return out
+    spark = tagged.sparkSession
+    n = 1 if base is None else base.number + 1
+    folder = manifest.new_folder(n)
+    schema = tagged.drop(OUTCOME).schema
+    placed = tagged.withColumn(BUCKET, F.when(F.col(OUTCOME) == CURRENT, manifest.bucket_of(key, buckets)).otherwise(F.lit(0)))
+    versioned = {"effective_date", "expiry_date"} <= set(schema.names)
+    metrics = {o: F.count_if(F.col(OUTCOME) == o) for o in (CURRENT, CLOSED, LATE)}
+    if versioned:
+        ended = F.col(OUTCOME) == CLOSED
+        metrics["low"] = F.min(F.when(ended, F.col("effective_date")))
+        metrics["high"] = F.max(F.when(ended, F.col("expiry_date")))
+    placed, seen = observed(placed, f"publish-{folder}", **metrics)
+    placed.write.option("compression", compression).partitionBy(OUTCOME, BUCKET).parquet(f"{root}/{folder}")
+    found = seen.get
+
+    def written(kind: str, bucket: int, **bounds) -> manifest.Folder:
+        return manifest.Folder(kind, buckets, bucket, f"{folder}/{OUTCOME}={kind}/{BUCKET}={bucket}", schema.json(), **bounds)
+
+    mine = set(touched)
+    folders = [f for f in base.current if f.bucket not in mine] if base is not None else []
+    if found[CURRENT]:
+        folders += [written(CURRENT, b) for b in sorted(mine)]
+    elif not folders:  # a table without rows still has its columns
+        placed.select(*schema.names).limit(0).write.parquet(f"{root}/{folder}/empty")
+        folders = [manifest.Folder(CURRENT, buckets, 0, f"{folder}/empty", schema.json())]
+    if found[CLOSED]:
+        folders.append(written(CLOSED, 0, valid_from=found.get("low"), valid_to=found.get("high")))
+    if found[LATE]:
+        folders.append(written(LATE, 0))
+    manifest.commit(spark, root, n, folders)
+    return _version_name(n), {o: int(found[o]) for o in (CURRENT, CLOSED, LATE)}
+
+
+def publish_colocated(df: DataFrame, table: str, key: str, buckets: int, location: str) -> None:
+    """Write ``df`` as a Spark table bucketed and sorted by ``key``.
+
+    With ``buckets`` equal to the shuffle partitions, a join on the key reads
+    the table as it lies: only the other side is shuffled.  One file per
+    bucket, as the rows are dealt by the bucketing hash before they are written.
+    """
+    dealt = df.repartition(buckets, key)
+    dealt.write.bucketBy(buckets, key).sortBy(key).option("path", location).mode("errorifexists").saveAsTable(table)
 
 
 def read_snapshot(spark: SparkSession, root: str) -> DataFrame | None:
-    """Latest committed version of a snapshot table; None when nothing has
-    been published yet (first load).  Read errors propagate."""
-    v = latest_version(spark, root)
-    if v is None:
-        return None
-    return _read_dirs(spark, root, [f"{root}/{VERSION_COL}={v}"]).drop(VERSION_COL)
+    """Live rows of the newest version; None when nothing has been published
+    yet (first load).  Read errors propagate."""
+    version = manifest.newest(spark, root)
+    return None if version is None else manifest.read(spark, root, version.current)
 
 
-def read_scd2_current(spark: SparkSession, root: str) -> DataFrame | None:
-    v = latest_version(spark, root)
-    if v is None:
-        return None
-    path = f"{root}/{VERSION_COL}={v}/is_current=true"
-    if not path_exists(spark, path):  # every key closed (no current rows)
-        return _read_dirs(spark, root, [f"{root}/{VERSION_COL}={v}"]).where(F.col("is_current")).drop(VERSION_COL)
-    return _read_dirs(spark, root, [path]).drop(VERSION_COL)
+#: An SCD2 table's live rows are its current ones.
+read_scd2_current = read_snapshot
 
 
 def read_scd2_full(spark: SparkSession, root: str) -> DataFrame | None:
-    """Current rows of the newest version plus the closed rows of all versions."""
-    vs = committed_versions(spark, root)
-    if not vs:
+    """Current rows of the newest version plus the closed rows of all commits."""
+    version = manifest.newest(spark, root)
+    if version is None:
+        return None
+    return manifest.read(spark, root, (*manifest.added(spark, root, CLOSED), *version.current))
+
+
+def read_late(spark: SparkSession, root: str) -> DataFrame | None:
+    """Batch rows that came too late to be applied; None if there are none."""
+    return manifest.read(spark, root, manifest.added(spark, root, LATE))
+
+
+def read_scd2_as_of(spark: SparkSession, root: str, at: str) -> DataFrame | None:
+    """Versions valid at time ``at``.  Folders of closed rows whose validity
+    interval lies before or after ``at`` are not opened."""
+    version = manifest.newest(spark, root)
+    if version is None:
         return None
-    committed = set(vs)
-    closed = glob_paths(spark, f"{root.rstrip('/')}/{VERSION_COL}=*/is_current=false")
-    paths = [p for p in closed if p.rstrip("/").split("/")[-2].split("=", 1)[1] in committed]
-    current = f"{root}/{VERSION_COL}={vs[-1]}/is_current=true"
-    if path_exists(spark, current):
-        paths.append(current)
-    if not paths:
-        paths = [f"{root}/{VERSION_COL}={vs[-1]}"]
-    return _read_dirs(spark, root, paths).drop(VERSION_COL)
+    t = datetime.fromisoformat(at)
+    closed = [f for f in manifest.added(spark, root, CLOSED) if (f.valid_from is None or f.valid_from <= t) and (f.valid_to is None or t < f.valid_to)]
+    return as_of_view(manifest.read(spark, root, (*closed, *version.current)), at)
 
 
 # --------------------------------------------------------------------------

@@ -8,6 +8,7 @@ import pytest
 
 import __spark_entry__ as E
 from strata.plans.oracle import SQL
+from strata.plans.queries import QUERIES
 
 SF = "/root/testdata/sf0.001"
 TABLES = "region nation customer supplier part orders lineitem events".split()
@@ -45,7 +46,8 @@ def test_matches_oracle(spark, con, key):
 
 
 def test_every_query_has_oracle():
-    assert set(E.queries()) == set(E.oracle_sql())
+    assert set(QUERIES) == set(SQL)
+    assert set(QUERIES) <= set(E.queries()) and set(SQL) <= set(E.oracle_sql())
 
 
 def test_entry_runs(spark):
@@ -55,7 +57,7 @@ def test_entry_runs(spark):
 
 
 def test_no_python_udfs_in_plans(spark):
-    for key, fn in E.queries().items():
+    for key, fn in QUERIES.items():
         if key in {"bronze_then_silver", "batch_metrics", "top_customers_latest", "daily_order_trend"}:
             continue  # these write first; their operators are covered by the other keys
         plan = fn(spark, SF)._jdf.queryExecution().executedPlan().toString()

@@ -46,8 +46,9 @@ def test_order_analytics_shuffles_orders_once(spark):
         plan = marts.order_analytics(orders, customers)._jdf.queryExecution().executedPlan().toString()
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
-    # orders and customers to the join, then the map-side sums
-    assert plan.count("Exchange hashpartitioning") == 3
+    # orders and customers to the join; then the map-side sums per bin, and per group
+    assert plan.count("Exchange hashpartitioning") == 4
+    assert plan.count("Exchange hashpartitioning(customer_id") == 2
     assert plan.count("partial_") >= 1
 
 
@@ -107,3 +108,22 @@ def test_hot_order_is_split_by_aqe(spark):
                 spark.conf.unset(k)
             else:
                 spark.conf.set(k, v)
+
+
+def test_colocated_merge_shuffles_the_batch_only(spark):
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    try:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        plan = E.queries()["scd2_merge_colocated"](spark, SF)._jdf.queryExecution().executedPlan()
+        text = plan.toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+    join = text[text.index("SortMergeJoin") :].splitlines()
+    scan = next(i for i, line in enumerate(join) if "Bucketed: true" in line)
+    left = [line for line in join[:scan] if "Exchange" in line]
+    assert not left, left  # no exchange above the scan of the current rows
+
+
+def test_the_ranked_input_is_computed_once(spark):
+    plan = _plan(spark, "top_products")
+    assert "lineitem.parquet" not in plan and plan.count("rank-rows") >= 1

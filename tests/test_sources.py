@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from strata.session import scratch_path
-from strata.sources import publish
+from strata.sources import manifest, publish
 from strata.sources.contracts import conform, contract
 from strata.sources.extract import effective_upper, incremental_extract, merged_scan, partition_scan
 
@@ -72,17 +72,13 @@ def test_versions_and_failed_write_ignored(spark):
     root = scratch_path(spark, "t-ver")
     assert publish.read_snapshot(spark, root) is None  # first load
     publish.publish_version(spark.createDataFrame([(1,)], "id int"), root)
-    # a version directory without _SUCCESS (a run that died mid-write)
-    spark.createDataFrame([(99,)], "id int").write.parquet(f"{root}/version=v00000002")
-    spark.sparkContext._jvm  # noqa: B018
-    from strata.session import _fs_and_path
-
-    fs, p = _fs_and_path(spark, f"{root}/version=v00000002/_SUCCESS")
-    fs.delete(p, False)
+    # data without a manifest row (a run that died before its commit)
+    spark.createDataFrame([(99,)], "id int").write.parquet(f"{root}/{manifest.new_folder(2)}")
     assert [r.id for r in publish.read_snapshot(spark, root).collect()] == [1]
     v = publish.publish_version(spark.createDataFrame([(2,)], "id int"), root)
-    assert v == "v00000003"
+    assert v == publish.latest_version(spark, root) == "v00000002"
     assert [r.id for r in publish.read_snapshot(spark, root).collect()] == [2]
+    assert manifest.newest(spark, root, at_most=1).number == 1
 
 
 def test_republish_while_reading_same_table(spark):
@@ -95,13 +91,15 @@ def test_republish_while_reading_same_table(spark):
 
 def test_scd2_layout(spark):
     root = scratch_path(spark, "t-scd2")
-    v1 = spark.createDataFrame([("a", True), ("b", True)], "k string, is_current boolean")
-    publish.publish_version(v1, root, partition_by=("is_current",))
-    v2 = spark.createDataFrame([("a", False), ("a2", True), ("b", True)], "k string, is_current boolean")
-    publish.publish_version(v2, root, partition_by=("is_current",))
+    v1 = spark.createDataFrame([("a", "current"), ("b", "current")], "k string, _outcome string")
+    publish.publish_buckets(v1, root, "k", 1, [0])
+    v2 = spark.createDataFrame([("a", "closed"), ("a2", "current"), ("b", "current"), ("z", "late")], "k string, _outcome string")
+    _, written = publish.publish_buckets(v2, root, "k", 1, [0], manifest.newest(spark, root))
+    assert written == {"current": 2, "closed": 1, "late": 1}
     cur = sorted(r.k for r in publish.read_scd2_current(spark, root).collect())
     full = sorted(r.k for r in publish.read_scd2_full(spark, root).collect())
     assert cur == ["a2", "b"] and full == ["a", "a2", "b"]
+    assert [r.k for r in publish.read_late(spark, root).collect()] == ["z"]
 
 
 def test_conform_contract(spark):
@@ -115,12 +113,13 @@ def test_conform_contract(spark):
 def test_history_reads_every_version_with_its_own_schema(spark):
     root = scratch_path(spark, "t-drift")
     for row, schema in (
-        ((1, "a", True), "n int, k string, is_current boolean"),
-        ((2, "a", False), "n int, k string, is_current boolean"),
-        ((2**40, "b", True, "vip"), "n bigint, k string, is_current boolean, tier string"),
-        ((7, "c", False, "x"), "n bigint, k string, is_current boolean, tier string"),
+        ((1, "a", "current"), "n int, k string, _outcome string"),
+        ((2, "a", "closed"), "n int, k string, _outcome string"),
+        ((2**40, "b", "current", "vip"), "n bigint, k string, _outcome string, tier string"),
+        ((7, "c", "closed", "x"), "n bigint, k string, _outcome string, tier string"),
     ):
-        publish.publish_version(spark.createDataFrame([row], schema), root, partition_by=("is_current",))
+        df = spark.createDataFrame([row], schema)
+        publish.publish_buckets(df, root, "k", 1, [0], manifest.newest(spark, root))
     full = publish.read_scd2_full(spark, root)
     assert dict(full.dtypes)["n"] == "bigint"
     assert sorted((r.n, r.k, r.tier) for r in full.collect()) == [(2, "a", None), (7, "c", "x")]
