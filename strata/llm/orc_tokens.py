@@ -24,11 +24,12 @@ from __future__ import annotations
 
 import re
 import zlib
+from array import array
 from collections.abc import Iterator, Sequence
-from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -41,78 +42,113 @@ INDEX_ROWS = 1000
 #: Rows after which the writer looks whether a stripe is full (texts may be long).
 STRIPE_CHECK_ROWS = 100
 BLOOM_FPP = 0.01
-#: Pieces whose ids a task remembers before it starts anew.
-CACHE_PIECES = 1 << 18
+#: Pieces whose ids a worker remembers before it starts anew.
+CACHE_PIECES = 1 << 19
 #: Pieces longer than this are encoded but not remembered.
 CACHE_CHARS = 64
 SCHEMA = "part int, doc_id long, local_start long, n_tokens int, ids array<int>"
 
-# A blank before an ASCII or Latin letter or a digit always begins a piece of a
-# byte-level vocabulary's own splitting, so ids of such pieces can be joined.
-_PIECE = re.compile("(?= [0-9A-Za-zÀ-ÖØ-öø-ɏ])")
+# --- fixed values: how the byte-level vocabulary cuts a text into pieces, for
+# --- texts of ASCII and Latin letters only (others are left to the library)
+_PLAIN = re.compile("[\\x00-\\x7fÀ-ÖØ-öø-ɏ]*")
+_PIECE = re.compile(
+    "'(?:[stmd]|re|ve|ll)| ?[A-Za-zÀ-ÖØ-öø-ɏ]+| ?[0-9]+| ?[^\\sA-Za-z0-9À-ÖØ-öø-ɏ]+|\\s+(?!\\S)|\\s+", re.ASCII
+)
+_SHOWN = [*range(33, 127), *range(161, 173), *range(174, 256)]
+# --- end of fixed values ---
+
+
+def _letters_of_bytes() -> dict[int, int]:
+    """The vocabulary's letter for each byte: itself if it can be shown, else
+    the next free one from 256 on."""
+    hidden = [b for b in range(256) if b not in set(_SHOWN)]
+    return {**{b: b for b in _SHOWN}, **{b: 256 + i for i, b in enumerate(hidden)}}
+
+
+class _Known(dict):
+    """Ids of pieces as bytes of 32-bit integers; encodes those it lacks."""
+
+    def __init__(self, tokenizer):
+        super().__init__()
+        self.model = tokenizer.model
+        self.letters = _letters_of_bytes()
+        self.blank = chr(self.letters[32])
+
+    def __missing__(self, piece: str) -> bytes:
+        if piece.isascii() and piece.isprintable() and " " not in piece[1:]:
+            letters = piece.replace(" ", self.blank)
+        else:
+            letters = piece.encode().decode("latin-1").translate(self.letters)
+        ids = array("i", [t.id for t in self.model.tokenize(letters)]).tobytes()
+        if len(piece) <= CACHE_CHARS:
+            if len(self) >= CACHE_PIECES:
+                self.clear()
+            self[piece] = ids
+        return ids
 
 
 class PieceEncoder:
-    """A byte-level tokenizer that remembers the ids of pieces of text."""
+    """A byte-level tokenizer that remembers the ids of the pieces of texts.
+
+    A text of ASCII and Latin letters is cut as the vocabulary's pattern cuts
+    it, and each piece goes to the library's model once; any other text, and
+    one that spells out a special token, goes to the library whole.
+    """
 
     def __init__(self, vocabulary: str):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_str(vocabulary)
-        self.known: dict[str, list[int]] = {}
-
-    def encode(self, texts: list[str]) -> list[np.ndarray]:
-        """Ids of each text, with the end id."""
-        cut = [_PIECE.split(t) if t else [] for t in texts]
-        if len(self.known) > CACHE_PIECES:
-            self.known = {}
-        known = self.known
-        new = list({p for pieces in cut for p in pieces}.difference(known))
-        found = dict(zip(new, (e.ids for e in self.tokenizer.encode_batch(new, add_special_tokens=False))))
-        known.update((p, ids) for p, ids in found.items() if len(p) <= CACHE_CHARS)
-        found = {p: ids for p, ids in found.items() if len(p) > CACHE_CHARS}
-
-        def ids_of(piece: str) -> list[int]:
-            return known[piece] if piece in known else found[piece]
-
-        out = []
-        for pieces in cut:
-            ids = list(chain.from_iterable(map(ids_of if found else known.__getitem__, pieces)))
-            ids.append(END_ID)
-            out.append(np.array(ids, np.int32))
-        return out
-
-
-def _batches_of(texts: list[str], max_chars: int = 1 << 20) -> Iterator[tuple[int, int]]:
-    """Borders of runs of texts of about ``max_chars`` (one text at least)."""
-    begin = size = 0
-    for i, t in enumerate(texts):
-        if size and size + len(t) > max_chars:
-            yield begin, i
-            begin, size = i, 0
-        size += len(t)
-    if begin < len(texts):
-        yield begin, len(texts)
+        self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
+        self.known = _Known(self.tokenizer)
+
+    def encode(self, text: str) -> np.ndarray:
+        """Ids of a text, with the end id."""
+        if _PLAIN.fullmatch(text) and not any(s in text for s in self.special):
+            ids = np.frombuffer(b"".join(map(self.known.__getitem__, _PIECE.findall(text))), "<i4")
+        else:
+            ids = np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, np.int32)
+        return np.append(ids, np.int32(END_ID))
+
+
+_ENCODERS: dict[str, PieceEncoder] = {}
+
+
+def _encoder_of(vocabulary: str) -> PieceEncoder:
+    """The worker's encoder, which later tasks of the worker use again."""
+    if vocabulary not in _ENCODERS:
+        _ENCODERS.clear()
+        _ENCODERS[vocabulary] = PieceEncoder(vocabulary)
+    return _ENCODERS[vocabulary]
+
+
+def _slices(column: pa.Array, max_bytes: int = 4 << 20) -> Iterator[tuple[int, int]]:
+    """Borders of runs of rows of about ``max_bytes`` (one row at least)."""
+    sizes = pc.fill_null(pc.binary_length(column), 0).to_numpy(zero_copy_only=False).astype(np.int64)
+    total = np.concatenate([[0], np.cumsum(sizes)])
+    at = 0
+    while at < len(sizes):
+        end = max(at + 1, int(np.searchsorted(total, total[at] + max_bytes, "right")) - 1)
+        yield at, end
+        at = end
 
 
 def _encoder(vocabulary):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = PieceEncoder(vocabulary.value)
+        encoder = _encoder_of(vocabulary.value)
         part, start = TaskContext.get().partitionId(), 0
         for batch in batches:
-            texts = [t or "" for t in batch.column("text").to_pylist()]
-            doc_id = batch.column("doc_id")
-            for begin, end in _batches_of(texts):
-                ids = encoder.encode(texts[begin:end])
-                sizes = np.array([len(x) for x in ids], np.int64)
-                borders = np.concatenate([[0], np.cumsum(sizes)])
+            for begin, end in _slices(batch.column("text")):
+                texts = batch.column("text").slice(begin, end - begin)
+                ids = [encoder.encode(t.as_py() or "") for t in texts]
+                borders = np.concatenate([[0], np.cumsum([len(x) for x in ids])])
                 n = end - begin
                 yield pa.record_batch(
                     [
                         pa.array(np.full(n, part, np.int32)),
-                        doc_id.slice(begin, n).cast(pa.int64()),
+                        batch.column("doc_id").slice(begin, n).cast(pa.int64()),
                         pa.array(start + borders[:-1]),
-                        pa.array(sizes.astype(np.int32)),
+                        pa.array(np.diff(borders).astype(np.int32)),
                         pa.ListArray.from_arrays(pa.array(borders.astype(np.int32)), pa.array(np.concatenate(ids))),
                     ],
                     names=["part", "doc_id", "local_start", "n_tokens", "ids"],

@@ -39,13 +39,29 @@ ODD = [
 
 def test_pieces_give_the_ids_of_the_whole_text(tokenizer, encoder):
     texts = ODD + [prose(k, 300) for k in range(5)]
-    assert [list(x) for x in encoder.encode(texts)] == [whole(tokenizer, t) for t in texts]
+    assert [list(encoder.encode(t)) for t in texts] == [whole(tokenizer, t) for t in texts]
+
+
+def test_every_character_alone_and_beside_letters(tokenizer, encoder):
+    for c in map(chr, range(0x250)):
+        for text in (c, f"a{c}b", f" {c}{c} 1{c}", f"a {c}\n{c}'s"):
+            assert list(encoder.encode(text)) == whole(tokenizer, text), repr(text)
+
+
+def test_forgetting_pieces_changes_nothing(tokenizer, monkeypatch):
+    monkeypatch.setattr(orc_tokens, "CACHE_PIECES", 3)
+    monkeypatch.setattr(orc_tokens, "CACHE_CHARS", 5)
+    with open(VOCABULARY, encoding="utf-8") as f:
+        small = orc_tokens.PieceEncoder(f.read())
+    for t in [*ODD, prose(1, 200)]:
+        assert list(small.encode(t)) == whole(tokenizer, t)
+    assert len(small.known) <= 3
 
 
 @settings(max_examples=300, deadline=None)
 @given(st.text(alphabet=st.one_of(st.sampled_from(" \n\t'sa1é.× "), st.characters(exclude_categories=["Cs"])), max_size=40))
 def test_pieces_of_any_text(tokenizer, encoder, text):
-    assert list(encoder.encode([text])[0]) == whole(tokenizer, text)
+    assert list(encoder.encode(text)) == whole(tokenizer, text)
 
 
 def expected(tokenizer, rows):
