@@ -15,14 +15,17 @@ the shingles themselves (strings, not hashes).
 Texts are compared in lower case (A-Z), by 5-word shingles, ``t = 0.75``.
 
 Defined cases: NULL and blank texts match nothing; an item of one to four
-words has its whole sequence as its one shingle and matches only documents
-that are that sequence; rows with a NULL id are never reported; rows that
+words has its whole sequence as its one shingle and is found wherever a
+document holds these words in a row (documents are also searched by shingles
+of the lengths that occur among such items); rows with a NULL id are never reported; rows that
 share an id are one document (or item); an empty table gives no pairs; other
 columns are ignored.
 """
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -34,30 +37,68 @@ SHINGLE = 5
 BROADCAST_ROWS = 400_000
 
 
-def _positions() -> Column:
-    """First word of every shingle; one position for a short text."""
-    return F.sequence(F.lit(0), F.greatest(F.size("_w") - SHINGLE, F.lit(0)))
+def _starts(n_words: int) -> Column:
+    """First words of the shingles of ``n_words``; none in a shorter text."""
+    many = F.size("_w") >= n_words
+    return F.when(many, F.sequence(F.lit(0), F.size("_w") - n_words)).otherwise(F.array().cast("array<int>"))
+
+
+def _whole_if_short() -> Column:
+    """Number of words of an item's shingles: all it has, or ``SHINGLE``."""
+    return F.least(F.size("_w"), F.lit(SHINGLE))
+
+
+def _word_rows(df: DataFrame, id_col: str) -> DataFrame:
+    return df.where(F.col(id_col).isNotNull()).select(id_col, words(ascii_lower(F.col("text"))).alias("_w"))
+
+
+def _hashes(n_words: int) -> Column:
+    return F.transform(_starts(n_words), lambda i: F.xxhash64(*(F.get("_w", i + k) for k in range(n_words))))
+
+
+def _texts(n_words: int) -> Column:
+    return F.transform(_starts(n_words), lambda i: F.array_join(F.slice("_w", i + 1, n_words), " "))
 
 
-def shingle_hashes(df: DataFrame, id_col: str) -> DataFrame:
-    """One row per shingle of every text: ``id_col, h``."""
-    w = df.where(F.col(id_col).isNotNull()).select(id_col, words(ascii_lower(F.col("text"))).alias("_w"))
-    at = [lambda i, k=k: F.get("_w", i + k) for k in range(SHINGLE)]
-    hashes = F.transform(_positions(), lambda i: F.xxhash64(*(a(i) for a in at)))
-    return w.select(id_col, F.explode(F.when(F.size("_w") > 0, hashes)).alias("h"))
+def _of_lengths(make, lengths: Sequence[int]) -> Column:
+    return make(lengths[0]) if len(lengths) == 1 else F.concat(*(make(n) for n in lengths))
 
 
-def shingle_texts(df: DataFrame, id_col: str) -> DataFrame:
+def _of_item(make) -> Column:
+    """The shingles of an item, which may be shorter than ``SHINGLE`` words."""
+    out = make(SHINGLE)
+    for n in range(1, SHINGLE):
+        out = F.when(_whole_if_short() == n, make(n)).otherwise(out)
+    return out
+
+
+def item_lengths(items: DataFrame) -> list[int]:
+    """Word counts of shingles that occur among the items: ``SHINGLE`` and
+    those of shorter items (at most ``SHINGLE`` numbers)."""
+    sizes = _word_rows(items, "item_id").where(F.size("_w") > 0).select(_whole_if_short().alias("n")).distinct().collect()
+    return sorted({SHINGLE, *(r["n"] for r in sizes)})
+
+
+def shingle_hashes(df: DataFrame, id_col: str, lengths: Sequence[int] = (SHINGLE,)) -> DataFrame:
+    """One row per shingle of every text, of each of ``lengths``: ``id_col, h``."""
+    return _word_rows(df, id_col).select(id_col, F.explode(_of_lengths(_hashes, lengths)).alias("h"))
+
+
+def shingle_texts(df: DataFrame, id_col: str, lengths: Sequence[int] = (SHINGLE,)) -> DataFrame:
     """The distinct shingles of every text as strings: ``id_col, shingle``."""
-    w = df.where(F.col(id_col).isNotNull()).select(id_col, words(ascii_lower(F.col("text"))).alias("_w"))
-    texts = F.transform(_positions(), lambda i: F.array_join(F.slice("_w", i + 1, SHINGLE), " "))
-    return w.select(id_col, F.explode(F.array_distinct(F.when(F.size("_w") > 0, texts))).alias("shingle"))
+    return _word_rows(df, id_col).select(id_col, F.explode(F.array_distinct(_of_lengths(_texts, lengths))).alias("shingle"))
+
+
+def item_shingles(items: DataFrame) -> DataFrame:
+    """``item_id, shingle``, distinct."""
+    return _word_rows(items, "item_id").select("item_id", F.explode(_of_item(_texts)).alias("shingle")).distinct()
 
 
 def sketches(items: DataFrame, percent: int = 75) -> DataFrame:
     """``h, item_id, needed``: the sketch of every item and the number of its
     entries that a matching document must hold."""
-    hashed = shingle_hashes(items, "item_id").groupBy("item_id").agg(F.sort_array(F.collect_set("h")).alias("_s"))
+    own = _word_rows(items, "item_id").select("item_id", F.explode(_of_item(_hashes)).alias("h"))
+    hashed = own.groupBy("item_id").agg(F.sort_array(F.collect_set("h")).alias("_s"))
     n = F.size("_s")
     spare = F.floor(n * F.lit(100 - percent) / 100).cast("int")
     partition = F.floor(F.log2(n.cast("double"))).cast("int")
@@ -70,9 +111,10 @@ def sketches(items: DataFrame, percent: int = 75) -> DataFrame:
 
 def find(docs: DataFrame, items: DataFrame, percent: int = 75) -> DataFrame:
     """``doc_id, item_id, n_shared, n_item`` of every contaminated pair."""
+    lengths = item_lengths(items)
     sketch = materialize(sketches(items, percent), "bench-sketches")
     small = sketch.count() <= BROADCAST_ROWS
-    hits = shingle_hashes(docs, "doc_id").join(F.broadcast(sketch) if small else sketch, "h")
+    hits = shingle_hashes(docs, "doc_id", lengths).join(F.broadcast(sketch) if small else sketch, "h")
     candidates = materialize(
         hits.groupBy("doc_id", "item_id", "needed")
         .agg(F.count_distinct("h").alias("n"))
@@ -80,16 +122,16 @@ def find(docs: DataFrame, items: DataFrame, percent: int = 75) -> DataFrame:
         .select("doc_id", "item_id"),
         "bench-candidates",
     )
-    # verification: the candidates' own shingles against the items'
-    item_shingles = shingle_texts(items, "item_id").distinct()
-    sizes = item_shingles.groupBy("item_id").agg(F.count(F.lit(1)).alias("n_item"))
+    # verification: of each candidate pair, the item's shingles, then the document's own
+    theirs = materialize(item_shingles(items), "bench-shingles")
+    sizes = theirs.groupBy("item_id").agg(F.count(F.lit(1)).alias("n_item"))
     ids = materialize(candidates.select("doc_id").distinct(), "bench-candidate-ids")
-    doc_shingles = shingle_texts(docs.join(ids, "doc_id", "left_semi"), "doc_id")
+    mine = shingle_texts(docs.join(ids, "doc_id", "left_semi"), "doc_id", lengths).distinct()
     return (
-        doc_shingles.join(materialize(item_shingles, "bench-shingles"), "shingle")
-        .join(candidates, ["doc_id", "item_id"], "left_semi")
+        candidates.join(theirs, "item_id")
+        .join(mine, ["doc_id", "shingle"])
         .groupBy("doc_id", "item_id")
-        .agg(F.count_distinct("shingle").alias("n_shared"))
+        .agg(F.count(F.lit(1)).alias("n_shared"))
         .join(sizes, "item_id")
         .where(F.col("n_shared") * 100 >= F.col("n_item") * percent)
         .select("doc_id", "item_id", "n_shared", "n_item")

@@ -24,7 +24,12 @@ def _shingles(table: str, key: str) -> str:
 
 
 _DECONTAMINATION = f"""
-WITH d AS ({_shingles('documents', 'doc_id')}), q AS ({_shingles('benchmark', 'item_id')}),
+WITH d AS (
+  -- also of one to four words, as items may be that short
+  SELECT doc_id, list_distinct(flatten(list_transform(range(1, 6), lambda m: list_transform(
+    range(1, len(w) - m + 2), lambda i: array_to_string(w[i:i + m - 1], ' '))))) AS s
+  FROM (SELECT doc_id, {_words(_lower('text'))} AS w FROM documents)),
+q AS ({_shingles('benchmark', 'item_id')}),
 ds AS (SELECT DISTINCT doc_id, unnest(s) AS sh FROM d WHERE doc_id IS NOT NULL),
 qs AS (SELECT DISTINCT item_id, unnest(s) AS sh FROM q WHERE item_id IS NOT NULL),
 n AS (SELECT item_id, count(*) AS n_item FROM qs GROUP BY item_id)
