@@ -114,22 +114,21 @@ def scan(
     """``doc_id, digest, license, notices`` of every row of ``docs``.
 
     ``license``: the known licence that the entire text is, else NULL;
-    ``notices``: the licences of its notice lines, sorted, comma-joined.
-    Texts never leave their row: only ids and digests are shuffled.
+    ``notices``: the licences of its notice lines, sorted, comma-joined, looked
+    up inside the row, so rows that share an id (or have none) stay apart.
+    Texts never leave their row: only ids and digests are joined.
     """
     spark = docs.sparkSession
+    # as many rows as the parameter has
+    known = known_digests(spark, notices, "notice").collect() if notices else []
     c = docs.select("doc_id", canonical(F.col("text")).alias("_c"))
-    whole = c.select("doc_id", digest(F.col("_c")).alias("digest"))
-    lines = c.select("doc_id", F.explode(F.array_distinct(F.split("_c", "\n", -1))).alias("_line"))
-    found = (
-        lines.where(F.length("_line") > 1)
-        .select("doc_id", digest(F.col("_line")).alias("_d"))
-        .join(known_digests(spark, notices, "notice"), F.col("_d") == F.col("_digest"))
-        .groupBy(F.col("doc_id").alias("_id"))
-        .agg(F.array_join(F.sort_array(F.collect_set("notice")), ",").alias("notices"))
-    )
-    return (
-        whole.join(known_digests(spark, texts, "license"), F.col("digest") == F.col("_digest"), "left")
-        .join(found, F.col("doc_id") == F.col("_id"), "left")
-        .select("doc_id", "digest", "license", "notices")
+    lines = F.filter(F.array_distinct(F.split("_c", "\n", -1)), lambda line: F.length(line) > 1)
+    found = F.lit(None).cast("string")
+    if known:
+        names = F.create_map(*(F.lit(v) for r in known for v in (r["_digest"], r["notice"])))
+        held = F.array_distinct(F.array_compact(F.transform(lines, lambda line: F.try_element_at(names, digest(line)))))
+        found = F.when(F.size(held) > 0, F.array_join(F.array_sort(held), ","))
+    judged = c.select("doc_id", digest(F.col("_c")).alias("digest"), found.alias("notices"))
+    return judged.join(known_digests(spark, texts, "license"), F.col("digest") == F.col("_digest"), "left").select(
+        "doc_id", "digest", "license", "notices"
     )

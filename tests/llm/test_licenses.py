@@ -32,6 +32,17 @@ def test_spellings_and_copyright_lines_do_not_matter(spark):
     }
 
 
+def test_notices_belong_to_their_row(spark):
+    rows = [(5, "Released under the MIT License."), (5, prose(4, 20)), (None, "Licensed under CC BY 4.0."), (None, "clean")]
+    got = sorted(((r.doc_id, r.license, r.notices) for r in licenses.scan(documents(spark, rows)).collect()), key=repr)
+    assert got == sorted([(5, "MIT", "MIT"), (5, None, None), (None, "CC-BY-4.0", "CC-BY-4.0"), (None, None, None)], key=repr)
+
+
+def test_no_known_notices(spark):
+    out = licenses.scan(documents(spark, [(1, MIT), (2, "Released under the MIT License.")]), notices=()).collect()
+    assert sorted((r.doc_id, r.license, r.notices) for r in out) == [(1, "MIT", None), (2, "MIT", None)]
+
+
 def test_awkward_rows(spark):
     docs = documents(spark, AWKWARD + [(8, "(c) 2020\n...")], license=F.lit("clash"), notices=F.lit(0))
     out = licenses.scan(docs).collect()
