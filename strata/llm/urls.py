@@ -62,14 +62,11 @@ def listed_pages(urls: DataFrame, verdict: str = "block") -> DataFrame:
     )
 
 
-def possible_keys(host: Column, path: Column, lengths: Sequence[int]) -> Column:
-    """All list keys that would fit: host suffixes at label borders, each with
-    the path prefixes of the lengths that occur in the list."""
-    labels = F.split(host, r"\.", -1)
-    suffixes = F.transform(
-        F.sequence(F.lit(1), F.size(labels)),
-        lambda k: F.array_join(F.slice(labels, k, F.size(labels)), "."),
-    )
+def possible_keys(host: Column, path: Column, lengths: Sequence[int], labels: int) -> Column:
+    """All list keys that would fit: host suffixes of at most ``labels`` labels
+    (no listed host has more), each with the path prefixes of the lengths that
+    occur in the list."""
+    suffixes = F.array_distinct(F.array(*(F.substring_index(host, ".", -k) for k in range(1, labels + 1))))
     prefixes = F.transform(
         F.filter(F.array(*[F.lit(n) for n in lengths]).cast("array<int>"), lambda n: n <= F.length(path)),
         lambda n: F.substring(path, F.lit(1), n),
@@ -85,6 +82,7 @@ def judge(pages: DataFrame, listed: DataFrame, default: str = "allow") -> DataFr
         F.count(F.lit(1)).alias("n"),
         # as many as there are different path lengths among the rules
         F.collect_set(F.when(slash > 0, F.length("rule") - slash + 1).otherwise(F.lit(0))).alias("lens"),
+        F.max(F.size(F.split(F.substring_index("rule", "/", 1), r"\.", -1))).alias("labels"),
     ).first()
     lengths = sorted(int(n) for n in size["lens"])
     bits, blocks = bloom.build(listed, "key", size["n"])
@@ -92,7 +90,7 @@ def judge(pages: DataFrame, listed: DataFrame, default: str = "allow") -> DataFr
     parts = pages.select("page_id", "url").withColumn("host", url_host(F.col("url")))
     parts = parts.withColumn("path", url_path(F.col("url")))
     keys = F.array_append(
-        possible_keys(F.col("host"), F.col("path"), lengths) if lengths else F.array().cast("array<string>"),
+        possible_keys(F.col("host"), F.col("path"), lengths, size["labels"] or 1) if lengths else F.array().cast("array<string>"),
         canonical_key(F.col("host"), F.col("path")),
     )
     probes = parts.where(F.col("host") != "").select("url", F.explode(keys).alias("_key"))

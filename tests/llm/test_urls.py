@@ -22,7 +22,7 @@ URLS = [
     "http://example.net:80/en/",
     "http:///path",
     "http://h/a?u=http://example.com/de/",
-    "http://" + "s." * 3000 + "net/" + "p/" * 3000,
+    "http://" + "s." * 30_000 + "net/" + "p/" * 3000,
     "http://www.spam.test/page.html?id=3",
     "http://spam.test/page/",
     "http://spam.test/page2",
