@@ -280,7 +280,10 @@ def learn(
     known = docs.select("doc_id", "text").join(F.broadcast(ids), F.col("doc_id") == F.col("_id"))
     stats = text_statistics(known.where(F.col("text").isNotNull())).where(~base_failed())
     rows = (
-        stats.dropDuplicates(["doc_id"])
+        # of rows that repeat an id, the one with the smallest statistics
+        stats.groupBy("doc_id")
+        .agg(F.min(F.struct(*FEATURES)).alias("_f"))
+        .select("doc_id", "_f.*")
         .join(F.broadcast(ids), F.col("doc_id") == F.col("_id"))
         .select("_h", "_q", *(F.col(f).cast("double").alias(f) for f in FEATURES))
         .collect()
