@@ -80,17 +80,17 @@ def test_stage_names_and_registration():
 
     assert [n for n, _ in corpus_pipeline.STAGES] == ["quality", "near_duplicates", "decontamination", "personal_data", "mixture"]
     assert {*LLM_QUERIES, "pipeline"} <= set(entry.queries())
-    assert {int(re.match(r"op(\d+)_", k)[1]) for k in LLM_QUERIES} == set(range(1, 11))
+    assert {int(re.match(r"op(\d+)_", k)[1]) for k in LLM_QUERIES} == set(range(1, 14))
     assert neardup.PERCENT == 75 and neardup.SHINGLE == 5 and pii.KINDS[:4] == ("email", "ip", "card", "phone")
 
 
-@pytest.mark.parametrize("key", ["op2_decontamination", "op4_mixture", "op5_substring_dedup", "op6_licenses", "op8_near_duplicates", "op10_url_filter"])
+@pytest.mark.parametrize("key", ["op2_decontamination", "op4_mixture", "op5_substring_dedup", "op6_licenses", "op8_near_duplicates", "op10_url_filter", "op12_prefix_trie", "op13_source_divergence"])
 def test_query_equals_its_sql(spark, key):
     duckdb = pytest.importorskip("duckdb")
     import __spark_entry__ as entry
 
     con = duckdb.connect()
-    for t in ("documents", "benchmark", "pages"):
+    for t in ("documents", "benchmark", "pages", "conversations"):
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{SF001}/{t}.parquet')")
     want = con.execute(entry.oracle_sql()[key])
     names = [d[0] for d in want.description]
