@@ -254,14 +254,15 @@ def groups(docs: DataFrame) -> DataFrame:
         .select("key", "major", F.ceil(F.col("members") / LIST_BLOCK).cast("int").alias("blocks"))
     )
     about = nodes.select("node", "n_shingles", "spare", *(F.get("bits", k).alias(f"w{k}") for k in range(BIT_WORDS)))
-    rest = materialize(grouped.join(open_lists, "key").join(about, "node"), "dup-open")
+    posted = post.groupBy("node").agg(F.collect_list("key").alias("keys"))  # at most PREFIX
+    rest = materialize(grouped.join(open_lists, "key").join(about, "node").join(posted, "node"), "dup-open")
 
     def side(name: str, block: Column) -> DataFrame:
         return rest.select(
             F.col("key").alias(f"key_{name}"),
             block.alias(f"block_{name}"),
             F.col("node").alias(name),
-            *(F.col(c).alias(f"{c}_{name}") for c in ("g", "major", "n_shingles", "spare", *(f"w{k}" for k in range(BIT_WORDS)))),
+            *(F.col(c).alias(f"{c}_{name}") for c in ("g", "major", "n_shingles", "spare", "keys", *(f"w{k}" for k in range(BIT_WORDS)))),
         )
 
     n_a, n_b = F.col("n_shingles_a"), F.col("n_shingles_b")
@@ -275,19 +276,15 @@ def groups(docs: DataFrame) -> DataFrame:
         & (overlap * 100 >= (n_a + n_b - overlap) * PERCENT)
     )
     # a long list is cut into blocks on one side, and each block meets the whole
-    # list; grouping by the join's own keys leaves the pairs where they are made
+    # list; a pair is made only in the first of the lists that hold both
+    first_list = F.col("key_a") == F.array_min(F.array_intersect("keys_a", "keys_b"))
     x = side("a", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")).where("g_a != major_a")
     y = side("b", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     same_list = (F.col("key_a") == F.col("key_b")) & (F.col("block_a") == F.col("block_b"))
     tried = star.distinct().select(F.col("a").alias("_a"), F.col("b").alias("_b"))
     cross = (
-        x.join(y, same_list & may_link)
-        .groupBy("key_a", "block_a", "a", "b")
-        .agg(F.count(F.lit(1)).alias("lists"))
-        .groupBy(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-        .agg(F.sum("lists").alias("lists"))
-        .where("lists > 0")
-        .select("a", "b")
+        x.join(y, same_list & may_link & first_list)
+        .select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
         .join(tried, (F.col("a") == F.col("_a")) & (F.col("b") == F.col("_b")), "left_anti")
     )
     more = materialize(confirmed(cross, nodes, docs), "dup-links")
@@ -312,14 +309,27 @@ def groups(docs: DataFrame) -> DataFrame:
 
 
 def one_of_each(docs: DataFrame) -> DataFrame:
-    """``docs`` with one document of every group: the one with the smallest
-    id, and of rows that repeat an id a single one.  Rows without an id stay."""
-    judged = materialize(groups(docs).select("doc_id", "kept"), "dup-judged")
-    dropped = materialize(judged.where(~F.col("kept")).select("doc_id").distinct(), "dup-dropped")
-    left = docs.join(dropped.withColumnRenamed("doc_id", "_dropped"), F.col("doc_id") == F.col("_dropped"), "left_anti")
-    repeated = judged.where("kept and doc_id is not null").groupBy("doc_id").count().where(F.col("count") > 1)
-    if repeated.isEmpty():
-        return left
-    return left.where(F.col("doc_id").isNotNull()).dropDuplicates(["doc_id"]).unionByName(
-        left.where(F.col("doc_id").isNull())
+    """``docs`` with one document of every group: the one with the smallest id.
+
+    A document is an id with a text: rows that share an id but not the text are
+    documents of their own, and go only if another of their group stays (the
+    one with the smallest id, then the smallest digest).  Of rows that repeat
+    both, the smallest by all columns stays.  Rows without an id stay.
+    """
+    named = docs.where(F.col("doc_id").isNotNull())
+    if named.groupBy("doc_id").count().where(F.col("count") > 1).isEmpty():
+        dropped = materialize(groups(docs).where(~F.col("kept")).select(F.col("doc_id").alias("_dropped")), "dup-dropped")
+        return docs.join(dropped, F.col("doc_id") == F.col("_dropped"), "left_anti")
+    digest = F.sha2(F.concat(F.col("text").isNull().cast("string"), F.coalesce("text", F.lit(""))), 256).alias("_digest")
+    rows = materialize(
+        named.select(F.col("doc_id").alias("_id"), digest).distinct().withColumn("_row", F.monotonically_increasing_id()), "dup-rows"
+    )
+    by_text = named.select("*", digest)
+    numbered = by_text.join(rows.withColumnRenamed("_digest", "_d"), (F.col("doc_id") == F.col("_id")) & (F.col("_digest") == F.col("_d")))
+    component = groups(numbered.select(F.col("_row").alias("doc_id"), "text")).select(F.col("doc_id").alias("_row"), "component_id")
+    best = (
+        component.distinct().join(rows, "_row").groupBy("component_id").agg(F.min(F.struct("_id", "_digest")).alias("b")).select("b._id", F.col("b._digest").alias("_d"))
     )
+    stay = by_text.join(best, (F.col("doc_id") == F.col("_id")) & (F.col("_digest") == F.col("_d")), "left_semi")
+    one = stay.groupBy("doc_id", "_digest").agg(F.min(F.struct(*docs.columns)).alias("_one")).select("_one.*")
+    return one.unionByName(docs.where(F.col("doc_id").isNull()))

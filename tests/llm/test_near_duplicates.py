@@ -105,6 +105,38 @@ def test_one_of_each_keeps_a_single_row_per_group(spark):
     assert sum(r.doc_id is None for r in left) == 2
 
 
+def test_different_texts_under_one_id_all_stay(spark):
+    rows = [(2, prose(50, 70)), (2, prose(51, 70)), (3, prose(52, 70)), (3, prose(53, 70)), (4, None), (4, ""), (None, prose(50, 70))]
+    left = neardup.one_of_each(documents(spark, rows)).collect()
+    assert sorted(((r.doc_id, r.text) for r in left), key=repr) == sorted(rows, key=repr)
+
+
+def test_near_copies_under_repeated_ids(spark):
+    base = prose(60, 120)
+    near = " ".join(["x", *base.split()[1:]])
+    rows = [(5, near), (5, prose(61, 70)), (2, base), (2, prose(62, 70)), (2, base), (7, prose(62, 70))]
+    docs = documents(spark, rows).withColumn("source", F.when(F.rand(1) < 2, F.lit("s")))
+    left = neardup.one_of_each(docs).collect()
+    assert sorted((r.doc_id, r.text) for r in left) == sorted([(5, rows[1][1]), (2, base), (2, rows[3][1])])
+
+
+def test_each_candidate_pair_is_made_once(spark, monkeypatch):
+    """Loose members share many lists; their pair comes from the first alone."""
+    seen = []
+    real = neardup.confirmed
+    monkeypatch.setattr(neardup, "confirmed", lambda pairs, nodes, docs: seen.append(pairs) or real(pairs, nodes, docs))
+    rng, base = random.Random(3), prose(42, 160).split()
+    rows = []
+    for k in range(60):
+        w = list(base)
+        for at in rng.sample(range(len(w)), 8):
+            w[at] = f"q{rng.randint(0, 900)}"
+        rows.append((k, " ".join(w)))
+    assert {r.doc_id: (r.n_shingles, r.component_id) for r in neardup.groups(documents(spark, rows)).collect()} == brute_force(rows)
+    made = [tuple(r) for r in seen[-1].collect()]
+    assert len(made) == len(set(made))
+
+
 def test_empty_table(spark):
     docs = documents(spark, [])
     assert neardup.groups(docs).collect() == []
