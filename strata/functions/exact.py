@@ -141,9 +141,30 @@ def combine(parts: Column) -> Column:
     return _let(parts, of)
 
 
+def _binned(df: DataFrame, sums: Mapping[str, Column | str]) -> DataFrame:
+    columns = {n: F.col(c) if isinstance(c, str) else c for n, c in sums.items()}
+    valued = df.select("*", *(c.cast("double").alias(f"_v_{n}") for n, c in columns.items()))
+    return valued.select("*", *(bin_of(F.col(f"_v_{n}")).alias(f"_b_{n}") for n in columns))
+
+
+def _parts(name: str) -> Column:
+    """A group's bin and its total, or NULL for rows without a value."""
+    total = _whole([F.col(f"_l{i}_{name}") for i in range(LIMBS)])
+    return F.when(F.col(f"_b_{name}").isNotNull(), F.struct(F.col(f"_b_{name}").alias("b"), total.alias("t")))
+
+
+def _finished(per_bin: DataFrame, keys: Sequence[str], sums: Sequence[str], merges: Mapping[str, Column]) -> DataFrame:
+    """One row per group; at most one entry per combination of bins meets."""
+    placed = per_bin.select(*keys, *merges, *(_parts(n).alias(f"_p_{n}") for n in sums))
+    merged = placed.groupBy(*keys).agg(
+        *(F.collect_list(f"_p_{n}").alias(f"_p_{n}") for n in sums), *(merge.alias(n) for n, merge in merges.items())
+    )
+    return merged.select(*keys, *(combine(F.col(f"_p_{n}")).alias(n) for n in sums), *merges)
+
+
 def exact_sums(
     df: DataFrame,
-    keys: Sequence[Column | str],
+    keys: Sequence[str],
     sums: Mapping[str, Column | str],
     others: Mapping[str, tuple[Column, Column]] | None = None,
 ) -> DataFrame:
@@ -155,36 +176,60 @@ def exact_sums(
     key and bins, then by key.
     """
     others = dict(others or {})
-    names = [f"_k{i}" for i in range(len(keys))]
-    given = [F.col(k) if isinstance(k, str) else k for k in keys]
-    columns = {n: F.col(c) if isinstance(c, str) else c for n, c in sums.items()}
-    binned = df.select(
-        "*", *(k.alias(n) for k, n in zip(given, names)), *(c.cast("double").alias(f"_v_{n}") for n, c in columns.items())
-    )
-    binned = binned.select("*", *(bin_of(F.col(f"_v_{n}")).alias(f"_b_{n}") for n in columns))
-    limbs = {n: limbs_of(F.col(f"_v_{n}"), F.col(f"_b_{n}")) for n in columns}
-    first = binned.groupBy(*names, *(f"_b_{n}" for n in columns)).agg(
-        *(F.sum(limb).alias(f"_l{i}_{n}") for n in columns for i, limb in enumerate(limbs[n])),
+    binned = _binned(df, sums)
+    limbs = {n: limbs_of(F.col(f"_v_{n}"), F.col(f"_b_{n}")) for n in sums}
+    first = binned.groupBy(*keys, *(f"_b_{n}" for n in sums)).agg(
+        *(F.sum(limb).alias(f"_l{i}_{n}") for n in sums for i, limb in enumerate(limbs[n])),
         *(rows.alias(n) for n, (rows, _) in others.items()),
     )
-    per_bin = first.select(
-        *names,
-        *others,
-        *(
-            F.when(
-                F.col(f"_b_{n}").isNotNull(),
-                F.struct(F.col(f"_b_{n}").alias("b"), _whole([F.col(f"_l{i}_{n}") for i in range(LIMBS)]).alias("t")),
-            ).alias(f"_p_{n}")
-            for n in columns
-        ),
-    )
-    # at most one entry per combination of bins
-    merged = per_bin.groupBy(*names).agg(
-        *(F.collect_list(f"_p_{n}").alias(f"_p_{n}") for n in columns), *(merge.alias(n) for n, (_, merge) in others.items())
-    )
-    labels = [k if isinstance(k, str) else df.select(k).columns[0] for k in keys]
-    return merged.select(
-        *(F.col(n).alias(label) for n, label in zip(names, labels)),
-        *(combine(F.col(f"_p_{n}")).alias(n) for n in columns),
-        *others,
-    )
+    return _finished(first, keys, list(sums), {n: merge for n, (_, merge) in others.items()})
+
+
+# --------------------------------------------------------------------------
+# sums that are kept and changed
+# --------------------------------------------------------------------------
+
+SIGN = "_sign"
+
+
+def signed_state(
+    df: DataFrame, keys: Sequence[str], sums: Mapping[str, Column | str], counts: Mapping[str, Column]
+) -> DataFrame:
+    """Partial sums of rows with a ``_sign`` (1 adds a row, -1 takes it back).
+
+    One row per group and combination of bins: the limbs and number of values
+    of each sum, and ``counts`` (whole numbers per row) added up.  A state is
+    kept as a table; :func:`merge_states` adds states, :func:`state_totals`
+    gives the sums.  Taking back a row that was added leaves no trace of it.
+    """
+    binned = _binned(df, sums)
+    sign = F.col(SIGN)
+    columns = [(F.coalesce(c.cast("long"), F.lit(0)) * sign).alias(n) for n, c in counts.items()]
+    for n in sums:
+        limbs = limbs_of(F.col(f"_v_{n}"), F.col(f"_b_{n}"))
+        columns += [(limb * sign).alias(f"_l{i}_{n}") for i, limb in enumerate(limbs)]
+        columns.append((F.col(f"_v_{n}").isNotNull().cast("long") * sign).alias(f"_n_{n}"))
+    bins = [f"_b_{n}" for n in sums]
+    return _summed(binned.select(*keys, *bins, *columns), [*keys, *bins])
+
+
+def _summed(rows: DataFrame, keys: Sequence[str]) -> DataFrame:
+    numbers = [c for c in rows.columns if c not in keys]
+    out = rows.groupBy(*keys).agg(*(F.sum(c).alias(c) for c in numbers))
+    return out.where(F.greatest(*(F.abs(c) for c in numbers)) != 0 if len(numbers) > 1 else F.col(numbers[0]) != 0)
+
+
+def merge_states(state: DataFrame, delta: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Two states as one; groups and bins that cancel out are left out."""
+    bins = [c for c in state.columns if c.startswith("_b_")]
+    return _summed(state.unionByName(delta), [*keys, *bins])
+
+
+def state_totals(state: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """``keys``, the exact sums, ``_n_<sum>`` (values of each) and the counts."""
+    sums = [c[3:] for c in state.columns if c.startswith("_b_")]
+    counts = [c for c in state.columns if c not in keys and not c.startswith(("_b_", "_l"))]
+    live = state
+    for n in sums:  # a bin without values left holds nothing
+        live = live.withColumn(f"_b_{n}", F.when(F.col(f"_n_{n}") > 0, F.col(f"_b_{n}")))
+    return _finished(live, keys, sums, {n: F.sum(n) for n in counts})

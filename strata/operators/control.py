@@ -177,6 +177,13 @@ def registry_upsert(registry: DataFrame, requests: DataFrame, as_of: str) -> Dat
 MARKS_SCHEMA = "collection_name string, mark timestamp_ntz, run_id string, advanced_at timestamp_ntz"
 
 
+def latest_marks(marks: DataFrame) -> DataFrame:
+    """One row per collection: its largest mark, with the run that set it."""
+    top = F.max_by(F.struct("mark", "run_id"), F.struct("mark", "advanced_at", "run_id"))
+    last = marks.groupBy("collection_name").agg(top.alias("_top"), F.max("advanced_at").alias("advanced_at"))
+    return last.select("collection_name", "_top.mark", "_top.run_id", "advanced_at")
+
+
 def with_marks(registry: DataFrame, marks: DataFrame | None) -> DataFrame:
     """The registry with each collection's mark raised to the largest one in
     the log of advances.  Runs only append to that log, so runs of different

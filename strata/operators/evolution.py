@@ -70,6 +70,10 @@ DRIFT_SCHEMA = T.StructType(
 )
 
 
+#: Rows of the log: those of :func:`drift_events` with their time.
+DRIFT_LOG_SCHEMA = T.StructType([*DRIFT_SCHEMA.fields, T.StructField("detected_at", T.TimestampNTZType())])
+
+
 def drift_events(
     spark: SparkSession,
     collection: str,

@@ -14,9 +14,9 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, StringType
+from pyspark.sql.types import ArrayType, StringType, StructType, VariantType
 
 ITEM_SCHEMA = "array<struct<product_id:string,qty:int,unit_price:double,discount:double>>"
 ITEM_FIELDS = ("product_id", "qty", "unit_price")
@@ -75,28 +75,63 @@ def lines_of(orders: DataFrame, lines: DataFrame, key: str = "order_id") -> Data
     return lines.join(orders.select(key), key, "left_semi")
 
 
+#: Names under which an order carries its address, the first one given wins.
+ADDRESS_COLUMNS = ("shipping_address", "shipping_addr")
+SHIPPING = {"shipping_city": "city", "shipping_country": "country"}
+
+
+def _counted(arr: Column) -> list[Column]:
+    quantity = F.aggregate(arr, F.lit(0).cast("long"), lambda acc, x: acc + F.coalesce(x["qty"], F.lit(0)).cast("long"))
+    return [
+        F.when(arr.isNull(), F.lit(0)).otherwise(F.size(arr)).cast("int").alias("items_count"),
+        F.coalesce(quantity, F.lit(0).cast("long")).cast("int").alias("total_items_qty"),
+    ]
+
+
+def _address_field(df: DataFrame, field: str) -> Column | None:
+    """A field of the order's address, from structs and JSON text (NULL where
+    the text or the field is missing); None without an address column."""
+    found = []
+    for name in (c for c in ADDRESS_COLUMNS if c in df.columns):
+        dtype = df.schema[name].dataType
+        if isinstance(dtype, StructType):
+            if field in dtype.names:
+                found.append(F.col(name).getField(field).cast("string"))
+        elif isinstance(dtype, StringType):
+            found.append(F.try_variant_get(F.try_parse_json(F.col(name)), f"$.{field}", "string"))
+        elif isinstance(dtype, VariantType):
+            found.append(F.try_variant_get(F.col(name), f"$.{field}", "string"))
+        else:
+            raise TypeError(f"address column {name!r} must be a struct, JSON or a variant, got {dtype.simpleString()}")
+    return F.coalesce(*found) if found else None
+
+
 def item_features(orders: DataFrame, items_col: str = "items", keep_items: bool = False) -> DataFrame:
-    """``items_count`` / ``total_items_qty`` (and shipping fields if present)
-    computed per order from an items array or JSON column, without a shuffle."""
-    arr = _items_array(orders, items_col)
+    """``items_count``, ``total_items_qty`` and, for orders with an address
+    column, ``shipping_city`` and ``shipping_country``, row by row."""
     cols = [c for c in orders.columns if keep_items or c != items_col]
-    extra = []
-    if "shipping_address" in orders.columns:
-        extra = [
-            F.col("shipping_address.city").alias("shipping_city"),
-            F.col("shipping_address.country").alias("shipping_country"),
-        ]
-    return orders.select(
-        *cols,
-        F.when(arr.isNull(), F.lit(0)).otherwise(F.size(arr)).cast("int").alias("items_count"),
-        F.coalesce(
-            F.aggregate(arr, F.lit(0).cast("long"), lambda acc, x: acc + F.coalesce(x["qty"], F.lit(0)).cast("long")),
-            F.lit(0).cast("long"),
-        )
-        .cast("int")
-        .alias("total_items_qty"),
-        *extra,
-    )
+    shipping = {name: _address_field(orders, field) for name, field in SHIPPING.items()}
+    extra = [c.alias(n) for n, c in shipping.items() if c is not None and n not in cols]
+    return orders.select(*cols, *_counted(_items_array(orders, items_col)), *extra)
+
+
+def document_features(orders: DataFrame, document: str = "raw_document", keep_items: bool = False) -> DataFrame:
+    """The same features from a raw JSON document that is parsed once.
+
+    Items and address may be JSON values of the document or text that holds
+    JSON.  A document that cannot be read has no items and no address.
+    """
+    parsed = orders.withColumn("_doc", F.try_parse_json(F.col(document)))
+
+    def part(*names: str) -> Column:
+        here = F.coalesce(*(F.try_variant_get("_doc", f"$.{n}", "variant") for n in names))
+        return F.when(F.schema_of_variant(here) == "STRING", F.try_parse_json(F.try_variant_get(here, "$", "string"))).otherwise(here)
+
+    read = parsed.withColumns({"_items": part("items"), "_address": part(*ADDRESS_COLUMNS)})
+    items = F.try_variant_get("_items", "$", ITEM_SCHEMA)
+    shipping = [F.try_variant_get("_address", f"$.{field}", "string").alias(n) for n, field in SHIPPING.items()]
+    kept = [items.alias("items")] if keep_items else []
+    return read.select(*orders.columns, *kept, *_counted(items), *shipping)
 
 
 def item_features_from_lines(orders: DataFrame, lines: DataFrame, key: str = "order_id") -> DataFrame:

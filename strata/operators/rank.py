@@ -24,7 +24,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from strata.session import checkpoint_root, scratch_path
+from strata.session import checkpoint_root, materialized
 
 
 def rank_within_skew_safe(df: DataFrame, group: str, value: str, name: str, parts: int | None = None) -> DataFrame:
@@ -35,9 +35,7 @@ def rank_within_skew_safe(df: DataFrame, group: str, value: str, name: str, part
     spark = df.sparkSession
     checkpoint_root(spark)
     n = max(1, parts or int(spark.conf.get("spark.sql.shuffle.partitions")))
-    path = scratch_path(spark, "rank-rows")
-    df.write.parquet(path)
-    df = spark.read.schema(df.schema).parquet(path)
+    df = materialized(df, "rank-rows")
     pairs = df.groupBy(F.col(group).alias("_g"), F.col(value).alias("_v")).agg(F.count(F.lit(1)).alias("_n"))
     order = F.col("_v").desc()
     cut = (

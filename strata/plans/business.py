@@ -234,6 +234,25 @@ def event_order_docs_array(spark: SparkSession, sf_dir: str) -> DataFrame:
     return e.select(F.concat(F.lit("E"), F.col("event_id").cast("string")).alias("order_id"), items.alias("items"))
 
 
+def event_order_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same orders as raw JSON documents with an address: even events nest
+    items and address, odd ones hold both as JSON text; views have neither and
+    errors cannot be read."""
+    orders = event_order_docs_array(spark, sf_dir).withColumnRenamed("order_id", "_o")
+    e = table(spark, sf_dir, "events")
+    k = F.get_json_object("props", "$.k")
+    address = F.struct(
+        F.concat(F.lit("city"), k).alias("city"), F.when(k.cast("int") < 50, "DE").otherwise("FR").alias("country")
+    )
+    order_id = F.concat(F.lit("E"), F.col("event_id").cast("string"))
+    about = e.select(order_id.alias("order_id"), "event_id", "event_type", F.when(F.col("event_type") != "view", address).alias("_a"))
+    both = about.join(orders, F.col("order_id") == F.col("_o"))
+    nested = F.to_json(F.struct("order_id", "items", F.col("_a").alias("shipping_address")))
+    text = F.to_json(F.struct("order_id", F.to_json("items").alias("items"), F.to_json("_a").alias("shipping_addr")))
+    document = F.when(F.col("event_type") == "error", F.lit("{broken")).when(F.col("event_id") % 2 == 0, nested).otherwise(text)
+    return both.select("order_id", document.alias("raw_document"))
+
+
 # --------------------------------------------------------------------------
 # control plane
 # --------------------------------------------------------------------------

@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import datetime as _dt
 import uuid
+from collections.abc import Callable
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
@@ -22,7 +23,7 @@ from strata.operators.cleanse import cleanse
 from strata.operators.dedupe import latest_per_key
 from strata.operators.enrich import enrich_bronze
 from strata.operators.items import explode_items, item_features
-from strata.operators.evolution import RESCUED, compare_schemas, drift_events, reconcile
+from strata.operators.evolution import DRIFT_LOG_SCHEMA, RESCUED, compare_schemas, drift_events, reconcile
 from strata.operators.scd import (
     LOAD_COLUMNS,
     SCD2_COLUMNS,
@@ -35,11 +36,18 @@ from strata.operators.scd import (
     scd2_merge_tagged,
 )
 from strata.rules import AUDIT_COLUMNS, CollectionSpec
-from strata.session import scratch_path
-from strata.sources import manifest
+from strata.session import materialized
+from strata.sources import logs, manifest
 from strata.sources.contracts import conform, contract
 from strata.sources.extract import effective_upper, incremental_extract, partition_scan
-from strata.sources.publish import observed, publish_buckets, publish_version, read_snapshot, write_partition
+from strata.sources.publish import (
+    observed,
+    partition_values,
+    publish_buckets,
+    publish_version,
+    read_snapshot,
+    write_partition,
+)
 
 BOOKKEEPING = (*SCD2_COLUMNS, *LOAD_COLUMNS, "record_hash", RESCUED)
 BRONZE_LINEAGE = ("raw_document", "source_collection", "pipeline_load_ts", "load_date", "run_id")
@@ -94,26 +102,31 @@ def new_run_id() -> str:
 
 
 def _now() -> str:
-    return _dt.datetime.now(_dt.UTC).strftime("%Y-%m-%d %H:%M:%S")
+    return _dt.datetime.now(_dt.UTC).strftime("%Y-%m-%d %H:%M:%S.%f")
 
 
 def _append_audit(spark: SparkSession, lake: Lake, row: DataFrame) -> None:
-    row.write.mode("append").parquet(lake.audit)
+    logs.append(row, lake.audit)
+
+
+def read_audit(spark: SparkSession, lake: Lake) -> DataFrame | None:
+    """All audit rows: those folded so far and those appended since."""
+    return logs.read(spark, lake.audit, control.AUDIT_SCHEMA)
 
 
-def materialized(df: DataFrame, name: str) -> DataFrame:
-    """``df`` written once to shared scratch, so the merge's passes over the
-    batch (drift, late rows, join) do not each cleanse it again."""
-    path = scratch_path(df.sparkSession, name)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+def fold_control_logs(spark: SparkSession, lake: Lake) -> None:
+    """Fold the logs of marks, audit and drift, so registry and reports read
+    one snapshot and the few files appended since."""
+    logs.fold(spark, lake.marks, control.MARKS_SCHEMA, control.latest_marks)
+    logs.fold(spark, lake.audit, control.AUDIT_SCHEMA)
+    logs.fold(spark, lake.drift, DRIFT_LOG_SCHEMA)
 
 
 def read_registry(spark: SparkSession, lake: Lake) -> DataFrame:
     reg = read_snapshot(spark, lake.registry)
     if reg is None:
         raise RuntimeError(f"no registry published under {lake.registry}")
-    return control.with_marks(reg, manifest.existing_table(spark, lake.marks, control.MARKS_SCHEMA))
+    return control.with_marks(reg, logs.read(spark, lake.marks, control.MARKS_SCHEMA, control.latest_marks))
 
 
 def init_registry(spark: SparkSession, lake: Lake, specs: list[CollectionSpec], as_of: str) -> str:
@@ -137,10 +150,12 @@ def run_bronze(
     upper: str,
     as_of: str,
     lookback_from: str | None = None,
+    dag_id: str | None = None,
+    task_id: str | None = None,
 ) -> RunResult:
     """Extract ``(mark, upper]`` from ``source`` into bronze partition
     ``(load_date, run_id)``, then advance the mark to the largest watermark
-    actually loaded."""
+    actually loaded.  An extract without rows writes nothing."""
     run_id = new_run_id()
     start = _now()
     meta = _spec_row(spark, lake, spec.name)
@@ -151,16 +166,17 @@ def run_bronze(
         if not meta["active_flag"]:
             raise RuntimeError(f"collection {spec.name} is inactive")
         batch = incremental_extract(source, spec.watermark_column, last, upper)
-        enriched = enrich_bronze(batch, spec.name, load_date, as_of)
-        enriched, obs = observed(
-            enriched, f"bronze-{run_id}", rows=F.count(F.lit(1)), mark=F.max(spec.watermark_column)
-        )
-        write_partition(enriched, lake.bronze(spec.name), {"load_date": load_date, "run_id": run_id})
-        metrics = obs.get
-        n, mark = int(metrics["rows"]), metrics["mark"]
-        if n > 0 and mark is not None:
+        if not batch.isEmpty():
+            enriched = enrich_bronze(batch, spec.name, load_date, as_of)
+            enriched, obs = observed(
+                enriched, f"bronze-{run_id}", rows=F.count(F.lit(1)), mark=F.max(spec.watermark_column)
+            )
+            write_partition(enriched, lake.bronze(spec.name), {"load_date": load_date, "run_id": run_id})
+            metrics = obs.get
+            n, mark = int(metrics["rows"]), metrics["mark"]
+        if mark is not None:
             advance = [(spec.name, mark, run_id, _dt.datetime.fromisoformat(as_of))]
-            spark.createDataFrame(advance, control.MARKS_SCHEMA).write.mode("append").parquet(lake.marks)
+            logs.append(spark.createDataFrame(advance, control.MARKS_SCHEMA), lake.marks)
     except Exception as exc:  # recorded, then re-raised
         status, err = "FAILED", f"{type(exc).__name__}: {exc}"
         raise
@@ -173,7 +189,7 @@ def run_bronze(
                 records_extracted=n, records_loaded=n if status == "SUCCESS" else 0,
                 watermark_start=last,
                 watermark_end=str(mark) if mark is not None else last,
-                error_message=err, output_path=lake.bronze(spec.name),
+                error_message=err, output_path=lake.bronze(spec.name), dag_id=dag_id, task_id=task_id,
             ),
         )
     return RunResult(run_id, status, n, n)
@@ -191,7 +207,7 @@ def align_with_drift_log(
 
     old, new = content(existing.schema), content(batch.schema)
     if compare_schemas(old, new):
-        drift_events(spark, collection, old, new, detected_at=as_of, resolved_at=as_of).write.mode("append").parquet(lake.drift)
+        logs.append(drift_events(spark, collection, old, new, detected_at=as_of, resolved_at=as_of), lake.drift)
     return reconcile(existing, batch)
 
 
@@ -204,10 +220,13 @@ def silver_batch(spark: SparkSession, lake: Lake, spec: CollectionSpec, load_dat
     return prepare_batch(raw, spec)
 
 
-def prepare_batch(raw: DataFrame, spec: CollectionSpec) -> DataFrame:
+def prepare_batch(raw: DataFrame, spec: CollectionSpec, watched: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:
     """Cleanse, latest row per key, fingerprint; orders with an ``items``
-    column get their item features beside it."""
+    column get their item features beside it.  ``watched`` sees the cleansed
+    rows (to count them in the same pass)."""
     clean = cleanse(raw, spec.rules, spec.primary_key)
+    if watched is not None:
+        clean = watched(clean)
     clean = clean.drop(*[c for c in BRONZE_LINEAGE if c in clean.columns])
     latest = latest_per_key(clean, [spec.primary_key], [spec.watermark_column])
     stamped = add_fingerprint(latest, (*AUDIT_COLUMNS, *spec.fingerprint_exclude), spec.fingerprint_mode)
@@ -259,17 +278,40 @@ def run_silver(
     spec: CollectionSpec,
     load_date: str,
     as_of: str,
+    dag_id: str | None = None,
+    task_id: str | None = None,
 ) -> RunResult:
     """Merge one bronze load into the cleansed table (SCD1 or SCD2) and
-    publish it as a new version."""
+    publish it as a new version.  A load date without a partition (nothing was
+    extracted) changes nothing.
+
+    The audit row counts rows that cleansing rejected as failed and late SCD2
+    rows as skipped.
+    """
     run_id = new_run_id()
     start = _now()
-    status, err, n_in, n_out, n_late = "SUCCESS", None, 0, 0, 0
+    status, err = "SUCCESS", None
+    seen = {"in": 0, "out": 0, "failed": 0, "late": 0}
     root = lake.silver(spec.name)
     try:
-        batch, obs_in = observed(silver_batch(spark, lake, spec, load_date), f"silver-in-{run_id}")
-        written = merge_batch(spark, lake, spec, materialized(batch, f"silver-{spec.name}"), load_date, as_of)
-        n_in, n_out, n_late = int(obs_in.get["rows"]), written[CURRENT] + written[CLOSED], written[LATE]
+        if load_date in partition_values(spark, lake.bronze(spec.name), "load_date"):
+            raw = partition_scan(spark, lake.bronze(spec.name), "load_date", load_date, merge_schema=True)
+            raw, obs_raw = observed(raw, f"silver-raw-{run_id}")
+            kept: list = []
+
+            def watched(clean: DataFrame) -> DataFrame:
+                clean, obs = observed(clean, f"silver-clean-{run_id}")
+                kept.append(obs)
+                return clean
+
+            batch, obs_in = observed(prepare_batch(raw, spec, watched), f"silver-in-{run_id}")
+            written = merge_batch(spark, lake, spec, materialized(batch, f"silver-{spec.name}"), load_date, as_of)
+            seen = {
+                "in": int(obs_in.get["rows"]),
+                "out": written[CURRENT] + written[CLOSED],
+                "failed": int(obs_raw.get["rows"]) - int(kept[0].get["rows"]),
+                "late": written[LATE],
+            }
     except Exception as exc:
         status, err = "FAILED", f"{type(exc).__name__}: {exc}"
         raise
@@ -279,10 +321,11 @@ def run_silver(
             lake,
             control.audit_record(
                 spark, run_id, spec.name, "silver", start, _now(), status,
-                records_extracted=n_in, records_loaded=n_out, records_skipped=n_late, error_message=err, output_path=root,
+                records_extracted=seen["in"], records_loaded=seen["out"], records_failed=seen["failed"],
+                records_skipped=seen["late"], error_message=err, output_path=root, dag_id=dag_id, task_id=task_id,
             ),
         )
-    return RunResult(run_id, status, n_in, n_out)
+    return RunResult(run_id, status, seen["in"], seen["out"])
 
 
 def run_gold(
@@ -291,6 +334,8 @@ def run_gold(
     report_date: str,
     as_of: str,
     order_lines: DataFrame | None = None,
+    dag_id: str | None = None,
+    task_id: str | None = None,
 ) -> RunResult:
     """Build the three marts; one failing mart does not stop the others.
 
@@ -336,7 +381,7 @@ def run_gold(
         control.audit_record(
             spark, run_id, "gold", "gold", start, _now(), status,
             records_loaded=rows, error_message="; ".join(f"{k}: {v}" for k, v in errors.items()) or None,
-            output_path=lake.gold(""),
+            output_path=lake.gold(""), dag_id=dag_id, task_id=task_id,
         ),
     )
     return RunResult(run_id, status, 0, rows, "; ".join(errors.values()) or None, {"built": built})

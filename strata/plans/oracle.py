@@ -472,6 +472,10 @@ FROM (
   FROM orders)
 GROUP BY o_orderstatus, o_orderpriority"""
 
+SQL["order_analytics_incremental"] = _with(
+    CUSTOMERS, SCD2, "ord_snap AS (SELECT * FROM scd2_full WHERE is_current)", ANALYTICS
+) + "\nSELECT * FROM analytics"
+
 SQL["scd2_bucketed_merge"] = SQL["scd2_merge"]
 SQL["scd2_merge_colocated"] = SQL["scd2_merge"]
 SQL["scd2_as_of_pruned"] = SQL["scd2_as_of"]
@@ -626,6 +630,23 @@ SELECT order_id, CAST(count(product_id) AS INTEGER) AS items_count,
        CAST(coalesce(sum(qty), 0) AS INTEGER) AS total_items_qty
 FROM ev_items GROUP BY order_id"""
 
+SQL["folded_marks"] = _with(ORDERS) + """
+SELECT status AS collection_name, max(CASE WHEN updated_at IS NULL THEN TIMESTAMP '1970-01-01' ELSE updated_at END) AS mark
+FROM ord GROUP BY status"""
+
+SQL["external_table_scan"] = _with(BATCHES, REVIEWS) + f"""
+SELECT 'bronze_orders' AS table_name, order_id AS id, '{L1_DATE}' AS load_date FROM b1 UNION ALL
+SELECT 'bronze_orders', order_id, '{L2_DATE}' FROM b2 UNION ALL
+SELECT 'silver_reviews', review_id, day FROM rev, (VALUES ('{L1_DATE}'), ('{L2_DATE}')) t(day)"""
+
+SQL["order_features_variant"] = _with(EVENT_ITEMS) + """
+SELECT ev.order_id, f.items_count, f.total_items_qty,
+       CASE WHEN event_type NOT IN ('view', 'error') THEN 'city' || k END AS shipping_city,
+       CASE WHEN event_type NOT IN ('view', 'error') THEN CASE WHEN CAST(k AS INTEGER) < 50 THEN 'DE' ELSE 'FR' END END AS shipping_country
+FROM ev JOIN (
+  SELECT order_id, CAST(count(product_id) AS INTEGER) AS items_count, CAST(coalesce(sum(qty), 0) AS INTEGER) AS total_items_qty
+  FROM ev_items GROUP BY order_id) f ON f.order_id = ev.order_id"""
+
 SQL["gold_after_scd2_change"] = _with(CUSTOMERS, ORDERS, ORDER_AGG) + """
 SELECT c.customer_id, c.full_name,
        CASE WHEN c.status = 'building' THEN 'new.' || c.email ELSE c.email END AS email, c.country,

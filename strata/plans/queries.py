@@ -13,7 +13,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strata.functions.exact import exact_sums
+from strata.functions.exact import SIGN, exact_sums, merge_states
 from strata.functions.fingerprint import add_fingerprint
 from strata.operators import control, items, marts, reports, scd
 from strata.operators.cleanse import add_derived, cleanse, clean_columns, drop_missing_required
@@ -32,8 +32,9 @@ from strata.plans.oracle import (
     TREND_AS_OF,
 )
 from strata.rules import COLLECTIONS, CUSTOMER_RULES, CleanseRules, CollectionSpec
-from strata.session import scratch_path
-from strata.sources.contracts import conform, contract, register_silver
+from strata.session import materialized, scratch_path
+from strata.sources import logs
+from strata.sources.contracts import conform, contract, register_silver, write_table
 from strata.sources.extract import incremental_extract, merged_scan, partition_scan
 from strata.sources.publish import (
     observed,
@@ -240,7 +241,7 @@ def _two_loads_into_buckets(spark: SparkSession, d: str) -> str:
     lake = jobs.Lake(scratch_path(spark, "lake"))
     spec = CollectionSpec("orders", ORDERS_PK, "updated_at", 2, COLLECTIONS["orders"].rules, buckets=16)
     for batch, load in zip(B.order_batches(spark, d), (B.LOAD1, B.LOAD2)):
-        jobs.merge_batch(spark, lake, spec, jobs.materialized(jobs.prepare_batch(batch, spec), "batch"), *load)
+        jobs.merge_batch(spark, lake, spec, materialized(jobs.prepare_batch(batch, spec), "batch"), *load)
     return lake.silver("orders")
 
 
@@ -384,6 +385,12 @@ def order_item_features_json(spark: SparkSession, d: str) -> DataFrame:
     return items.item_features(B.event_order_docs_json(spark, d)).drop("items")
 
 
+@query
+def order_features_variant(spark: SparkSession, d: str) -> DataFrame:
+    """Item and shipping features of raw documents, parsed once as variants."""
+    return items.document_features(B.event_order_documents(spark, d)).drop("raw_document")
+
+
 @query
 def order_item_features(spark: SparkSession, d: str) -> DataFrame:
     return items.item_features_from_lines(B.orders(spark, d), B.order_lines(spark, d))
@@ -487,6 +494,23 @@ def registry_upsert(spark: SparkSession, d: str) -> DataFrame:
     return control.registry_upsert(_registry(spark, d), requests, B.LOAD2[1])
 
 
+@query
+def order_analytics_incremental(spark: SparkSession, d: str) -> DataFrame:
+    """The daily mart kept as a state: built from the first load, then changed
+    by what the second one closed and opened."""
+    h1, h2 = _hashed_batches(spark, d)
+    customers = B.customers(spark, d)
+    root = scratch_path(spark, "analytics-state")
+    first = scd.scd2_initial(h1, *B.LOAD1)
+    marts.order_analytics_state(first.withColumn(SIGN, F.lit(1)), customers).write.parquet(f"{root}/1")
+    merged = scd.scd2_merge(first, h2, ORDERS_PK, *B.LOAD2)
+    opened = merged.where(F.col("is_current") & (F.col("effective_date") == F.lit(B.LOAD2[1]).cast("timestamp_ntz")))
+    change = marts.order_analytics_state(marts.signed_changes(opened, merged.where(~F.col("is_current"))), customers)
+    state = spark.read.parquet(f"{root}/1")
+    merge_states(state, change.select(*state.columns), marts.ANALYTICS_KEYS).write.parquet(f"{root}/2")
+    return marts.order_analytics_from_state(spark.read.parquet(f"{root}/2"))
+
+
 @query
 def advance_watermark(spark: SparkSession, d: str) -> DataFrame:
     _, b2 = B.order_batches(spark, d)
@@ -494,6 +518,45 @@ def advance_watermark(spark: SparkSession, d: str) -> DataFrame:
     return control.advance_watermark(_registry(spark, d), "orders", new_mark, B.LOAD2[1])
 
 
+@query
+def folded_marks(spark: SparkSession, d: str) -> DataFrame:
+    """Marks of a log that is folded three times and appended to again: every
+    order is an advance of its status's collection."""
+    path = f"{scratch_path(spark, 'control')}/marks"
+    orders = B.orders(spark, d)
+    advances = orders.select(
+        F.col("status").alias("collection_name"), F.col("updated_at").alias("mark"), F.col("order_id").alias("run_id"),
+        F.col("updated_at").alias("advanced_at"),
+    )
+    year = F.year("mark")
+    for rows in (advances.where(year < 1994), advances.where(year.between(1994, 1996)), advances.where(year > 1996)):
+        logs.append(rows, path)
+        logs.fold(spark, path, control.MARKS_SCHEMA, control.latest_marks)
+    logs.append(advances.withColumn("mark", F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")), path)  # an older tail
+    return logs.read(spark, path, control.MARKS_SCHEMA, control.latest_marks).select("collection_name", "mark")
+
+
+@query
+def external_table_scan(spark: SparkSession, d: str) -> DataFrame:
+    """A bronze and an SCD1 silver table of the catalog, partitioned as their
+    contracts say; each write adds its own partition."""
+    root = scratch_path(spark, "tables")
+    tag = root.rsplit("-", 1)[-1]
+    bronze, silver = f"bronze_orders_{tag}", f"silver_reviews_{tag}"
+    for batch, (load_date, as_of) in zip(B.order_batches(spark, d), (B.LOAD1, B.LOAD2)):
+        write_table(spark, enrich_bronze(batch, "orders", load_date, as_of), bronze, "bronze_orders", f"{root}/bronze", load_date)
+        reviews = jobs.prepare_batch(B.reviews_raw(spark, d), COLLECTIONS["reviews"])
+        write_table(spark, scd.stamp_load(reviews, load_date, as_of), silver, "silver_reviews", f"{root}/silver", load_date)
+    scans = [
+        spark.table(table).select(F.lit(name).alias("table_name"), F.col(key).alias("id"), "load_date")
+        for table, name, key in ((bronze, "bronze_orders", "order_id"), (silver, "silver_reviews", "review_id"))
+    ]
+    rows = materialized(scans[0].unionByName(scans[1]), "external")
+    for table in (bronze, silver):
+        spark.sql(f"DROP TABLE {table}")  # the files stay
+    return rows
+
+
 @query
 def run_summary(spark: SparkSession, d: str) -> DataFrame:
     return reports.run_summary(B.audit_runs(spark, d))
@@ -641,7 +704,7 @@ def silver_table_scan(spark: SparkSession, d: str) -> DataFrame:
     before = B.customers_raw(spark, d)
     moved = F.when(F.col("status") == "BUILDING", F.concat(F.lit("new."), F.trim("email"))).otherwise(F.col("email"))
     for source, load in ((before, B.LOAD1), (before.withColumn("email", moved), B.LOAD2)):
-        jobs.merge_batch(spark, lake, spec, jobs.materialized(jobs.prepare_batch(source, spec), "batch"), *load)
+        jobs.merge_batch(spark, lake, spec, materialized(jobs.prepare_batch(source, spec), "batch"), *load)
     view = "silver_customers_" + lake.root.rstrip("/").split("-")[-1]
     register_silver(spark, view, "silver_customers", lake.silver("customers"))
     rows = spark.table(view).select("customer_id", "email", "version_number", "is_current")

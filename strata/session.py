@@ -11,7 +11,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def checkpoint_root(spark: SparkSession) -> str:
@@ -32,6 +32,14 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{checkpoint_root(spark)}/strata/{name}-{uuid.uuid4().hex[:12]}"
 
 
+def materialized(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written once to shared scratch and read back, so what follows
+    does not compute it again."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def list_dirs(spark: SparkSession, path: str) -> list[str]:
     """Names of the sub-directories of ``path`` (empty if it does not exist)."""
     jpath = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)

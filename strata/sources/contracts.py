@@ -85,6 +85,13 @@ CONTRACTS: dict[str, str] = {
     ),
 }
 PARTITION_COLUMNS = {
+    "bronze_customers": ("load_date",),
+    "bronze_orders": ("load_date",),
+    "bronze_products": ("load_date",),
+    "bronze_payments": ("load_date",),
+    "bronze_reviews": ("load_date",),
+    "silver_payments": ("load_date",),
+    "silver_reviews": ("load_date",),
     "silver_customers": ("load_date",),
     "silver_orders": ("load_date",),
     "silver_products": ("load_date",),
@@ -121,6 +128,20 @@ def create_table(spark: SparkSession, table: str, name: str, location: str) -> N
     spark.sql(f"CREATE TABLE IF NOT EXISTS {table} ({cols}) USING parquet{part} LOCATION '{location}'")
 
 
+def write_table(spark: SparkSession, df: DataFrame, table: str, name: str, location: str, partition: str) -> None:
+    """Overwrite one partition of a catalog table that has the contract
+    ``name``; the table is created if need be.  The write itself adds the
+    partition to the catalog, so nothing lists the root."""
+    create_table(spark, table, name, location)
+    (column,) = PARTITION_COLUMNS[name]
+    rows = conform(df, contract(name)).drop(column)
+    rows.createOrReplaceTempView(f"{table}_rows")
+    try:
+        spark.sql(f"INSERT OVERWRITE TABLE {table} PARTITION ({column} = '{partition}') SELECT * FROM {table}_rows")
+    finally:
+        spark.catalog.dropTempView(f"{table}_rows")
+
+
 def register_silver(spark: SparkSession, view: str, name: str, root: str) -> None:
     """(Re)create a catalog view of the live rows of a cleansed table, in the
     shape of its contract.  It names the folders of the newest version, so it

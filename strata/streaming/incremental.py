@@ -19,8 +19,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
-from strata.plans.jobs import Lake, materialized, merge_batch, prepare_batch
+from strata.plans.jobs import Lake, merge_batch, prepare_batch
 from strata.rules import CollectionSpec
+from strata.session import materialized
 
 
 def merge_micro_batch(

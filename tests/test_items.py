@@ -1,5 +1,7 @@
+import pytest
 from pyspark.sql import functions as F
 
+from strata.operators import items
 from strata.operators.items import ITEM_SCHEMA, explode_items, item_features, item_features_from_lines, join_lines
 
 VARIANTS = [
@@ -58,3 +60,51 @@ def test_features_from_lines_match_array_form(spark):
     a = {r.order_id: (r.items_count, r.total_items_qty) for r in item_features(js).collect()}
     b = {r.order_id: (r.items_count, r.total_items_qty) for r in item_features_from_lines(js.select("order_id"), lines).collect()}
     assert a == b
+
+
+ADDRESS = '{"city":"Ulm","country":"DE","lines":["a"]}'
+
+
+@pytest.mark.parametrize(
+    "value,kind",
+    [(ADDRESS, "shipping_addr string"), (ADDRESS, "shipping_address string"), (("Ulm", "DE"), "shipping_address struct<city:string,country:string>")],
+)
+def test_addresses_as_text_or_struct(spark, value, kind):
+    df = spark.createDataFrame([("1", "[]", value), ("2", None, None)], f"order_id string, items string, {kind}")
+    out = {r.order_id: (r.shipping_city, r.shipping_country) for r in items.item_features(df).collect()}
+    assert out == {"1": ("Ulm", "DE"), "2": (None, None)}
+
+
+def test_addresses_that_cannot_be_read(spark):
+    df = spark.createDataFrame([("1", "[]", "{broken"), ("2", "[]", "[1]"), ("3", "[]", '{"city":7}')], "order_id string, items string, shipping_addr string")
+    assert [(r.shipping_city, r.shipping_country) for r in items.item_features(df).orderBy("order_id").collect()] == [(None, None), (None, None), ("7", None)]
+    bare = spark.createDataFrame([("1", "[]")], "order_id string, items string")
+    assert "shipping_city" not in items.item_features(bare).columns
+
+
+def test_documents_are_read_in_either_form(spark):
+    line = '{"product_id":"p","qty":2,"unit_price":1.5}'
+    docs = [
+        f'{{"items":[{line},{line}],"shipping_address":{ADDRESS}}}',
+        '{"items":"[%s]","shipping_addr":"%s"}' % (line.replace('"', '\\"'), ADDRESS.replace('"', '\\"')),
+        '{"items":[],"shipping_address":null}', '{"items":7}', "{broken", None, "[]", '{"items":"oops","shipping_addr":"Ulm"}',
+    ]
+    df = spark.createDataFrame([(str(i), d) for i, d in enumerate(docs)], "order_id string, raw_document string")
+    rows = items.document_features(df, keep_items=True).orderBy("order_id").collect()
+    assert [(r.items_count, r.total_items_qty, r.shipping_city, r.shipping_country) for r in rows] == [
+        (2, 4, "Ulm", "DE"), (1, 2, "Ulm", "DE"), *[(0, 0, None, None)] * 6
+    ]
+    assert rows[0]["items"][0].unit_price == 1.5
+
+
+def test_the_silver_job_fills_the_shipping_columns(spark):
+    from strata.plans import jobs
+    from strata.rules import COLLECTIONS
+    from strata.sources.contracts import conform, contract
+
+    raw = spark.createDataFrame(
+        [("1", "c", "completed", "2024-01-01 00:00:00", "[]", ADDRESS)],
+        "order_id string, customer_id string, status string, updated_at string, items string, shipping_addr string",
+    )
+    row = conform(jobs.prepare_batch(raw, COLLECTIONS["orders"]), contract("silver_orders")).first()
+    assert (row.shipping_city, row.shipping_country) == ("Ulm", "DE")

@@ -1,0 +1,112 @@
+"""Append logs and their folds."""
+
+from datetime import datetime
+
+from pyspark.sql import functions as F
+
+from strata.operators import control
+from strata.plans import business as B
+from strata.plans import jobs
+from strata.rules import COLLECTIONS
+from strata.session import scratch_path
+from strata.sources import logs, manifest
+
+SF = "/root/testdata/sf0.001"
+SCHEMA = control.MARKS_SCHEMA
+
+
+def mark(spark, name, at, run="r"):
+    return spark.createDataFrame([(name, datetime.fromisoformat(at), run, datetime.fromisoformat(at))], SCHEMA)
+
+
+def marks_of(spark, path):
+    rows = logs.read(spark, path, SCHEMA, control.latest_marks)
+    return {r.collection_name: (r.mark.isoformat()[:10], r.run_id) for r in rows.collect()}
+
+
+def test_read_and_fold_of_nothing(spark):
+    path = f"{scratch_path(spark, 'log')}/marks"
+    assert logs.read(spark, path, SCHEMA) is None and logs.fold(spark, path, SCHEMA) is None
+
+
+def test_folds_change_no_answer(spark):
+    path = f"{scratch_path(spark, 'log')}/marks"
+    for day, name in (("2024-01-01", "a"), ("2024-01-03", "b"), ("2024-01-02", "a")):
+        logs.append(mark(spark, name, day, f"run-{day}"), path)
+    want = {"a": ("2024-01-02", "run-2024-01-02"), "b": ("2024-01-03", "run-2024-01-03")}
+    assert marks_of(spark, path) == want
+    logs.fold(spark, path, SCHEMA, control.latest_marks)
+    assert marks_of(spark, path) == want
+    logs.append(mark(spark, "a", "2023-01-01"), path)  # an older tail
+    logs.append(mark(spark, "c", "2024-01-09"), path)
+    assert marks_of(spark, path) == want | {"c": ("2024-01-09", "r")}
+    logs.fold(spark, path, SCHEMA, control.latest_marks)
+    logs.fold(spark, path, SCHEMA, control.latest_marks)  # nothing new
+    assert marks_of(spark, path) == want | {"c": ("2024-01-09", "r")}
+
+
+def test_an_append_during_a_fold_is_not_lost(spark, monkeypatch):
+    """Two writers: one folds, and while it has read the log but not yet
+    committed, the other appends."""
+    path = f"{scratch_path(spark, 'log')}/marks"
+    logs.append(mark(spark, "a", "2024-01-01", "first"), path)
+    real = logs.publish_version
+
+    def slow(*args, **kwargs):
+        logs.append(mark(spark, "a", "2024-02-02", "second"), path)
+        return real(*args, **kwargs)
+
+    monkeypatch.setattr(logs, "publish_version", slow)
+    logs.fold(spark, path, SCHEMA)
+    monkeypatch.undo()
+    assert sorted(r.run_id for r in logs.read(spark, path, SCHEMA).collect()) == ["first", "second"]
+    logs.fold(spark, path, SCHEMA)
+    assert sorted(r.run_id for r in logs.read(spark, path, SCHEMA).collect()) == ["first", "second"]
+    assert marks_of(spark, path) == {"a": ("2024-02-02", "second")}
+
+
+def test_a_failed_fold_changes_nothing(spark, monkeypatch):
+    path = f"{scratch_path(spark, 'log')}/marks"
+    logs.append(mark(spark, "a", "2024-01-01"), path)
+    monkeypatch.setattr(manifest, "commit", lambda *a: (_ for _ in ()).throw(RuntimeError("killed")))
+    try:
+        logs.fold(spark, path, SCHEMA)
+    except RuntimeError:
+        pass
+    monkeypatch.undo()
+    assert marks_of(spark, path) == {"a": ("2024-01-01", "r")}
+
+
+def test_runs_fill_the_audit_and_it_folds(spark):
+    lake = jobs.Lake(scratch_path(spark, "audit"))
+    spec = COLLECTIONS["customers"]
+    jobs.init_registry(spark, lake, [spec], B.LOAD1[1])
+    src = B.customers_raw(spark, SF).withColumn("updated_at", F.lit("2023-06-01 00:00:00").cast("timestamp_ntz"))
+    about = {"dag_id": "daily", "task_id": "t1"}
+    jobs.run_bronze(spark, lake, spec, src, B.LOAD1[0], "2023-12-31 23:59:59", B.LOAD1[1], **about)
+    jobs.run_silver(spark, lake, spec, B.LOAD1[0], B.LOAD1[1], **about)
+    jobs.fold_control_logs(spark, lake)
+    changed = src.withColumn("first_name", F.lit("late")).withColumn("updated_at", F.lit("2023-07-01 00:00:00").cast("timestamp_ntz"))
+    jobs.run_bronze(spark, lake, spec, changed, B.LOAD1[0], "2023-12-31 23:59:59", B.LOAD1[1], **about)
+    jobs.run_silver(spark, lake, spec, B.LOAD1[0], B.LOAD1[1], **about)  # same time: every change is late
+    jobs.fold_control_logs(spark, lake)
+    rows = sorted(jobs.read_audit(spark, lake).collect(), key=lambda r: r.pipeline_start_time)
+    assert [r.layer for r in rows] == ["bronze", "silver", "bronze", "silver"]
+    assert all(r.dag_id == "daily" and r.task_id == "t1" and r.duration_seconds > 0 for r in rows)
+    silver = [r for r in rows if r.layer == "silver"]
+    assert silver[0].records_failed == src.count() - silver[0].records_extracted > 0 and silver[0].records_skipped == 0
+    assert silver[1].records_skipped == silver[1].records_extracted == silver[0].records_loaded
+    assert any(r.duration_seconds % 1 for r in rows)  # not cut to whole seconds
+
+
+def test_an_empty_extract_writes_no_partition(spark):
+    from strata.session import list_dirs
+
+    lake = jobs.Lake(scratch_path(spark, "no-rows"))
+    spec = COLLECTIONS["orders"]
+    jobs.init_registry(spark, lake, [spec], B.LOAD1[1])
+    jobs.run_bronze(spark, lake, spec, B.orders_source(spark, SF, 1), B.LOAD1[0], "1900-01-01 00:00:00", B.LOAD1[1])
+    assert list_dirs(spark, lake.bronze("orders")) == []
+    done = jobs.run_silver(spark, lake, spec, B.LOAD1[0], B.LOAD1[1])
+    assert (done.status, done.records_loaded) == ("SUCCESS", 0)
+    assert manifest.newest(spark, lake.silver("orders")) is None

@@ -151,3 +151,19 @@ def test_external_table_and_partition_repair(spark):
         assert spark.table("gold_order_analytics_t").where("report_date = '2024-01-02'").count() == 1
     finally:
         spark.sql("DROP TABLE IF EXISTS gold_order_analytics_t")
+
+
+def test_writes_add_their_partitions_to_the_catalog(spark):
+    from strata.sources.contracts import CONTRACTS, PARTITION_COLUMNS, write_table
+
+    assert set(PARTITION_COLUMNS) == set(CONTRACTS)  # every table is partitioned
+    root, table = scratch_path(spark, "t-catalog"), "bronze_reviews_t"
+    rows = spark.createDataFrame([("1", "p", 5.0)], "review_id string, product_id string, rating double")
+    try:
+        for day in ("2024-01-01", "2024-01-02", "2024-01-02"):
+            write_table(spark, rows, table, "bronze_reviews", root, day)
+        assert [r[0] for r in spark.sql(f"SHOW PARTITIONS {table}").collect()] == ["load_date=2024-01-01", "load_date=2024-01-02"]
+        one = spark.table(table).where("load_date = '2024-01-02'")
+        assert one.count() == 1 and all("load_date=2024-01-02" in f for f in one.inputFiles())
+    finally:
+        spark.sql(f"DROP TABLE IF EXISTS {table}")
