@@ -323,6 +323,8 @@ SQL["incremental_extract"] = (
     f"SELECT * FROM events WHERE ts > {_ts(EVENT_WINDOW[0])} AND ts <= {_ts(EVENT_WINDOW[1])}"
 )
 
+SQL["incremental_extract_source"] = SQL["incremental_extract"]
+
 SQL["bronze_partition_scan"] = _with(ORDERS_V1) + f"""
 SELECT *, strftime(created_at, '%Y-%m-01') AS load_date FROM ord_src1
 WHERE strftime(created_at, '%Y-%m-01') = '{SCAN_PARTITION}'"""

@@ -35,6 +35,7 @@ from strata.rules import COLLECTIONS, CUSTOMER_RULES, CleanseRules, CollectionSp
 from strata.session import materialized, scratch_path
 from strata.sources import logs
 from strata.sources.contracts import conform, contract, register_silver, write_table
+from strata.sources.documents import read_documents, write_documents
 from strata.sources.extract import incremental_extract, merged_scan, partition_scan
 from strata.sources.publish import (
     observed,
@@ -72,6 +73,17 @@ def incremental_extract_events(spark: SparkSession, d: str) -> DataFrame:
     return incremental_extract(B.table(spark, d, "events"), "ts", last, upper)
 
 
+@query
+def incremental_extract_source(spark: SparkSession, d: str) -> DataFrame:
+    """The same window from a collection of JSON documents, whose reader plans
+    only the files that can hold it."""
+    events = B.table(spark, d, "events")
+    path = scratch_path(spark, "collection")
+    write_documents(events, path, "ts", 16)
+    window = read_documents(spark, path, "ts", *EVENT_WINDOW)
+    return window.select(F.from_json("document", events.schema).alias("d")).select("d.*")
+
+
 @query
 def bronze_partition_scan(spark: SparkSession, d: str) -> DataFrame:
     root = scratch_path(spark, "bronze-orders")
