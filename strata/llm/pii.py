@@ -36,6 +36,14 @@ from strata.llm.common import materialize
 KINDS = ("email", "ip", "card", "phone", "secret")
 _LOCAL, _DIGIT, _TOKEN = r"[A-Za-z0-9._%+-]", "[0-9]", r"[A-Za-z0-9_/+-]"
 
+# Words that announce a secret.
+GAZETTEER = ("password", "passwd", "pwd", "token", "secret", "apikey", "api_key", "access_key", "auth", "credential")
+_WORDS = "|".join(GAZETTEER)
+#: An announcing word and an assignment, as they stand right before a value.
+_ASSIGNED = rf"(?i:{_WORDS})s?[\x20\"']{{0,2}}[=:][\x20\"']{{0,2}}"
+# cheap first: something assigned, then what to
+_AFTER_ANNOUNCEMENT = rf"(?<=[=:]|[=:][\x20\"']|[=:][\x20\"'][\x20\"'])(?<={_ASSIGNED})"
+
 
 def _run_start(chars: str) -> str:
     return rf"(?:(?<!{chars})|\G)"
@@ -46,15 +54,13 @@ PATTERNS = {
     "ip": _run_start(_DIGIT) + r"[0-9]++\.[0-9]++\.[0-9]++\.[0-9]++",
     "card": r"[0-9](?:[\x20-]?[0-9])++",
     "phone": r"\+[0-9][\x20().0-9-]+[0-9]",
-    "secret": _run_start(_TOKEN) + rf"(?=[A-Za-z_/+-]{{0,64}}[0-9]){_TOKEN}{{12,}}+",
+    # a run of twelve or more with a digit, or any run that is announced
+    "secret": _run_start(_TOKEN) + rf"(?:(?=[A-Za-z_/+-]*+[0-9]){_TOKEN}{{12,}}+|{_AFTER_ANNOUNCEMENT}{_TOKEN}++)",
 }
 #: A text without a match of this cannot match the kind's pattern.
-REQUIRES = {"email": "@", "ip": r"[0-9]\.[0-9]", "card": "[0-9]", "phone": r"\+[0-9]", "secret": "[0-9]"}
+REQUIRES = {"email": "@", "ip": r"[0-9]\.[0-9]", "card": "[0-9]", "phone": r"\+[0-9]", "secret": rf"[0-9]|{_ASSIGNED}"}
 SPAN = "array<struct<s:int,e:int,v:string,p:string>>"
 
-# Words that announce a secret.
-GAZETTEER = ("password", "passwd", "pwd", "token", "secret", "apikey", "api_key", "access_key", "auth", "credential")
-
 
 def _matches(kind: str) -> tuple[Column, Column]:
     """All matches of the kind in ``_t`` and the pieces of text around them."""
@@ -111,7 +117,7 @@ def _checked(kind: str) -> Column:
 def candidate_spans(docs: DataFrame, carry: tuple[str, ...]) -> DataFrame:
     """``carry`` columns, ``_t`` and one span array per kind (``s_<kind>``).
 
-    ``s_secret`` holds the candidates that overlap no base span.
+    ``s_secret`` holds the candidates, without what lies in base spans.
     """
     t = docs.select(F.struct(*carry).alias("_in"), F.coalesce(F.col("text"), F.lit("")).alias("_t"))
     cut = t
@@ -125,9 +131,28 @@ def candidate_spans(docs: DataFrame, carry: tuple[str, ...]) -> DataFrame:
         "_s_secret",
         *(_checked(k).alias(f"s_{k}") for k in KINDS[:-1]),
     ).withColumn("_base", F.flatten(F.array(*(F.col(f"s_{k}") for k in KINDS[:-1]))))
-    free = F.filter(
-        "_s_secret", lambda c: ~F.exists("_base", lambda b: (b["s"] < c["e"]) & (c["s"] < b["e"]))
-    )
+    def outside(c: Column) -> Column:
+        """The parts of a candidate outside base spans, if they would be
+        candidates by themselves."""
+        hit = F.array_sort(F.filter("_base", lambda b: (b["s"] < c["e"]) & (c["s"] < b["e"])))
+        state = f"struct<pos:int,out:{SPAN}>"
+
+        def part(start: Column, end: Column) -> Column:
+            before = F.substring("_t", F.greatest(start - 24, F.lit(0)) + 1, F.least(start, F.lit(24)))
+            span = F.struct(start.alias("s"), end.alias("e"), F.substring("_t", start + 1, end - start).alias("v"), before.alias("p"))
+            return F.when(end > start, F.array(span)).otherwise(F.array().cast(SPAN)).cast(SPAN)
+
+        def step(acc: Column, b: Column) -> Column:
+            return F.struct(
+                F.greatest(acc["pos"], b["e"]).alias("pos"), F.concat(acc["out"], part(acc["pos"], b["s"])).alias("out")
+            ).cast(state)
+
+        start = F.struct(c["s"].alias("pos"), F.array().cast(SPAN).alias("out")).cast(state)
+        parts = F.aggregate(hit, start, step, lambda acc: F.concat(acc["out"], part(acc["pos"], c["e"])))
+        whole = F.filter(parts, lambda x: ((F.length(x["v"]) >= 12) & x["v"].rlike("[0-9]")) | x["p"].rlike(f"{_ASSIGNED}$"))
+        return F.when(F.size(hit) == 0, F.array(c)).otherwise(whole)
+
+    free = F.flatten(F.transform("_s_secret", outside))
     return base.select("_in", "_t", *(f"s_{k}" for k in KINDS[:-1]), free.alias("s_secret"))
 
 
@@ -138,7 +163,7 @@ def _vote(yes: Column, no: Column | None = None) -> Column:
 
 
 def _announced(p: Column) -> Column:
-    return F.lower(p).rlike(rf"(?:{'|'.join(GAZETTEER)})")
+    return F.lower(p).rlike(rf"(?:{_WORDS})")
 
 
 #: Labelers of a candidate with value ``v`` and preceding text ``p``.

@@ -103,6 +103,38 @@ def test_learned_spans_add_secrets_and_leave_words(spark):
     assert len(found) == 80 and not any("chapter" in f or "volumes" in f for f in found)
 
 
+def candidates(spark, texts):
+    rows = pii.candidate_spans(documents(spark, list(enumerate(texts))), ("doc_id",)).select("_in.doc_id", "s_secret").collect()
+    out = {r.doc_id: r.s_secret for r in rows}
+    for i, t in enumerate(texts):
+        assert all(t[x.s : x.e] == x.v and t[: x.s].endswith(x.p) for x in out[i])
+    return [[x.v for x in out[i]] for i in range(len(texts))]
+
+
+def test_announced_values_of_any_length_are_candidates(spark):
+    texts = [
+        "password=hunter2 and more", "Token: correcthorsebatterystaple", 'API_KEY = "abcdefghijklmnop"', "secrets: x",
+        "the password is long", "pass word: no", "auth=", "tokenize: nothing here", "a" * 90 + "1" + "b" * 20, "credential='é'",
+    ]
+    assert candidates(spark, texts) == [
+        ["hunter2"], ["correcthorsebatterystaple"], ["abcdefghijklmnop"], ["x"], [], [], [], [], ["a" * 90 + "1" + "b" * 20], []
+    ]
+
+
+def test_parts_of_a_candidate_outside_base_spans_are_kept(spark):
+    key = "deadbeef0123456789abcdef"
+    texts = [f"{key}@mail.example.com/x", f"4111111111111111/{key}", f"10.0.0.1-{key} {key}", "password=4111111111111111/ab", f"a@b.cc/{key}"]
+    assert candidates(spark, texts) == [[], ["/" + key], ["-" + key, key], [], ["/" + key]]
+
+
+def test_short_announced_secrets_are_found(spark):
+    rows = secret_rows() + [(500 + k, f"{prose(k, 20)} password=hunter{k} {prose(k, 9)}") for k in range(20)]
+    rows += [(600, prose(5, 20) + " token: correcthorsebatterystaple " + prose(6, 20))]
+    docs = documents(spark, rows)
+    out = {r.doc_id: r.n_secret for r in pii.report(docs, pii.learn(docs)).collect()}
+    assert all(out[i] == 1 for i, _ in rows)
+
+
 def test_redact(spark):
     docs = documents(spark, ROWS, s=F.lit("clash"), text2=F.lit(1))
     out = pii.redact(docs, pii.SpanModel())
