@@ -59,7 +59,6 @@ from pyspark.sql import functions as F
 from strata.llm.chunks import Chunk, chunks, mix
 from strata.llm.common import materialize, words
 
-CONTEXTS = 1 << 14
 FREQUENT = 1 << 20
 BURN_IN = 1
 SAMPLES = 3
@@ -121,60 +120,6 @@ def _pair_hash(tokens: np.ndarray, before: np.ndarray) -> np.ndarray:
     return mix(tokens * _ORDER + before)
 
 
-# ------------------------------------------------------------------------- contexts
-
-
-def _common_tokens(share: int):
-    """Tokens with at least one in ``share`` of a chunk's occurrences."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for c in chunks(batches, lower=True):
-            token, n = np.unique(_tokens(c)[0], return_counts=True)
-            often = n * share >= n.sum()
-            yield pa.record_batch([pa.array(token[often].view(np.int64)), pa.array(n[often])], names=["token", "n"])
-
-    return run
-
-
-def _exact_counts(candidates: np.ndarray):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros(len(candidates), np.int64)
-        for c in chunks(batches, lower=True):
-            token = _tokens(c)[0]
-            at = np.minimum(np.searchsorted(candidates, token), len(candidates) - 1)
-            total += np.bincount(at[candidates[at] == token], minlength=len(candidates))
-        yield pa.record_batch([pa.array(candidates.view(np.int64)), pa.array(total)], names=["token", "n"])
-
-    return run
-
-
-def context_tokens(train: DataFrame, n_tokens: int) -> tuple[np.ndarray, np.ndarray]:
-    """Hashes of the context tokens, sorted, and their exact counts.
-
-    A token with one in ``CONTEXTS`` of all tokens keeps at least half of its
-    count when chunks report only what makes up one in ``2 * CONTEXTS`` of
-    them; so the candidates, at most ``2 * CONTEXTS``, miss none.
-    """
-    near = (
-        train.mapInArrow(_common_tokens(2 * CONTEXTS), "token long, n long")
-        .groupBy("token")
-        .agg(F.sum("n").alias("n"))
-        .where(F.col("n") * (2 * CONTEXTS) >= n_tokens)
-        .select("token")
-        .collect()
-    )
-    candidates = np.array(sorted({int(END)} | {r["token"] % (1 << 64) for r in near}), np.uint64)
-    rows = (
-        train.mapInArrow(_exact_counts(candidates), "token long, n long")
-        .groupBy("token")
-        .agg(F.sum("n").alias("n"))
-        .collect()
-    )
-    counts = {r["token"] % (1 << 64): r["n"] for r in rows}
-    chosen = sorted(t for t in map(int, candidates) if t == int(END) or counts.get(t, 0) * CONTEXTS >= n_tokens)
-    return np.array(chosen, np.uint64), np.array([counts.get(t, 0) for t in chosen], np.int64)
-
-
 # --------------------------------------------------------------------------- counts
 
 

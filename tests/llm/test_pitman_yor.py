@@ -108,17 +108,6 @@ def test_large_parties_are_seated_in_blocks():
     assert t.mean() == pytest.approx(sum(5 / (5 + i) for i in range(100_000)), rel=0.06)
 
 
-def test_context_tokens_are_exact(spark, monkeypatch):
-    monkeypatch.setattr(py, "CONTEXTS", 50)
-    rows = corpus(30)
-    train = documents(spark, rows).select("text")
-    c = Counter(t for _, text in rows for t in tokens(text))
-    n = sum(c.values())
-    hashes, counts = py.context_tokens(train, n)
-    want = sorted(k for t, k in c.items() if t is None or 50 * k >= n)
-    assert sorted(counts.tolist()) == want and len(hashes) == len(want)
-
-
 def test_no_training_text_and_empty_table(spark):
     held = next(k for k in range(100) if is_held(k))
     r = py.score(documents(spark, [(held, "only held out")])).first()
@@ -127,9 +116,8 @@ def test_no_training_text_and_empty_table(spark):
 
 
 def test_rare_tokens_have_a_context_of_their_own(spark, monkeypatch):
-    """``aft`` and ``fore`` are rarer than one in ``CONTEXTS`` tokens; what
-    follows them is learned all the same, with or without the broadcast pairs."""
-    monkeypatch.setattr(py, "CONTEXTS", 4)
+    """What follows the rare ``aft`` and ``fore`` is learned all the same, with
+    or without the broadcast pairs."""
     train, held = [k for k in range(300) if not is_held(k)], [k for k in range(300) if is_held(k)]
     rows = []
     for j, k in enumerate(train):
