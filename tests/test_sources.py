@@ -2,7 +2,6 @@
 
 from datetime import datetime
 
-import pytest
 from pyspark.sql import functions as F
 
 from strata.session import scratch_path
