@@ -15,6 +15,7 @@ from pyspark.sql import types as T
 
 from strata.functions.columns import ts_literal
 from strata.rules import EPOCH_MARK, GOLD_MARTS, CollectionSpec
+from strata.session import local_frame
 
 REGISTRY_SCHEMA = T.StructType(
     [
@@ -99,7 +100,7 @@ def collection_marks(frames: Mapping[str, tuple[DataFrame, str]]) -> DataFrame:
 
 def build_registry(spark: SparkSession, rows: list[tuple], marks: DataFrame | None, as_of: str) -> DataFrame:
     """Registry frame; ``last_loaded_timestamp`` from ``marks`` (else epoch)."""
-    base = spark.createDataFrame(rows, REGISTRY_SCHEMA)
+    base = local_frame(spark, rows, REGISTRY_SCHEMA)
     if marks is not None:
         base = base.join(marks.withColumnRenamed("collection_name", "_c"), F.col("collection_name") == F.col("_c"), "left")
         mark = F.coalesce(F.col("mark").cast("timestamp_ntz"), ts_literal(EPOCH_MARK))
@@ -255,4 +256,4 @@ def audit_record(
         ts(watermark_start), ts(watermark_end), status, error_message, output_path,
         int(records_skipped), dag_id, task_id, spark.sparkContext.applicationId, ts(end),
     )
-    return spark.createDataFrame([row], AUDIT_SCHEMA)
+    return local_frame(spark, [row], AUDIT_SCHEMA)

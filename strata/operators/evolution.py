@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from strata.functions.columns import ts_literal
+from strata.session import local_frame
 
 ADD, DROP, RETYPE = "ADD_COLUMN", "DROP_COLUMN", "TYPE_CHANGE"
 
@@ -98,7 +99,7 @@ def drift_events(
         )
         for c in compare_schemas(old, new, nested)
     ]
-    df = spark.createDataFrame(rows, DRIFT_SCHEMA)
+    df = local_frame(spark, rows, DRIFT_SCHEMA)
     if detected_at is not None:
         df = df.withColumn("detected_at", ts_literal(detected_at))
     return df

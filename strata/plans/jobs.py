@@ -36,7 +36,7 @@ from strata.operators.scd import (
     scd2_merge_tagged,
 )
 from strata.rules import AUDIT_COLUMNS, CollectionSpec
-from strata.session import materialized
+from strata.session import local_frame, materialized
 from strata.sources import logs, manifest
 from strata.sources.contracts import conform, contract
 from strata.sources.extract import effective_upper, incremental_extract, partition_scan
@@ -176,7 +176,7 @@ def run_bronze(
             n, mark = int(metrics["rows"]), metrics["mark"]
         if mark is not None:
             advance = [(spec.name, mark, run_id, _dt.datetime.fromisoformat(as_of))]
-            logs.append(spark.createDataFrame(advance, control.MARKS_SCHEMA), lake.marks)
+            logs.append(local_frame(spark, advance, control.MARKS_SCHEMA), lake.marks)
     except Exception as exc:  # recorded, then re-raised
         status, err = "FAILED", f"{type(exc).__name__}: {exc}"
         raise

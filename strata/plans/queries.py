@@ -32,7 +32,7 @@ from strata.plans.oracle import (
     TREND_AS_OF,
 )
 from strata.rules import COLLECTIONS, CUSTOMER_RULES, CleanseRules, CollectionSpec
-from strata.session import materialized, scratch_path
+from strata.session import local_frame, materialized, scratch_path
 from strata.sources import logs
 from strata.sources.contracts import conform, contract, register_silver, write_table
 from strata.sources.documents import read_documents, write_documents
@@ -502,7 +502,7 @@ def watermark_status(spark: SparkSession, d: str) -> DataFrame:
 @query
 def registry_upsert(spark: SparkSession, d: str) -> DataFrame:
     specs = [CollectionSpec(n, pk, wm, scd_type) for n, pk, wm, scd_type in ONBOARDING]
-    requests = spark.createDataFrame(control.spec_rows(specs, LAKE_ROOT), control.REGISTRY_SCHEMA)
+    requests = local_frame(spark, control.spec_rows(specs, LAKE_ROOT), control.REGISTRY_SCHEMA)
     return control.registry_upsert(_registry(spark, d), requests, B.LOAD2[1])
 
 
@@ -595,7 +595,7 @@ def batch_metrics(spark: SparkSession, d: str) -> DataFrame:
     m = {**obs_in.get, **obs_out.get}
     m["rows_rejected"] = m["rows_in"] - m["rows_out"]
     names = ["rows_in", "rows_out", "rows_rejected", "blank_emails", "bad_created_at"]
-    return spark.createDataFrame([tuple(int(m[k]) for k in names)], ", ".join(f"{k} long" for k in names))
+    return local_frame(spark, [tuple(int(m[k]) for k in names)], ", ".join(f"{k} long" for k in names))
 
 
 @query

@@ -10,8 +10,12 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Sequence
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.pandas.types import to_arrow_schema
+from pyspark.sql.types import StructType
 
 
 def checkpoint_root(spark: SparkSession) -> str:
@@ -32,6 +36,15 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{checkpoint_root(spark)}/strata/{name}-{uuid.uuid4().hex[:12]}"
 
 
+def local_frame(spark: SparkSession, rows: Sequence[tuple], schema: str | StructType) -> DataFrame:
+    """A few rows made on the driver, handed over as an Arrow table (no Python
+    worker has to start for them)."""
+    struct = StructType.fromDDL(schema) if isinstance(schema, str) else schema
+    fields = to_arrow_schema(struct)
+    columns = [pa.array([r[i] for r in rows], f.type) for i, f in enumerate(fields)]
+    return spark.createDataFrame(pa.Table.from_arrays(columns, schema=fields), struct)
+
+
 def materialized(df: DataFrame, name: str) -> DataFrame:
     """``df`` written once to shared scratch and read back, so what follows
     does not compute it again."""
