@@ -237,7 +237,7 @@ def _convert(value: Column, a: T.DataType, b: T.DataType, path: str) -> tuple[Co
     if isinstance(a, T.StringType):
         lost = out.isNull()
         if isinstance(b, T.DecimalType):
-            exact = "decimal(38,18)"
+            exact = T.DecimalType(38, 38 - (b.precision - b.scale))  # all digits that may stand before the point
             lost = lost | ~value.try_cast(exact).eqNullSafe(out.try_cast(exact))
     else:
         lost = ~out.try_cast(a).eqNullSafe(value)
