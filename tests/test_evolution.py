@@ -3,7 +3,7 @@ from pyspark.sql import types as T
 from strata.operators.evolution import ADD, DROP, RETYPE, affected_rows, compare_schemas, drift_events, reconcile, widen
 
 
-def test_compare_schemas():
+def test_compare_schemas(spark):
     old = T.StructType.fromDDL("a int, b string, c double, s struct<x:int>")
     new = T.StructType.fromDDL("a bigint, c double, d string, s struct<x:int,y:int>")
     changes = {(c.change_type, c.column_name) for c in compare_schemas(old, new)}
@@ -12,7 +12,7 @@ def test_compare_schemas():
     assert (ADD, "s.y") in nested and (RETYPE, "s") not in nested
 
 
-def test_reorder_is_not_drift():
+def test_reorder_is_not_drift(spark):
     assert compare_schemas(T.StructType.fromDDL("a int, b int"), T.StructType.fromDDL("b int, a int")) == []
 
 

@@ -124,7 +124,7 @@ def test_history_reads_every_version_with_its_own_schema(spark):
     assert sorted((r.n, r.k, r.tier) for r in full.collect()) == [(2, "a", None), (7, "c", "x")]
 
 
-def test_contracts_parse():
+def test_contracts_parse(spark):
     from strata.sources.contracts import CONTRACTS
 
     layers = [name.split("_")[0] for name in CONTRACTS]
