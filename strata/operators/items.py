@@ -1,9 +1,10 @@
 """Order line items: explosion and per-order item features.
 
-Items arrive in one of three shapes and all give the same rows:
+Items arrive in one of four shapes and all give the same rows:
 
 * a native ``array<struct<product_id, qty, unit_price, ...>>`` column,
 * a JSON string holding such an array (parsed with ``from_json``),
+* a variant holding such an array,
 * a separate, already flattened line table keyed by the order id.
 
 Explosion is *outer*: an order with NULL, empty or unparsable items yields one
@@ -28,7 +29,9 @@ def _items_array(df: DataFrame, items_col: str):
         return F.col(items_col)
     if isinstance(dtype, StringType):
         return F.from_json(F.col(items_col), ITEM_SCHEMA)
-    raise TypeError(f"items column {items_col!r} must be an array or a JSON string, got {dtype.simpleString()}")
+    if isinstance(dtype, VariantType):
+        return F.try_variant_get(F.col(items_col), "$", ITEM_SCHEMA)
+    raise TypeError(f"items column {items_col!r} must be an array, a JSON string or a variant, got {dtype.simpleString()}")
 
 
 def explode_items(

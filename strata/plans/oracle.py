@@ -474,6 +474,10 @@ FROM (
   FROM orders)
 GROUP BY o_orderstatus, o_orderpriority"""
 
+SQL["customer_order_agg_incremental"] = _with(SCD2, "ord AS (SELECT * FROM scd2_full WHERE is_current)", ORDER_AGG) + (
+    "\nSELECT * FROM ord_agg"
+)
+
 SQL["order_analytics_incremental"] = _with(
     CUSTOMERS, SCD2, "ord_snap AS (SELECT * FROM scd2_full WHERE is_current)", ANALYTICS
 ) + "\nSELECT * FROM analytics"

@@ -506,6 +506,20 @@ def registry_upsert(spark: SparkSession, d: str) -> DataFrame:
     return control.registry_upsert(_registry(spark, d), requests, B.LOAD2[1])
 
 
+@query
+def customer_order_agg_incremental(spark: SparkSession, d: str) -> DataFrame:
+    """The customer measures after a second load, where only customers with a
+    closed or opened order are aggregated again."""
+    h1, h2 = _hashed_batches(spark, d)
+    first = scd.scd2_initial(h1, *B.LOAD1)
+    before = materialized(marts.customer_order_agg(first), "customer-agg")
+    merged = materialized(scd.scd2_merge(first, h2, ORDERS_PK, *B.LOAD2), "orders")
+    live = merged.where("is_current")
+    now = F.lit(B.LOAD2[1]).cast("timestamp_ntz")
+    changes = merged.where(~F.col("is_current") | (F.col("effective_date") == now))
+    return marts.refresh_customer_order_agg(before, live, changes)
+
+
 @query
 def order_analytics_incremental(spark: SparkSession, d: str) -> DataFrame:
     """The daily mart kept as a state: built from the first load, then changed

@@ -108,3 +108,11 @@ def test_the_silver_job_fills_the_shipping_columns(spark):
     )
     row = conform(jobs.prepare_batch(raw, COLLECTIONS["orders"]), contract("silver_orders")).first()
     assert (row.shipping_city, row.shipping_country) == ("Ulm", "DE")
+
+
+def test_variant_items_explode_like_json(spark):
+    df = spark.createDataFrame(VARIANTS, "order_id string, items string")
+    as_variant = df.withColumn("items", F.try_parse_json("items"))
+    want = sorted(map(repr, explode_items(df).collect()))
+    assert sorted(map(repr, explode_items(as_variant).collect())) == want
+    assert sorted(map(repr, item_features(as_variant).collect())) == sorted(map(repr, item_features(df).collect()))
