@@ -18,7 +18,7 @@ an overflow (ANSI) rather than giving a wrong sum.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Mapping, Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -32,125 +32,111 @@ LOWEST = -36  # (-1074 - 54) // 32
 HIGHEST = 30  # (1023 + 1 - 54) // 32
 BINS = HIGHEST - LOWEST + 1
 NAN, PLUS, MINUS = HIGHEST + 1, HIGHEST + 2, HIGHEST + 3
-_WIDE = "decimal(38,0)"
+_WIDE = "DECIMAL(38,0)"
 _BASE = 1 << BIN_BITS
 
+# The expressions are SQL text: it is parsed at once, where a tree of this size
+# built call by call takes longer than the sum.
 
-def _power(half_bins: Column) -> Column:
+
+def _power(half_bins: str) -> str:
     """``2.0 ** (16 * half_bins)``, exactly (tested over the whole range)."""
-    return F.pow(F.lit(2.0), half_bins * F.lit(BIN_BITS // 2))
+    return f"power(2.0D, ({half_bins}) * {BIN_BITS // 2})"
 
 
-def _let(value: Column, body: Callable[[Column], Column]) -> Column:
-    """``body`` of a value that is evaluated once."""
-    return F.get(F.transform(F.array(value), body), F.lit(0))
+def _let(value: str, name: str, body: str) -> str:
+    """``body`` of a value that is evaluated once, as ``name``."""
+    return f"get(transform(array({value}), {name} -> {body}), 0)"
 
 
-def bin_of(value: Column) -> Column:
-    """Bin of a double; NULL stays NULL, zero goes where money mostly is."""
-    v = value.cast("double")
-    size = F.abs(v)
-    finite = F.floor((F.floor(F.log2(size)) - F.lit(_SLACK)) / F.lit(BIN_BITS)).cast("int")
+def _bin(v: str) -> str:
+    """Bin of a double column; NULL stays NULL, zero goes where money mostly is."""
+    finite = f"CAST(floor((floor(log2(abs({v}))) - {_SLACK}) / {BIN_BITS}) AS INT)"
     return (
-        F.when(F.isnan(v), F.lit(NAN))
-        .when(v == F.lit(float("inf")), F.lit(PLUS))
-        .when(v == F.lit(float("-inf")), F.lit(MINUS))
-        .when(size > 0, F.greatest(finite, F.lit(LOWEST)))
-        .when(v.isNotNull(), F.lit(-2))
+        f"CASE WHEN isnan({v}) THEN {NAN} WHEN {v} = double('Infinity') THEN {PLUS} WHEN {v} = double('-Infinity') THEN {MINUS} "
+        f"WHEN abs({v}) > 0 THEN greatest({finite}, {LOWEST}) WHEN {v} IS NOT NULL THEN -2 END"
     )
 
 
-def limbs_of(value: Column, bin_: Column) -> list[Column]:
-    """The multiple of the bin's power, as signed limbs, lowest first."""
-    v = value.cast("double")
-    # in two steps, as the whole power may lie beyond a double
-    scaled = F.when(bin_ <= HIGHEST, v * _power(-bin_) * _power(-bin_)).otherwise(F.lit(0.0))
+def _limbs(scaled: str) -> list[str]:
+    """Signed limbs of a multiple of a bin's power, lowest first."""
     # below 2^87: an upper part of 43 bits and a lower one of 44, both whole
-    half = F.lit(2.0 ** (2 * LIMB_BITS))
-    upper = F.floor(F.abs(scaled) / half)
-    lower = (F.abs(scaled) - upper.cast("double") * half).cast("long")
-    mask = F.lit((1 << LIMB_BITS) - 1)
-    limbs = [f(part) for part in (lower, upper) for f in (lambda x: x.bitwiseAND(mask), lambda x: F.shiftright(x, LIMB_BITS))]
-    return [F.when(scaled < 0, -limb).otherwise(limb) for limb in limbs]
+    half, mask = f"{float(1 << 2 * LIMB_BITS)!r}D", (1 << LIMB_BITS) - 1
+    upper = f"floor(abs({scaled}) / {half})"
+    lower = f"CAST(abs({scaled}) - CAST({upper} AS DOUBLE) * {half} AS BIGINT)"
+    limbs = [f(part) for part in (lower, upper) for f in (lambda x: f"({x} & {mask}L)", lambda x: f"shiftright({x}, {LIMB_BITS})")]
+    return [f"CASE WHEN {scaled} < 0 THEN -{limb} ELSE {limb} END" for limb in limbs]
 
 
-def _whole(limbs: Sequence[Column]) -> Column:
-    out = limbs[-1].cast(_WIDE)
+def _whole(limbs: Sequence[str]) -> str:
+    out = f"CAST({limbs[-1]} AS {_WIDE})"
     for limb in reversed(limbs[:-1]):
-        out = (out * F.lit(1 << LIMB_BITS)).cast(_WIDE) + limb
-        out = out.cast(_WIDE)
+        out = f"CAST(CAST({out} * {1 << LIMB_BITS} AS {_WIDE}) + {limb} AS {_WIDE})"
     return out
 
 
-def _carried(pairs: Column) -> Column:
-    """Sum of ``t * 2 ** (32 * b)`` over the pairs, rounded once."""
-    zero, base = F.lit(0).cast(_WIDE), F.lit(_BASE).cast("decimal(10,0)")
-
-    def digits(sign: int) -> Column:
-        """Digits in base 2^32, lowest first, and what is left above them."""
-        start = F.struct(zero.alias("carry"), F.array().cast("array<long>").alias("digits"))
-
-        def carried(acc: Column, here: Column) -> Column:
-            def split(digit: Column) -> Column:
-                carry = ((here - digit).cast(_WIDE) / base).cast(_WIDE)
-                return F.struct(carry.alias("carry"), F.concat(acc["digits"], F.array(digit.cast("long"))).alias("digits"))
-
-            return _let(F.pmod(here, F.lit(_BASE).cast(_WIDE)), split)
+def _digits(sign: int) -> str:
+    """Of the array ``parts``: digits in base 2^32, lowest first, and the
+    ``carry`` above them.  Four places above the highest bin hold every carry."""
+    start = f"named_struct('carry', CAST(0 AS {_WIDE}), 'digits', CAST(array() AS ARRAY<BIGINT>))"
+    here = f"aggregate(parts, acc.carry, (s, p) -> CASE WHEN p.b = place THEN CAST(s + p.t * {sign} AS {_WIDE}) ELSE s END)"
+    carry = f"CAST(CAST(here - digit AS {_WIDE}) / CAST({_BASE} AS DECIMAL(10,0)) AS {_WIDE})"
+    split = f"named_struct('carry', {carry}, 'digits', concat(acc.digits, array(CAST(digit AS BIGINT))))"
+    step = _let(here, "here", _let(f"pmod(here, CAST({_BASE} AS {_WIDE}))", "digit", split))
+    return f"aggregate(sequence(array_min(parts.b), array_max(parts.b) + 4), {start}, (acc, place) -> {step})"
 
-        def step(acc: Column, at: Column) -> Column:
-            here = F.aggregate(pairs, acc["carry"], lambda s, p: F.when(p["b"] == at, (s + p["t"] * F.lit(sign)).cast(_WIDE)).otherwise(s))
-            return _let(here, lambda h: carried(acc, h))
 
-        # four places above the highest bin hold every carry
-        bins = pairs["b"]
-        return F.aggregate(F.sequence(F.array_min(bins), F.array_max(bins) + 4), start, step)
-
-    def rounded(d: Column) -> Column:
-        def at_top(top: Column) -> Column:
-            above = F.greatest(top - 2, F.lit(0))
-            lead = F.aggregate(F.reverse(F.slice(d, above + 1, top - above + 1)), zero, lambda s, x: ((s * base).cast(_WIDE) + x).cast(_WIDE))
-            # 65 bits or more stand in front; any rest makes the last one odd
-            rest = F.exists(F.slice(d, F.lit(1), above), lambda x: x != 0)
-            sticky = _let(lead, lambda n: F.when(rest & (F.pmod(n, F.lit(2).cast(_WIDE)) == 0), (n + 1).cast(_WIDE)).otherwise(n))
-            place = F.array_min(pairs["b"]) + above
-            return sticky.cast("double") * _power(place) * _power(place)
-
-        return F.coalesce(_let(F.array_max(F.transform(d, lambda x, i: F.when(x != 0, i))), at_top), F.lit(0.0))
-
-    return _let(
-        digits(1),
-        lambda plus: F.when(plus["carry"] >= 0, rounded(plus["digits"])).otherwise(-_let(digits(-1), lambda minus: rounded(minus["digits"]))),
+def _rounded(digits: str) -> str:
+    """The digits as a double, rounded once, ties to even."""
+    lead = (
+        f"aggregate(reverse(slice({digits}, above + 1, top - above + 1)), CAST(0 AS {_WIDE}), "
+        f"(s, x) -> CAST(CAST(s * CAST({_BASE} AS DECIMAL(10,0)) AS {_WIDE}) + x AS {_WIDE}))"
     )
-
-
-def combine(parts: Column) -> Column:
-    """One sum from a group's parts, an array of structs of bin ``b`` and
-    total ``t``."""
-
-    def of(pairs: Column) -> Column:
-        has = lambda k: F.array_contains(pairs["b"], F.lit(k))
-        single = _let(F.get(pairs, F.lit(0)), lambda p: p["t"].cast("double") * _power(p["b"]) * _power(p["b"]))
-        infinite = F.when(has(NAN) | (has(PLUS) & has(MINUS)), F.lit(float("nan"))).when(has(PLUS), F.lit(float("inf")))
-        return (
-            F.when(F.size(pairs) == 0, F.lit(None).cast("double"))
-            .when(F.array_max(pairs["b"]) > HIGHEST, infinite.otherwise(F.lit(float("-inf"))))
-            .when(F.size(pairs) == 1, single)
-            .otherwise(_carried(pairs))
-        )
-
-    return _let(parts, of)
+    # 65 bits or more stand in front; any rest makes the last one odd
+    rest = f"exists(slice({digits}, 1, above), x -> x != 0)"
+    sticky = _let(lead, "n", f"CASE WHEN {rest} AND pmod(n, CAST(2 AS {_WIDE})) = 0 THEN CAST(n + 1 AS {_WIDE}) ELSE n END")
+    power = _power("array_min(parts.b) + above")
+    value = _let("greatest(top - 2, 0)", "above", f"CAST({sticky} AS DOUBLE) * {power} * {power}")
+    return f"coalesce({_let(f'array_max(transform({digits}, (x, i) -> CASE WHEN x != 0 THEN i END))', 'top', value)}, 0.0D)"
+
+
+def combine(column: str) -> Column:
+    """One sum from a group's parts: an array column of structs of bin ``b``
+    and total ``t``."""
+    has = lambda k: f"array_contains(parts.b, {k})"
+    single = _let("get(parts, 0)", "one", f"CAST(one.t AS DOUBLE) * {_power('one.b')} * {_power('one.b')}")
+    minus = f"-({_let(_digits(-1), 'minus', _rounded('minus.digits'))})"
+    carried = _let(_digits(1), "plus", f"CASE WHEN plus.carry >= 0 THEN {_rounded('plus.digits')} ELSE {minus} END")
+    body = (
+        "CASE WHEN size(parts) = 0 THEN NULL "
+        f"WHEN array_max(parts.b) > {HIGHEST} THEN CASE WHEN {has(NAN)} OR ({has(PLUS)} AND {has(MINUS)}) THEN double('NaN') "
+        f"WHEN {has(PLUS)} THEN double('Infinity') ELSE double('-Infinity') END "
+        f"WHEN size(parts) = 1 THEN {single} ELSE {carried} END"
+    )
+    return F.expr(_let(f"`{column}`", "parts", body))
 
 
 def _binned(df: DataFrame, sums: Mapping[str, Column | str]) -> DataFrame:
+    """``df`` with the bin ``_b_<sum>`` and the value ``_v_<sum>`` of each sum,
+    and the value as a multiple of its bin's power, ``_m_<sum>``."""
     columns = {n: F.col(c) if isinstance(c, str) else c for n, c in sums.items()}
     valued = df.select("*", *(c.cast("double").alias(f"_v_{n}") for n, c in columns.items()))
-    return valued.select("*", *(bin_of(F.col(f"_v_{n}")).alias(f"_b_{n}") for n in columns))
+    binned = valued.select("*", *(F.expr(_bin(f"`_v_{n}`")).alias(f"_b_{n}") for n in columns))
+    # in two steps, as the whole power may lie beyond a double
+    power = {n: _power(f"-`_b_{n}`") for n in columns}
+    return binned.select(
+        "*", *(F.expr(f"CASE WHEN `_b_{n}` <= {HIGHEST} THEN `_v_{n}` * {power[n]} * {power[n]} ELSE 0.0D END").alias(f"_m_{n}") for n in columns)
+    )
+
+
+def _limb_columns(name: str) -> list[Column]:
+    return [F.expr(limb) for limb in _limbs(f"`_m_{name}`")]
 
 
 def _parts(name: str) -> Column:
     """A group's bin and its total, or NULL for rows without a value."""
-    total = _whole([F.col(f"_l{i}_{name}") for i in range(LIMBS)])
-    return F.when(F.col(f"_b_{name}").isNotNull(), F.struct(F.col(f"_b_{name}").alias("b"), total.alias("t")))
+    total = _whole([f"`_l{i}_{name}`" for i in range(LIMBS)])
+    return F.expr(f"CASE WHEN `_b_{name}` IS NOT NULL THEN named_struct('b', `_b_{name}`, 't', {total}) END")
 
 
 def _finished(per_bin: DataFrame, keys: Sequence[str], sums: Sequence[str], merges: Mapping[str, Column]) -> DataFrame:
@@ -159,7 +145,7 @@ def _finished(per_bin: DataFrame, keys: Sequence[str], sums: Sequence[str], merg
     merged = placed.groupBy(*keys).agg(
         *(F.collect_list(f"_p_{n}").alias(f"_p_{n}") for n in sums), *(merge.alias(n) for n, merge in merges.items())
     )
-    return merged.select(*keys, *(combine(F.col(f"_p_{n}")).alias(n) for n in sums), *merges)
+    return merged.select(*keys, *(combine(f"_p_{n}").alias(n) for n in sums), *merges)
 
 
 def exact_sums(
@@ -176,10 +162,8 @@ def exact_sums(
     key and bins, then by key.
     """
     others = dict(others or {})
-    binned = _binned(df, sums)
-    limbs = {n: limbs_of(F.col(f"_v_{n}"), F.col(f"_b_{n}")) for n in sums}
-    first = binned.groupBy(*keys, *(f"_b_{n}" for n in sums)).agg(
-        *(F.sum(limb).alias(f"_l{i}_{n}") for n in sums for i, limb in enumerate(limbs[n])),
+    first = _binned(df, sums).groupBy(*keys, *(f"_b_{n}" for n in sums)).agg(
+        *(F.sum(limb).alias(f"_l{i}_{n}") for n in sums for i, limb in enumerate(_limb_columns(n))),
         *(rows.alias(n) for n, (rows, _) in others.items()),
     )
     return _finished(first, keys, list(sums), {n: merge for n, (_, merge) in others.items()})
@@ -206,8 +190,7 @@ def signed_state(
     sign = F.col(SIGN)
     columns = [(F.coalesce(c.cast("long"), F.lit(0)) * sign).alias(n) for n, c in counts.items()]
     for n in sums:
-        limbs = limbs_of(F.col(f"_v_{n}"), F.col(f"_b_{n}"))
-        columns += [(limb * sign).alias(f"_l{i}_{n}") for i, limb in enumerate(limbs)]
+        columns += [(limb * sign).alias(f"_l{i}_{n}") for i, limb in enumerate(_limb_columns(n))]
         columns.append((F.col(f"_v_{n}").isNotNull().cast("long") * sign).alias(f"_n_{n}"))
     bins = [f"_b_{n}" for n in sums]
     return _summed(binned.select(*keys, *bins, *columns), [*keys, *bins])
