@@ -22,20 +22,25 @@ Predictive probabilities are averaged over the last ``SAMPLES`` sweeps.
 *Distribution.*  Pairs are counted over all texts (those of held-out texts only
 with no customers) and dealt to buckets by token, so a token's pairs and its
 place in the parent restaurant meet in one bucket; a bucket never holds more
-than one entry per context and token, however frequent they are.  After every
-sweep a bucket sends its tables per context to the contexts' shards, which add
-them up and answer every bucket that asked: totals are grouped by context and
-joined back by context and bucket, and their number grows with the corpus.
-Seating is a function of the counts, the totals, the seating before and a seed,
-so a task lost with its executor is repeated exactly.  The driver gets a few
-sums per bucket.
+than one entry per context and token, however frequent they are.  A pair of one
+customer has one table in every seating, and a token of one customer one parent
+table, so sweeps read a bucket's *core* alone: its pairs and tokens of two
+customers or more, and per token and context how many pairs of one there are.
+After every sweep a bucket sends the tables of its core per context to the
+contexts' shards, which add them up and answer every bucket that asked; after
+the last one they answer for all contexts of all pairs.  Totals are grouped by
+context and joined back by context and bucket, and their number grows with the
+corpus.  Seating is a function of the counts, the totals, the seating before
+and a seed, so a task lost with its executor is repeated exactly.  The driver
+gets a few sums per bucket.  Arrays travel byte plane by byte plane, compressed.
 
 *Scoring.*  Every pair of every text has an entry, so all probabilities are
-computed once per pair.  Pairs that make up at least one in ``FREQUENT``
-training tokens (at most ``FREQUENT`` of them, the proven bound under which
-they are broadcast) are looked up where the text is read; all other tokens are
-sent to their bucket, packed, and come back as one partial sum per text and
-bucket.  Both look the same numbers up.
+computed once per pair.  Pairs of two customers or more that make up at least
+one in ``FREQUENT`` training tokens (at most ``FREQUENT`` of them, the proven
+bound under which they are broadcast) are looked up where the text is read; all
+other tokens are sent to the group of their bucket, packed, meet the counts and
+totals there, and come back as one partial sum per text and group.  Both look
+the same numbers up.
 
 Word and pair hashes have 64 bits.
 
@@ -50,6 +55,7 @@ from __future__ import annotations
 import pickle
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass, replace
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -67,11 +73,16 @@ SAMPLES = 3
 EXACT = 1024
 BLOCKS = 16
 STRENGTH = 1.0
-#: Tokens a bucket is meant to stand for.
-BUCKET_TOKENS = 8_000_000
+#: Tokens a bucket and a shard are meant to stand for.
+BUCKET_TOKENS = 2_000_000
+SHARD_TOKENS = 8_000_000
 LEAST_BUCKETS = 12
+#: Buckets that score tokens together where there are many.
+GROUP_BUCKETS = 2
+#: Text bytes that are cut into tokens at once.
+TEXT_BYTES = 2 << 20
 #: Entries a counting task gathers before it writes them out.
-FLUSH = 6_000_000
+FLUSH = 4_000_000
 
 _U = np.uint64
 END = _U(0xA5F152E3D9C47B17)
@@ -137,11 +148,12 @@ def _count_pairs(buckets: int):
                     word, before, n = _sum_pairs(*(np.concatenate(x) for x in zip(*parts, strict=True)))
                     parts.clear()
                     start = np.flatnonzero(_heads(word))
-                    per_word = np.diff(np.append(start, len(word))).astype(np.uint32)
-                    rows.append(_row(b, COUNTS, 0, word[start], per_word, before, _narrow(n)))
+                    per_word = np.diff(np.append(start, len(word)))
+                    contexts, number = np.unique(before, return_inverse=True)
+                    rows.append(_row(b, COUNTS, 0, word[start], per_word, number, n, contexts))
             return pa.RecordBatch.from_pylist(rows, schema=_ROW)
 
-        for c in chunks(batches, lower=True):
+        for c in chunks(batches, lower=True, max_bytes=TEXT_BYTES):
             token, borders = _tokens(c)
             trains = ~c.batch.column("held_out").to_numpy(zero_copy_only=False).astype(bool)
             word, before, n = _sum_pairs(token, _before(token), np.repeat(trains, np.diff(borders)))
@@ -164,34 +176,53 @@ def _count_pairs(buckets: int):
 #: What is dealt to buckets and shards: arrays of a kind, from a part.
 _ROW = pa.schema([("bucket", pa.int32()), ("kind", pa.int32()), ("part", pa.int32()), ("data", pa.binary())])
 _ROW_SQL = "bucket int, kind int, part int, data binary"
-#: Kinds; the seating and totals of sweep ``k`` are ``SEATED + k`` and ``TOTALS + k``.
-COUNTS, ASKED, SUMS, SEATED, TOTALS = 0, 1, 2, 100, 200
+#: Kinds; the seating of sweep ``k`` is ``SEATED + k``, what is asked after it ``ASKED + k + 1``
+#: and the answer ``TOTALS + k + 1``; ``ASKED`` and ``TOTALS`` come before the first sweep.
+COUNTS, CORE, SUMS, ALL_TOTALS, SEATED, TOTALS, ASKED = 0, 1, 2, 3, 100, 200, 300
+_CODEC = pa.Codec("zstd", compression_level=1)
 
 
-def _row(bucket: int, kind: int, part: int, *arrays) -> dict:
-    return {"bucket": bucket, "kind": kind, "part": part, "data": pickle.dumps(arrays, 5)}
+def _narrow(x: np.ndarray) -> np.ndarray:
+    """Numbers in as few bytes as their largest needs."""
+    return x.astype(np.min_scalar_type(int(x.max()))) if len(x) else x.astype(np.uint8)
 
 
-def _rows(table: pa.Table | pa.RecordBatch) -> Iterator[tuple[int, int, int, tuple]]:
-    for k in range(table.num_rows):
-        bucket, kind, part, data = (table.column(x)[k] for x in range(4))
-        yield bucket.as_py(), kind.as_py(), part.as_py(), pickle.loads(data.as_py())
+def _packed(arrays: Iterable[np.ndarray]) -> bytes:
+    """Arrays, byte plane by byte plane, compressed."""
+    parts = []
+    for x in arrays:
+        x = np.ascontiguousarray(x if x.dtype == np.uint64 else _narrow(x))
+        parts.append((x.dtype.str, np.ascontiguousarray(x.view(np.uint8).reshape(len(x), x.itemsize).T)))
+    raw = pickle.dumps(parts, 5)
+    return len(raw).to_bytes(8, "little") + _CODEC.compress(raw, asbytes=True)
 
 
-def _narrow(x: np.ndarray) -> np.ndarray:
-    """Counts in as few bytes as their largest needs."""
-    return x.astype(np.min_scalar_type(int(x.max()))) if len(x) else x.astype(np.uint8)
+def _unpacked(data: pa.Buffer) -> list[np.ndarray]:
+    size = int.from_bytes(data[:8].to_pybytes(), "little")
+    return [
+        np.ascontiguousarray(planes.T).reshape(-1).view(dtype)
+        for dtype, planes in pickle.loads(_CODEC.decompress(data[8:], size))
+    ]
+
+
+def _row(bucket: int, kind: int, part: int, *arrays: np.ndarray) -> dict:
+    return {"bucket": bucket, "kind": kind, "part": part, "data": _packed(arrays)}
+
+
+def _rows(table: pa.Table | pa.RecordBatch) -> Iterator[tuple[int, int, int, list[np.ndarray]]]:
+    for k in range(table.num_rows):
+        bucket, kind, part, data = (table.column(x)[k] for x in range(4))
+        yield bucket.as_py(), kind.as_py(), part.as_py(), _unpacked(data.as_buffer())
 
 
 def _merge_counts(table: pa.Table) -> pa.Table:
-    parts = [(np.repeat(w, per), before, n) for _, _, _, (w, per, before, n) in _rows(table)]
+    parts = [(np.repeat(w, per), contexts[number], n) for _, _, _, (w, per, number, n, contexts) in _rows(table)]
     word, before, n = _sum_pairs(*(np.concatenate(x) for x in zip(*parts, strict=True)))
     start = np.flatnonzero(_heads(word))
     contexts, number = np.unique(before, return_inverse=True)
-    per_word = _narrow(np.diff(np.append(start, len(word))))
     bucket = table.column("bucket")[0].as_py()
     return pa.Table.from_pylist(
-        [_row(bucket, COUNTS, 0, word[start], per_word, _narrow(number), _narrow(n), contexts)], schema=_ROW
+        [_row(bucket, COUNTS, 0, word[start], np.diff(np.append(start, len(word))), number, n, contexts)], schema=_ROW
     )
 
 
@@ -410,47 +441,51 @@ def _places(m: Model, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return context, np.cumsum(_heads(keys >> bits)) - 1
 
 
-def sweep(m: Model, bucket: int, k: int, keys: np.ndarray, n: np.ndarray, before: Seating | None) -> Seating:
-    """The bucket's seating after sweep ``k``; pairs without customers have no tables."""
+def sweep(m: Model, bucket: int, k: int, context: np.ndarray, word: np.ndarray, n: np.ndarray, ones: np.ndarray,
+          before: Seating | None) -> Seating:
+    """The bucket's seating after sweep ``k``; pairs without customers have no tables.
+
+    ``ones``: per word, tables of pairs of one customer that are left out.
+    """
     totals, rng = m.totals[k], np.random.Generator(np.random.PCG64([m.seed, bucket, k]))
     if before is None:
-        context, word = _places(m, keys)
         tables = np.minimum(n, 1).astype(np.int64)
-        guests = np.bincount(word, tables).astype(np.int64)
+        guests = _guests(word, tables, ones)
         parent, seated, parent_seated = np.minimum(guests, 1), (), ()
     else:
-        context, word, tables = before.context, before.word, before.tables
-        guests, parent = before.parent_customers, before.parent_tables
+        tables, guests, parent = before.tables, before.parent_customers, before.parent_tables
         seated, parent_seated = (n, tables, before.sizes), (guests, parent, before.parent_sizes)
     p = (guests - m.d_parent * parent) / (STRENGTH + totals.parent_customers) + m.unseen(totals)
     new = (STRENGTH + m.d_context * totals.tables)[context] * p[word]
     tables, sizes = renew(n, new, m.d_context, rng, *seated)
-    guests = np.bincount(word, tables).astype(np.int64)
+    guests = _guests(word, tables, ones)
     opening = np.full(len(guests), (STRENGTH + m.d_parent * totals.parent_tables) * m.base)
     parent, parent_sizes = renew(guests, opening, m.d_parent, rng, *parent_seated)
     return Seating(context, word, tables, guests, parent, sizes, parent_sizes)
 
 
+def _guests(word: np.ndarray, tables: np.ndarray, ones: np.ndarray) -> np.ndarray:
+    return ones + np.bincount(word, tables, minlength=len(ones)).astype(np.int64)
+
+
 def sweeps(m: Model, bucket: int, keys: np.ndarray, n: np.ndarray) -> Iterator[Seating]:
     """The bucket's seating after each sweep that ``m.totals`` allows."""
-    s = None
+    s, (context, word) = None, _places(m, keys)
     for k in range(min(len(m.totals), BURN_IN + SAMPLES)):
-        s = sweep(m, bucket, k, keys, n, s)
+        s = sweep(m, bucket, k, context, word, n, np.zeros(word.max(initial=-1) + 1, np.int64), s)
         yield s
 
 
-def _probabilities(
-    m: Model, bucket: int, keys: np.ndarray, n: np.ndarray, seated: Iterable[Seating] | None = None
-) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Probability of every pair, averaged over the samples; the parent's
-    probability of every word of the bucket, per sample; each pair's word.
+def _probabilities(m: Model, bucket: int, keys: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """:func:`_averaged` over seatings found by repeating the sweeps."""
+    return _averaged(m, n, (s for k, s in enumerate(sweeps(m, bucket, keys, n)) if k >= BURN_IN))
 
-    ``seated``: the samples (default: found by repeating the sweeps).
-    """
-    pair = np.zeros(len(keys))
+
+def _averaged(m: Model, n: np.ndarray, seated: Iterable[Seating]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Probability of every pair, averaged over the samples ``seated``; the parent's
+    probability of every word of the bucket, per sample; each pair's word."""
+    pair = np.zeros(len(n))
     lower = []
-    if seated is None:
-        seated = (s for k, s in enumerate(sweeps(m, bucket, keys, n)) if k >= BURN_IN)
     for s, after in zip(seated, m.totals[BURN_IN + 1 :], strict=False):
         p = (s.parent_customers - m.d_parent * s.parent_tables) / (STRENGTH + after.parent_customers) + m.unseen(after)
         own = (n - m.d_context * s.tables) / (STRENGTH + m.customers[s.context])
@@ -471,119 +506,204 @@ class Header:
     d_context: float
     d_parent: float
     buckets: int
+    shards: int
+    #: buckets that score tokens together
+    group: int
     seed: int
+    #: tokens of one customer
+    singles: int
     #: parent customers and parent tables before the first sweep and after each one
     parent: list[tuple[int, int]]
 
+    def model(self, contexts: np.ndarray, customers: np.ndarray, tables: dict[int, np.ndarray]) -> Model:
+        """As a bucket of these contexts sees it; ``tables``: by sweep."""
+        totals = [Totals(tables.get(k, np.zeros(0)).astype(float), *sums) for k, sums in enumerate(self.parent)]
+        return Model(contexts, customers.astype(float), self.n_tokens, self.vocabulary, self.d_context, self.d_parent,
+                     self.buckets, self.seed, totals)
 
-class Bucket:
-    """A bucket's counts, totals and seatings, from its rows."""
 
-    def __init__(self, table: pa.Table | pa.RecordBatch, h: Header | None = None):
-        got: dict[int, dict[int, tuple]] = {}
-        for self.number, kind, part, data in _rows(table):
-            got.setdefault(kind, {})[part] = data
-        self.words, per_word, context, n, self.contexts = got[COUNTS][0]
-        self.word = np.repeat(np.arange(len(self.words)), per_word)
+def _by_kind(table: pa.Table) -> dict[int, dict[int, dict[int, list[np.ndarray]]]]:
+    """Arrays by bucket, kind and part."""
+    got: dict[int, dict[int, dict[int, list[np.ndarray]]]] = {}
+    for bucket, kind, part, data in _rows(table):
+        got.setdefault(bucket, {}).setdefault(kind, {})[part] = data
+    return got
+
+
+def _joined(parts: dict[int, list[np.ndarray]] | None) -> list[np.ndarray]:
+    """Answers of all shards, which follow the order of contexts."""
+    return [np.concatenate(x).astype(np.int64) for x in zip(*(p for _, p in sorted((parts or {}).items())), strict=True)]
+
+
+def _asks(bucket: int, shards: int, kind: int, contexts: np.ndarray, *sums: np.ndarray) -> list[dict]:
+    """Numbers per context to the shards of the contexts."""
+    ends = np.searchsorted(_bucket_of(contexts, shards), np.arange(shards + 1))
+    return [
+        _row(s, kind, bucket, *(x[ends[s] : ends[s + 1]] for x in (contexts, *sums)))
+        for s in range(shards) if ends[s + 1] > ends[s]
+    ]
+
+
+class Pairs:
+    """A bucket's pairs, from its counts."""
+
+    def __init__(self, words: np.ndarray, per_word: np.ndarray, context: np.ndarray, n: np.ndarray, contexts: np.ndarray):
+        self.words, self.contexts = words, contexts
+        self.word = np.repeat(np.arange(len(words)), per_word)
         self.context, self.n = context.astype(np.int64), n.astype(np.int64)
-        if h is None:
-            return
-        # shards follow the order of contexts
-        answers = {
-            kind - TOTALS: [np.concatenate([p[i] for _, p in sorted(parts.items())]) for i in range(2 if kind == TOTALS else 1)]
-            for kind, parts in got.items() if kind >= TOTALS
-        }
-        self.keys = (self.word.astype(np.uint64) << _U(32)) | context.astype(np.uint64)
-        totals = [Totals(answers[k][0].astype(float) if k in answers else np.zeros(0), *sums) for k, sums in enumerate(h.parent)]
-        self.model = Model(self.contexts, answers[0][1].astype(float), h.n_tokens, h.vocabulary, h.d_context, h.d_parent,
-                           h.buckets, h.seed, totals, context_bits=32)
+        self.customers = np.bincount(self.word, self.n, len(words)).astype(np.int64)
+        #: what sweeps may change
+        self.moves, self.word_moves = self.n > 1, self.customers > 1
+
+    def per_context(self, x: np.ndarray) -> np.ndarray:
+        return np.bincount(self.context, x, len(self.contexts)).astype(np.int64)
+
+    def core(self) -> tuple[np.ndarray, ...]:
+        """Words, their pairs of one customer, their core pairs; contexts and
+        customers of these; contexts."""
+        word, live = self.word[self.moves], self.word_moves
+        ones, pairs = (np.bincount(x, minlength=len(self.words))[live] for x in (self.word[self.n == 1], word))
+        used, context = np.unique(self.context[self.moves], return_inverse=True)
+        return self.words[live], ones, pairs, context, self.n[self.moves], self.contexts[used]
+
+    def seating(self, core_tables: np.ndarray, core_parent: np.ndarray, *_) -> Seating:
+        """Of all pairs, from that of the core."""
+        tables = np.minimum(self.n, 1)
+        tables[self.moves] = core_tables
+        guests = _guests(self.word, tables, np.zeros(len(self.words), np.int64))
+        parent = np.minimum(guests, 1)
+        parent[self.word_moves] = core_parent
+        none = np.zeros(0, np.int64)
+        return Seating(self.context, self.word, tables, guests, parent, none, none)
+
+
+class Core:
+    """A bucket's core with its totals and seatings, from its rows."""
+
+    def __init__(self, table: pa.Table, h: Header):
+        ((self.number, got),) = _by_kind(table).items()
+        self.words, ones, per_word, context, n, self.contexts = got[CORE][0]
+        self.word = np.repeat(np.arange(len(self.words)), per_word)
+        self.ones, self.context, self.n = (x.astype(np.int64) for x in (ones, context, n))
+        # a bucket without core pairs has asked for nothing
+        single, moving, customers = _joined(got.get(TOTALS)) or [np.zeros(0, np.int64)] * 3
+        tables = {0: single + moving}
+        for kind in got:
+            if TOTALS < kind < ASKED:
+                tables[kind - TOTALS] = single + _joined(got[kind])[0]
+        self.model = h.model(self.contexts, customers, tables)
         self.seated = {kind - SEATED: self._seating(*p[0]) for kind, p in sorted(got.items()) if SEATED <= kind < TOTALS}
 
     def _seating(self, tables: np.ndarray, parent: np.ndarray, sizes: np.ndarray, parent_sizes: np.ndarray) -> Seating:
-        every = np.minimum(self.n, 1)
-        every[self.n > 1] = tables
-        guests = np.bincount(self.word, every, minlength=len(self.words)).astype(np.int64)
-        return Seating(self.context, self.word, every, guests, parent.astype(np.int64), sizes, parent_sizes)
-
-    def asks(self, shards: int, tables: np.ndarray, *more: np.ndarray) -> list[dict]:
-        """Numbers per context, summed here, to the shards of the contexts."""
-        sums = [np.bincount(self.context, x, minlength=len(self.contexts)).astype(np.int64) for x in (tables, *more)]
-        ends = np.searchsorted(_bucket_of(self.contexts, shards), np.arange(shards + 1))
-        return [
-            _row(s, ASKED, self.number, self.contexts[ends[s] : ends[s + 1]], *(_narrow(x[ends[s] : ends[s + 1]]) for x in sums))
-            for s in range(shards) if ends[s + 1] > ends[s]
-        ]
-
-
-def _start(buckets: int):
+        tables = tables.astype(np.int64)
+        return Seating(self.context, self.word, tables, _guests(self.word, tables, self.ones), parent.astype(np.int64),
+                       sizes, parent_sizes)
+
+
+def _start(shards: int):
     """Before the first sweep every pair has one table."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for k in range(batch.num_rows):
-                x = Bucket(batch.slice(k, 1))
-                tables = np.minimum(x.n, 1)
-                types = np.bincount(x.word, tables).astype(np.int64)
-                sums = [int(v) for v in (tables.sum(), (types > 0).sum(), (x.n == 1).sum(), (x.n == 2).sum(),
-                                         (types == 1).sum(), (types == 2).sum())]
-                yield pa.RecordBatch.from_pylist([*x.asks(buckets, tables, x.n), _row(x.number, SUMS, 0, *sums)], schema=_ROW)
+            for bucket, _, _, counts in _rows(batch):
+                x = Pairs(*counts)
+                types = np.bincount(x.word[x.n > 0], minlength=len(x.words))
+                sums = [(x.n > 0).sum(), (types > 0).sum(), (x.n == 1).sum(), (x.n == 2).sum(),
+                        (types == 1).sum(), (types == 2).sum(), (x.customers == 1).sum()]
+                per_context = [x.per_context(v) for v in (x.n == 1, x.moves, x.n)]
+                yield pa.RecordBatch.from_pylist(
+                    [_row(bucket, CORE, 0, *x.core()), _row(bucket, SUMS, 0, np.array(sums)),
+                     *_asks(bucket, shards, ASKED, x.contexts, *per_context)],
+                    schema=_ROW,
+                )
 
     return run
 
 
 def _answer(step: int):
-    """Sums per context of one shard, for every bucket that asked."""
+    """Sums per context of one shard, for every bucket that asked; at first
+    for the contexts of its core alone."""
 
     def run(table: pa.Table) -> pa.Table:
         asked = sorted(_rows(table), key=lambda r: r[2])
         contexts, at = np.unique(np.concatenate([d[0] for *_, d in asked]), return_inverse=True)
         columns = [np.concatenate([d[i] for *_, d in asked]) for i in range(1, len(asked[0][3]))]
-        sums = [np.bincount(at, x, minlength=len(contexts)).astype(np.int64)[at] for x in columns]
+        sums = [np.bincount(at, x, minlength=len(contexts)).astype(np.int64) for x in columns]
         cut = np.cumsum([0] + [len(d[0]) for *_, d in asked])
-        return pa.Table.from_pylist(
-            [_row(bucket, TOTALS + step, shard, *(_narrow(x[cut[k] : cut[k + 1]]) for x in sums))
-             for k, (shard, _, bucket, _) in enumerate(asked)],
-            schema=_ROW,
-        )
+        rows = []
+        for k, (shard, _, bucket, _) in enumerate(asked):
+            mine = at[cut[k] : cut[k + 1]]
+            if not step:
+                mine = mine[columns[1][cut[k] : cut[k + 1]] > 0]
+            if len(mine):
+                rows.append(_row(bucket, TOTALS + step, shard, *(x[mine] for x in sums)))
+        return pa.Table.from_pylist(rows, schema=_ROW)
 
     return run
 
 
+def _answer_all(table: pa.Table) -> pa.Table:
+    """Customers per context of one shard, and its tables in every sample, for
+    every bucket and all its contexts."""
+    got = sorted(_rows(table), key=lambda r: (r[1], r[2]))
+    first = [r for r in got if r[1] == ASKED]
+    contexts, at = np.unique(np.concatenate([d[0] for *_, d in first]), return_inverse=True)
+    ones, customers = (
+        np.bincount(at, np.concatenate([d[i] for *_, d in first]), minlength=len(contexts)).astype(np.int64) for i in (1, 3)
+    )
+    columns = [customers]
+    for k in range(BURN_IN + 1, BURN_IN + SAMPLES + 1):
+        tables = ones.copy()
+        for _, kind, _, (own, moving) in (r for r in got if r[1] == ASKED + k):
+            tables[np.searchsorted(contexts, own)] += moving
+        columns.append(tables)
+    cut = np.cumsum([0] + [len(d[0]) for *_, d in first])
+    return pa.Table.from_pylist(
+        [_row(bucket, ALL_TOTALS, shard, *(x[at[cut[k] : cut[k + 1]]] for x in columns))
+         for k, (shard, _, bucket, _) in enumerate(first)],
+        schema=_ROW,
+    )
+
+
 def _sweep(shared, k: int):
     def run(table: pa.Table) -> pa.Table:
         h = shared.value
-        x = Bucket(table, h)
-        s = sweep(x.model, x.number, k, x.keys, x.n, x.seated.get(k - 1))
+        x = Core(table, h)
+        s = sweep(x.model, x.number, k, x.context, x.word, x.n, x.ones, x.seated.get(k - 1))
+        tables = np.bincount(x.context, s.tables, len(x.contexts)).astype(np.int64)
         return pa.Table.from_pylist(
-            [_row(x.number, SEATED + k, 0, *map(_narrow, (s.tables[x.n > 1], s.parent_tables, s.sizes, s.parent_sizes))),
-             *x.asks(h.buckets, s.tables), _row(x.number, SUMS, 0, int(s.parent_customers.sum()), int(s.parent_tables.sum()))],
+            [_row(x.number, SEATED + k, 0, s.tables, s.parent_tables, s.sizes, s.parent_sizes),
+             *_asks(x.number, h.shards, ASKED + k + 1, x.contexts, tables),
+             _row(x.number, SUMS, 0, np.array([s.parent_customers.sum(), s.parent_tables.sum()]))],
             schema=_ROW,
         )
 
     return run
 
 
-def _score_pairs(shared):
-    """All pairs of a bucket, sorted by hash: log10 probability, the token's
-    count, and the pair's count."""
+def _frequent_pairs(shared):
+    """Core pairs with at least one in ``FREQUENT`` training tokens, scored."""
 
     def run(table: pa.Table) -> pa.Table:
-        x = Bucket(table, shared.value)
-        p, _, _ = _probabilities(x.model, x.number, x.keys, x.n, x.seated.values())
-        key = _pair_hash(x.words[x.word], x.contexts[x.context])
-        order = np.argsort(key)
-        count = np.bincount(x.word, x.n).astype(np.int64)[x.word]
-        return pa.Table.from_pylist(
-            [_row(x.number, COUNTS, 0, key[order], np.log10(p)[order], _narrow(count[order]), _narrow(x.n[order]))], schema=_ROW
-        )
+        h = shared.value
+        x = Core(table, h)
+        p, _, _ = _averaged(x.model, x.n, x.seated.values())
+        count = x.ones + np.bincount(x.word, x.n, len(x.words)).astype(np.int64)
+        often = x.n * FREQUENT >= h.n_tokens
+        word = x.word[often]
+        key = _pair_hash(x.words[word], x.contexts[x.context[often]])
+        return pa.table({
+            "bucket": pa.array(np.full(len(key), x.number, np.int64)), "key": pa.array(key.view(np.int64)),
+            "score": pa.array(np.log10(p[often])), "base": pa.array(_base(h, count[word])),
+        })
 
     return run
 
 
-def _sums(df: DataFrame, width: int) -> list[int]:
+def _sums(df: DataFrame) -> list[int]:
     """The buckets' sums, added up: a few numbers per bucket."""
-    rows = [pickle.loads(r["data"]) for r in df.where(F.col("kind") == SUMS).select("data").collect()]
-    return [sum(r[i] for r in rows) for i in range(width)]
+    rows = [_unpacked(pa.py_buffer(r["data"]))[0] for r in df.where(F.col("kind") == SUMS).select("data").collect()]
+    return [sum(map(int, x)) for x in zip(*rows, strict=True)]
 
 
 def _estimate(once: int, twice: int) -> float:
@@ -591,41 +711,54 @@ def _estimate(once: int, twice: int) -> float:
     return float(np.clip(once / max(1, once + 2 * twice), 0.05, 0.95))
 
 
-def learn(texts: DataFrame, n_tokens: int, seed: int = 1) -> tuple[Header, DataFrame]:
-    """The model of the training texts among ``texts`` (``held_out, text``), and
-    all pairs of ``texts`` scored, one row per bucket."""
+@dataclass
+class Learned:
+    """The model: its header; cores, totals and seatings of the samples, from
+    which frequent pairs are scored; counts, totals of all contexts and
+    seatings, from which all pairs are."""
+
+    header: Header
+    core: DataFrame
+    pairs: DataFrame
+
+
+def learn(texts: DataFrame, n_tokens: int, seed: int = 1) -> Learned:
+    """The model of the training texts among ``texts`` (``held_out, text``), with
+    all pairs of ``texts``."""
     spark = texts.sparkSession
-    buckets = max(LEAST_BUCKETS, -(-n_tokens // BUCKET_TOKENS))
+    buckets, shards = (max(LEAST_BUCKETS, -(-n_tokens // x)) for x in (BUCKET_TOKENS, SHARD_TOKENS))
     counts = materialize(
         texts.mapInArrow(_count_pairs(buckets), _ROW_SQL).groupBy("bucket").applyInArrow(_merge_counts, _ROW_SQL),
         "lm-counts",
     )
 
-    def answers(asked: DataFrame, step: int) -> DataFrame:
-        return materialize(
-            asked.where(F.col("kind") == ASKED).groupBy("bucket").applyInArrow(_answer(step), _ROW_SQL), "lm-totals"
-        )
+    def union(frames: list[DataFrame]) -> DataFrame:
+        return reduce(DataFrame.unionByName, frames)
 
-    asked = materialize(counts.mapInArrow(_start(buckets), _ROW_SQL), "lm-start")
-    pairs, types, n1, n2, m1, m2 = _sums(asked, 6)
-    h = Header(n_tokens, types, _estimate(n1, n2), _estimate(m1, m2), buckets, seed, [(pairs, types)])
-    first = answers(asked, 0)
-    totals, seated, samples = first, None, [counts, first]
+    def of_kind(rows: DataFrame, kind: int) -> DataFrame:
+        return rows.where(F.col("kind") == kind)
+
+    def answers(rows: DataFrame, step: int) -> DataFrame:
+        asked = of_kind(rows, ASKED + step)
+        return materialize(asked.groupBy("bucket").applyInArrow(_answer(step), _ROW_SQL), "lm-totals")
+
+    start = materialize(counts.mapInArrow(_start(shards), _ROW_SQL), "lm-start")
+    pairs, types, n1, n2, m1, m2, singles = _sums(start) or [0] * 7
+    group = max(1, min(GROUP_BUCKETS, buckets // LEAST_BUCKETS))
+    h = Header(n_tokens, types, _estimate(n1, n2), _estimate(m1, m2), buckets, shards, group, seed, singles, [(pairs, types)])
+    core = [of_kind(start, CORE), answers(start, 0)]
+    last, asked, seated, totals = [], [of_kind(start, ASKED)], [], []
     for k in range(BURN_IN + SAMPLES):
         shared = spark.sparkContext.broadcast(h)
-        known = counts.unionByName(first)
-        if seated is not None:
-            known = known.unionByName(totals).unionByName(seated)
-        swept = materialize(known.groupBy("bucket").applyInArrow(_sweep(shared, k), _ROW_SQL), "lm-sweep")
-        h = replace(h, parent=[*h.parent, tuple(_sums(swept, 2))])
-        totals, seated = answers(swept, k + 1), swept.where(F.col("kind") == SEATED + k)
+        swept = materialize(union(core + last).groupBy("bucket").applyInArrow(_sweep(shared, k), _ROW_SQL), "lm-sweep")
+        h = replace(h, parent=[*h.parent, tuple(x + singles for x in _sums(swept) or (0, 0))])
+        last = [answers(swept, k + 1), of_kind(swept, SEATED + k)]
         if k >= BURN_IN:
-            samples += [totals, seated]
-    known = samples[0]
-    for x in samples[1:]:
-        known = known.unionByName(x)
-    shared = spark.sparkContext.broadcast(h)
-    return h, materialize(known.groupBy("bucket").applyInArrow(_score_pairs(shared), _ROW_SQL), "lm-scored")
+            asked.append(of_kind(swept, ASKED + k + 1))
+            totals.append(last[0])
+            seated.append(last[1])
+    everywhere = materialize(union(asked).groupBy("bucket").applyInArrow(_answer_all, _ROW_SQL), "lm-totals")
+    return Learned(h, union(core + totals + seated), union([counts, everywhere, *seated]))
 
 
 # -------------------------------------------------------------------------- scoring
@@ -635,26 +768,9 @@ def _base(h: Header, count: np.ndarray) -> np.ndarray:
     return np.log10((count + 1.0) / (h.n_tokens + h.vocabulary + 1.0))
 
 
-def _frequent_pairs(shared):
-    """Pairs with at least one in ``FREQUENT`` training tokens, scored."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        h = shared.value
-        for batch in batches:
-            for bucket, _, _, (key, score, count, n) in _rows(batch):
-                often = (n > 0) & (n.astype(np.int64) * FREQUENT >= h.n_tokens)
-                yield pa.record_batch(
-                    [pa.array(np.full(int(often.sum()), bucket, np.int64)), pa.array(key[often].view(np.int64)),
-                     pa.array(score[often]), pa.array(_base(h, count[often]))],
-                    names=["bucket", "key", "score", "base"],
-                )
-
-    return run
-
-
 @dataclass
 class Frequent:
-    """Scored pairs, sorted by key within each bucket."""
+    """Scored pairs, sorted by key within each group of buckets."""
 
     keys: list[np.ndarray]
     score: list[np.ndarray]
@@ -668,23 +784,23 @@ _SUMS = np.dtype([("known", "<i8"), ("base", "<f8"), ("score", "<f8")])
 
 
 def _send(shared, scored):
-    """Score frequent pairs; send the other tokens to their buckets.
+    """Score frequent pairs; send the other tokens to the groups of their buckets.
 
-    Sums of the scored tokens ride along in the row's own bucket.
+    Sums of the scored tokens ride along in a group of the row's own.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         h, known = shared.value, scored.value
-        for c in chunks(batches, lower=True):
+        for c in chunks(batches, lower=True, max_bytes=TEXT_BYTES):
             token, borders = _tokens(c)
             rows = c.batch.column("row_key").to_numpy(zero_copy_only=False)
-            key, bucket = _pair_hash(token, _before(token)), _bucket_of(token, h.buckets)
+            key, group = _pair_hash(token, _before(token)), _bucket_of(token, h.buckets) // h.group
             row = np.repeat(np.arange(len(c)), np.diff(borders))
-            order = np.argsort(bucket, kind="stable")
-            ends = np.searchsorted(bucket[order], np.arange(h.buckets + 1))
+            order = np.argsort(group, kind="stable")
+            ends = np.searchsorted(group[order], np.arange(len(known.keys) + 1))
             done = np.zeros(len(c), _SUMS)
             out = []
-            for b in range(h.buckets):
+            for b in range(len(known.keys)):
                 mine = order[ends[b] : ends[b + 1]]
                 k, r = key[mine], row[mine]
                 if len(known.keys[b]) and len(k):
@@ -710,12 +826,24 @@ def _send(shared, scored):
     return run
 
 
-class BucketScorer:
-    """Looks tokens up among one bucket's pairs."""
+class Scorer:
+    """Looks tokens up among the pairs of a group of buckets."""
 
-    def __init__(self, h: Header, scored: pa.Table):
+    def __init__(self, h: Header, table: pa.Table):
         self.h = h
-        *_, (self.keys, self.score, self.count, _) = next(_rows(scored))
+        parts = [self._scored(x) for x in _by_kind(table).values()]
+        key, score, count = (np.concatenate(x) for x in zip(*parts, strict=True))
+        order = np.argsort(key)
+        self.keys, self.score, self.count = key[order], score[order], count[order]
+
+    def _scored(self, got: dict[int, dict[int, list[np.ndarray]]]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Of a bucket's pairs: hash, log10 probability, the token's count."""
+        x = Pairs(*got[COUNTS][0])
+        customers, *tables = _joined(got[ALL_TOTALS])
+        model = self.h.model(x.contexts, customers, dict(enumerate(tables, BURN_IN + 1)))
+        seated = (x.seating(*p[0]) for kind, p in sorted(got.items()) if SEATED <= kind < TOTALS)
+        p, _, _ = _averaged(model, x.n, seated)
+        return _pair_hash(x.words[x.word], x.contexts[x.context]), np.log10(p), _narrow(x.customers)[x.word]
 
     def look_up(self, key: np.ndarray) -> np.ndarray:
         """Known or not, base and model log10 probability of every token."""
@@ -725,8 +853,8 @@ class BucketScorer:
         return out
 
 
-def _score_bucket(shared):
-    """One bucket: a partial sum per text, record after record."""
+def _score_group(shared):
+    """One group of buckets: a partial sum per text, record after record."""
 
     def run(sent: pa.Table, pairs: pa.Table) -> pa.Table:
         rows, sums, scorer = [np.zeros(0, np.int64)], [np.zeros(0, _SUMS)], None
@@ -735,7 +863,7 @@ def _score_bucket(shared):
             if done:
                 part = np.frombuffer(done, _SUMS)
             else:
-                scorer = scorer or BucketScorer(shared.value, pairs)
+                scorer = scorer or Scorer(shared.value, pairs)
                 n = np.frombuffer(counts, np.uint32).astype(np.int64)
                 one = scorer.look_up(np.frombuffer(wanted, np.uint64))
                 part = np.zeros(len(n), _SUMS)
@@ -764,24 +892,28 @@ def score(docs: DataFrame, seed: int = 1) -> DataFrame:
         "lm-texts",
     )
     n_tokens = about.where(~F.col("held_out")).agg(F.sum("n_tokens")).first()[0] or 0
-    h, pairs = learn(texts.select("held_out", "text"), n_tokens, seed)
+    learned = learn(texts.select("held_out", "text"), n_tokens, seed)
+    h = learned.header
+    groups = -(-h.buckets // h.group)
     shared = spark.sparkContext.broadcast(h)
 
-    often = pairs.mapInArrow(_frequent_pairs(shared), "bucket long, key long, score double, base double").toArrow()
+    often = learned.core.groupBy("bucket").applyInArrow(
+        _frequent_pairs(shared), "bucket long, key long, score double, base double"
+    ).toArrow()
     bucket, key, logp, base = (often.column(x).to_numpy() for x in ("bucket", "key", "score", "base"))
-    key = key.view(np.uint64)
-    order = np.lexsort((key, bucket))
-    cut = np.searchsorted(bucket[order], np.arange(h.buckets + 1))
-    parts = [order[cut[b] : cut[b + 1]] for b in range(h.buckets)]
+    key, group = key.view(np.uint64), bucket // h.group
+    order = np.lexsort((key, group))
+    cut = np.searchsorted(group[order], np.arange(groups + 1))
+    parts = [order[cut[g] : cut[g + 1]] for g in range(groups)]
     scored = spark.sparkContext.broadcast(Frequent(*([x[o] for o in parts] for x in (key, logp, base))))
 
     sent = texts.select(
-        "row_key", "text", F.pmod("row_key", F.lit(h.buckets)).cast("int").alias("spread")
+        "row_key", "text", F.pmod("row_key", F.lit(groups)).cast("int").alias("spread")
     ).mapInArrow(_send(shared, scored), "bucket int, rows binary, counts binary, keys binary, sums binary")
     partial = (
         sent.groupBy("bucket")
-        .cogroup(pairs.groupBy("bucket"))
-        .applyInArrow(_score_bucket(shared), "row_key long, known long, base double, score double")
+        .cogroup(learned.pairs.withColumn("group", F.floor(F.col("bucket") / h.group).cast("int")).groupBy("group"))
+        .applyInArrow(_score_group(shared), "row_key long, known long, base double, score double")
     )
     # equal rows share a key: their sums come together and are told apart again
     rows = about.groupBy(F.col("row_key").alias("_key")).agg(F.count(F.lit(1)).alias("_rows"))

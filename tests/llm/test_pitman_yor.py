@@ -3,8 +3,10 @@ from __future__ import annotations
 import math
 import zlib
 from collections import Counter
+from dataclasses import replace
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -175,3 +177,57 @@ def test_a_sweep_reseats_large_parties_and_their_parent(monkeypatch, exact):
     if exact >= 1000:
         wrong = py.renew(c, new, 0.5, rng, c, np.full(200, 1000), np.zeros(0, np.int64))[0]
         assert wrong.mean() == pytest.approx(want, rel=0.06)
+
+
+def test_sweeps_read_what_can_move_alone(spark, monkeypatch):
+    """Pairs that occur once have one table in every seating: what sweeps hand
+    on stays below a byte a pair."""
+    sizes, write = Counter(), py.materialize
+
+    def measured(df, name):
+        out = write(df, name)
+        if "data" in out.columns:
+            sizes[name] += out.agg(F.sum(F.length("data"))).first()[0] or 0
+        return out
+
+    monkeypatch.setattr(py, "materialize", measured)
+    rows = [(k, " ".join(f"w{k}x{j}" for j in range(3000))) for k in range(40)]
+    assert len(py.score(documents(spark, rows)).collect()) == 40
+    assert 0 < sizes["lm-sweep"] < 120_000 and sizes["lm-scored"] < 120_000
+
+
+def test_seating_of_the_core_is_that_of_all_pairs():
+    rng = np.random.default_rng(6)
+    pairs = np.array(sorted({(int(w), int(u)) for w, u in zip(rng.zipf(1.4, 3000) % 200, rng.integers(0, 40, 3000))}))
+    n = rng.choice([0, 1, 1, 1, 2, 5, 2000], len(pairs))
+    words, per_word = np.unique(pairs[:, 0], return_counts=True)
+    full = py.Pairs(words.astype(np.uint64), per_word, pairs[:, 1], n, np.arange(40, dtype=np.uint64))
+    _, ones, per_core, context, m, contexts = full.core()
+    model = py.Model(full.contexts, full.per_context(n).astype(float), int(n.sum()), len(words), 0.6, 0.5, 1, 1,
+                     [py.Totals(full.per_context(n > 0).astype(float), len(n), len(words))] * 2)
+    core_model = replace(model, totals=[replace(t, tables=t.tables[contexts.astype(np.int64)]) for t in model.totals])
+    a = b = None
+    for k in range(2):
+        a = py.sweep(model, 0, k, full.context, full.word, full.n, np.zeros(len(words), np.int64), a)
+        b = py.sweep(core_model, 0, k, context, np.repeat(np.arange(len(ones)), per_core), m, ones, b)
+        whole = full.seating(b.tables, b.parent_tables)
+        assert (b.tables > 1).any() and len(b.sizes)
+        for x in ("tables", "parent_customers", "parent_tables"):
+            assert np.array_equal(getattr(a, x), getattr(whole, x))
+
+
+def test_packed_arrays_come_back():
+    for x in (np.zeros(0, np.int64), np.arange(300) ** 4, np.array([2**63 + 1, 5], np.uint64), np.array([True, False])):
+        assert np.array_equal(py._unpacked(pa.py_buffer(py._packed([x])))[0], x)
+
+
+def test_groups_of_many_buckets(spark, monkeypatch):
+    docs = documents(spark, corpus(60) + AWKWARD[:5])
+    few = sorted((r.doc_id, r.n_known, r.base_score) for r in py.score(docs).collect())
+    for name, value in (("BUCKET_TOKENS", 200), ("SHARD_TOKENS", 900), ("LEAST_BUCKETS", 3), ("FREQUENT", 1)):
+        monkeypatch.setattr(py, name, value)
+    out = py.score(docs).collect()
+    assert sorted(r[:2] for r in few) == sorted((r.doc_id, r.n_known) for r in out)
+    assert [r[2] for r in few] == pytest.approx([r.base_score for r in sorted(out, key=lambda r: (r.doc_id, r.n_known, r.base_score))])
+    held = [r for r in out if r.held_out and r.n_tokens > 50]
+    assert held and sum(r.score for r in held) > 1.05 * sum(r.base_score for r in held)
