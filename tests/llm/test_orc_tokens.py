@@ -3,6 +3,7 @@ import zlib
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pyarrow.orc as orc
 import pytest
 from hypothesis import given, settings
@@ -123,3 +124,37 @@ def test_stripes_indexes_and_pruned_reads(spark, tokenizer, tmp_path, monkeypatc
     one.collect()
     scan = one._jdf.queryExecution().executedPlan().collectLeaves().head()
     assert 1 <= scan.metrics().apply("numOutputRows").value() <= orc_tokens.INDEX_ROWS
+
+
+def test_a_piece_of_a_batch_is_encoded_once(tokenizer, monkeypatch):
+    """Even when hardly any piece is remembered."""
+    monkeypatch.setattr(orc_tokens, "CACHE_PIECES", 1)
+    with open(VOCABULARY, encoding="utf-8") as f:
+        encoder = orc_tokens.PieceEncoder(f.read())
+    model, asked = encoder.known.model, []
+
+    class Counted:
+        def tokenize(self, letters):
+            asked.append(letters)
+            return model.tokenize(letters)
+
+    encoder.known.model = Counted()
+    text = "ab cd, ef " * 500
+    assert list(encoder.encode(text)) == whole(tokenizer, text)
+    assert len(asked) == len(set(asked)) == 6
+
+
+def test_texts_of_a_batch(tokenizer, encoder):
+    """Pieces end with their text; slices and NULLs are as good as any row."""
+    texts = [None, *ODD, None, "'", "s a'", "ll ", " ", "\n", "'s's", "", *(prose(k, 40) for k in range(3)), None]
+    for column in (pa.array(texts), pa.array(["x", "é"] + texts).slice(2), pa.array(texts)[5:9], pa.array([], pa.string())):
+        assert encoder.encode_all(column).to_pylist() == [whole(tokenizer, t) for t in column.to_pylist()]
+
+
+def test_what_a_worker_holds_is_bounded(tokenizer, monkeypatch):
+    monkeypatch.setattr(orc_tokens, "CACHE_IDS", 50)
+    with open(VOCABULARY, encoding="utf-8") as f:
+        small = orc_tokens.PieceEncoder(f.read())
+    texts = [t for k in range(20) for t in (f"日本語 テスト {k}", prose(k, 5))]
+    assert [list(small.encode(t)) for t in texts] == [whole(tokenizer, t) for t in texts]
+    assert sum(map(len, small.known.ids)) < 50 + 200
