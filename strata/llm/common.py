@@ -44,9 +44,17 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def drop(df: DataFrame) -> None:
+    """Delete the files of a table of :func:`materialize` that nothing reads any more."""
+    sc = df.sparkSession.sparkContext
+    for name in df.inputFiles():
+        path = sc._jvm.org.apache.hadoop.fs.Path(name)
+        path.getFileSystem(sc._jsc.hadoopConfiguration()).delete(path, False)
+
+
 def partitions(spark: SparkSession) -> int:
     """The session's number of shuffle partitions."""
     return max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
 
 
-__all__ = ["BLANK", "UPPER", "ascii_lower", "checkpoint_root", "materialize", "partitions", "table", "words"]
+__all__ = ["BLANK", "UPPER", "ascii_lower", "checkpoint_root", "drop", "materialize", "partitions", "table", "words"]

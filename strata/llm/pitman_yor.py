@@ -63,7 +63,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from strata.llm.chunks import Chunk, chunks, mix
-from strata.llm.common import materialize, words
+from strata.llm.common import drop, materialize, words
 
 FREQUENT = 1 << 20
 BURN_IN = 1
@@ -74,13 +74,15 @@ EXACT = 1024
 BLOCKS = 16
 STRENGTH = 1.0
 #: Tokens a bucket and a shard are meant to stand for.
-BUCKET_TOKENS = 2_000_000
+BUCKET_TOKENS = 1_000_000
 SHARD_TOKENS = 8_000_000
 LEAST_BUCKETS = 12
 #: Buckets that score tokens together where there are many.
-GROUP_BUCKETS = 2
+GROUP_BUCKETS = 4
+#: Pairs whose probabilities are computed at once.
+BLOCK_PAIRS = 1 << 17
 #: Text bytes that are cut into tokens at once.
-TEXT_BYTES = 2 << 20
+TEXT_BYTES = 1 << 20
 #: Entries a counting task gathers before it writes them out.
 FLUSH = 4_000_000
 
@@ -217,7 +219,10 @@ def _rows(table: pa.Table | pa.RecordBatch) -> Iterator[tuple[int, int, int, lis
 
 def _merge_counts(table: pa.Table) -> pa.Table:
     parts = [(np.repeat(w, per), contexts[number], n) for _, _, _, (w, per, number, n, contexts) in _rows(table)]
-    word, before, n = _sum_pairs(*(np.concatenate(x) for x in zip(*parts, strict=True)))
+    joined = [np.concatenate(x) for x in zip(*parts, strict=True)]
+    del parts
+    word, before, n = _sum_pairs(*joined)
+    del joined
     start = np.flatnonzero(_heads(word))
     contexts, number = np.unique(before, return_inverse=True)
     bucket = table.column("bucket")[0].as_py()
@@ -484,14 +489,22 @@ def _probabilities(m: Model, bucket: int, keys: np.ndarray, n: np.ndarray) -> tu
 def _averaged(m: Model, n: np.ndarray, seated: Iterable[Seating]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Probability of every pair, averaged over the samples ``seated``; the parent's
     probability of every word of the bucket, per sample; each pair's word."""
+    seated = list(seated)
+    totals = m.totals[BURN_IN + 1 :][: len(seated)]
+    lower = [
+        (s.parent_customers - m.d_parent * s.parent_tables) / (STRENGTH + after.parent_customers) + m.unseen(after)
+        for s, after in zip(seated, totals, strict=False)
+    ]
+    backoff = [m.backoff(after) for after in totals]
+    context, word = seated[0].context, seated[0].word
     pair = np.zeros(len(n))
-    lower = []
-    for s, after in zip(seated, m.totals[BURN_IN + 1 :], strict=False):
-        p = (s.parent_customers - m.d_parent * s.parent_tables) / (STRENGTH + after.parent_customers) + m.unseen(after)
-        own = (n - m.d_context * s.tables) / (STRENGTH + m.customers[s.context])
-        pair += own + m.backoff(after)[s.context] * p[s.word]
-        lower.append(p)
-    return pair / len(lower), np.array(lower), s.word
+    for a in range(0, len(n), BLOCK_PAIRS):
+        here = slice(a, a + BLOCK_PAIRS)
+        customers = STRENGTH + m.customers[context[here]]
+        for s, p, b in zip(seated, lower, backoff, strict=False):
+            own = (n[here] - m.d_context * s.tables[here]) / customers
+            pair[here] += own + b[context[here]] * p[word[here]]
+    return pair / len(lower), np.array(lower), word
 
 
 # ------------------------------------------------------------------ buckets and shards
@@ -535,11 +548,11 @@ def _joined(parts: dict[int, list[np.ndarray]] | None) -> list[np.ndarray]:
     return [np.concatenate(x).astype(np.int64) for x in zip(*(p for _, p in sorted((parts or {}).items())), strict=True)]
 
 
-def _asks(bucket: int, shards: int, kind: int, contexts: np.ndarray, *sums: np.ndarray) -> list[dict]:
+def _first_asks(bucket: int, shards: int, contexts: np.ndarray, *sums: np.ndarray) -> list[dict]:
     """Numbers per context to the shards of the contexts."""
     ends = np.searchsorted(_bucket_of(contexts, shards), np.arange(shards + 1))
     return [
-        _row(s, kind, bucket, *(x[ends[s] : ends[s + 1]] for x in (contexts, *sums)))
+        _row(s, ASKED, bucket, *(x[ends[s] : ends[s + 1]] for x in (contexts, *sums)))
         for s in range(shards) if ends[s + 1] > ends[s]
     ]
 
@@ -549,8 +562,8 @@ class Pairs:
 
     def __init__(self, words: np.ndarray, per_word: np.ndarray, context: np.ndarray, n: np.ndarray, contexts: np.ndarray):
         self.words, self.contexts = words, contexts
-        self.word = np.repeat(np.arange(len(words)), per_word)
-        self.context, self.n = context.astype(np.int64), n.astype(np.int64)
+        self.word = np.repeat(np.arange(len(words), dtype=np.int32), per_word)
+        self.context, self.n = context, n
         self.customers = np.bincount(self.word, self.n, len(words)).astype(np.int64)
         #: what sweeps may change
         self.moves, self.word_moves = self.n > 1, self.customers > 1
@@ -568,6 +581,7 @@ class Pairs:
 
     def seating(self, core_tables: np.ndarray, core_parent: np.ndarray, *_) -> Seating:
         """Of all pairs, from that of the core."""
+        # in the type of the customers, which are as many as tables at least
         tables = np.minimum(self.n, 1)
         tables[self.moves] = core_tables
         guests = _guests(self.word, tables, np.zeros(len(self.words), np.int64))
@@ -586,7 +600,9 @@ class Core:
         self.word = np.repeat(np.arange(len(self.words)), per_word)
         self.ones, self.context, self.n = (x.astype(np.int64) for x in (ones, context, n))
         # a bucket without core pairs has asked for nothing
-        single, moving, customers = _joined(got.get(TOTALS)) or [np.zeros(0, np.int64)] * 3
+        single, moving, customers, _ = _joined(got.get(TOTALS)) or [np.zeros(0, np.int64)] * 4
+        #: per shard, the steps from each of its contexts here to the next
+        self.steps = {shard: p[3] for shard, p in sorted(got.get(TOTALS, {}).items())}
         tables = {0: single + moving}
         for kind in got:
             if TOTALS < kind < ASKED:
@@ -594,6 +610,15 @@ class Core:
         self.model = h.model(self.contexts, customers, tables)
         self.seated = {kind - SEATED: self._seating(*p[0]) for kind, p in sorted(got.items()) if SEATED <= kind < TOTALS}
 
+    def asks(self, kind: int, tables: np.ndarray) -> list[dict]:
+        """Tables per context to the shards of the contexts, which know them by place."""
+        own = np.bincount(self.context, tables, len(self.contexts)).astype(np.int64)
+        ends = np.cumsum([0] + [len(x) for x in self.steps.values()])
+        return [
+            _row(shard, kind, self.number, steps, own[ends[k] : ends[k + 1]])
+            for k, (shard, steps) in enumerate(self.steps.items())
+        ]
+
     def _seating(self, tables: np.ndarray, parent: np.ndarray, sizes: np.ndarray, parent_sizes: np.ndarray) -> Seating:
         tables = tables.astype(np.int64)
         return Seating(self.context, self.word, tables, _guests(self.word, tables, self.ones), parent.astype(np.int64),
@@ -613,31 +638,47 @@ def _start(shards: int):
                 per_context = [x.per_context(v) for v in (x.n == 1, x.moves, x.n)]
                 yield pa.RecordBatch.from_pylist(
                     [_row(bucket, CORE, 0, *x.core()), _row(bucket, SUMS, 0, np.array(sums)),
-                     *_asks(bucket, shards, ASKED, x.contexts, *per_context)],
+                     *_first_asks(bucket, shards, x.contexts, *per_context)],
                     schema=_ROW,
                 )
 
     return run
 
 
+def _places_of(asked: list) -> tuple[np.ndarray, np.ndarray]:
+    """Contexts of a shard, from all first asks; each ask's contexts among them, in a row."""
+    return np.unique(np.concatenate([d[0] for *_, d in asked]), return_inverse=True)
+
+
+def _summed(at: np.ndarray, asked: list, i: int, size: int) -> np.ndarray:
+    return np.bincount(at, np.concatenate([d[i] for *_, d in asked]), size).astype(np.int64)
+
+
+def _first_answer(table: pa.Table) -> pa.Table:
+    """Sums per context of one shard, for every bucket and the contexts of its
+    core, and the steps between their places in the shard."""
+    asked = sorted(_rows(table), key=lambda r: r[2])
+    contexts, at = _places_of(asked)
+    sums = [_summed(at, asked, i, len(contexts)) for i in (1, 2, 3)]
+    rows, end = [], 0
+    for shard, _, bucket, (own, _, moving, _) in asked:
+        begin, end = end, end + len(own)
+        if len(core := at[begin:end][moving > 0]):
+            rows.append(_row(bucket, TOTALS, shard, *(x[core] for x in sums), np.diff(core, prepend=0)))
+    return pa.Table.from_pylist(rows, schema=_ROW)
+
+
 def _answer(step: int):
-    """Sums per context of one shard, for every bucket that asked; at first
-    for the contexts of its core alone."""
+    """Tables per context of one shard, for every bucket that asked."""
 
     def run(table: pa.Table) -> pa.Table:
         asked = sorted(_rows(table), key=lambda r: r[2])
-        contexts, at = np.unique(np.concatenate([d[0] for *_, d in asked]), return_inverse=True)
-        columns = [np.concatenate([d[i] for *_, d in asked]) for i in range(1, len(asked[0][3]))]
-        sums = [np.bincount(at, x, minlength=len(contexts)).astype(np.int64) for x in columns]
-        cut = np.cumsum([0] + [len(d[0]) for *_, d in asked])
-        rows = []
-        for k, (shard, _, bucket, _) in enumerate(asked):
-            mine = at[cut[k] : cut[k + 1]]
-            if not step:
-                mine = mine[columns[1][cut[k] : cut[k + 1]] > 0]
-            if len(mine):
-                rows.append(_row(bucket, TOTALS + step, shard, *(x[mine] for x in sums)))
-        return pa.Table.from_pylist(rows, schema=_ROW)
+        places = [np.cumsum(steps, dtype=np.int64) for *_, (steps, _) in asked]
+        sums = _summed(np.concatenate(places), asked, 1, 0)
+        return pa.Table.from_pylist(
+            [_row(bucket, TOTALS + step, shard, sums[at]) for at, (shard, _, bucket, _) in zip(places, asked, strict=True)],
+            schema=_ROW,
+        )
 
     return run
 
@@ -646,21 +687,16 @@ def _answer_all(table: pa.Table) -> pa.Table:
     """Customers per context of one shard, and its tables in every sample, for
     every bucket and all its contexts."""
     got = sorted(_rows(table), key=lambda r: (r[1], r[2]))
-    first = [r for r in got if r[1] == ASKED]
-    contexts, at = np.unique(np.concatenate([d[0] for *_, d in first]), return_inverse=True)
-    ones, customers = (
-        np.bincount(at, np.concatenate([d[i] for *_, d in first]), minlength=len(contexts)).astype(np.int64) for i in (1, 3)
-    )
-    columns = [customers]
-    for k in range(BURN_IN + 1, BURN_IN + SAMPLES + 1):
-        tables = ones.copy()
-        for _, kind, _, (own, moving) in (r for r in got if r[1] == ASKED + k):
-            tables[np.searchsorted(contexts, own)] += moving
-        columns.append(tables)
-    cut = np.cumsum([0] + [len(d[0]) for *_, d in first])
+    asked = [r for r in got if r[1] == ASKED]
+    contexts, at = _places_of(asked)
+    ones, customers = (_summed(at, asked, i, len(contexts)) for i in (1, 3))
+    columns = [customers, *(ones.copy() for _ in range(SAMPLES))]
+    for _, kind, _, data in got[len(asked) :]:
+        columns[kind - ASKED - BURN_IN][np.cumsum(data[0], dtype=np.int64)] += data[1].astype(np.int64)
+    cut = np.cumsum([0] + [len(d[0]) for *_, d in asked])
     return pa.Table.from_pylist(
         [_row(bucket, ALL_TOTALS, shard, *(x[at[cut[k] : cut[k + 1]]] for x in columns))
-         for k, (shard, _, bucket, _) in enumerate(first)],
+         for k, (shard, _, bucket, _) in enumerate(asked)],
         schema=_ROW,
     )
 
@@ -670,10 +706,9 @@ def _sweep(shared, k: int):
         h = shared.value
         x = Core(table, h)
         s = sweep(x.model, x.number, k, x.context, x.word, x.n, x.ones, x.seated.get(k - 1))
-        tables = np.bincount(x.context, s.tables, len(x.contexts)).astype(np.int64)
         return pa.Table.from_pylist(
             [_row(x.number, SEATED + k, 0, s.tables, s.parent_tables, s.sizes, s.parent_sizes),
-             *_asks(x.number, h.shards, ASKED + k + 1, x.contexts, tables),
+             *x.asks(ASKED + k + 1, s.tables),
              _row(x.number, SUMS, 0, np.array([s.parent_customers.sum(), s.parent_tables.sum()]))],
             schema=_ROW,
         )
@@ -715,11 +750,12 @@ def _estimate(once: int, twice: int) -> float:
 class Learned:
     """The model: its header; cores, totals and seatings of the samples, from
     which frequent pairs are scored; counts, totals of all contexts and
-    seatings, from which all pairs are."""
+    seatings, from which all pairs are; tables that ``core`` alone reads."""
 
     header: Header
     core: DataFrame
     pairs: DataFrame
+    of_core: list[DataFrame]
 
 
 def learn(texts: DataFrame, n_tokens: int, seed: int = 1) -> Learned:
@@ -738,27 +774,28 @@ def learn(texts: DataFrame, n_tokens: int, seed: int = 1) -> Learned:
     def of_kind(rows: DataFrame, kind: int) -> DataFrame:
         return rows.where(F.col("kind") == kind)
 
-    def answers(rows: DataFrame, step: int) -> DataFrame:
-        asked = of_kind(rows, ASKED + step)
-        return materialize(asked.groupBy("bucket").applyInArrow(_answer(step), _ROW_SQL), "lm-totals")
+    def answers(asked: DataFrame, answer) -> DataFrame:
+        return materialize(asked.groupBy("bucket").applyInArrow(answer, _ROW_SQL), "lm-totals")
 
     start = materialize(counts.mapInArrow(_start(shards), _ROW_SQL), "lm-start")
     pairs, types, n1, n2, m1, m2, singles = _sums(start) or [0] * 7
     group = max(1, min(GROUP_BUCKETS, buckets // LEAST_BUCKETS))
     h = Header(n_tokens, types, _estimate(n1, n2), _estimate(m1, m2), buckets, shards, group, seed, singles, [(pairs, types)])
-    core = [of_kind(start, CORE), answers(start, 0)]
-    last, asked, seated, totals = [], [of_kind(start, ASKED)], [], []
+    asked = [of_kind(start, ASKED)]
+    core = [of_kind(start, CORE), answers(asked[0], _first_answer)]
+    last, seated, totals = [], [], []
     for k in range(BURN_IN + SAMPLES):
         shared = spark.sparkContext.broadcast(h)
         swept = materialize(union(core + last).groupBy("bucket").applyInArrow(_sweep(shared, k), _ROW_SQL), "lm-sweep")
         h = replace(h, parent=[*h.parent, tuple(x + singles for x in _sums(swept) or (0, 0))])
-        last = [answers(swept, k + 1), of_kind(swept, SEATED + k)]
+        ask = of_kind(swept, ASKED + k + 1)
+        last = [answers(ask, _answer(k + 1)), of_kind(swept, SEATED + k)]
         if k >= BURN_IN:
-            asked.append(of_kind(swept, ASKED + k + 1))
+            asked.append(ask)
             totals.append(last[0])
             seated.append(last[1])
-    everywhere = materialize(union(asked).groupBy("bucket").applyInArrow(_answer_all, _ROW_SQL), "lm-totals")
-    return Learned(h, union(core + totals + seated), union([counts, everywhere, *seated]))
+    everywhere = answers(union(asked), _answer_all)
+    return Learned(h, union(core + totals + seated), union([counts, everywhere, *seated]), [start, core[1], *totals])
 
 
 # -------------------------------------------------------------------------- scoring
@@ -831,19 +868,27 @@ class Scorer:
 
     def __init__(self, h: Header, table: pa.Table):
         self.h = h
-        parts = [self._scored(x) for x in _by_kind(table).values()]
-        key, score, count = (np.concatenate(x) for x in zip(*parts, strict=True))
-        order = np.argsort(key)
-        self.keys, self.score, self.count = key[order], score[order], count[order]
-
-    def _scored(self, got: dict[int, dict[int, list[np.ndarray]]]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Of a bucket's pairs: hash, log10 probability, the token's count."""
+        buckets = list(_by_kind(table).values())
+        size = sum(len(got[COUNTS][0][3]) for got in buckets)
+        self.keys, self.score, self.count = np.empty(size, np.uint64), np.empty(size), np.empty(size, np.int64)
+        end = 0
+        for got in buckets:
+            begin, end = end, end + len(got[COUNTS][0][3])
+            self._fill(slice(begin, end), got)
+        order = np.argsort(self.keys)
+        self.keys, self.score, self.count = self.keys[order], self.score[order], self.count[order]
+
+    def _fill(self, here: slice, got: dict[int, dict[int, list[np.ndarray]]]) -> None:
+        """Hash, log10 probability and the token's count of a bucket's pairs."""
         x = Pairs(*got[COUNTS][0])
         customers, *tables = _joined(got[ALL_TOTALS])
         model = self.h.model(x.contexts, customers, dict(enumerate(tables, BURN_IN + 1)))
         seated = (x.seating(*p[0]) for kind, p in sorted(got.items()) if SEATED <= kind < TOTALS)
-        p, _, _ = _averaged(model, x.n, seated)
-        return _pair_hash(x.words[x.word], x.contexts[x.context]), np.log10(p), _narrow(x.customers)[x.word]
+        np.log10(_averaged(model, x.n, seated)[0], out=self.score[here])
+        self.count[here] = x.customers[x.word]
+        for a in range(0, len(x.n), BLOCK_PAIRS):
+            b = min(a + BLOCK_PAIRS, len(x.n))
+            self.keys[here.start + a : here.start + b] = _pair_hash(x.words[x.word[a:b]], x.contexts[x.context[a:b]])
 
     def look_up(self, key: np.ndarray) -> np.ndarray:
         """Known or not, base and model log10 probability of every token."""
@@ -900,6 +945,8 @@ def score(docs: DataFrame, seed: int = 1) -> DataFrame:
     often = learned.core.groupBy("bucket").applyInArrow(
         _frequent_pairs(shared), "bucket long, key long, score double, base double"
     ).toArrow()
+    for spent in learned.of_core:
+        drop(spent)
     bucket, key, logp, base = (often.column(x).to_numpy() for x in ("bucket", "key", "score", "base"))
     key, group = key.view(np.uint64), bucket // h.group
     order = np.lexsort((key, group))

@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import math
+import os
 import zlib
 from collections import Counter
 from dataclasses import replace
@@ -231,3 +232,11 @@ def test_groups_of_many_buckets(spark, monkeypatch):
     assert [r[2] for r in few] == pytest.approx([r.base_score for r in sorted(out, key=lambda r: (r.doc_id, r.n_known, r.base_score))])
     held = [r for r in out if r.held_out and r.n_tokens > 50]
     assert held and sum(r.score for r in held) > 1.05 * sum(r.base_score for r in held)
+
+
+def test_tables_of_the_sweeps_go_when_they_are_done(spark, monkeypatch):
+    gone, drop = [], py.drop
+    monkeypatch.setattr(py, "drop", lambda df: (gone.append(df.inputFiles()), drop(df)))
+    assert len(py.score(documents(spark, corpus(20))).collect()) == 20
+    files = [f.removeprefix("file://") for x in gone for f in x]
+    assert len(gone) == 2 + py.SAMPLES and files and not any(os.path.exists(f) for f in files)
