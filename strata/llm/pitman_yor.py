@@ -39,8 +39,8 @@ computed once per pair.  Pairs of two customers or more that make up at least
 one in ``FREQUENT`` training tokens (at most ``FREQUENT`` of them, the proven
 bound under which they are broadcast) are looked up where the text is read; all
 other tokens are sent to the group of their bucket, packed, meet the counts and
-totals there, and come back as one partial sum per text and group.  Both look
-the same numbers up.
+totals there, one bucket of the group after the other, and come back as one
+partial sum per text and group.  Both look the same numbers up.
 
 Word and pair hashes have 64 bits.
 
@@ -52,6 +52,7 @@ occur); an empty table gives an empty result; other columns are ignored.
 
 from __future__ import annotations
 
+import ctypes
 import pickle
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass, replace
@@ -59,6 +60,7 @@ from functools import reduce
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -77,7 +79,7 @@ STRENGTH = 1.0
 BUCKET_TOKENS = 1_000_000
 SHARD_TOKENS = 8_000_000
 LEAST_BUCKETS = 12
-#: Buckets that score tokens together where there are many.
+#: Buckets whose tokens are sent together where there are many.
 GROUP_BUCKETS = 4
 #: Pairs whose probabilities are computed at once.
 BLOCK_PAIRS = 1 << 17
@@ -95,6 +97,39 @@ def held_out(doc_id: Column) -> Column:
     return F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary")) % 7 == 2
 
 
+def _give_back() -> None:
+    """Return freed memory to the system.  Python workers outlive their tasks, and
+    the C library keeps much of what these freed."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim:
+        trim(0)
+
+
+def _tidy(run):
+    """``run``, called on a group's table; what it freed is given back."""
+
+    def tidy(table: pa.Table) -> pa.Table:
+        try:
+            return run(table)
+        finally:
+            _give_back()
+
+    return tidy
+
+
+def _tidy_batches(run):
+    """``run``, called on a task's batches; what it freed is given back."""
+
+    def tidy(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        try:
+            yield from run(batches)
+        finally:
+            _give_back()
+
+    return tidy
+
+
 def _heads(ordered: np.ndarray) -> np.ndarray:
     head = np.ones(len(ordered), bool)
     head[1:] = ordered[1:] != ordered[:-1]
@@ -143,8 +178,7 @@ def _count_pairs(buckets: int):
         held: list[list[tuple[np.ndarray, ...]]] = [[] for _ in range(buckets)]
         size = 0
 
-        def emptied() -> pa.RecordBatch:
-            rows = []
+        def emptied() -> Iterator[pa.RecordBatch]:
             for b, parts in enumerate(held):
                 if parts:
                     word, before, n = _sum_pairs(*(np.concatenate(x) for x in zip(*parts, strict=True)))
@@ -152,8 +186,8 @@ def _count_pairs(buckets: int):
                     start = np.flatnonzero(_heads(word))
                     per_word = np.diff(np.append(start, len(word)))
                     contexts, number = np.unique(before, return_inverse=True)
-                    rows.append(_row(b, COUNTS, 0, word[start], per_word, number, n, contexts))
-            return pa.RecordBatch.from_pylist(rows, schema=_ROW)
+                    row = _row(b, COUNTS, 0, word[start], per_word, number, n, contexts)
+                    yield pa.RecordBatch.from_pylist([row], schema=_ROW)
 
         for c in chunks(batches, lower=True, max_bytes=TEXT_BYTES):
             token, borders = _tokens(c)
@@ -168,9 +202,9 @@ def _count_pairs(buckets: int):
                     held[b].append((word[mine].copy(), before[mine].copy(), n[mine].copy()))
             size += len(word)
             if size > FLUSH:
-                yield emptied()
+                yield from emptied()
                 size = 0
-        yield emptied()
+        yield from emptied()
 
     return run
 
@@ -520,7 +554,7 @@ class Header:
     d_parent: float
     buckets: int
     shards: int
-    #: buckets that score tokens together
+    #: buckets whose tokens are sent together
     group: int
     seed: int
     #: tokens of one customer
@@ -764,7 +798,7 @@ def learn(texts: DataFrame, n_tokens: int, seed: int = 1) -> Learned:
     spark = texts.sparkSession
     buckets, shards = (max(LEAST_BUCKETS, -(-n_tokens // x)) for x in (BUCKET_TOKENS, SHARD_TOKENS))
     counts = materialize(
-        texts.mapInArrow(_count_pairs(buckets), _ROW_SQL).groupBy("bucket").applyInArrow(_merge_counts, _ROW_SQL),
+        texts.mapInArrow(_tidy_batches(_count_pairs(buckets)), _ROW_SQL).groupBy("bucket").applyInArrow(_tidy(_merge_counts), _ROW_SQL),
         "lm-counts",
     )
 
@@ -775,9 +809,9 @@ def learn(texts: DataFrame, n_tokens: int, seed: int = 1) -> Learned:
         return rows.where(F.col("kind") == kind)
 
     def answers(asked: DataFrame, answer) -> DataFrame:
-        return materialize(asked.groupBy("bucket").applyInArrow(answer, _ROW_SQL), "lm-totals")
+        return materialize(asked.groupBy("bucket").applyInArrow(_tidy(answer), _ROW_SQL), "lm-totals")
 
-    start = materialize(counts.mapInArrow(_start(shards), _ROW_SQL), "lm-start")
+    start = materialize(counts.mapInArrow(_tidy_batches(_start(shards)), _ROW_SQL), "lm-start")
     pairs, types, n1, n2, m1, m2, singles = _sums(start) or [0] * 7
     group = max(1, min(GROUP_BUCKETS, buckets // LEAST_BUCKETS))
     h = Header(n_tokens, types, _estimate(n1, n2), _estimate(m1, m2), buckets, shards, group, seed, singles, [(pairs, types)])
@@ -786,7 +820,7 @@ def learn(texts: DataFrame, n_tokens: int, seed: int = 1) -> Learned:
     last, seated, totals = [], [], []
     for k in range(BURN_IN + SAMPLES):
         shared = spark.sparkContext.broadcast(h)
-        swept = materialize(union(core + last).groupBy("bucket").applyInArrow(_sweep(shared, k), _ROW_SQL), "lm-sweep")
+        swept = materialize(union(core + last).groupBy("bucket").applyInArrow(_tidy(_sweep(shared, k)), _ROW_SQL), "lm-sweep")
         h = replace(h, parent=[*h.parent, tuple(x + singles for x in _sums(swept) or (0, 0))])
         ask = of_kind(swept, ASKED + k + 1)
         last = [answers(ask, _answer(k + 1)), of_kind(swept, SEATED + k)]
@@ -823,7 +857,9 @@ _SUMS = np.dtype([("known", "<i8"), ("base", "<f8"), ("score", "<f8")])
 def _send(shared, scored):
     """Score frequent pairs; send the other tokens to the groups of their buckets.
 
-    Sums of the scored tokens ride along in a group of the row's own.
+    A record has a chunk's tokens in the order of buckets, and how many of each
+    text (``rows``) are in each bucket of the group.  Sums of the scored tokens
+    ride along in a group of the row's own.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -831,28 +867,29 @@ def _send(shared, scored):
         for c in chunks(batches, lower=True, max_bytes=TEXT_BYTES):
             token, borders = _tokens(c)
             rows = c.batch.column("row_key").to_numpy(zero_copy_only=False)
-            key, group = _pair_hash(token, _before(token)), _bucket_of(token, h.buckets) // h.group
+            key, bucket = _pair_hash(token, _before(token)), _bucket_of(token, h.buckets)
             row = np.repeat(np.arange(len(c)), np.diff(borders))
-            order = np.argsort(group, kind="stable")
-            ends = np.searchsorted(group[order], np.arange(len(known.keys) + 1))
+            order = np.argsort(bucket, kind="stable")
+            ends = np.searchsorted(bucket[order], np.arange(len(known.keys) + 1) * h.group)
             done = np.zeros(len(c), _SUMS)
             out = []
-            for b in range(len(known.keys)):
-                mine = order[ends[b] : ends[b + 1]]
-                k, r = key[mine], row[mine]
-                if len(known.keys[b]) and len(k):
-                    at = np.minimum(np.searchsorted(known.keys[b], k), len(known.keys[b]) - 1)
-                    hit = known.keys[b][at] == k
+            for g in range(len(known.keys)):
+                mine = order[ends[g] : ends[g + 1]]
+                k, r, b = key[mine], row[mine], bucket[mine] - g * h.group
+                if len(known.keys[g]) and len(k):
+                    at = np.minimum(np.searchsorted(known.keys[g], k), len(known.keys[g]) - 1)
+                    hit = known.keys[g][at] == k
                     done["known"] += np.bincount(r[hit], minlength=len(c))
-                    done["base"] += np.bincount(r[hit], known.base[b][at[hit]], minlength=len(c))
-                    done["score"] += np.bincount(r[hit], known.score[b][at[hit]], minlength=len(c))
-                    k, r = k[~hit], r[~hit]
+                    done["base"] += np.bincount(r[hit], known.base[g][at[hit]], minlength=len(c))
+                    done["score"] += np.bincount(r[hit], known.score[g][at[hit]], minlength=len(c))
+                    k, r, b = k[~hit], r[~hit], b[~hit]
                 if len(k):
-                    first = np.flatnonzero(_heads(r))
+                    counts = np.bincount(b * len(c) + r, minlength=h.group * len(c)).reshape(h.group, len(c))
+                    some = np.flatnonzero(counts.any(axis=0))
                     out.append({
-                        "bucket": b,
-                        "rows": rows[r[first]].tobytes(),
-                        "counts": np.diff(np.append(first, len(r))).astype(np.uint32).tobytes(),
+                        "bucket": g,
+                        "rows": rows[some].tobytes(),
+                        "counts": _narrow(counts[:, some].reshape(-1)).tobytes(),
                         "keys": k.tobytes(),
                         "sums": b"",
                     })
@@ -863,32 +900,51 @@ def _send(shared, scored):
     return run
 
 
+@dataclass
+class Sent:
+    """A record of :func:`_send`: texts, their tokens by bucket, and the sums so far."""
+
+    rows: np.ndarray
+    counts: np.ndarray
+    keys: np.ndarray
+    sums: np.ndarray
+
+    @staticmethod
+    def read(rows: pa.Buffer, counts: pa.Buffer, keys: pa.Buffer, sums: pa.Buffer, group: int) -> Sent:
+        who = np.frombuffer(rows, np.int64)
+        if sums.size:
+            return Sent(who, np.zeros((group, 0), np.uint8), np.zeros(0, np.uint64), np.frombuffer(sums, _SUMS))
+        n = np.frombuffer(counts, f"u{counts.size // (group * len(who))}").reshape(group, len(who))
+        return Sent(who, n, np.frombuffer(keys, np.uint64), np.zeros(len(who), _SUMS))
+
+    def add(self, place: int, scorer: Scorer) -> None:
+        """Sums of the tokens in one bucket of the group."""
+        texts = np.flatnonzero(self.counts[place])
+        n = self.counts[place][texts].astype(np.int64)
+        begin = int(self.counts[:place].sum(dtype=np.int64))
+        one = scorer.look_up(self.keys[begin : begin + int(n.sum())])
+        for f in _SUMS.names:
+            self.sums[f][texts] += np.add.reduceat(one[f], np.cumsum(n) - n)
+
+
 class Scorer:
-    """Looks tokens up among the pairs of a group of buckets."""
+    """Looks tokens up among the pairs of a bucket."""
 
     def __init__(self, h: Header, table: pa.Table):
+        """Hash, log10 probability and the token's count of the bucket's pairs."""
         self.h = h
-        buckets = list(_by_kind(table).values())
-        size = sum(len(got[COUNTS][0][3]) for got in buckets)
-        self.keys, self.score, self.count = np.empty(size, np.uint64), np.empty(size), np.empty(size, np.int64)
-        end = 0
-        for got in buckets:
-            begin, end = end, end + len(got[COUNTS][0][3])
-            self._fill(slice(begin, end), got)
-        order = np.argsort(self.keys)
-        self.keys, self.score, self.count = self.keys[order], self.score[order], self.count[order]
-
-    def _fill(self, here: slice, got: dict[int, dict[int, list[np.ndarray]]]) -> None:
-        """Hash, log10 probability and the token's count of a bucket's pairs."""
+        ((_, got),) = _by_kind(table).items()
         x = Pairs(*got[COUNTS][0])
         customers, *tables = _joined(got[ALL_TOTALS])
-        model = self.h.model(x.contexts, customers, dict(enumerate(tables, BURN_IN + 1)))
+        model = h.model(x.contexts, customers, dict(enumerate(tables, BURN_IN + 1)))
         seated = (x.seating(*p[0]) for kind, p in sorted(got.items()) if SEATED <= kind < TOTALS)
-        np.log10(_averaged(model, x.n, seated)[0], out=self.score[here])
-        self.count[here] = x.customers[x.word]
-        for a in range(0, len(x.n), BLOCK_PAIRS):
-            b = min(a + BLOCK_PAIRS, len(x.n))
-            self.keys[here.start + a : here.start + b] = _pair_hash(x.words[x.word[a:b]], x.contexts[x.context[a:b]])
+        score = np.log10(_averaged(model, x.n, seated)[0])
+        keys = np.empty(len(x.n), np.uint64)
+        for a in range(0, len(keys), BLOCK_PAIRS):
+            here = slice(a, a + BLOCK_PAIRS)
+            keys[here] = _pair_hash(x.words[x.word[here]], x.contexts[x.context[here]])
+        order = np.argsort(keys)
+        self.keys, self.score, self.count = keys[order], score[order], x.customers[x.word[order]]
 
     def look_up(self, key: np.ndarray) -> np.ndarray:
         """Known or not, base and model log10 probability of every token."""
@@ -898,26 +954,32 @@ class Scorer:
         return out
 
 
-def _score_group(shared):
-    """One group of buckets: a partial sum per text, record after record."""
+def _scored(h: Header, sent: pa.Table, pairs: pa.Table) -> pa.Table:
+    """One group of buckets, one bucket after the other: a partial sum per text, record after record."""
+    records = [
+        Sent.read(*(sent.column(x)[k].as_buffer() for x in ("rows", "counts", "keys", "sums")), h.group)
+        for k in range(sent.num_rows)
+    ]
+    for place in range(h.group):
+        asking = [r for r in records if r.counts[place].any()]
+        if asking:
+            here = pc.equal(pairs.column("bucket"), sent.column("bucket")[0].as_py() * h.group + place)
+            scorer = Scorer(h, pairs.filter(here))
+            _give_back()
+            for r in asking:
+                r.add(place, scorer)
+    rows = np.concatenate([np.zeros(0, np.int64), *(r.rows for r in records)])
+    return pa.table({"row_key": pa.array(rows)} | {
+        f: pa.array(np.concatenate([np.zeros(0, _SUMS[f]), *(r.sums[f] for r in records)])) for f in _SUMS.names
+    })
 
+
+def _score_group(shared):
     def run(sent: pa.Table, pairs: pa.Table) -> pa.Table:
-        rows, sums, scorer = [np.zeros(0, np.int64)], [np.zeros(0, _SUMS)], None
-        for k in range(sent.num_rows):
-            who, counts, wanted, done = (sent.column(x)[k].as_py() for x in ("rows", "counts", "keys", "sums"))
-            if done:
-                part = np.frombuffer(done, _SUMS)
-            else:
-                scorer = scorer or Scorer(shared.value, pairs)
-                n = np.frombuffer(counts, np.uint32).astype(np.int64)
-                one = scorer.look_up(np.frombuffer(wanted, np.uint64))
-                part = np.zeros(len(n), _SUMS)
-                for f in _SUMS.names:
-                    part[f] = np.add.reduceat(one[f], np.cumsum(n) - n)
-            rows.append(np.frombuffer(who, np.int64))
-            sums.append(part)
-        total = np.concatenate(sums)
-        return pa.table({"row_key": pa.array(np.concatenate(rows))} | {f: pa.array(total[f].copy()) for f in _SUMS.names})
+        try:
+            return _scored(shared.value, sent, pairs)
+        finally:
+            _give_back()
 
     return run
 
@@ -943,7 +1005,7 @@ def score(docs: DataFrame, seed: int = 1) -> DataFrame:
     shared = spark.sparkContext.broadcast(h)
 
     often = learned.core.groupBy("bucket").applyInArrow(
-        _frequent_pairs(shared), "bucket long, key long, score double, base double"
+        _tidy(_frequent_pairs(shared)), "bucket long, key long, score double, base double"
     ).toArrow()
     for spent in learned.of_core:
         drop(spent)
@@ -956,7 +1018,7 @@ def score(docs: DataFrame, seed: int = 1) -> DataFrame:
 
     sent = texts.select(
         "row_key", "text", F.pmod("row_key", F.lit(groups)).cast("int").alias("spread")
-    ).mapInArrow(_send(shared, scored), "bucket int, rows binary, counts binary, keys binary, sums binary")
+    ).mapInArrow(_tidy_batches(_send(shared, scored)), "bucket int, rows binary, counts binary, keys binary, sums binary")
     partial = (
         sent.groupBy("bucket")
         .cogroup(learned.pairs.withColumn("group", F.floor(F.col("bucket") / h.group).cast("int")).groupBy("group"))

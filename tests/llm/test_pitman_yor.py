@@ -2,9 +2,11 @@ from __future__ import annotations
 
 import math
 import os
+import tracemalloc
 import zlib
 from collections import Counter
 from dataclasses import replace
+from types import SimpleNamespace
 
 import numpy as np
 import pyarrow as pa
@@ -240,3 +242,64 @@ def test_tables_of_the_sweeps_go_when_they_are_done(spark, monkeypatch):
     assert len(py.score(documents(spark, corpus(20))).collect()) == 20
     files = [f.removeprefix("file://") for x in gone for f in x]
     assert len(gone) == 2 + py.SAMPLES and files and not any(os.path.exists(f) for f in files)
+
+
+def resident():
+    """MB of this process that no file backs."""
+    with open("/proc/self/status") as f:
+        return next(int(line.split()[1]) for line in f if line.startswith("RssAnon")) / 1024
+
+
+def test_freed_memory_goes_back_to_the_system():
+    """Freed pieces below what still is in use would otherwise stay with the worker."""
+    held = []
+
+    def run(table):
+        pieces = [np.ones(12_000) for _ in range(2000)]
+        held.append(pieces[::100])
+        return table
+
+    table = pa.table({"x": [1]})
+    before = resident()
+    assert py._tidy(run)(table) is table
+    assert list(py._tidy_batches(lambda batches: (run(b) for b in batches))(iter([table]))) == [table]
+    assert len(held) == 2 and resident() - before < 60
+
+
+def test_a_group_is_scored_bucket_by_bucket():
+    """A group of 16 buckets holds the pairs of one at a time, and finds them all."""
+    rng, group = np.random.default_rng(9), 16
+    texts = [" ".join(f"w{x}" for x in rng.integers(0, 60_000, 4000)) for _ in range(60)]
+    batch = pa.record_batch({"row_key": np.arange(60), "held_out": np.zeros(60, bool), "text": texts, "spread": np.zeros(60, np.int32)})
+    counted = pa.Table.from_batches(py._count_pairs(group)(iter([batch])))
+    rows, size = counted.to_pylist(), 0
+    words, customers = [], []
+    for bucket, _, _, counts in py._rows(counted):
+        x = py.Pairs(*counts)
+        ones = np.ones(len(x.contexts), np.int64)
+        rows.append(py._row(bucket, py.ALL_TOTALS, 0, x.per_context(x.n), *[ones] * py.SAMPLES))
+        core = [np.ones(m.sum(), np.int64) for m in (x.moves, x.word_moves)]
+        rows += [py._row(bucket, py.SEATED + k, 0, *core, *[np.zeros(0, np.int64)] * 2) for k in range(py.BURN_IN, py.BURN_IN + py.SAMPLES)]
+        words.append(x.words)
+        customers.append(x.customers)
+        size += len(x.n)
+    count = dict(zip(np.concatenate(words).tolist(), np.concatenate(customers).tolist()))
+    n_tokens = sum(count.values())
+    h = py.Header(n_tokens, len(count), 0.8, 0.5, group, 1, group, 1, 0, [(size, len(count))] * (py.BURN_IN + py.SAMPLES + 1))
+    none = py.Frequent([np.zeros(0, np.uint64)], [np.zeros(0)], [np.zeros(0)])
+    sent = pa.Table.from_batches(py._send(SimpleNamespace(value=h), SimpleNamespace(value=none))(iter([batch])))
+    pairs = pa.Table.from_pylist(rows, schema=py._ROW)
+    score = py._score_group(SimpleNamespace(value=h))
+    tracemalloc.start()
+    try:
+        out = score(sent, pairs)
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert n_tokens == 60 * 4001 and size > 200_000 and peak < 30 * size
+    got = out.group_by("row_key").aggregate([(x, "sum") for x in ("known", "base", "score")]).sort_by("row_key").to_pydict()
+    assert got["known_sum"] == [4001] * 60 and all(x < 0 for x in got["score_sum"])
+    (c,) = py.chunks(iter([batch]), max_bytes=1 << 30)
+    token, borders = py._tokens(c)
+    base = np.log10((np.array([count[t] for t in token.tolist()]) + 1) / (n_tokens + len(count) + 1))
+    assert got["base_sum"] == pytest.approx(np.add.reduceat(base, borders[:-1]).tolist())
